@@ -1,29 +1,37 @@
 """Token ids by the tokenizers library, each distinct word encoded once per worker.
 
-Both vocabularies split a text into words before merging, so the ids of a text are those of its words in
-a row.  A text whose white space could make a word depend on what stands around it goes to the library whole.
+Both vocabularies split a text into words before merging, so the ids of a text are those of its words in a row.  The
+splitting patterns are the vocabularies' own.  A text on which this module's splitting and the library's might differ
+(separators that only some definitions call white space, text that is not in normal form) goes to the library whole.
 """
 
 from __future__ import annotations
 
 import os
-import re
+import unicodedata
 
 import numpy as np
+import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: A space before white space or the end, and separators that only some definitions call white space.
-_ODD_SPACE = re.compile(r" (?:\s|$)|[\x1c-\x1f\x85]")
-_ODD_SEPARATOR = re.compile(r"[\x1c-\x1f\x85]")
-_WORKER: dict[tuple[str, str, int], "WordEncoder"] = {}
+# The vocabularies' word patterns.
+BYTE_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+LOWER_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_ODD_SEPARATOR = regex.compile(r"[\x1c-\x1f\x85]")
+#: Letters whose lower case depends on what follows, or has several characters.
+_ODD_CASE = regex.compile("[Σİ]")
+#: Marks that do not stand alone between a letter or digit and the next word; line ends and spaces in a row.
+_ODD_MARKS = regex.compile(r"[^\p{L}\p{N}][,.]|[ \n](?:\s|$)|^[,.]|[\t\r\v\f]")
+_ODD_LOWER_MARKS = regex.compile(r"[^\p{L}\p{N}\s][,.]")
+_WORKER: dict[tuple[str, bool, int], "WordEncoder"] = {}
 
 
 class WordEncoder:
     """Encodes texts; ids come as little-endian bytes of the given width.
 
-    keeps_space: a word's token carries the space before it (byte-level vocabularies); else white space is dropped.
-    The word cache empties itself at max_words, so a worker's memory has a bound.
+    keeps_space: a word's token carries the space before it (byte-level vocabularies); else text is lower-cased and white space dropped.
+    Words are kept in two generations of at most max_words: when the newer is full, the older goes, so memory has a bound.
     """
 
     def __init__(self, path: str, keeps_space: bool, width: int = 4, max_words: int = 400_000):
@@ -32,34 +40,58 @@ class WordEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.keeps_space, self.dtype, self.max_words = keeps_space, f"<u{width}", max_words
-        self.inner: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _split(self, text: str) -> list[str] | None:
+        """Parts that are whole words of the pattern, or several; None if only the library can tell."""
+        if _ODD_SEPARATOR.search(text):
+            return None
+        if self.keeps_space:
+            if _ODD_MARKS.search(text):
+                return BYTE_WORDS.findall(text)
+            # Every space, comma, full stop and line end begins a word here, so cutting before them is enough.
+            return text.replace(" ", "\x1c ").replace(",", "\x1c,").replace(".", "\x1c.").replace("\n", "\x1c\n\x1c").split("\x1c")
+        if not text.isascii() and (not unicodedata.is_normalized("NFC", text) or _ODD_CASE.search(text)):
+            return None
+        text = text.lower()
+        if _ODD_LOWER_MARKS.search(text):
+            return LOWER_WORDS.findall(text)
+        return text.replace(",", " ,").replace(".", " .").split()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
-        odd = _ODD_SPACE if self.keeps_space else _ODD_SEPARATOR
-        whole, plain, seen = [], [], set()
-        for i, t in enumerate(texts):
-            if odd.search(t):
+        split = [self._split(t) for t in texts]
+        seen: set[str] = set()
+        for p in split:
+            if p is not None:
+                seen.update(p)
+        if len(self.new) + len(seen) > self.max_words:
+            self.old, self.new = self.new, {}
+        missing = []
+        for w in seen.difference(self.new):
+            ids = self.old.get(w)
+            if ids is None:
+                missing.append(w)
+            else:
+                self.new[w] = ids
+        if missing:
+            found = self.tok.encode_batch_fast(missing, add_special_tokens=False)
+            counts = [len(e) for e in found]
+            flat = np.array([i for e in found for i in e.ids], dtype=self.dtype).tobytes()
+            size, at = int(self.dtype[-1]), 0
+            for w, n in zip(missing, counts, strict=True):
+                self.new[w] = flat[at : at + n * size]
+                at += n * size
+        get = self.new.__getitem__
+        whole = []
+        for i, p in enumerate(split):
+            if p is None:
                 whole.append(i)
-                continue
-            parts = t.split(" ") if self.keeps_space else t.split()
-            plain.append((i, parts))
-            seen.update(parts[1:] if self.keeps_space else parts)
-        if len(self.inner) + len(seen) > self.max_words:
-            self.inner = {}
-        new = [w for w in seen if w not in self.inner]
-        if new:
-            self.inner.update(zip(new, self._raw([" " + w for w in new] if self.keeps_space else new), strict=True))
-        get = self.inner.__getitem__
-        if self.keeps_space:
-            heads = self._raw([p[0] for _, p in plain])
-            for (i, p), head in zip(plain, heads, strict=True):
-                out[i] = head + b"".join(map(get, p[1:]))
-        else:
-            for i, p in plain:
+            else:
                 out[i] = b"".join(map(get, p))
         for i, ids in zip(whole, self._raw([texts[i] for i in whole]), strict=True):
             out[i] = ids
@@ -68,7 +100,7 @@ class WordEncoder:
 
 def encoder(path: str, keeps_space: bool, width: int = 4) -> WordEncoder:
     """One per worker process, kept between tasks."""
-    key = (path, str(keeps_space), width)
+    key = (path, keeps_space, width)
     if key not in _WORKER:
         _WORKER[key] = WordEncoder(path, keeps_space, width)
     return _WORKER[key]
