@@ -92,20 +92,12 @@ class Model:
         return total
 
 
-def fit(words: dict[str, dict[str, int]]) -> Model:
-    """Kneser-Ney models from word counts by language."""
-    langs = sorted(words)
+def fit(langs: list[str], every: list[str], counts: np.ndarray) -> Model:
+    """Kneser-Ney models from word counts [word, language]."""
     model = Model(langs)
-    every = sorted({w for ws in words.values() for w in ws})
     (grams, contexts), owner = word_hashes(every)
     ok = owner >= 0
-    own = owner[ok]
-    counts = np.zeros((len(every), len(langs)))
-    at = {w: i for i, w in enumerate(every)}
-    for k, lang in enumerate(langs):
-        for w, n in words[lang].items():
-            counts[at[w], k] = n
-    per_place = counts[own]
+    per_place = counts[owner[ok]]
     raw = []
     for n in range(ORDER):
         g, c = grams[n][ok], contexts[n][ok]
@@ -163,7 +155,7 @@ def score_texts(model: Model, texts: list[str | None]) -> list[tuple[str, float,
 
 
 def calibrate(model: Model, texts: list[tuple[str, str]], slack: float = 8.0) -> None:
-    """Set mean and allowed spread (slack deviations, at least 5 % of the mean) of each language's cross-entropy."""
+    """Set mean and allowed spread (slack deviations, at least 30 % of the mean) of each language's cross-entropy."""
     found: dict[str, list[float]] = {lang: [] for lang in model.langs}
     for (_, lang), (got, _, entropy, _) in zip(texts, score_texts(model, [t for t, _ in texts]), strict=True):
         if got == lang:
@@ -172,10 +164,10 @@ def calibrate(model: Model, texts: list[tuple[str, str]], slack: float = 8.0) ->
     pick = [np.array(found[lang] if len(found[lang]) >= 5 else every) for lang in model.langs]
     center = np.array([np.median(v) for v in pick])
     wide = np.array([1.4826 * np.median(np.abs(v - np.median(v))) if np.isfinite(v).all() else np.inf for v in pick])
-    model.mean, model.spread = center, np.maximum(slack * wide, 0.05 * np.abs(center))
+    model.mean, model.spread = center, np.maximum(slack * wide, 0.3 * np.abs(center))
 
 
-def train(docs: DataFrame, max_docs: int = 1500, modulus: int = 4, held_remainder: int = 2) -> Model:
+def train(docs: DataFrame, max_docs: int = 500, modulus: int = 4, held_remainder: int = 2) -> Model:
     """Fit on at most about max_docs documents a language, those of least hash; held-out documents never count."""
     from pyspark.sql.window import Window
 
@@ -200,11 +192,11 @@ def train(docs: DataFrame, max_docs: int = 1500, modulus: int = 4, held_remainde
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["lang", "word", "n"])
 
     fold = F.pmod(F.shiftright("draw", 3), F.lit(8))
-    counted = sample.filter(fold != CALIBRATE).select("text", "lang").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()  # bounded by the sample
-    words: dict[str, dict[str, int]] = {lang: {} for lang in sizes}
-    for lang, word, n in zip(*(counted.column(c).to_pylist() for c in ("lang", "word", "n")), strict=True):
-        words[lang][word] = n
-    model = fit(words)
+    langs = sorted(sizes)
+    each = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).cast("float").alias(f"n{i}") for i, lang in enumerate(langs)]
+    counted = sample.filter(fold != CALIBRATE).select("text", "lang").mapInArrow(count, "lang string, word string, n long").groupBy("word").agg(*each).toArrow()  # bounded by the sample
+    model = fit(langs, counted.column("word").to_pylist(), np.stack([counted.column(f"n{i}").to_numpy() for i in range(len(langs))], axis=1).astype(np.float32).reshape(-1, len(langs)))
+    del counted
     kept = sample.filter(fold == CALIBRATE).select("text", "lang")
     calibrate(model, [(r["text"], r["lang"]) for r in kept.collect()])  # an eighth of the sample
     return model
@@ -232,7 +224,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], *RESULT.fields]))
 
 
-def identify_languages(docs: DataFrame, max_docs: int = 1500) -> DataFrame:
+def identify_languages(docs: DataFrame, max_docs: int = 500) -> DataFrame:
     """doc_id, held_out, lang_pred, score, cross_entropy, rejected for every document; the model learns from docs itself."""
     model = train(docs, max_docs)
     rows = docs.select("doc_id", "text", (doc_bucket(F.col("doc_id"), 4) == 2).alias("held_out"))
