@@ -41,7 +41,7 @@ MOST_FREQUENT = 1 << 17
 _ITEM = np.uint64((1 << 48) - 1)
 #: Bits of the filters that spare rows a shuffle; what they let through in error is joined away.
 FILTER_BITS = 1 << 25
-_MAX_WORDS = 500_000
+_MAX_WORDS = 150_000
 _WORDS: dict[bytes, int] = {}
 
 
@@ -146,7 +146,7 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
             names = [int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little", signed=True) if x else None for x in items]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array(items, pa.binary())], names=SETS.names)
 
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 500)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SETS)
 
 
