@@ -61,10 +61,12 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, temper
     rates = source_rates(docs, weights, temperature, budget)
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / STEP)).cast("int")
     rates = rates.withColumn("parts", parts).withColumn("cdf", poisson_cdf(F.col("rate") / F.col("parts"))).select(F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate"), F.col("parts").alias("_mix_parts"), F.col("cdf").alias("_mix_cdf"))
-    key = [F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce(F.col("text"), F.lit("")))]
-    drawn = docs.join(rates, docs["source"].eqNullSafe(rates["_mix_source"]))
-    draw = F.aggregate(F.sequence(F.lit(1), F.col("_mix_parts")), F.lit(0), lambda n, i: n + F.size(F.filter(F.col("_mix_cdf"), lambda c: c <= unit_hash(*key, i.cast("string")))))
+    # The key is made below the join, so that no lambda holds the digest of the text: it is computed once a row.
+    keyed = docs.withColumn("_mix_key", F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce(F.col("text"), F.lit("")))))
+    drawn = keyed.join(rates, docs["source"].eqNullSafe(rates["_mix_source"]))
+    uniform = F.transform(F.sequence(F.lit(1), F.col("_mix_parts")), lambda i: unit_hash(F.lit(seed), F.col("_mix_key"), i.cast("string")))
+    draw = F.aggregate(uniform, F.lit(0), lambda n, u: n + F.size(F.filter(F.col("_mix_cdf"), lambda c: c <= u)))
     copies = drawn.withColumn("_mix_n", draw).filter("_mix_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_mix_n"))))
-    shuffle_key = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("order"), *key, F.col("copy").cast("string"))), 1, 15), 16, 10).cast("long")
+    shuffle_key = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("order"), F.lit(seed), "_mix_key", F.col("copy").cast("string"))), 1, 15), 16, 10).cast("long")
     out = copies.select(*cols, "copy", F.col("_mix_rate").alias("rate"), shuffle_key.alias("shuffle_key"))
     return out.orderBy("shuffle_key", "doc_id", "copy")

@@ -60,7 +60,7 @@ def op9_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(documents(spark, sf_dir))
+    return mixing.mix_sources(documents(spark, sf_dir)).withColumn("rate", F.round("rate", 9))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
