@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import small_batches
 from .urlrules import host_of
@@ -208,6 +209,15 @@ def main_text(page: str, template: set[int]) -> str:
     return " ".join(blocks)
 
 
+def has_region(page: str) -> bool:
+    """Whether the page marks its main region by <article> or <main>."""
+    return main_region(walk(parse(page)))[0].parent is not None
+
+
+def _text_batch(b: pa.RecordBatch, out: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+
+
 def extract_main(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, text (empty if none) and n_chars (code points) of every row.
 
@@ -225,12 +235,24 @@ def extract_main(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     parts = distinct.select("host", "page_key", F.explode("hashes").alias("hash")).distinct()
     template = parts.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
     mine = parts.join(template, ["host", "hash"]).groupBy("page_key").agg(F.collect_list("hash").alias("template"))  # at most a page's own elements
-    joined = rows.select("page_id", "url", "html", "page_key").join(mine, "page_key", "left").select("page_id", "url", "html", "template")
+    own = [rows.schema["page_id"], rows.schema["url"]]
+    schema = T.StructType([*own, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
+
+    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            marked = pa.array([has_region(p) for p in b.column("html").to_pylist()], pa.bool_())
+            b = b.filter(marked)
+            yield _text_batch(b, [main_text(p, set()) for p in b.column("html").to_pylist()])
+
+    def unmarked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([not has_region(p) for p in b.column("html").to_pylist()], pa.bool_()))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [main_text(p, set(t or ())) for p, t in zip(b.column("html").to_pylist(), b.column("template").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+            yield _text_batch(b, [main_text(p, set(t or ())) for p, t in zip(b.column("html").to_pylist(), b.column("template").to_pylist(), strict=True)])
 
-    schema = joined.select("page_id", "url").schema.add("text", "string").add("n_chars", "long")
-    return joined.mapInArrow(texts, schema)
+    # A page that marks its main region needs no template: its html is not shuffled.
+    pages_ = rows.select("page_id", "url", "html", "page_key")
+    rest = pages_.mapInArrow(unmarked, pages_.schema).join(mine, "page_key", "left").select("page_id", "url", "html", "template")
+    return pages_.select("page_id", "url", "html").mapInArrow(settled, schema).unionByName(rest.mapInArrow(texts, schema))
