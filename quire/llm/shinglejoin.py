@@ -7,10 +7,12 @@ Light sets (size at most the boundary): all their c-subsets are enumerated, c be
 sets that link share one.  Heavy sets (larger): inverted lists of their first |A| - ceil(percent |A| / 100) + 1 elements in a global order; two
 sets that link share a list.  Light sets near the boundary are in the lists too, for their heavy partners.  The boundary is
 that size at which the cost of subsets passes the cost of lists, from the sizes' histogram.  The order puts elements that many documents
-of a fixed-rate sample hold last (most frequent last of all), others by hash; any order gives the same links.
+of a fixed-rate sample hold last (most frequent last of all), others by hash; any order gives the same links.  An entry keeps its element's
+position: two sets of overlap c whose first shared element is at positions i and j have |A| - i >= c and |B| - j >= c, so pairs are tried
+at an element only where both hold.
 
 Equal sets are one class.  Lists may be long where thousands of near copies share elements, so pairs are not listed outright:
- 1. each list's members are paired with the list's hub (its smallest member) only; real links join components;
+ 1. each list's members are paired with the list's hub (the member that has the element earliest) only; real links join components;
  2. lists whose members then lie in more than one component pair the members outside the hub's component with all others
     of other components.  Pairs inside a component cannot change the result.
 Candidate pairs are thinned by exact lower bounds on the symmetric difference (parity sketches), then verified on whole sets.
@@ -165,13 +167,13 @@ def frequent_items(sets: DataFrame) -> np.ndarray:
 
 
 def postings(sets: DataFrame, percent: int, boundary: int, frequent: np.ndarray) -> DataFrame:
-    """key, n, sig: the light sets' subset keys and the heavy sets' list entries."""
+    """key, n, sig, pos: the light sets' subset keys (pos 0) and the heavy sets' list entries with their elements' positions."""
     late = sets.sparkSession.sparkContext.broadcast((np.sort(frequent), np.argsort(frequent, kind="stable")))  # at most MOST_FREQUENT elements
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys_of, rank_of = late.value
         for b in batches:
-            keys, owner, done = [], [], set()
+            keys, owner, places, done = [], [], [], set()
             sigs, sizes = b.column("sig").to_numpy(zero_copy_only=False), b.column("n").to_numpy(zero_copy_only=False)
             for i, raw in enumerate(b.column("items").to_pylist()):
                 if sigs[i] in done:
@@ -180,6 +182,7 @@ def postings(sets: DataFrame, percent: int, boundary: int, frequent: np.ndarray)
                 s = unpack(raw)
                 n = len(s)
                 own = [subset_keys(s, c) for c in partner_overlaps(n, percent, boundary)] if n <= boundary else []
+                at_pos = [np.zeros(len(k), np.int64) for k in own]
                 if n > percent * boundary // 100:
                     order = mix64(s)
                     if len(keys_of):
@@ -190,13 +193,15 @@ def postings(sets: DataFrame, percent: int, boundary: int, frequent: np.ndarray)
                     else:
                         first = np.argsort(order, kind="stable")[: prefix_length(n, percent)]
                     own.append(s[first])
+                    at_pos.append(np.arange(len(first)))
+                places += at_pos
                 for k in own:
                     keys.append(k)
                     owner.append(np.full(len(k), i))
             where = np.concatenate(owner) if owner else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array((np.concatenate(keys) if keys else np.zeros(0, np.uint64)).view(np.int64), pa.int64()), pa.array(sizes[where], pa.int64()), pa.array(sigs[where].astype(np.int64), pa.int64())], names=["key", "n", "sig"])
+            yield pa.RecordBatch.from_arrays([pa.array((np.concatenate(keys) if keys else np.zeros(0, np.uint64)).view(np.int64), pa.int64()), pa.array(sizes[where], pa.int64()), pa.array(sigs[where].astype(np.int64), pa.int64()), pa.array(np.concatenate(places) if places else np.zeros(0, np.int64), pa.int64())], names=["key", "n", "sig", "pos"])
 
-    return sets.filter("sig is not null").select("n", "sig", "items").mapInArrow(run, "key long, n long, sig long")
+    return sets.filter("sig is not null").select("n", "sig", "items").mapInArrow(run, "key long, n long, sig long, pos long")
 
 
 def set_filter(keys: DataFrame, column: str) -> np.ndarray:
@@ -292,22 +297,25 @@ def linked_components(sets: DataFrame, percent: int) -> DataFrame:
     every = stage(postings(sets, percent, boundary, frequent), "postings")
     keys = stage(every.groupBy("key").agg(F.min("sig").alias("s"), F.max("sig").alias("t")).filter("s <> t").select("key"), "keys")
     shared = passing(every, "key", set_filter(keys, "key")).join(keys, "key", "left_semi")
-    # Sizes that can link lie in one or two neighbouring bands; a list is one key in two such bands.
-    band = F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / percent))).cast("int")
-    members = shared.withColumn("band", F.explode(F.array(band, band + 1))).select("key", "band", "n", "sig").distinct()
-    hubs = members.groupBy("key", "band").agg(F.min(F.struct("n", "sig")).alias("hub"), F.count(F.lit(1)).alias("many")).filter("many > 1").select("key", "band", F.col("hub.n").alias("hub_n"), F.col("hub.sig").alias("hub_sig"))
+    # Sizes that can link lie in one or two neighbouring bands; a list is one key in two such bands, and a pair meets in the higher of its own.
+    own_band = lambda n: F.floor(F.log(n) / F.log(F.lit(100.0 / percent))).cast("int")
+    fits = lambda n, pos, m, at: ((100 + percent) * (n - pos) >= percent * (n + m)) & ((100 + percent) * (m - at) >= percent * (n + m))
+    band = own_band(F.col("n"))
+    members = shared.withColumn("band", F.explode(F.array(band, band + 1))).select("key", "band", "n", "sig", "pos").distinct()
+    hubs = members.groupBy("key", "band").agg(F.min(F.struct("pos", "n", "sig")).alias("hub"), F.count(F.lit(1)).alias("many")).filter("many > 1").select("key", "band", F.col("hub.n").alias("hub_n"), F.col("hub.sig").alias("hub_sig"), F.col("hub.pos").alias("hub_pos"))
     members = stage(members.join(hubs, ["key", "band"]), "lists")
-    tried = stage(members.filter((F.col("sig") != F.col("hub_sig")) & (F.col("n") * percent <= F.col("hub_n") * 100)).select(F.least("sig", "hub_sig").alias("a"), F.greatest("sig", "hub_sig").alias("b")).distinct(), "tried")
+    at_hub = (F.col("sig") != F.col("hub_sig")) & fits(F.col("n"), F.col("pos"), F.col("hub_n"), F.col("hub_pos"))
+    tried = stage(members.filter(at_hub).select(F.least("sig", "hub_sig").alias("a"), F.greatest("sig", "hub_sig").alias("b")).distinct(), "tried")
     sketches = stage(sketch_table(sets), "sketches")
     links = verified(tried, sets, sketches, percent)
     comps = stage(components(links), "comps")
     placed = members.join(comps, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     placed = placed.join(comps.select(F.col("sig").alias("hub_sig"), F.col("comp").alias("hub_comp")), "hub_sig", "left").withColumn("hub_comp", F.coalesce("hub_comp", "hub_sig"))
-    placed = stage(placed.select("key", "band", "n", "sig", "comp", "hub_comp", "hub_sig"), "placed")
-    away = placed.filter("comp <> hub_comp").select("key", "band", F.col("n").alias("n1"), F.col("sig").alias("s1"), F.col("comp").alias("c1"))
-    others = placed.select("key", "band", F.col("n").alias("n2"), F.col("sig").alias("s2"), F.col("comp").alias("c2"), (F.col("comp") == F.col("hub_comp")).alias("at_hub")).filter(F.col("s2").isNotNull())
-    near = F.greatest("n1", "n2") * percent <= F.least("n1", "n2") * 100
-    more = away.join(others, ["key", "band"]).filter((F.col("c1") != F.col("c2")) & (F.col("at_hub") | (F.col("s1") < F.col("s2"))) & near)
+    placed = stage(placed.select("key", "band", "n", "sig", "pos", "comp", "hub_comp"), "placed")
+    away = placed.filter("comp <> hub_comp").select("key", "band", F.col("n").alias("n1"), F.col("sig").alias("s1"), F.col("pos").alias("p1"), F.col("comp").alias("c1"))
+    others = placed.select("key", "band", F.col("n").alias("n2"), F.col("sig").alias("s2"), F.col("pos").alias("p2"), F.col("comp").alias("c2"), (F.col("comp") == F.col("hub_comp")).alias("at_hub")).filter(F.col("s2").isNotNull())
+    met = fits(F.col("n1"), F.col("p1"), F.col("n2"), F.col("p2")) & (own_band(F.greatest("n1", "n2")) == F.col("band"))
+    more = away.join(others, ["key", "band"]).filter((F.col("c1") != F.col("c2")) & (F.col("at_hub") | (F.col("s1") < F.col("s2"))) & met)
     more = more.select(F.least("s1", "s2").alias("a"), F.greatest("s1", "s2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     return components(links.union(verified(stage(more, "more"), sets, sketches, percent)))
 
