@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from quire.functions import layout as L
 from quire.operators import documents as D
+from quire.operators import fusion as Z
 from quire.operators import performance as P
 from quire.operators import spatial as S
+from quire.operators import validation as V
 from quire.plans import routing as R
 from quire.sources import derived as T
+from quire.sources import legacy as G
 
 W, H = T.WIDTH, T.HEIGHT
 TEXT = ("text", "title")
@@ -181,6 +184,29 @@ union all select page_id, 'legal_probe', cast(trunc(w*cast(0.08 as double)) as i
 KEEP = "list_reduce(list_prepend(cast([] as {t}[]), list_transform(items, lambda b: [b])), lambda acc, b: case when len(list_filter(acc, lambda k: greatest(0, least(k.x2, b[1].x2) - greatest(k.x1, b[1].x1)) * greatest(0, least(k.y2, b[1].y2) - greatest(k.y1, b[1].y1)) >= 0.92 * b[1].area or greatest(0, least(k.x2, b[1].x2) - greatest(k.x1, b[1].x1)) * greatest(0, least(k.y2, b[1].y2) - greatest(k.y1, b[1].y1)) >= 0.75 * (k.area + b[1].area - greatest(0, least(k.x2, b[1].x2) - greatest(k.x1, b[1].x1)) * greatest(0, least(k.y2, b[1].y2) - greatest(k.y1, b[1].y1))))) > 0 then acc else list_concat(acc, b) end)".format(t="struct(x1 double, y1 double, x2 double, y2 double, area double, seq int)")
 query("ocr_box_selection", f"with {BOXES}, p as (select page_id, list({{'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2, 'area': area, 'seq': seq}} order by area desc, score desc, x1, y1, x2, y2, seq) as items from bx where not flat and norm_label = 'text' group by 1) select page_id, list_transform({KEEP}, lambda k: k.seq) as kept from p")(lambda s, d: S.greedy_keep(sound(s, d).filter("norm_label = 'text'"), 0.92, 0.75))
 
+def fused(spark: SparkSession, d: str) -> DataFrame:
+    """Fused boxes of the variants P2 and P4."""
+    return Z.fuse(variants(spark, d).filter(F.col("variant").isin("P2", "P4")), S.pseudo_lines(boxes(spark, d), W, H), W, H).drop("seq")
+
+
+def payloads(spark: SparkSession, d: str) -> DataFrame:
+    """Payload of each event: its value and position as a box record of varying shape."""
+    e = T.table(spark, d, "events")
+    k, v = F.regexp_extract("props", "([0-9]+)", 1), F.format_string("%.3f", "value")
+    shapes = [F.concat(F.lit('{"boxes":[{"bbox":['), k, F.lit(",2,"), k, F.lit('.5,"9"],"score":'), v, F.lit("}]}")), F.concat(F.lit('{"data":{"regions":[{"poly":[[0,0],['), k, F.lit(',1],[9,20],[1,19]],"label":"title"}]}}'))]
+    return e.select(F.col("event_id").alias("page_id"), F.when(F.col("event_id") % 2 == 0, shapes[0]).otherwise(shapes[1]).alias("payload"))
+
+
+query("greedy_fusion")(fused)
+query("legacy_regions", """with e as (select cast(event_id as varchar) as page_id, cast(regexp_extract(props, '([0-9]+)', 1) as double) as k, event_id % 2 = 0 as even, cast(printf('%.3f', value) as double) as v from events)
+select page_id, 0 as region, case when even then k else 0 end as x1, case when even then 2.0 else 0.0 end as y1, case when even then k + 0.5 else greatest(k, 9) end as x2, case when even then 9.0 else 20.0 end as y2,
+  case when even then 'text' else 'title' end as source_label, case when even then least(1.0, greatest(0.0, v)) else 0.5 end as confidence, '' as text, 0 as reading_order from e""")(lambda s, d: G.legacy_regions(payloads(s, d)))
+query("secret_findings", "with d as (select doc_id, text from documents) " + " union all ".join(f"select doc_id, '{n}' as finding from d where regexp_matches(text, '{p}')" for n, p in V.SECRETS.items()))(lambda s, d: V.secret_findings(T.table(s, d, "documents")))
+query("stage_progress", f"with {TIMES}, g as (select p.page_id, s.stage, exists(select 1 from tm where tm.page_id = p.page_id and tm.stage = s.stage) as have from (select distinct page_id from tm) p, (select distinct stage from tm) s) select stage, count(*) filter (have) as done, count(*) as total, round(count(*) filter (have) * 100.0 / count(*), 2) as percent from g group by 1")(lambda s, d: V.stage_progress(T.timings(s, d).select(F.col("page_id").alias("slug")), T.timings(s, d).select("stage", F.col("page_id").alias("slug"))).drop("missing"))
+query("artifact_issues", f"with {TIMES}, {PLAN}, f as (select page_id, model_id from ob where bad), o as (select page_id, model_id from ob where ok or page_id % 7 = 0) select 'error' as level, 'missing_model_output' as code, page_id || '/' || model_id as subject from pl anti join f using (page_id, model_id) anti join o using (page_id, model_id) union all select 'error', 'failed_adapter_has_model_output', page_id || '/' || model_id from f semi join o using (page_id, model_id) union all select 'error', 'unexpected_model_output', page_id || '/' || model_id from o anti join pl using (page_id, model_id)")(
+    lambda s, d: V.artifact_issues(P.plan_pairs(T.timings(s, d)), T.timings(s, d).filter("status <> 'ok'"), T.timings(s, d).filter("status = 'ok'").unionByName(T.timings(s, d).filter("page_id % 7 = 0"))))
+query("issue_rollup", f"with {MANIFEST} select count(*) filter (image_path = '') as errors, 0 as warnings, case when count(*) filter (image_path = '') > 0 then 'error' else 'ok' end as status from mf")(lambda s, d: V.issue_rollup(D.manifest_issues(manifest(s, d)).filter("code = 'missing_image_path'")))
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, (f, _) in Q.items()}
