@@ -22,13 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import doc_bucket, mix64, small_batches
+from .shared import doc_bucket, keep_only, mix64, small_batches
 
 ORDER = 4
 #: Share of the sample kept for calibration: sample hashes of this remainder modulo 8.
 CALIBRATE = 0
 _B = np.uint64(0x9E3779B97F4A7C15)
 _EDGE = 32
+#: Words scored at once; bounds the memory of a batch's n-gram tables.
+BLOCK = 8192
 
 
 def word_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +139,9 @@ def score_texts(model: Model, texts: list[str | None]) -> list[tuple[str, float,
     split = [t.lower().split() if t else [] for t in texts]
     at: dict[str, int] = {}
     ids = [np.fromiter((at.setdefault(w, len(at)) for w in ws), dtype=np.int64, count=len(ws)) for ws in split]
-    table = model.log_probs(list(at))
+    words = list(at)
+    blocks = [model.log_probs(words[i : i + BLOCK]) for i in range(0, len(words), BLOCK)]
+    table = np.concatenate(blocks) if blocks else np.zeros((0, len(model.langs)))
     sizes = np.fromiter((len(w) + 1 for w in at), dtype=np.int64, count=len(at))
     out = []
     for t, i in zip(texts, ids, strict=True):
@@ -217,6 +221,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     rows = docs.select(*keep, F.col("text").cast("string").alias("_lid_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for b in batches:
             said = list(zip(*score_texts(shared.value, b.column(b.num_columns - 1).to_pylist()), strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *(pa.array(v, k) for v, k in zip(said, (pa.string(), pa.float64(), pa.float64(), pa.bool_()), strict=True))], names=[*keep, *RESULT.names])

@@ -11,6 +11,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
+_CACHES: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """A cache that an operator keeps in its worker processes from task to task."""
+    _CACHES.append({})
+    return _CACHES[-1]
+
+
+def keep_only(cache: dict | None = None) -> None:
+    """Empty the other operators' caches of this worker, so that the memory of queries run one after another does not add up."""
+    for c in _CACHES:
+        if c is not cache:
+            c.clear()
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import mix64, small_batches, stage, words_of
+from .shared import keep_only, mix64, small_batches, stage, worker_cache, words_of
 
 #: Subsets are weighed for sets up to this size; beyond, a set has thousands of them at any threshold of use.
 LIGHT_MOST = 40
@@ -44,7 +44,7 @@ _ITEM = np.uint64((1 << 48) - 1)
 #: Bits of the filters that spare rows a shuffle; what they let through in error is joined away.
 FILTER_BITS = 1 << 25
 _MAX_WORDS = 150_000
-_WORDS: dict[bytes, int] = {}
+_WORDS: dict[bytes, int] = worker_cache()
 
 
 def overlap_needed(a: int, b: int, percent: int) -> int:
@@ -142,6 +142,7 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, n, sig (a 64-bit name of the set, null if empty), items (sorted hashes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only(_WORDS)
         for b in batches:
             sets = [shingle_set(t, size) for t in b.column("text").to_pylist()]
             items = [pack(s) for s in sets]

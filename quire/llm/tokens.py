@@ -13,6 +13,8 @@ import unicodedata
 import numpy as np
 import regex
 
+from .shared import keep_only, worker_cache
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # The vocabularies' word patterns.
@@ -24,7 +26,7 @@ _ODD_CASE = regex.compile("[Σİ]")
 #: Marks that do not stand alone between a letter or digit and the next word; line ends and spaces in a row.
 _ODD_MARKS = regex.compile(r"[^\p{L}\p{N}][,.]|[ \n](?:\s|$)|^[,.]|[\t\r\v\f]")
 _ODD_LOWER_MARKS = regex.compile(r"[^\p{L}\p{N}\s][,.]")
-_WORKER: dict[tuple[str, bool, int], "WordEncoder"] = {}
+_WORKER: dict[tuple[str, bool, int], "WordEncoder"] = worker_cache()
 
 
 class WordEncoder:
@@ -100,6 +102,7 @@ class WordEncoder:
 
 def encoder(path: str, keeps_space: bool, width: int = 4) -> WordEncoder:
     """One per worker process, kept between tasks."""
+    keep_only(_WORKER)
     key = (path, keeps_space, width)
     if key not in _WORKER:
         _WORKER[key] = WordEncoder(path, keeps_space, width)
