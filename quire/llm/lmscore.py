@@ -1,18 +1,19 @@
 """Language-model scores by a weighted backoff automaton.
 
-Model.  A text is its words and one end.  A word known from training has an arc of its own from the boundary state, with
+Model.  A text is its words and one end.  The states are the words known from training, the start of a text and one boundary
+state; reading a word leads to that word's state, from an unknown word to the boundary state.  State u has an arc for each word w
+that followed it in training and a failure arc of weight MU / (c(u) + MU) to the boundary state, all smoothed towards it
+(Dirichlet prior): p(w | u) = (c(u, w) + MU p(w)) / (c(u) + MU).  In the boundary state a word known from training has an arc with
 absolutely discounted weight (c - D) / N; the mass D * V / N left over goes by the failure arc to a character automaton that
 spells any word: its states are byte contexts (n-grams up to ORDER - 1 within a word and its boundary), Witten-Bell
-smoothed, each with a failure arc to its longest known suffix.  Failure arcs are resolved when the automaton is compiled, so a
-traversal reads one byte per step, carries the state, and adds the arcs' log weights.
-Every word arc ends in the boundary state, so a word's weight is the same wherever it stands: the automaton runs
-once over each distinct word of a block of documents, and the document's score adds up along its words.
+smoothed, each with a failure arc to its longest known suffix.  Failure arcs are resolved when the automaton is compiled.
 
 As in the add-one base, the words never seen in training are one event: its weight is what the spellings of all known words
-leave of the failure arc's mass.  So known words and the unknown one add up to 1.
+leave of the failure arc's mass.  So in every state the known words, the end and the unknown one add up to 1.
 
-Counts.  Words are counted over all training documents: blocks of documents give (word, count), one shuffle by word adds them
-up and hands every block the totals of its own words only.  The vocabulary is never broadcast.  A byte context becomes a
+Counts.  Words and word pairs are counted over all training documents: each block of documents deals its distinct words and
+pairs out by hash, one shuffle adds them up and a second hands every block the totals of its own.  Both travel packed, one row for a
+block and a part of the hashes.  Pairs are told apart by 64-bit hashes.  Neither vocabulary nor pairs are ever broadcast.  A byte context becomes a
 state if it carries at least SHARE of all training characters: at most ORDER / SHARE states at any corpus size, which bounds the broadcast.
 
 Null text is an empty one (its end alone).  Repeated rows count and score separately.  Null doc_id hashes as empty text.
@@ -24,22 +25,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import doc_bucket, small_batches, stage, words_of
+from .shared import doc_bucket, mix64, partition_count, small_batches, stage, words_of
 
 ORDER = 5
 SHARE = 1e-4
 DISCOUNT = 0.5
+#: Weight of the boundary state's prior in every word's state, in words.
+MU = 100.0
+#: Words and pairs of one part, about.
+PART = 4_000_000
 BLOCK_BYTES = 8 << 20
 #: Stands for the end of a text; no word holds white space.
 END = b"\n"
+START = b" "
 _EDGE = 32
 
-BLOCK = T.StructType([T.StructField("block", T.LongType()), T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("held", T.ArrayType(T.BooleanType())), T.StructField("lengths", T.ArrayType(T.LongType())), T.StructField("ids", T.BinaryType()), T.StructField("words", T.ArrayType(T.BinaryType())), T.StructField("counts", T.ArrayType(T.LongType())), T.StructField("train_tokens", T.LongType())])
+BLOCK = T.StructType([T.StructField("block", T.LongType()), T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("held", T.ArrayType(T.BooleanType())), T.StructField("lengths", T.ArrayType(T.LongType())), T.StructField("ids", T.BinaryType()), T.StructField("words", T.ArrayType(T.BinaryType())), T.StructField("train_tokens", T.LongType()), T.StructField("train_docs", T.LongType())])
+DEALT = "part int, block long, words array<binary>, word_counts binary, pairs binary, pair_counts binary"
+TOTALS = "part int, block long, word_totals binary, pair_totals binary, words array<binary>, counts array<long>"
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,8 +63,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = [len(s) for s in streams]
         ids = np.concatenate(streams)
         learn = np.repeat(~np.array(held, dtype=bool), lengths)
-        counts = np.bincount(ids[learn], minlength=len(vocab))
-        out = pa.RecordBatch.from_arrays([pa.array([serial], pa.int64()), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())), pa.array([lengths], pa.list_(pa.int64())), pa.array([press.compress(ids.astype("<u4").tobytes())], pa.binary()), pa.array([list(vocab)], pa.list_(pa.binary())), pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.array(counts, pa.int64())), pa.array([int(learn.sum())], pa.int64())], names=BLOCK.names)
+        out = pa.RecordBatch.from_arrays([pa.array([serial], pa.int64()), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())), pa.array([lengths], pa.list_(pa.int64())), pa.array([press.compress(ids.astype("<u4").tobytes())], pa.binary()), pa.array([list(vocab)], pa.list_(pa.binary())), pa.array([int(learn.sum())], pa.int64()), pa.array([len(held) - sum(held)], pa.int64())], names=BLOCK.names)
         doc_ids, held, streams, vocab, size = [], [], [], {}, 0
         serial += 1
         return out
@@ -75,6 +84,69 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def _squeeze(x: np.ndarray, kind: str = "<u8") -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(x.astype(kind).tobytes())
+
+
+def _spread(x: bytes, kind: str = "<u8") -> np.ndarray:
+    import zstandard
+
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype=kind)
+
+
+class Layout:
+    """A block's tokens as pairs with the state they are read in, and its words and pairs in the order of their hashes."""
+
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray, words: list[bytes]):
+        before = np.empty(len(ids), dtype=np.uint64)
+        before[1:] = ids[:-1]
+        before[np.cumsum(lengths) - lengths] = len(words)  # the start of a text
+        kinds = np.uint64(len(words) + 1)
+        pairs, self.place = np.unique(before * kinds + ids, return_inverse=True)
+        self.state, self.word = (pairs // kinds).astype(np.int64), (pairs % kinds).astype(np.int64)
+        name = np.fromiter(map(xxhash.xxh3_64_intdigest, [*words, START]), dtype=np.uint64, count=len(words) + 1)
+        pair = mix64(mix64(name[self.state]) + name[self.word])
+        self.word_order, self.pair_order = np.argsort(name[:-1], kind="stable"), np.argsort(pair, kind="stable")
+        self.names, self.pairs = name[self.word_order], pair[self.pair_order]
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Each block's words and pairs with their training counts, by parts of the hashes."""
+    bound = lambda sorted_: np.searchsorted((sorted_ >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
+    for b in batches:
+        for row in range(b.num_rows):
+            head = {k: b.column(k)[row].as_py() for k in ("block", "held", "lengths", "ids", "words")}
+            ids, lengths = _spread(head["ids"], "<u4"), np.array(head["lengths"], dtype=np.int64)
+            lay, learn = Layout(ids, lengths, head["words"]), np.repeat(~np.array(head["held"], dtype=bool), lengths)
+            word_counts = np.bincount(ids[learn], minlength=len(head["words"]))[lay.word_order]
+            pair_counts = np.bincount(lay.place[learn], minlength=len(lay.pairs))[lay.pair_order]
+            words = pa.array(head["words"], pa.binary()).take(pa.array(lay.word_order))
+            w, p = bound(lay.names), bound(lay.pairs)
+            cut = lambda x, at: [_squeeze(x[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)]  # noqa: E731, B023
+            plain = [lay.pairs[i:j].astype("<u8").tobytes() for i, j in zip(p[:-1], p[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([head["block"]] * parts, pa.int64()), pa.ListArray.from_arrays(pa.array(w, pa.int32()), words), pa.array(cut(word_counts, w), pa.binary()), pa.array(plain, pa.binary()), pa.array(cut(pair_counts, p), pa.binary())], names=[c.split()[0] for c in DEALT.split(", ")])
+
+
+def _added(t: pa.Table) -> pa.Table:
+    """One part: the totals of each block's words and pairs, and each word once with its total beside the first block that has it."""
+    split = lambda x, sizes: [_squeeze(y) for y in np.split(x, np.cumsum(sizes)[:-1])]
+    lists = t.column("words").combine_chunks()
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+    words = lists.flatten()
+    code = pc.dictionary_encode(words).indices.to_numpy()
+    each = np.bincount(code, weights=np.concatenate([_spread(x) for x in t.column("word_counts").to_pylist()]))
+    first = np.zeros(len(words), dtype=bool)
+    first[np.unique(code, return_index=True)[1]] = True
+    hashes = [np.frombuffer(x, dtype="<u8") for x in t.column("pairs").to_pylist()]
+    _, pair = np.unique(np.concatenate(hashes), return_inverse=True)
+    pairs = np.bincount(pair, weights=np.concatenate([_spread(x) for x in t.column("pair_counts").to_pylist()]))
+    ends = pa.array(np.concatenate(([0], np.cumsum(np.add.reduceat(np.append(first, False), np.cumsum(sizes) - sizes) * (sizes > 0)))), pa.int32())
+    own = [pa.ListArray.from_arrays(ends, words.filter(pa.array(first))), pa.ListArray.from_arrays(ends, pa.array(each[code[first]].astype(np.int64)))]
+    return pa.Table.from_arrays([t.column("part"), t.column("block"), pa.array(split(each[code], sizes), pa.binary()), pa.array(split(pairs[pair], [len(h) for h in hashes]), pa.binary()), *own], names=[c.split()[0] for c in TOTALS.split(", ")])
+
+
 class Automaton:
     """The compiled character automaton: next state and log10 weight for each (state, symbol)."""
 
@@ -158,7 +230,7 @@ def _word_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _state_grams(vocab: DataFrame) -> dict[bytes, int]:
     """n-grams whose context is a state: those contexts that carry SHARE of all characters."""
-    grams = vocab.filter("first and c > 0 and word <> X'0A'").select("word", "c").mapInArrow(_word_grams, "gram binary, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    grams = vocab.filter("word <> X'0A'").mapInArrow(_word_grams, "gram binary, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     grams = stage(grams, "grams")
     total = grams.filter("length(gram) = 1").agg(F.sum("n")).first()[0] or 0
     contexts = grams.filter((F.col("n") >= SHARE * total) & (F.length("gram") < ORDER)).select(F.col("gram").alias("context"))
@@ -177,14 +249,12 @@ def score_documents(docs: DataFrame, modulus: int = 7, held_remainder: int = 2)
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), (doc_bucket(F.col("doc_id"), modulus) == held_remainder).alias("held"))
     blocks = stage(rows.mapInArrow(_blocks, BLOCK), "blocks")
-    counted = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "x")).select("block", "pos", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
-    from pyspark.sql.window import Window
-
-    by_word = Window.partitionBy("word")
-    vocab = counted.select("block", "pos", "word", F.sum("n").over(by_word).alias("c"), (F.row_number().over(by_word.orderBy("block")) == 1).alias("first"))
-    vocab = stage(vocab.select("block", "pos", F.when(F.col("first"), F.col("word")).alias("word"), "c", "first"), "vocab")
-    tokens = blocks.agg(F.sum("train_tokens")).first()[0] or 0
-    kinds = vocab.filter("first and c > 0").count()
+    tokens, texts, pieces = (x or 0 for x in blocks.agg(F.sum("train_tokens"), F.sum("train_docs"), F.sum(F.expr("aggregate(lengths, 0L, (a, x) -> a + x)"))).first())
+    parts = max(partition_count(spark), -(-pieces // PART))
+    dealt = blocks.mapInArrow(lambda batches: _dealt(batches, parts), DEALT)
+    totals = stage(dealt.groupBy("part").applyInArrow(_added, TOTALS), "totals")
+    vocab = totals.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(F.col("x.words").alias("word"), F.col("x.counts").alias("c")).filter("c > 0")
+    kinds = vocab.count()
     automaton = Automaton(_state_grams(vocab))
     shared = spark.sparkContext.broadcast(automaton)  # at most ORDER / SHARE states of 257 symbols
 
@@ -192,18 +262,17 @@ def score_documents(docs: DataFrame, modulus: int = 7, held_remainder: int = 2)
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([float((10.0 ** shared.value.word_weights(b.column("word").to_pylist())).sum())])], names=["mass"])
 
-    known_mass = vocab.filter("first and c > 0 and word <> X'0A'").select("word").mapInArrow(spelled_mass, "mass double").agg(F.sum("mass")).first()[0] or 0.0
+    known_mass = vocab.filter("word <> X'0A'").select("word").mapInArrow(spelled_mass, "mass double").agg(F.sum("mass")).first()[0] or 0.0
     out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
 
-    def run(block: pa.Table, totals: pa.Table) -> pa.Table:
-        """One block and the totals of its words: at most BLOCK_BYTES of text, or one longer document."""
-        import zstandard
-
+    def run(block: pa.Table, own: pa.Table) -> pa.Table:
+        """One block and the totals of its words and pairs: at most BLOCK_BYTES of text, or one longer document."""
         head = {k: block.column(k)[0].as_py() for k in ("doc_ids", "held", "lengths", "ids", "words")}
-        c = np.zeros(len(head["words"]))
-        c[totals.column("pos").to_numpy()] = totals.column("c").to_numpy()
-        ids, lengths = np.frombuffer(zstandard.ZstdDecompressor().decompress(head["ids"]), dtype="<u4"), np.array(head["lengths"], dtype=np.int64)
-        starts = np.cumsum(lengths) - lengths
+        ids, lengths = _spread(head["ids"], "<u4"), np.array(head["lengths"], dtype=np.int64)
+        starts, lay, own = np.cumsum(lengths) - lengths, Layout(ids, lengths, head["words"]), own.sort_by("part")
+        c, pair = np.zeros(len(head["words"])), np.zeros(len(lay.pairs))
+        c[lay.word_order] = np.concatenate([_spread(x) for x in own.column("word_totals").to_pylist()])
+        pair[lay.pair_order] = np.concatenate([_spread(x) for x in own.column("pair_totals").to_pylist()])
         base = np.log10((c + 1) / (tokens + kinds + 1))
         spelled = np.array([w != END for w in head["words"]])
         spell = np.zeros(len(c))
@@ -211,10 +280,10 @@ def score_documents(docs: DataFrame, modulus: int = 7, held_remainder: int = 2)
         left = DISCOUNT * kinds / tokens if tokens else 1.0
         known = c > 0
         p = np.where(known, (c - DISCOUNT) / max(tokens, 1) + np.where(spelled, left * 10.0**spell, 0.0), left * max(1.0 - known_mass, 1e-9))
-        weight = np.log10(p)
+        arc = np.log10((pair + MU * p[lay.word]) / (np.append(c, texts)[lay.state] + MU))
         add = np.add.reduceat
         n = len(head["doc_ids"])
-        return pa.Table.from_arrays([pa.array(head["doc_ids"], pa.int64()), pa.array(head["held"], pa.bool_()), pa.array(lengths, pa.int64()), pa.array(add(known[ids].astype(np.int64), starts), pa.int64()), pa.array([tokens] * n, pa.int64()), pa.array(add(base[ids], starts), pa.float64()), pa.array(add(weight[ids], starts), pa.float64())], names=out.names)
+        return pa.Table.from_arrays([pa.array(head["doc_ids"], pa.int64()), pa.array(head["held"], pa.bool_()), pa.array(lengths, pa.int64()), pa.array(add(known[ids].astype(np.int64), starts), pa.int64()), pa.array([tokens] * n, pa.int64()), pa.array(add(base[ids], starts), pa.float64()), pa.array(add(arc[lay.place], starts), pa.float64())], names=out.names)
 
     heads = blocks.select("block", "doc_ids", "held", "lengths", "ids", "words")
-    return heads.groupBy("block").cogroup(vocab.select("block", "pos", "c").groupBy("block")).applyInArrow(run, out)
+    return heads.groupBy("block").cogroup(totals.select("block", "part", "word_totals", "pair_totals").groupBy("block")).applyInArrow(run, out)

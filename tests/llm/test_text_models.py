@@ -35,6 +35,35 @@ def test_model_beats_base_on_held_out_text(spark):
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
 
 
+def test_words_are_scored_after_the_word_before(spark, monkeypatch):
+    monkeypatch.setattr(lmscore, "BLOCK_BYTES", 20)
+    monkeypatch.setattr(lmscore, "SHARE", 0.0)
+    texts = ["the cat sat on the mat", "the cat sat", "on the mat the cat", "mat the on sat cat the", "the cat sat on the mat", "a cat", "", None, "the zebra sat", "cat the sat", "end"] * 2
+    got = lmscore.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), modulus=3).collect()
+    c, pairs, docs = Counter(), Counter(), {i: [*words_of(t), b"\n"] for i, t in enumerate(texts)}
+    for i, ws in docs.items():
+        if not held(i, 3):
+            c.update([b" ", *ws])
+            pairs.update(zip([b" ", *ws], ws))
+    grams = Counter()
+    for w in set(c) - {b" ", b"\n"}:
+        x = b" " + w + b" "
+        for i in range(1, len(x)):
+            for k in range(1, min(5, i + 1) + 1):
+                grams[x[i - k + 1 : i + 1]] += c[w]
+    m, n, v = lmscore.Automaton(grams), sum(c.values()) - c[b" "], len(c) - 1
+    spell = {w: 10 ** m.word_weights([w])[0] for w in c if w not in (b" ", b"\n")}
+
+    def p(w):
+        return (c[w] - 0.5) / n + 0.5 * v / n * spell.get(w, 0) if c[w] else 0.5 * v / n * (1 - sum(spell.values()))
+
+    for r in got:
+        ws = docs[r["doc_id"]]
+        assert abs(r["score"] - sum(math.log10((pairs[u, w] + lmscore.MU * p(w)) / (c[u] + lmscore.MU)) for u, w in zip([b" ", *ws], ws))) < 1e-9
+    score = {r["doc_id"]: r["score"] for r in got}
+    assert len(got) == len(texts) and score[0] > score[3] + 0.1  # the same words, in another order
+
+
 def test_automaton_is_a_distribution_and_equals_plain_backoff():
     grams = Counter()
     for w, n in {"the": 9, "then": 4, "hat": 2, "a": 5}.items():
