@@ -1,13 +1,14 @@
 """Main text of web pages by site template removal.
 
 Every page is parsed into an element tree; each element's subtree (tag, attributes, text, children) is hashed.  Spark counts in
-how many different pages of a host a subtree occurs.  Subtrees outside the main region that recur in at least `min_pages` pages
-of the host are its template and are deleted, as are elements that say themselves that they are not content (navigation, footers, asides,
+how many different pages of a host a subtree occurs.  Block subtrees (CANDIDATES) that recur in SHARE of the host's different pages, and in
+`min_pages` at least, are its template and are deleted, as are elements that say themselves that they are not content (navigation, footers, asides,
 forms, scripts, adverts, comments).  What stays, within <article> or <main> where a page has one, is the main text.
 
-Elements inside the main region are never counted as template: a passage may recur on many pages and still be content.
-Identical pages count once.  The pages' subtree hashes are joined with the templates by (host, hash), and come back as one
-list per page; nothing is broadcast, and no host is gathered in one task.
+Within <article> or <main> single paragraphs are no candidates.  Recurring paragraphs and subtrees of PROSE or more words outside links stay where they outweigh
+what else the page says: then the page is a near copy of others, not their template filled anew.
+Identical pages count once.  Each page is parsed once, to its texts and its candidates' hashes; the hashes are joined with the templates by
+(host, hash), and come back as one list per page; no html is shuffled, nothing is broadcast, and no host is gathered in one task.
 
 Text: character references decoded, white space inside a block made one space, blocks joined by one space.  Null html: empty text.
 """
@@ -15,6 +16,7 @@ Text: character references decoded, white space inside a block made one space, b
 from __future__ import annotations
 
 import html as _html
+import json
 import re
 from collections.abc import Iterator
 
@@ -24,16 +26,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import small_batches
+from .shared import small_batches, stage
 from .urlrules import host_of
 
-MIN_PAGES = 5
+MIN_PAGES = 2
+SHARE = 0.5
+PROSE = 20
 
 # Element names of the HTML standard, by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title svg math object canvas audio video select".split())
 NOT_CONTENT = frozenset("head nav footer aside form button dialog menu script style noscript template iframe textarea title svg math object canvas audio video select".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
+#: Elements that can be a site's template; bare items, cells, headings, quotations and inline elements are not, only what holds them.
+CANDIDATES = frozenset("address center details dir div dl fieldset header hgroup menu ol p section table ul".split())
 #: An opening tag closes these open elements, up to the given ones.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 CLOSES_P = BLOCK - {"dd", "dt", "li", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend", "summary", "html", "body", "head"}
@@ -159,59 +165,68 @@ def signed(h: int) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def outside_hashes(page: str) -> list[int]:
-    """Subtree hashes of the elements that are neither in the main region nor around it, each once."""
+def page_parts(page: str) -> tuple[list[str], list[int], list[tuple[int, int, int, bool]]]:
+    """The main region's texts without furniture, block by block, their words outside links, and the candidates: subtree hash, first text, end, whether a paragraph."""
     nodes = walk(parse(page))
     hash_subtrees(nodes)
-    around, inside = set(), set()
-    for r in main_region(nodes):
-        around.update(id(a) for a in _ancestors(r))
-        if r.parent is not None:
-            inside.update(id(x) for x in walk(r))
-    return list(dict.fromkeys(signed(n.hash) for n in nodes[1:] if id(n) not in inside and id(n) not in around))
-
-
-def main_text(page: str, template: set[int]) -> str:
-    """The main text once template subtrees (outside the main region) and furniture are gone."""
-    nodes = walk(parse(page))
-    hash_subtrees(nodes)
-    blocks: list[str] = []
+    texts: list[str] = []
+    prose: list[int] = []
+    found: list[list[int]] = []
     line: list[str] = []
+    plain: list[str] = []
 
     def close() -> None:
         text = " ".join(_html.unescape("".join(line)).split())
         if text:
-            blocks.append(text)
+            texts.append(text)
+            prose.append(len(_html.unescape("".join(plain)).split()))
         line.clear()
+        plain.clear()
 
     for r in main_region(nodes):
-        protected = r.parent is not None
-        todo: list = [r]
+        marked = r.parent is not None
+        todo: list = [(r, False)]
         while todo:
-            x = todo.pop()
-            if x is None:
+            x, linked = todo.pop()
+            if isinstance(x, int):
                 close()
+                if x >= 0:
+                    found[x][2] = len(texts)
             elif isinstance(x, str):
                 line.append(x)
-            elif x is not r and (is_furniture(x) or not protected and signed(x.hash) in template):
+                plain.append(" " if linked else x)
+            elif x is not r and is_furniture(x):
                 if x.tag in BLOCK:
                     close()
                 else:
                     line.append(" ")
+                    plain.append(" ")
             elif x.tag == "br":
                 line.append(" ")
+                plain.append(" ")
             else:
                 if x.tag in BLOCK:
                     close()
-                    todo.append(None)
-                todo += reversed(x.items)
+                    mine = -1
+                    if not marked and x is not r and x.tag in CANDIDATES:
+                        mine = len(found)
+                        found.append([signed(x.hash), len(texts), 0, x.tag == "p"])
+                    todo.append((mine, False))
+                todo += [(y, linked or x.tag == "a") for y in reversed(x.items)]
         close()
-    return " ".join(blocks)
+    return texts, prose, [(h, i, j, p) for h, i, j, p in found if j > i]
 
 
-def has_region(page: str) -> bool:
-    """Whether the page marks its main region by <article> or <main>."""
-    return main_region(walk(parse(page)))[0].parent is not None
+def main_text(texts: list[str], prose: list[int], found: list[tuple[int, int, int, bool]], template: set[int]) -> str:
+    """The texts outside template subtrees."""
+    short, long, end = set(), set(), 0
+    for h, i, j, p in found:  # parents first
+        if i >= end and h in template:
+            (long if p or sum(prose[i:j]) >= PROSE else short).update(range(i, j))
+            end = j
+    if sum(prose[i] for i in long) > sum(prose[i] for i in range(len(texts)) if i not in long and i not in short):
+        long = set()
+    return " ".join(t for i, t in enumerate(texts) if i not in long and i not in short)
 
 
 def _text_batch(b: pa.RecordBatch, out: list[str]) -> pa.RecordBatch:
@@ -227,32 +242,35 @@ def extract_main(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     rows = pages.select("page_id", "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), host_of(F.col("url")).alias("host"))
     rows = rows.withColumn("page_key", F.unhex(F.md5(F.concat_ws("\n", F.col("host"), F.col("html")))))
 
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("host"), b.column("page_key"), pa.array([outside_hashes(p) for p in b.column("html").to_pylist()], pa.list_(pa.int64()))], names=["host", "page_key", "hashes"])
-
-    distinct = rows.select("host", "page_key", "html").mapInArrow(hashes, "host string, page_key binary, hashes array<long>")
-    parts = distinct.select("host", "page_key", F.explode("hashes").alias("hash")).distinct()
-    template = parts.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
-    mine = parts.join(template, ["host", "hash"]).groupBy("page_key").agg(F.collect_list("hash").alias("template"))  # at most a page's own elements
     own = [rows.schema["page_id"], rows.schema["url"]]
     schema = T.StructType([*own, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
+    parsed = T.StructType([*own, T.StructField("host", T.StringType()), T.StructField("page_key", T.BinaryType()), T.StructField("hashes", T.ArrayType(T.LongType())), T.StructField("parts", T.BinaryType())])
 
-    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            marked = pa.array([has_region(p) for p in b.column("html").to_pylist()], pa.bool_())
-            b = b.filter(marked)
-            yield _text_batch(b, [main_text(p, set()) for p in b.column("html").to_pylist()])
+    def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
 
-    def unmarked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            yield b.filter(pa.array([not has_region(p) for p in b.column("html").to_pylist()], pa.bool_()))
+            found = [page_parts(p) for p in b.column("html").to_pylist()]
+            packed = [press.compress(json.dumps((t, w, [x[1:] for x in c]), ensure_ascii=False, separators=(",", ":")).encode("utf-8", "surrogatepass")) for t, w, c in found]
+            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), b.column("host"), b.column("page_key"), pa.array([[x[0] for x in c] for _, _, c in found], pa.list_(pa.int64())), pa.array(packed, pa.binary())], names=parsed.names)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield _text_batch(b, [main_text(p, set(t or ())) for p, t in zip(b.column("html").to_pylist(), b.column("template").to_pylist(), strict=True)])
+        import zstandard
 
-    # A page that marks its main region needs no template: its html is not shuffled.
-    pages_ = rows.select("page_id", "url", "html", "page_key")
-    rest = pages_.mapInArrow(unmarked, pages_.schema).join(mine, "page_key", "left").select("page_id", "url", "html", "template")
-    return pages_.select("page_id", "url", "html").mapInArrow(settled, schema).unionByName(rest.mapInArrow(texts, schema))
+        press = zstandard.ZstdDecompressor()
+        for b in batches:
+            out = []
+            for hashes, packed, template in zip(b.column("hashes").to_pylist(), b.column("parts").to_pylist(), b.column("template").to_pylist(), strict=True):
+                t, w, spans = json.loads(press.decompress(packed).decode("utf-8", "surrogatepass"))
+                out.append(main_text(t, w, [(h, *span) for h, span in zip(hashes, spans, strict=True)], set(template or ())))
+            yield _text_batch(b, out)
+
+    pages_ = stage(rows.select("page_id", "url", "html", "host", "page_key").mapInArrow(parts_of, parsed), "pages")
+    parts = pages_.select("host", "page_key", F.explode("hashes").alias("hash")).distinct()
+    sizes = pages_.select("host", "page_key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    often = parts.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
+    template = often.join(sizes, "host").filter(F.col("n") >= SHARE * F.col("pages")).select("host", "hash")
+    mine = parts.join(template, ["host", "hash"]).groupBy("page_key").agg(F.collect_list("hash").alias("template"))  # at most a page's own elements
+    joined = pages_.join(mine, "page_key", "left").select("page_id", "url", "hashes", "parts", "template")
+    return joined.mapInArrow(texts, schema)

@@ -122,6 +122,22 @@ def test_main_text(spark):
     assert got == Counter([(i, f"A & B{i} one two three x") for i in range(3)] + [(10 + i, f"Own text {i}.") for i in range(8)] + [(30, ""), (31, ""), (10, "Own text 0.")])
 
 
+def texts_of(spark, *pages):
+    rows = [(i, f"http://{host}/", html) for i, (host, html) in enumerate(pages)]
+    got = htmlmain.extract_main(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(got, key=lambda r: r["page_id"])]
+
+
+def test_template_of_unmarked_pages_is_relative_to_the_host(spark):
+    menu, passage = "<div>Home News Sport</div>", " ".join(f"p{i}" for i in range(30))
+    cell = "<table><tr><td>1</td><td>{n}</td></tr></table><div><em>not</em> {n}</div>"
+    pages = [("hot.example", f"<body>{menu}<div><p>{'A passage' if n < 9 else 'Text'} {'shared' if n < 9 else n}</p></div>{cell.format(n=n)}</body>") for n in range(30)]
+    near = [("near.example", f"<body>{menu}<div><p>{passage}</p></div><p>edit {n}</p></body>") for n in range(8)]
+    small = [("small.example", f"<body>{menu}<div>Own {n}</div></body>") for n in range(2)]
+    want = [f"A passage shared 1 {n} not {n}" if n < 9 else f"Text {n} 1 {n} not {n}" for n in range(30)]
+    assert texts_of(spark, *pages, *near, *small) == want + [f"{passage} edit {n}" for n in range(8)] + [f"Own {n}" for n in range(2)]
+
+
 def test_every_url_gets_the_verdict_of_all_rules_tried(spark):
     import re
 
