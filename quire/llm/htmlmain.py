@@ -208,7 +208,7 @@ def page_parts(page: str) -> tuple[list[str], list[int], list[tuple[int, int, in
                 if x.tag in BLOCK:
                     close()
                     mine = -1
-                    if not marked and x is not r and x.tag in CANDIDATES:
+                    if x is not r and x.tag in CANDIDATES and not (marked and x.tag == "p"):
                         mine = len(found)
                         found.append([signed(x.hash), len(texts), 0, x.tag == "p"])
                     todo.append((mine, False))

@@ -128,6 +128,17 @@ def texts_of(spark, *pages):
     return [r["text"] for r in sorted(got, key=lambda r: r["page_id"])]
 
 
+def test_template_inside_the_marked_region(spark):
+    letter = "<div><p>Get our weekly letter</p><input></div>"
+    long_notice = f"<section><p>{' '.join(f'rule{i}' for i in range(25))}</p></section>"
+    own = " ".join(f"word{i}" for i in range(40))
+    quoted = "<p>A passage quoted on every page</p>"
+    pages = [("a.example", f"<main><div><a href=/>Home</a> <a href=/n>News</a></div><article><h1>Same</h1>{quoted}<p>{own} {n}</p>{letter}{long_notice}</article></main>") for n in range(6)]
+    pages += [("b.example", f"<main><ul><li>Home<li>News</ul><h1>T</h1><p>Own {n}</p></main>") for n in range(2)]
+    got = texts_of(spark, *pages)
+    assert got == [f"Same A passage quoted on every page {own} {n}" for n in range(6)] + [f"T Own {n}" for n in range(2)]
+
+
 def test_template_of_unmarked_pages_is_relative_to_the_host(spark):
     menu, passage = "<div>Home News Sport</div>", " ".join(f"p{i}" for i in range(30))
     cell = "<table><tr><td>1</td><td>{n}</td></tr></table><div><em>not</em> {n}</div>"
