@@ -1,7 +1,6 @@
 """Greedy fusion of a page's detections, with small recovery boxes in place of large unsupported ones.
 
-Whether a box is kept depends on those kept before it, so a page and variant is one sequential pass; support and order-free measures are
-found by joins first.  Pages hold hundreds of boxes and at most 120 lines, which bounds a group; pages spread over the cluster.
+Whether a box is kept depends on those kept before it, so a page and variant is one sequential pass.  Pages hold hundreds of boxes and at most 120 lines, which bounds a group; pages spread over the cluster.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.operators.spatial import XY, cross_source_support
+from quire.operators.spatial import CELL, XY
 
 # Thresholds of the selection, and the names that recovered boxes carry.
 SAME_IOU, NEW_SHARE, NEW_LEAST, UNCOVERED, RECOVER_AREA, TIGHT, PAD, MOST_RECOVERED = 0.85, 0.40, 2, 0.02, 0.12, 0.55, 6.0, 32
@@ -74,6 +73,16 @@ class Selection:
         return near[(self.label == label) & (near >= SAME_IOU * union) & (union > 0)]
 
 
+def supports(xy: np.ndarray, label: np.ndarray, family: np.ndarray, most: int = 3) -> np.ndarray:
+    """Families (own included) with an overlapping box of the same label, at most `most`, for each box of a page."""
+    near, size = _shared(xy, xy), _areas(xy)
+    part = lambda whole: np.divide(near, whole, out=np.zeros(near.shape), where=whole > 0)
+    of_a = part(np.broadcast_to(size[:, None], near.shape))
+    hit = (label[:, None] == label) & ((part(size[:, None] + size - near) >= 0.20) | (of_a >= 0.60) | (of_a.T >= 0.60))
+    np.fill_diagonal(hit, True)
+    return np.minimum(most, sum((hit[:, family == f].any(1).astype(int) for f in set(family)), np.zeros(len(xy), int)))
+
+
 def select_boxes(boxes: pd.DataFrame, lines: np.ndarray, w: float, h: float, threshold: float = 0.5) -> pd.DataFrame:
     """Kept and recovered boxes of one page and variant in reading order; boxes need norm_label, score, support, seq and corners."""
     xy, score = boxes[list(XY)].to_numpy(float), boxes["score"].fillna(0.0).to_numpy(float)
@@ -116,20 +125,22 @@ def select_boxes(boxes: pd.DataFrame, lines: np.ndarray, w: float, h: float, thr
     return out
 
 
+def _columns(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return g[list(XY)].to_numpy(float).reshape(-1, 4), g["norm_label"].to_numpy(object), g["source_family"].to_numpy(object)
+
+
 def fuse(boxes: DataFrame, lines: DataFrame, width: int, height: int, threshold: float = 0.5) -> DataFrame:
     """Fused boxes of every page and variant; boxes (page_id, variant, seq, source_*, norm_label, corners, score), lines (page_id, line_ord, corners).
 
     Recovered boxes have no seq.  A null score counts as 0; pages without lines keep no large unsupported text; no boxes, no rows.
     """
-    key = F.concat_ws("|", F.col("page_id"), "variant")
-    keyed = boxes.withColumn("page_key", key)
-    support = cross_source_support(keyed.drop("page_id").withColumnRenamed("page_key", "page_id")).withColumnRenamed("page_id", "page_key")
-    rated = keyed.join(support, ["page_key", "seq"]).select("page_id", "variant", "seq", "source_family", "source_model", "norm_label", *XY, "score", "support")
+    rated = boxes.select("page_id", "variant", "seq", "source_family", "source_model", "norm_label", *XY, "score")
 
     def run(mine: pd.DataFrame, own_lines: pd.DataFrame) -> pd.DataFrame:
         at = own_lines.sort_values("line_ord")[list(XY)].to_numpy(float).reshape(-1, 4)
         parts = []
         for (page, variant), g in mine.groupby(["page_id", "variant"]):
+            g = g.assign(support=supports(*_columns(g)))
             parts.append(select_boxes(g, at, width, height, threshold).assign(page_id=page, variant=variant))
         names = [c.split()[0] for c in OUT.split(", ")]
         return pd.concat(parts)[names] if parts else pd.DataFrame(columns=names)

@@ -185,8 +185,8 @@ KEEP = "list_reduce(list_prepend(cast([] as {t}[]), list_transform(items, lambda
 query("ocr_box_selection", f"with {BOXES}, p as (select page_id, list({{'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2, 'area': area, 'seq': seq}} order by area desc, score desc, x1, y1, x2, y2, seq) as items from bx where not flat and norm_label = 'text' group by 1) select page_id, list_transform({KEEP}, lambda k: k.seq) as kept from p")(lambda s, d: S.greedy_keep(sound(s, d).filter("norm_label = 'text'"), 0.92, 0.75))
 
 def fused(spark: SparkSession, d: str) -> DataFrame:
-    """Fused boxes of the variants P2 and P4."""
-    return Z.fuse(variants(spark, d).filter(F.col("variant").isin("P2", "P4")), S.pseudo_lines(boxes(spark, d), W, H), W, H).drop("seq")
+    """Fused boxes of all variants."""
+    return Z.fuse(variants(spark, d), S.pseudo_lines(boxes(spark, d), W, H), W, H).drop("seq")
 
 
 def payloads(spark: SparkSession, d: str) -> DataFrame:

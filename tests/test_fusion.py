@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from quire.operators import fusion
+from quire.operators import fusion, spatial
 from quire.queries import registry
 
 SF = "/root/testdata/sf0.001"
@@ -58,6 +58,17 @@ def test_query_agrees_with_single_pages(spark):
     assert corners(mine) == corners(want)
 
 
+def test_query_returns_all_variants(spark):
+    got = {(r["variant"], r["page_id"]): r["n"] for r in registry.fused(spark, SF).groupBy("variant", "page_id").agg(F.count("*").alias("n")).collect()}
+    assert {v for v, _ in got} == {"S1", "S2", "S3", "P1", "P2", "P3", "P4"}
+    pages = registry.variants(spark, SF).filter("page_id in (3, 40)")
+    lines = spatial.pseudo_lines(registry.boxes(spark, SF), 2400, 3200).orderBy("page_id", "line_ord").toPandas()
+    for (page, variant), g in pages.toPandas().groupby(["page_id", "variant"]):
+        key = pages.filter(f"page_id = {page} and variant = '{variant}'")
+        rows = key.join(spatial.cross_source_support(key), ["page_id", "seq"]).toPandas()
+        assert len(fusion.select_boxes(rows, lines.loc[lines.page_id == page, ["x1", "y1", "x2", "y2"]].to_numpy(float), 2400, 3200)) == got.get((variant, page), 0)
+
+
 def test_no_boxes(spark):
     b = registry.variants(spark, SF).filter("false")
     lines = spark.createDataFrame([(1, 1, 0.0, 0.0, 1.0, 1.0)], "page_id long, line_ord int, x1 double, y1 double, x2 double, y2 double")
