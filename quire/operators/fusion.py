@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.operators.spatial import CELL, XY
+from quire.operators.spatial import CELL, XY, variant_members
 
 # Thresholds of the selection, and the names that recovered boxes carry.
 SAME_IOU, NEW_SHARE, NEW_LEAST, UNCOVERED, RECOVER_AREA, TIGHT, PAD, MOST_RECOVERED = 0.85, 0.40, 2, 0.02, 0.12, 0.55, 6.0, 32
@@ -146,3 +146,103 @@ def fuse(boxes: DataFrame, lines: DataFrame, width: int, height: int, threshold:
         return pd.concat(parts)[names] if parts else pd.DataFrame(columns=names)
 
     return rated.groupBy("page_id").cogroup(lines.select("page_id", "line_ord", *XY).groupBy("page_id")).applyInPandas(run, OUT)
+
+
+def raster(xy: np.ndarray, w: int, h: int) -> np.ndarray:
+    """The page's cells, set where a box touches them."""
+    wide, high = max(1, -(-w // int(CELL))), max(1, -(-h // int(CELL)))
+    out = np.zeros((high, wide), bool)
+    low, top = np.floor(xy[:, :2] / CELL).astype(int), np.ceil(xy[:, 2:] / CELL).astype(int)
+    for (a, t), (b, u) in zip(np.clip(low, 0, [wide, high]), np.clip(top, 0, [wide, high]), strict=True):
+        out[t:u, a:b] = True
+    return out
+
+
+def _text(g: pd.DataFrame) -> np.ndarray:
+    return g.loc[g["norm_label"].isin(["text", "title"]), list(XY)].to_numpy(float).reshape(-1, 4)
+
+
+def best_model(g: pd.DataFrame, models: tuple[str, ...], w: int, h: int) -> str | None:
+    """The model whose raw boxes score best by texts, their area and few boxes; the first of equals, None without any boxes."""
+    best, top = None, -np.inf
+    for m in models:
+        own = g[g["source_model"] == m]
+        text = _text(own)
+        score = 0.02 * len(text) + raster(text, w, h).mean() - 0.0002 * len(own)
+        if len(own) and score > top:
+            best, top = m, score
+    return best
+
+
+def best_singles(boxes: DataFrame, models: tuple[str, ...], width: int, height: int) -> DataFrame:
+    """page_id, best: the best of the models on every page that has boxes of any."""
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"page_id": g["page_id"].head(1), "best": best_model(g, models, width, height)})
+
+    return boxes.filter(F.col("source_model").isin(*models)).select("page_id", "source_model", "norm_label", *XY).groupBy("page_id").applyInPandas(run, "page_id long, best string")
+
+
+def base_boxes(g: pd.DataFrame, lines: np.ndarray, w: float, h: float, threshold: float) -> pd.DataFrame:
+    """Boxes fit to measure recall against: non-text ones; text ones that are no unsupported strip or weak giant and cover two lines."""
+    xy, support = g[list(XY)].to_numpy(float), supports(*_columns(g))
+    bw, bh, share = xy[:, 2] - xy[:, 0], xy[:, 3] - xy[:, 1], _areas(xy) / max(1.0, w * h)
+    strip = (bw >= 0.65 * w) & (bh <= 0.06 * h) | (bh >= 0.65 * h) & (bw <= 0.06 * w)
+    giant = (share >= 0.22) & (support < 2) & (g["score"].fillna(0.0).to_numpy(float) < 0.75) | (share >= 0.30) & (support < 3)
+    bad = strip & (support < 2) | giant | ((_covers(lines, xy) >= threshold).sum(0) < 2)
+    return g[(bw > 1) & (bh > 1) & ~(g["norm_label"].isin(["text", "title"]).to_numpy() & bad)]
+
+
+MEASURES = "page_id long, kind string, name string, best_single string, line_coverage double, covered_lines long, uncovered_lines long, box_count long, text_area double, base_recall double"
+
+
+def measure_page(g: pd.DataFrame, lines: np.ndarray, w: int, h: int, threshold: float = 0.5) -> pd.DataFrame:
+    """Measures of the fused boxes of every variant and source of a page (S1 is its best Paddle model); none for a page without Paddle boxes."""
+    names, members = [c.split()[0] for c in MEASURES.split(", ")], variant_members()
+    paddle = members["P1"]
+    best = best_model(g, paddle, w, h)
+    if best is None:
+        return pd.DataFrame(columns=names)
+    base = raster(_text(base_boxes(g, lines, w, h, threshold)), w, h)
+    have, rows = set(g["source_model"]), []
+    groups = [("variant", v, (best,) if v == "S1" else m) for v, m in members.items()] + [("source", m, (m,)) for m in members["P4"] if m in have or m not in paddle]
+    done: dict[tuple, tuple] = {}
+    for kind, name, models in groups:
+        if models not in done:
+            own = g[g["source_model"].isin(models)]
+            kept = select_boxes(own.assign(support=supports(*_columns(own))), lines, w, h, threshold)
+            covered = int((_covers(lines, kept[list(XY)].to_numpy(float).reshape(-1, 4)).max(1, initial=0.0) >= threshold).sum())
+            mine = raster(_text(kept), w, h)
+            done[models] = (covered / len(lines) if len(lines) else 0.0, covered, len(lines) - covered, len(kept), mine.mean(), (mine & base).sum() / base.sum() if base.any() else 0.0)
+        rows.append((g["page_id"].iat[0], kind, name, best, *done[models]))
+    return pd.DataFrame(rows, columns=names)
+
+
+def measure(boxes: DataFrame, lines: DataFrame, width: int, height: int, threshold: float = 0.5) -> DataFrame:
+    """measure_page of every page: boxes of all models (page_id, seq, source_*, norm_label, corners, score), lines (page_id, line_ord, corners)."""
+
+    def run(g: pd.DataFrame, own_lines: pd.DataFrame) -> pd.DataFrame:
+        at = own_lines.sort_values("line_ord")[list(XY)].to_numpy(float).reshape(-1, 4)
+        return measure_page(g.sort_values("seq"), at, width, height, threshold)
+
+    rows = boxes.select("page_id", "seq", "source_family", "source_model", "norm_label", *XY, "score")
+    return rows.groupBy("page_id").cogroup(lines.select("page_id", "line_ord", *XY).groupBy("page_id")).applyInPandas(run, MEASURES)
+
+
+def board(measures: DataFrame) -> DataFrame:
+    """Each variant's and source's means over pages, its pages better than S1 in recall, and score = recall + 0.25 area - 0.00025 boxes."""
+    first = measures.filter("kind = 'variant' and name = 'S1'").select("page_id", F.col("base_recall").alias("r1"))
+    m = measures.join(first, "page_id").groupBy("kind", "name").agg(
+        F.count(F.lit(1)).alias("pages"), F.avg("base_recall").alias("r"), F.avg("line_coverage").alias("c"), F.median("line_coverage").alias("median"), F.avg("text_area").alias("a"), F.avg("box_count").alias("b"), F.count_if(F.col("base_recall") > F.col("r1")).alias("improved")
+    )
+    score = F.col("r") + 0.25 * F.col("a") - 0.00025 * F.col("b")
+    return m.select("kind", "name", "pages", F.round("r", 6).alias("recall"), F.round("c", 6).alias("line_coverage"), F.round("median", 6).alias("median_line_coverage"), F.round("a", 6).alias("area"), F.round("b", 3).alias("boxes"), "improved", F.round(score, 6).alias("score"))
+
+
+def informative(measures: DataFrame, variant: str, most: int = 20) -> DataFrame:
+    """The pages where the variant gains most over S1, and those S1 does badly on."""
+    pick = lambda v, *cs: measures.filter((F.col("kind") == "variant") & (F.col("name") == v)).select("page_id", *cs)
+    both = pick(variant, "base_recall", "text_area").join(pick("S1", F.col("base_recall").alias("r1"), F.col("text_area").alias("a1")), "page_id")
+    gain, area = F.col("base_recall") - F.col("r1"), F.col("text_area") - F.col("a1")
+    score = 3.0 * gain + 2.0 * area + 0.7 * (1.0 - F.col("r1"))
+    return both.select("page_id", F.round(score, 6).alias("score"), F.round(gain, 6).alias("recall_gain"), F.round(area, 6).alias("area_gain")).orderBy(F.desc("score"), "page_id").limit(most)

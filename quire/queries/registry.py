@@ -186,7 +186,19 @@ query("ocr_box_selection", f"with {BOXES}, p as (select page_id, list({{'x1': x1
 
 def fused(spark: SparkSession, d: str) -> DataFrame:
     """Fused boxes of all variants."""
-    return Z.fuse(variants(spark, d), S.pseudo_lines(boxes(spark, d), W, H), W, H).drop("seq")
+    return Z.fuse(candidates(spark, d), S.pseudo_lines(boxes(spark, d), W, H), W, H).drop("seq")
+
+
+def candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Boxes of the variants on pages with Paddle boxes, S1 being the page's best Paddle model."""
+    members = S.variant_members()
+    best = Z.best_singles(boxes(spark, d), members["P1"], W, H)
+    of = F.array_compact(F.array(F.when(F.col("source_model") == F.col("best"), "S1"), *[F.when(F.col("source_model").isin(*m), v) for v, m in members.items() if v != "S1"]))
+    return boxes(spark, d).join(best, "page_id").withColumn("variant", F.explode(of)).drop("best")
+
+
+def fused_measures(spark: SparkSession, d: str) -> DataFrame:
+    return Z.measure(boxes(spark, d), S.pseudo_lines(boxes(spark, d), W, H), W, H)
 
 
 def payloads(spark: SparkSession, d: str) -> DataFrame:
@@ -198,6 +210,9 @@ def payloads(spark: SparkSession, d: str) -> DataFrame:
 
 
 query("greedy_fusion")(fused)
+query("fused_measures")(fused_measures)
+query("fused_leaderboard")(lambda s, d: Z.board(fused_measures(s, d)))
+query("fused_top_informative")(lambda s, d: Z.informative(fused_measures(s, d), "P2"))
 query("legacy_regions", """with e as (select cast(event_id as varchar) as page_id, cast(regexp_extract(props, '([0-9]+)', 1) as double) as k, event_id % 2 = 0 as even, cast(printf('%.3f', value) as double) as v from events)
 select page_id, 0 as region, case when even then k else 0 end as x1, case when even then 2.0 else 0.0 end as y1, case when even then k + 0.5 else greatest(k, 9) end as x2, case when even then 9.0 else 20.0 end as y2,
   case when even then 'text' else 'title' end as source_label, case when even then least(1.0, greatest(0.0, v)) else 0.5 end as confidence, '' as text, 0 as reading_order from e""")(lambda s, d: G.legacy_regions(payloads(s, d)))

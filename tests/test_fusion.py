@@ -61,7 +61,7 @@ def test_query_agrees_with_single_pages(spark):
 def test_query_returns_all_variants(spark):
     got = {(r["variant"], r["page_id"]): r["n"] for r in registry.fused(spark, SF).groupBy("variant", "page_id").agg(F.count("*").alias("n")).collect()}
     assert {v for v, _ in got} == {"S1", "S2", "S3", "P1", "P2", "P3", "P4"}
-    pages = registry.variants(spark, SF).filter("page_id in (3, 40)")
+    pages = registry.candidates(spark, SF).filter("page_id in (3, 40) and x2 - x1 > 1 and y2 - y1 > 1")
     lines = spatial.pseudo_lines(registry.boxes(spark, SF), 2400, 3200).orderBy("page_id", "line_ord").toPandas()
     for (page, variant), g in pages.toPandas().groupby(["page_id", "variant"]):
         key = pages.filter(f"page_id = {page} and variant = '{variant}'")
@@ -73,3 +73,31 @@ def test_no_boxes(spark):
     b = registry.variants(spark, SF).filter("false")
     lines = spark.createDataFrame([(1, 1, 0.0, 0.0, 1.0, 1.0)], "page_id long, line_ord int, x1 double, y1 double, x2 double, y2 double")
     assert fusion.fuse(b, lines, 2400, 3200).select(F.count("*")).first()[0] == 0
+
+
+def test_measures_of_fused_boxes(spark):
+    w, h = 2400, 3200
+    got = registry.fused_measures(spark, SF).toPandas()
+    kept = registry.fused(spark, SF).toPandas()
+    boxes = registry.boxes(spark, SF).toPandas()
+    lines = spatial.pseudo_lines(registry.boxes(spark, SF), w, h).toPandas()
+    base = registry.boxes(spark, SF).join(spatial.base_candidates(registry.boxes(spark, SF), w, h).select("page_id", "seq"), ["page_id", "seq"]).toPandas()
+    assert set(got.name) == {"S1", "S2", "S3", "P1", "P2", "P3", "P4", "pld_v2", "pld_v3", "pld_plusL", "pvl15", "dell", "mineru25"}
+
+    def cells(df):  # cell by cell
+        return {(x, y) for r in df[df.norm_label.isin(["text", "title"])].itertuples() for x in range(max(0, int(r.x1 // 8)), min(300, int(-(-r.x2 // 8)))) for y in range(max(0, int(r.y1 // 8)), min(400, int(-(-r.y2 // 8))))}
+
+    for r in got[(got.kind == "variant") & got.page_id.isin([3, 40])].itertuples():
+        own = kept[(kept.page_id == r.page_id) & (kept.variant == r.name)]
+        line = lines[lines.page_id == r.page_id]
+        covered = sum(max((max(0, min(a.x2, b.x2) - max(a.x1, b.x1)) * max(0, min(a.y2, b.y2) - max(a.y1, b.y1)) for b in own.itertuples()), default=0) >= 0.5 * (a.x2 - a.x1) * (a.y2 - a.y1) for a in line.itertuples())
+        mine, all_ = cells(own), cells(base[base.page_id == r.page_id])
+        assert (r.box_count, r.covered_lines, r.uncovered_lines) == (len(own), covered, len(line) - covered)
+        assert np.allclose((r.text_area, r.base_recall), (len(mine) / 120000, len(mine & all_) / len(all_)))
+        raw = {m: g for m, g in boxes[(boxes.page_id == r.page_id) & (boxes.source_family == "paddle")].groupby("source_model")}
+        assert r.best_single == max(raw, key=lambda m: 0.02 * raw[m].norm_label.isin(["text", "title"]).sum() + len(cells(raw[m])) / 120000 - 0.0002 * len(raw[m]))
+    board = {(r["kind"], r["name"]): r for r in registry.queries()["fused_leaderboard"](spark, SF).collect()}
+    p4 = got[(got.kind == "variant") & (got.name == "P4")]
+    assert board["variant", "P4"]["pages"] == len(p4) and abs(board["variant", "P4"]["median_line_coverage"] - p4.line_coverage.median()) < 1e-6
+    assert board["variant", "P4"]["boxes"] < len(boxes) / len(p4)
+    assert registry.queries()["fused_top_informative"](spark, SF).count() == min(20, len(p4))
