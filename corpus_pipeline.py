@@ -24,16 +24,17 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each linked group: that whose doc_id names the component.  Five-word shingles, similarity 0.8 or more.
+    """One document of each linked group: that of the least doc_id, nulls last, and then digest.  Five-word shingles, similarity 0.8 or more.
 
-    Documents without words and those in groups without any id stay.  Of repeated rows with the kept id one stays.
+    Of repeated rows with the kept id and text one stays.  Documents without words are no copies of others: repeats of one id go, those without an id stay.
     """
-    found = shinglejoin.component_ids(docs.select("doc_id", "text"), size=5, percent=80)
-    keep = found.filter((F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi")
-    one = Window.partitionBy("doc_id").orderBy(F.md5(F.coalesce("text", F.lit(""))), "source", "lang", "n_chars")
-    ranked = kept.select("*", F.row_number().over(one).alias("_turn")).filter("_turn = 1")
-    return ranked.select(*COLUMNS).union(docs.filter("doc_id is null").select(*COLUMNS))
+    keyed = docs.withColumn("_digest", F.coalesce(F.md5("text"), F.lit("")))
+    keep = shinglejoin.representatives(keyed.select("doc_id", "text", "_digest"), "_digest", size=5, percent=80)
+    keep = keep.select(F.col("doc_id").alias("_id"), F.col("_digest").alias("_text"), F.col("wordless").alias("_wordless"))
+    kept = keyed.join(keep, keyed["doc_id"].eqNullSafe(keep["_id"]) & (keyed["_digest"] == keep["_text"]))
+    one = Window.partitionBy("doc_id", "_digest").orderBy("source", "lang", "n_chars")
+    ranked = kept.select("*", F.row_number().over(one).alias("_turn"))
+    return ranked.filter("_turn = 1 or _wordless and doc_id is null").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -138,8 +138,9 @@ def parity_distance(a: bytes, b: bytes) -> int:
 SETS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("sig", T.LongType()), T.StructField("items", T.BinaryType())])
 
 
-def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n, sig (a 64-bit name of the set, null if empty), items (sorted hashes)."""
+def shingle_sets(docs: DataFrame, size: int, *keep: str) -> DataFrame:
+    """doc_id, n, sig (a 64-bit name of the set, null if empty), items (sorted hashes), and the columns to keep."""
+    schema = T.StructType([*SETS.fields, *(docs.schema[c] for c in keep)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_only(_WORDS)
@@ -147,10 +148,10 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
             sets = [shingle_set(t, size) for t in b.column("text").to_pylist()]
             items = [pack(s) for s in sets]
             names = [int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little", signed=True) if x else None for x in items]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array(items, pa.binary())], names=SETS.names)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array(items, pa.binary()), *b.columns[2:]], names=schema.names)
 
     small_batches(docs.sparkSession, 500)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SETS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep).mapInArrow(run, schema)
 
 
 def frequent_items(sets: DataFrame) -> np.ndarray:
@@ -321,6 +322,22 @@ def linked_components(sets: DataFrame, percent: int) -> DataFrame:
     return components(links.union(verified(stage(more, "more"), sets, sketches, percent)))
 
 
+def _named(sets: DataFrame, percent: int) -> DataFrame:
+    """sig, least (its smallest doc_id), comp (its component) of every set."""
+    comps = linked_components(sets, percent)
+    named = sets.filter("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
+    return named.join(comps, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
+
+
+def representatives(docs: DataFrame, digest: str, size: int, percent: int) -> DataFrame:
+    """doc_id, digest, wordless: one text of each component, that of the least doc_id (nulls last) and then digest, and every text without words."""
+    sets = stage(shingle_sets(docs, size, digest), "sets")
+    comps = _named(sets, percent).select("sig", "comp")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", digest)).alias("x")
+    one = sets.select("doc_id", digest, "sig").join(comps, "sig").groupBy("comp").agg(first).select("x.doc_id", f"x.{digest}", F.lit(False).alias("wordless"))
+    return one.union(sets.filter("sig is null").select("doc_id", digest, F.lit(True)).distinct())
+
+
 def component_ids(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) of every row.
 
@@ -328,9 +345,7 @@ def component_ids(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFram
     doc_id is null keeps a null component if no linked row has an id; it never gives its component a name.
     """
     sets = stage(shingle_sets(docs, size), "sets")
-    comps = linked_components(sets, percent)
-    named = sets.filter("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
-    grouped = named.join(comps, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
+    grouped = _named(sets, percent)
     names = grouped.groupBy("comp").agg(F.min("least").alias("component_id"))
     by_sig = grouped.join(names, "comp").select("sig", "component_id")
     out = sets.select("doc_id", "n", "sig").join(by_sig, "sig", "left")
