@@ -1,9 +1,10 @@
 import pytest
 
 import corpus_pipeline
+from quire.llm import langid
 from quire.llm.shared import words_of
 
-from .fixtures import DOCS, documents
+from .fixtures import DOCS, documents, nothing
 
 
 def shingles(text):
@@ -50,3 +51,27 @@ def test_near_copies_against_all_pairs(spark, docs):
     got = corpus_pipeline.drop_near_copies(spark, docs, "")
     assert got.columns == corpus_pipeline.COLUMNS
     assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == least_of_each_group(rows)
+
+
+def test_language_stage_keeps_what_is_not_rejected(spark, docs):
+    model = langid.train(docs)
+    want = [r for r in docs.collect() if not langid.score_texts(model, [r["text"]])[0][3]]
+    got = corpus_pipeline.identify(spark, docs, "").collect()
+    assert sorted(map(str, got)) == sorted(str(r) for r in spark.createDataFrame(want, DOCS).select(*corpus_pipeline.COLUMNS).collect())
+
+
+def test_mixing_stage_repeats_whole_rows(spark, docs):
+    rows = {tuple(r) for r in docs.select(*corpus_pipeline.COLUMNS).collect()}
+    got = corpus_pipeline.mix(spark, docs, "")
+    assert got.columns == corpus_pipeline.COLUMNS and got.count() > 0 and {tuple(r) for r in got.collect()} <= rows
+
+
+def test_packing_stage_covers_every_document(spark, docs):
+    got = corpus_pipeline.pack(spark, docs.select(*corpus_pipeline.COLUMNS), "").collect()
+    packed = sorted(((r["doc_id"] or -1), r["doc_tokens"]) for r in got if r["start"] == 0)
+    assert len(packed) == docs.count() and sum(r["length"] for r in got) == sum(n for _, n in packed)
+
+
+def test_stages_on_an_empty_table(spark):
+    empty = nothing(spark).select(*corpus_pipeline.COLUMNS)
+    assert [step(spark, empty, "").count() for _, step in corpus_pipeline.STAGES] == [0, 0, 0, 0]
