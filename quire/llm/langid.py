@@ -31,6 +31,8 @@ _B = np.uint64(0x9E3779B97F4A7C15)
 _EDGE = 32
 #: Words scored at once; bounds the memory of a batch's n-gram tables.
 BLOCK = 8192
+#: Characters of the windows that rejection is calibrated on.
+LENGTHS = (20, 40, 80, 160, 320, 640, 1280)
 
 
 def word_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -69,8 +71,7 @@ class Model:
     contexts: list[np.ndarray] = field(default_factory=list)
     passed: list[np.ndarray] = field(default_factory=list)  # [context, language] mass for the shorter context
     floor: float = 1e-4  # probability of a character below order 1
-    mean: np.ndarray | None = None
-    spread: np.ndarray | None = None
+    limits: np.ndarray | None = None  # [length, language] cross-entropy up to which a text is accepted
 
     def log_probs(self, words: list[str]) -> np.ndarray:
         """[word, language] natural log probability."""
@@ -153,22 +154,39 @@ def score_texts(model: Model, texts: list[str | None]) -> list[tuple[str, float,
         best = int(entropy.argmin())
         gap = (entropy - entropy[best]) * min(n, 200)  # beyond some length more characters add no evidence, being alike
         score = float(1 / np.exp(-gap).sum())
-        rejected = model.mean is not None and bool(entropy[best] > model.mean[best] + model.spread[best] * (1 + 30 / np.sqrt(n)))
+        rejected = model.limits is not None and bool(entropy[best] > np.interp(np.log(n), np.log(LENGTHS), model.limits[:, best]))
         out.append((model.langs[best], score, float(entropy[best]), rejected))
     return out
 
 
+def windows(text: str, length: int, most: int = 8) -> list[str]:
+    """The first runs of whole words that reach the length, one after another."""
+    out, run, size = [], [], 0
+    for w in text.split():
+        run.append(w)
+        size += len(w) + 1
+        if size >= length:
+            out.append(" ".join(run))
+            run, size = [], 0
+            if len(out) == most:
+                break
+    return out
+
+
 def calibrate(model: Model, texts: list[tuple[str, str]], slack: float = 8.0) -> None:
-    """Set mean and allowed spread (slack deviations, at least 30 % of the mean) of each language's cross-entropy."""
-    found: dict[str, list[float]] = {lang: [] for lang in model.langs}
-    for (_, lang), (got, _, entropy, _) in zip(texts, score_texts(model, [t for t, _ in texts]), strict=True):
-        if got == lang:
-            found[lang].append(entropy)
-    every = [x for v in found.values() for x in v] or [np.inf]
-    pick = [np.array(found[lang] if len(found[lang]) >= 5 else every) for lang in model.langs]
-    center = np.array([np.median(v) for v in pick])
-    wide = np.array([1.4826 * np.median(np.abs(v - np.median(v))) if np.isfinite(v).all() else np.inf for v in pick])
-    model.mean, model.spread = center, np.maximum(slack * wide, 0.3 * np.abs(center))
+    """Set each language's limit of cross-entropy by length: median and slack deviations, at least 5 %, of the texts' windows of that length."""
+    limits: list[np.ndarray] = []
+    for length in LENGTHS:
+        cut = [(w, lang) for t, lang in texts for w in windows(t, length)]
+        found: dict[str, list[float]] = {lang: [] for lang in model.langs}
+        for (_, lang), (got, _, entropy, _) in zip(cut, score_texts(model, [w for w, _ in cut]), strict=True):
+            if got == lang:
+                found[lang].append(entropy)
+        every = [x for v in found.values() for x in v]
+        pick = [np.array(found[lang] if len(found[lang]) >= 5 else every) for lang in model.langs]
+        unknown = limits[-1] if limits else np.full(len(model.langs), np.inf)  # no text is that long: the shorter windows' limit
+        limits.append(np.array([np.median(v) + max(slack * 1.4826 * np.median(np.abs(v - np.median(v))), 0.05 * np.median(v)) if len(v) else unknown[k] for k, v in enumerate(pick)]))
+    model.limits = np.array(limits)
 
 
 def train(docs: DataFrame, max_docs: int = 500, modulus: int = 4, held_remainder: int = 2) -> Model:

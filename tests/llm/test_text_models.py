@@ -100,6 +100,12 @@ def test_language_model_equals_plain_kneser_ney_sum_and_held_out_accuracy(spark)
     assert p[0, 0] > p[0, 1] and p[1, 1] > p[1, 0] and (p > 0).all() and (p < 1).all()
 
 
+def test_short_foreign_texts_are_rejected(spark):
+    model = langid.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    foreign = ["Il gatto dorme sulla sedia mentre fuori piove senza smettere mai", "Wszyscy ludzie rodza sie wolni i rowni pod wzgledem swej godnosci", "zxq vbkjw qqpzt hjkxw vvbnm qwzxk jjkpl xzqwv bnmzx"]
+    assert [r[3] for r in langid.score_texts(model, foreign)] == [True] * 3
+
+
 def test_language_of_awkward_texts(spark):
     got = langid.identify_languages(documents(spark)).collect()
     assert len(got) == documents(spark).count()
