@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .shared import crc_of, small_batches, stage
+from .shared import crc_of, stage
 from .tokens import encoder
 
 PIECES = T.StructType([T.StructField("uid", T.LongType()), T.StructField("doc_id", T.LongType())] + [T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens")])
@@ -128,28 +128,22 @@ def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: flo
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
-    enc, part, seq = encoder(path, keeps_space=True), TaskContext.get().partitionId() << 40, 0
-    end = np.array([end_id], dtype="<u4").tobytes()
+    enc, uid = encoder(path, keeps_space=True), TaskContext.get().partitionId() << 40
     for b in batches:
-        ids = enc.encode([t or "" for t in b.column("text").to_pylist()])
-        where, uid, start, length, crc, total = [], [], [], [], [], []
-        for i, raw in enumerate(ids):
-            raw += end
-            n = len(raw) // 4
-            for s in range(0, n, capacity):
-                where.append(i)
-                uid.append(part + seq)
-                start.append(s)
-                length.append(min(capacity, n - s))
-                crc.append(crc_of(raw[4 * s : 4 * (s + capacity)]))
-                total.append(n)
-                seq += 1
-        yield pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), b.column("doc_id").take(pa.array(where, pa.int64())), *(pa.array(v, pa.int64()) for v in (start, length, crc, total))], names=PIECES.names)
+        ids, sizes = enc.encode(b.column("text"), end_id)
+        pieces = -(-sizes // capacity)
+        where = np.repeat(np.arange(len(sizes)), pieces)
+        start = (np.arange(len(where)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * capacity
+        length = np.minimum(capacity, sizes[where] - start)
+        at = 4 * ((np.cumsum(sizes) - sizes)[where] + start)
+        raw = memoryview(ids.astype("<u4").tobytes())
+        crc = [crc_of(raw[i:j]) for i, j in zip(at.tolist(), (at + 4 * length).tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(uid + np.arange(len(where))), b.column("doc_id").take(pa.array(where)), *(pa.array(v, pa.int64()) for v in (start, length, crc, sizes[where]))], names=PIECES.names)
+        uid += len(where)
 
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int) -> DataFrame:
     """One row per piece (uid, doc_id, start, length, ids_crc32, doc_tokens), staged, so each text is encoded once."""
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return stage(rows.mapInArrow(lambda it: _cut(it, tokenizer_path, end_id, capacity), PIECES), "pieces")
 

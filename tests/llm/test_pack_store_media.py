@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -19,23 +20,28 @@ BYTE, WORD = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("word_bpe_49k.j
 
 
 def encode(path, text):
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    return tok.encode(text, add_special_tokens=False).ids
+    return Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("path, keeps, width", [(BYTE, True, 4), (WORD, False, 2)])
-def test_word_encoder_equals_library(path, keeps, width):
-    enc = WordEncoder(path, keeps, width, max_words=50)
+@pytest.mark.parametrize("as_text", [False, True])
+@pytest.mark.parametrize("path, keeps", [(BYTE, True), (WORD, False)])
+def test_word_encoder_equals_library(path, keeps, as_text):
+    enc = WordEncoder(path, keeps, as_text, max_words=50)
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
+    if as_text:
+        tok.encode_special_tokens = True
     rng = random.Random(3)
-    bits = ["a", "The", " ", "  ", "\n", "\t", " \n", "é", "é", "́", "'s", "don't", "12 345", "<|endoftext|>", " ", " ", "\x1c", "\x85", "ß", "Σ", "日本", "🙂", ".", "...", "\r\n", "İ"]
-    texts = ["", " ", "  a", "a ", "a  b", "\n a"] + ["".join(rng.choice(bits) for _ in range(rng.randrange(30))) for _ in range(1500)]
+    bits = ["a", "The", " ", "  ", "\n", "\t", " \n", "é", "e\u0301", "\u0301", "'s", "don't", "12 345", "<|endoftext|>", "\xa0", "\u2003", "\x1c", "\x1d", "\x85", "ß", "Σ", "ΣΑΣ", "日本", "🙂", ".", "...", ",", "),", "\r\n", "İ", "ŉ", "ǅ", "ª"]
+    texts = ["", " ", "  a", "a ", "a  b", "\n a", ", a", "a.,b", None]
+    texts += ["".join(rng.choice(bits) for _ in range(rng.randrange(30))) for _ in range(1500)]
+    texts += ["".join(rng.choice(["a", "Word", " ", " ", ",", ".", "\n", "é"]) for _ in range(rng.randrange(30))) for _ in range(1500)]
     for i in range(0, len(texts), 100):
-        got = enc.encode(texts[i : i + 100])
-        want = [np.array(tok.encode(t, add_special_tokens=False).ids, dtype=f"<u{width}").tobytes() for t in texts[i : i + 100]]
-        assert got == want
+        batch = texts[i : i + 100]
+        ids, sizes = enc.encode(pa.array(batch, pa.string()), 7)
+        ends = np.cumsum(sizes)
+        got = [ids[e - n : e].tolist() for e, n in zip(ends, sizes)]
+        assert got == [[*tok.encode(t or "", add_special_tokens=False).ids, 7] for t in batch]
+    assert [len(x) for x in enc.encode(pa.array([], pa.string()))] == [0, 0]
 
 
 def test_packing_covers_every_id_once(spark):
@@ -113,31 +119,83 @@ def test_store_keeps_each_chunk_once_and_notices_damage(spark, tmp_path):
     docs = documents(spark)
     path = f"file://{tmp_path}/store"
     idstore.write_store(docs, WORD, 2, path)
-    rows = spark.read.schema(idstore.RECORD).parquet(path).collect()
+    rows = [r.asDict() for r in spark.read.schema(idstore.RECORD).parquet(f"{path}/records").collect()]
+    root = spark.read.parquet(f"{path}/root").collect()
     chunks = collections.Counter(bytes(r["digests"][0]) for r in rows if r["kind"] == "chunk")
-    inline = collections.Counter(bytes(d) for r in rows if r["kind"] == "doc" for i, d in enumerate(r["digests"]) if i not in r["shared"])
-    assert chunks and max(chunks.values()) == 1 and not inline or max(inline.values()) == 1 and not set(inline) & set(chunks)
-    broken = spark.createDataFrame([r.asDict() | ({"root": b"0" * 16} if r["doc_id"] == 7 else {}) for r in rows], idstore.RECORD)
-    broken.write.parquet(f"file://{tmp_path}/broken")
-    with pytest.raises(Exception, match="do not fit"):
-        idstore.read_store(spark, f"file://{tmp_path}/broken").collect()
+    packed = collections.Counter(bytes(d) for r in rows if r["kind"] == "doc" for d in r["pack"])
+    assert chunks and packed and max(chunks.values()) == 1 and max(packed.values()) == 1 and not set(packed) & set(chunks)
+    assert set(packed) | set(chunks) == {bytes(d) for r in rows if r["kind"] == "doc" for d in r["digests"]}
+    doc = next(r for r in rows if r["doc_id"] == 7)
+    chunk = next(r for r in rows if r["kind"] == "chunk")
+    last = max((r for r in rows if r["kind"] == "doc"), key=lambda r: (r["part"], r["local_start"]))
+    damage = {
+        "a changed document's root": [r | {"root": b"0" * 16} if r is doc else r for r in rows],
+        "a removed document": [r for r in rows if r is not doc],
+        "changed manifests": [r | {"root": b"0" * 16} if r["kind"] == "manifest" else r for r in rows],
+        "a removed file": [r for r in rows if r["part"] != last["part"]],
+        "a removed chunk": [r for r in rows if r is not chunk],
+    }
+    for k, (what, broken) in enumerate(damage.items()):
+        at = f"file://{tmp_path}/broken{k}"
+        spark.createDataFrame(broken, idstore.RECORD).coalesce(1).write.parquet(f"{at}/records")
+        spark.createDataFrame(root).coalesce(1).write.parquet(f"{at}/root")
+        with pytest.raises(Exception, match="fit|missing|body"):
+            idstore.read_store(spark, at).collect()
+            pytest.fail(what)
+
+
+def test_hot_chunks_come_back(spark, monkeypatch):
+    """Every key is hot, then none is."""
+    docs = documents(spark)
+    want = None
+    for hot in (10**9, 1):
+        monkeypatch.setattr("quire.llm.shared.HOT", hot)
+        got = sorted((r["start"], r["n_tokens"], r["ids_crc32"]) for r in idstore.store_documents(docs, WORD).collect())
+        assert want is None or got == want
+        want = got
+
+
+def test_ids_beyond_16_bits_are_refused(spark):
+    with pytest.raises(Exception, match="16 bits"):
+        idstore.store_documents(spark.createDataFrame([(1, "a")], "doc_id long, text string"), WORD, end_id=65536).collect()
 
 
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.integers(0, 65535), min_size=1, max_size=5000))
 def test_chunks_cover_the_stream(ids):
-    ends = idstore.cut_points(np.array(ids, dtype=np.uint16))
-    assert ends[-1] == len(ids) and ends == sorted(set(ends))
+    ends, counts = idstore.cut_points(np.array(ids, dtype=np.uint16), np.array([len(ids)]))
+    assert ends[-1] == len(ids) and ends == sorted(set(ends)) and counts == [len(ends)]
     assert all(b - a <= idstore.MOST for a, b in zip([0, *ends], ends))
 
 
+def plain_cuts(ids):
+    """Cut points by the definition, id after id."""
+    ends, start = [], 0
+    for c in range(1, len(ids) + 1):
+        h = sum(int(idstore._GEAR[ids[c - 1 - j]]) << j for j in range(min(idstore.WINDOW, c))) & 0xFFFFFFFFFFFFFFFF
+        if c - start == idstore.MOST or c - start >= idstore.LEAST and not h & int(idstore.CUT_MASK) or c == len(ids):
+            ends.append(c)
+            start = c
+    return ends
+
+
+def test_cuts_of_streams_in_a_row_equal_those_of_each():
+    rng = np.random.default_rng(2)
+    streams = [rng.integers(0, 49000, n).astype(np.uint16) for n in (1, 2, 15, 16, 17, 63, 64, 65, 3000, 1, 1024, 1025, 700)] + [np.zeros(5000, np.uint16)]
+    ends, counts = idstore.cut_points(np.concatenate(streams), np.array([len(s) for s in streams]))
+    at, k = 0, 0
+    for s, n in zip(streams, counts):
+        assert [e - at for e in ends[k : k + n]] == plain_cuts(s)
+        at, k = at + len(s), k + n
+
+
 def test_cuts_follow_content():
     rng = np.random.default_rng(1)
     shared = rng.integers(0, 49000, 6000).astype(np.uint16)
     a, b = (np.concatenate((rng.integers(0, 49000, n).astype(np.uint16), shared)) for n in (777, 1502))
 
     def chunks(x):
-        ends = idstore.cut_points(x)
+        ends, _ = idstore.cut_points(x, np.array([len(x)]))
         return {x[s:e].tobytes() for s, e in zip([0, *ends], ends)}
 
     ca, cb = chunks(a), chunks(b)
