@@ -22,6 +22,15 @@ def normalize_label(raw: Column) -> Column:
     return F.when(x.rlike(TEXT_WORDS), "text").when(x.rlike(TITLE_WORDS), "title").when(x.rlike(TABLE_WORDS), "table").when(x.rlike(IMAGE_WORDS), "image").otherwise("other")
 
 
+def label_of(raw) -> str:
+    """normalize_label of one value, for workers."""
+    x = str(raw or "").strip().lower()
+    for words, name in ((TEXT_WORDS, "text"), (TITLE_WORDS, "title"), (TABLE_WORDS, "table"), (IMAGE_WORDS, "image")):
+        if any(w in x for w in words.split("|")):
+            return name
+    return "other"
+
+
 def source_family(family: Column, model: Column) -> Column:
     """The given family, else that of the model's prefix, else the model itself."""
     given = F.nullif(F.coalesce(family, F.lit("")), F.lit(""))
@@ -81,7 +90,32 @@ def line_shaped(width: float, height: float) -> Column:
     return ~degenerate() & (box_area() <= 0.08 * width * height) & ~((w >= 0.90 * width) & (h <= 0.06 * height)) & ~((h >= 0.90 * height) & (w <= 0.06 * width))
 
 
-def crop_box(width: int, height: int, pad: int = 8) -> Column:
+def clamped(width: Column, height: Column, pad: float = 0.0) -> Column:
+    """The box x1..y2, grown by pad and cut to the page, as a struct; all zeros if nothing is left."""
+    x1, y1 = F.least(width, F.greatest(F.lit(0.0), F.col("x1") - pad)), F.least(height, F.greatest(F.lit(0.0), F.col("y1") - pad))
+    x2, y2 = F.least(width, F.greatest(F.lit(0.0), F.col("x2") + pad)), F.least(height, F.greatest(F.lit(0.0), F.col("y2") + pad))
+    some = (x2 > x1) & (y2 > y1)
+    return F.struct(*[F.when(some, c).otherwise(0.0).alias(n) for c, n in ((x1, "x1"), (y1, "y1"), (x2, "x2"), (y2, "y2"))])
+
+
+def unletterboxed(dw: Column, dh: Column, ratio_x: Column, ratio_y: Column) -> list[Column]:
+    """Corners x1..y2 of a box found on a letterboxed picture, in the page's own pixels."""
+    out = ((F.col("x1") - dw) / ratio_x, (F.col("y1") - dh) / ratio_y, (F.col("x2") - dw) / ratio_x, (F.col("y2") - dh) / ratio_y)
+    return [c.alias(n) for c, n in zip(out, ("x1", "y1", "x2", "y2"), strict=True)]
+
+
+def page_box(box: Column, width: Column, height: Column) -> Column:
+    """Four numbers as corners on the page: width and height where they are no corners, shares of the page where all are small; cut to the page, null if empty."""
+    inverted = ((box[2] <= box[0]) | (box[3] <= box[1])) & (box[2] > 0) & (box[3] > 0)
+    corners = F.when(inverted, F.array(box[0], box[1], box[0] + box[2], box[1] + box[3])).otherwise(box)
+    small = (F.array_max(corners) <= 1.5) & (F.array_min(corners) >= -0.1)
+    scaled = F.when(small, F.array(corners[0] * width, corners[1] * height, corners[2] * width, corners[3] * height)).otherwise(corners)
+    cut = lambda c, top: F.greatest(F.lit(0.0), F.least(top.cast("double"), c))
+    out = F.struct(cut(scaled[0], width).alias("x1"), cut(scaled[1], height).alias("y1"), cut(scaled[2], width).alias("x2"), cut(scaled[3], height).alias("y2"))
+    return F.when((out["x2"] > out["x1"]) & (out["y2"] > out["y1"]), out)
+
+
+def crop_box(width: int, height: int, pad: int = 2) -> Column:
     """Whole-pixel crop with padding inside the page; null below 24 x 18."""
     x1, y1 = F.greatest(F.lit(0), F.floor("x1").cast("int") - pad), F.greatest(F.lit(0), F.floor("y1").cast("int") - pad)
     x2, y2 = F.least(F.lit(width), F.ceil("x2").cast("int") + pad), F.least(F.lit(height), F.ceil("y2").cast("int") + pad)

@@ -1,4 +1,4 @@
-"""Transcripts, text assembly, manifests and region checks."""
+"""Text assembly, tables, models in the order first seen."""
 
 from __future__ import annotations
 
@@ -6,20 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.functions import layout as L
-
-
-def fused_transcript(regions: DataFrame) -> DataFrame:
-    """Texts of a page joined by line ends in the order (reading order or 9999; 0 counts as missing, region order)."""
-    rank = F.coalesce(F.nullif("reading_order", F.lit(0)), F.lit(9999))
-    kept = regions.filter((F.coalesce("text", F.lit("")) != ""))
-    lines = F.sort_array(F.collect_list(F.struct(rank.alias("r"), F.col("ord").alias("o"), F.col("text").alias("t"))))
-    return kept.groupBy("page_id").agg(F.array_join(F.transform(lines, lambda x: x["t"]), "\n").alias("transcript"))
+from quire.functions.layout import strip
 
 
 def page_text(docs: DataFrame) -> DataFrame:
     """Non-empty trimmed lines of each document joined by blank lines, their number and the characters."""
-    lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), strip), lambda x: x != "")
     joined = F.array_join(lines, "\n\n")
     return docs.select("doc_id", F.size(lines).alias("n_lines"), F.length(joined).alias("n_chars"), F.md5(joined).alias("digest"))
 
@@ -30,30 +22,6 @@ def table_blocks(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", F.size(blocks).alias("n_blocks"), F.array_join(blocks, "\n\n").alias("blocks"))
 
 
-def disagreement(boxes: DataFrame) -> DataFrame:
-    """max(0, regions - outputs) / max(1, regions) of each page; outputs are its models."""
-    g = boxes.groupBy("page_id").agg(F.count(F.lit(1)).alias("r"), F.count_distinct("source_model").alias("o"), F.count_if(F.col("norm_label") == "text").alias("n_text"))
-    return g.select("page_id", F.col("r").alias("regions"), "n_text", F.round(F.greatest(F.lit(0), F.col("r") - F.col("o")) / F.greatest(F.lit(1), F.col("r")), 6).alias("disagreement"))
-
-
-def manifest_issues(rows: DataFrame) -> DataFrame:
-    """line, level, code: missing, invalid and repeated page ids, missing images, bad page numbers; rows (line, page_id, image_path, page_number)."""
-    turn = F.row_number().over(Window.partitionBy("page_id").orderBy("line"))
-    missing, safe = F.coalesce("page_id", F.lit("")) == "", L.portable_id(F.coalesce("page_id", F.lit("")))
-    issue = lambda level, code: F.struct(F.lit(level).alias("level"), F.lit(code).alias("code"))
-    found = F.array_compact(F.array(
-        F.when(missing, issue("error", "missing_page_id")), F.when(~missing & ~safe, issue("error", "invalid_page_id")), F.when(safe & (F.col("turn") > 1), issue("error", "duplicate_page_id")),
-        F.when(F.coalesce("image_path", F.lit("")) == "", issue("error", "missing_image_path")), F.when((F.coalesce("page_number", F.lit("")) != "") & F.expr("try_cast(page_number as int) is null"), issue("error", "invalid_page_number")),
-    ))
-    return rows.withColumn("turn", turn).select("line", F.explode(found).alias("i")).select("line", "i.level", "i.code")
-
-
-def region_issues(boxes: DataFrame) -> DataFrame:
-    """page_id, seq, code for boxes without extent, off-range scores and unknown labels."""
-    found = F.array_compact(F.array(F.when((F.col("x2") <= F.col("x1")) | (F.col("y2") <= F.col("y1")), F.lit("invalid_bbox")), F.when(~F.col("score").between(0.01, 1), F.lit("invalid_confidence")), F.when(F.col("norm_label") == "other", F.lit("missing_region_label"))))
-    return boxes.select("page_id", "seq", F.explode(found).alias("code"))
-
-
 def ordered_union(rows: DataFrame) -> DataFrame:
     """Distinct model ids in the order they are first seen: position, model_id."""
     first = rows.groupBy("source_model").agg(F.min(F.struct("page_id", "seq")).alias("at"))

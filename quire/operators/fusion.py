@@ -9,8 +9,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from quire.operators.spatial import CELL, XY, variant_members
+from quire.operators.spatial import XY, raster, variant_members
 
 # Thresholds of the selection, and the names that recovered boxes carry.
 SAME_IOU, NEW_SHARE, NEW_LEAST, UNCOVERED, RECOVER_AREA, TIGHT, PAD, MOST_RECOVERED = 0.85, 0.40, 2, 0.02, 0.12, 0.55, 6.0, 32
@@ -87,9 +88,10 @@ def select_boxes(boxes: pd.DataFrame, lines: np.ndarray, w: float, h: float, thr
     """Kept and recovered boxes of one page and variant in reading order; boxes need norm_label, score, support, seq and corners."""
     xy, score = boxes[list(XY)].to_numpy(float), boxes["score"].fillna(0.0).to_numpy(float)
     size = _areas(xy)
+    labels, supports_, seqs, families, models = (boxes[c].to_numpy(object) for c in ("norm_label", "support", "seq", "source_family", "source_model"))
     kept = Selection(lines)
-    for i in sorted(range(len(boxes)), key=lambda i: (-score[i], -size[i], boxes["seq"].iat[i])):
-        b, label, support = xy[i], boxes["norm_label"].iat[i], boxes["support"].iat[i]
+    for i in np.lexsort((boxes["seq"].to_numpy(), -size, -score)):
+        b, label, support = xy[i], labels[i], supports_[i]
         bw, bh, share = b[2] - b[0], b[3] - b[1], size[i] / max(1.0, w * h)
         if bw <= 1 or bh <= 1:
             continue
@@ -116,7 +118,7 @@ def select_boxes(boxes: pd.DataFrame, lines: np.ndarray, w: float, h: float, thr
                 continue
             if giant:
                 continue
-        kept.add(b[None], label, [(boxes["seq"].iat[i], boxes["source_family"].iat[i], boxes["source_model"].iat[i], score[i])])
+        kept.add(b[None], label, [(seqs[i], families[i], models[i], score[i])])
     out = pd.DataFrame(kept.source, columns=["seq", "source_family", "source_model", "score"])
     out[list(XY)], out["norm_label"] = kept.box, kept.label
     out = out.sort_values(["y1", "x1"], kind="stable").reset_index(drop=True)
@@ -148,16 +150,6 @@ def fuse(boxes: DataFrame, lines: DataFrame, width: int, height: int, threshold:
     return rated.groupBy("page_id").cogroup(lines.select("page_id", "line_ord", *XY).groupBy("page_id")).applyInPandas(run, OUT)
 
 
-def raster(xy: np.ndarray, w: int, h: int) -> np.ndarray:
-    """The page's cells, set where a box touches them."""
-    wide, high = max(1, -(-w // int(CELL))), max(1, -(-h // int(CELL)))
-    out = np.zeros((high, wide), bool)
-    low, top = np.floor(xy[:, :2] / CELL).astype(int), np.ceil(xy[:, 2:] / CELL).astype(int)
-    for (a, t), (b, u) in zip(np.clip(low, 0, [wide, high]), np.clip(top, 0, [wide, high]), strict=True):
-        out[t:u, a:b] = True
-    return out
-
-
 def _text(g: pd.DataFrame) -> np.ndarray:
     return g.loc[g["norm_label"].isin(["text", "title"]), list(XY)].to_numpy(float).reshape(-1, 4)
 
@@ -230,19 +222,71 @@ def measure(boxes: DataFrame, lines: DataFrame, width: int, height: int, thresho
 
 
 def board(measures: DataFrame) -> DataFrame:
-    """Each variant's and source's means over pages, its pages better than S1 in recall, and score = recall + 0.25 area - 0.00025 boxes."""
-    first = measures.filter("kind = 'variant' and name = 'S1'").select("page_id", F.col("base_recall").alias("r1"))
-    m = measures.join(first, "page_id").groupBy("kind", "name").agg(
-        F.count(F.lit(1)).alias("pages"), F.avg("base_recall").alias("r"), F.avg("line_coverage").alias("c"), F.median("line_coverage").alias("median"), F.avg("text_area").alias("a"), F.avg("box_count").alias("b"), F.count_if(F.col("base_recall") > F.col("r1")).alias("improved")
+    """Each variant's and source's means over pages (recall over pages that have one), its pages better than S1 in recall, and score = recall + 0.25 area - 0.00025 boxes."""
+    first = measures.filter("kind = 'variant' and name = 'S1'").select("page_id", F.coalesce("base_recall", F.lit(0.0)).alias("r1"))
+    better = F.coalesce("base_recall", F.lit(0.0)) > F.col("r1")
+    m = measures.join(first, "page_id", "left").groupBy("kind", "name").agg(
+        F.count(F.lit(1)).alias("pages"),
+        F.coalesce(F.avg("base_recall"), F.lit(0.0)).alias("r"),
+        F.avg("line_coverage").alias("c"),
+        F.median("line_coverage").alias("median"),
+        F.avg("text_area").alias("a"),
+        F.avg("box_count").alias("b"),
+        F.count_if(better).alias("improved"),
     )
     score = F.col("r") + 0.25 * F.col("a") - 0.00025 * F.col("b")
-    return m.select("kind", "name", "pages", F.round("r", 6).alias("recall"), F.round("c", 6).alias("line_coverage"), F.round("median", 6).alias("median_line_coverage"), F.round("a", 6).alias("area"), F.round("b", 3).alias("boxes"), "improved", F.round(score, 6).alias("score"))
+    rounded = [F.round(c, n).alias(name) for c, n, name in (("r", 6, "recall"), ("c", 6, "line_coverage"), ("median", 6, "median_line_coverage"), ("a", 6, "area"), ("b", 3, "boxes"))]
+    return m.select("kind", "name", "pages", *rounded, "improved", F.round(score, 6).alias("score"))
+
+
+def variant_board(measures: DataFrame) -> DataFrame:
+    """Variants, best first."""
+    return board(measures).filter("kind = 'variant'").drop("kind").orderBy(F.desc("score"), "name")
+
+
+def source_board(measures: DataFrame) -> DataFrame:
+    """Sources, best first."""
+    return board(measures).filter("kind = 'source'").drop("kind", "median_line_coverage", "improved").orderBy(F.desc("score"), "name")
+
+
+def recommended(measures: DataFrame, wanted: str) -> DataFrame:
+    """best_by_score and recommended: the wanted variant if it was measured, else the best."""
+    b = board(measures).filter("kind = 'variant'")
+    return b.agg(F.max_by("name", F.struct("score", F.col("name"))).alias("best_by_score"), F.max(F.when(F.col("name") == wanted, F.col("name"))).alias("found")).select("best_by_score", F.coalesce("found", "best_by_score").alias("recommended"))
+
+
+def per_page(measures: DataFrame, kind: str) -> DataFrame:
+    """Page by page and name by name."""
+    return measures.filter(F.col("kind") == kind).select("page_id", "name", F.coalesce("base_recall", F.lit(0.0)).alias("base_recall"), "line_coverage", "uncovered_lines", "box_count", "text_area").orderBy("page_id", "name")
+
+
+def _gains(measures: DataFrame, low: str, high: str, weights: tuple[float, float, float], most: int, how: str) -> DataFrame:
+    """rank, page_id, score, recall_gain, area_gain: the pages where `high` gains most over `low`, and those `low` does badly on."""
+    z = lambda c: F.coalesce(c, F.lit(0.0))
+    pick = lambda v, p: measures.filter((F.col("kind") == "variant") & (F.col("name") == v)).select("page_id", F.col("base_recall").alias(f"{p}r"), F.col("text_area").alias(f"{p}a"))
+    both = pick(low, "l").join(pick(high, "h"), "page_id", how)
+    gain, area = z("hr") - z("lr"), z("ha") - z("la")
+    score = weights[0] * gain + weights[1] * area + weights[2] * (1.0 - z("lr"))
+    top = both.select("page_id", F.round(score, 6).alias("score"), F.round(gain, 6).alias("recall_gain"), F.round(area, 6).alias("area_gain")).orderBy(F.desc("score"), "page_id").limit(most)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "page_id")))  # at most `most` rows
 
 
 def informative(measures: DataFrame, variant: str, most: int = 20) -> DataFrame:
-    """The pages where the variant gains most over S1, and those S1 does badly on."""
-    pick = lambda v, *cs: measures.filter((F.col("kind") == "variant") & (F.col("name") == v)).select("page_id", *cs)
-    both = pick(variant, "base_recall", "text_area").join(pick("S1", F.col("base_recall").alias("r1"), F.col("text_area").alias("a1")), "page_id")
-    gain, area = F.col("base_recall") - F.col("r1"), F.col("text_area") - F.col("a1")
-    score = 3.0 * gain + 2.0 * area + 0.7 * (1.0 - F.col("r1"))
-    return both.select("page_id", F.round(score, 6).alias("score"), F.round(gain, 6).alias("recall_gain"), F.round(area, 6).alias("area_gain")).orderBy(F.desc("score"), "page_id").limit(most)
+    """Pages ranked by what the variant gains over S1."""
+    return _gains(measures, "S1", variant, (3.0, 2.0, 0.7), most, "full_outer")
+
+
+def delta(measures: DataFrame, without: str = "P2", with_: str = "P4", most: int = 20) -> DataFrame:
+    """Pages ranked by what the variant with one source more gains, where both were measured."""
+    return _gains(measures, without, with_, (3.5, 1.5, 0.5), most, "inner")
+
+
+def review_pages(measures: DataFrame, pages: DataFrame, variant: str, mode: str = "all", most: int = 20) -> DataFrame:
+    """page_id of the pages to show: all, or those of either ranking (top20), the first five of `pages` (page_id, ord) if neither ranks any; in the order of pages."""
+    if mode == "all":
+        return pages.orderBy("ord").select("page_id")
+    if mode != "top20":
+        raise ValueError(f"unknown review mode {mode}: all or top20")
+    named = informative(measures, variant, most).select("page_id").union(delta(measures, most=most).select("page_id")).distinct()
+    first = pages.orderBy("ord").limit(5) if named.limit(1).count() == 0 else pages.join(F.broadcast(named), "page_id", "left_semi")  # at most 2 * most rows
+    return first.orderBy("ord").select("page_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,16 +18,22 @@ def prefixed(df: DataFrame, p: str, *keep: str) -> DataFrame:
     return df.select(*keep, *[F.col(c).alias(p + c) for c in df.columns if c not in keep])
 
 
+def overlapping(a: str, b: str) -> Column:
+    """Four comparisons that spare most pairs the arithmetic."""
+    return (F.col(f"{a}x1") < F.col(f"{b}x2")) & (F.col(f"{b}x1") < F.col(f"{a}x2")) & (F.col(f"{a}y1") < F.col(f"{b}y2")) & (F.col(f"{b}y1") < F.col(f"{a}y2"))
+
+
 def cross_source_support(boxes: DataFrame, most: int = 3) -> DataFrame:
     """page_id, seq, support: families (own included) with an overlapping box of the same label on the page, at most `most`.
 
-    Hash join on page and label; the overlap is its residual.  Pages hold hundreds of boxes, so a key's square is small.
+    Hash join on page and label.  Pairs that do not overlap go by comparisons alone; the others' shared area is computed once.  Pages hold hundreds of boxes, so a key's square is small.
     """
-    own = boxes.select("page_id", "norm_label", "seq", *XY)
-    other = boxes.select("page_id", "norm_label", "source_family", *XY)
-    pairs = prefixed(own, "a_", "page_id", "norm_label").join(prefixed(other, "b_", "page_id", "norm_label"), ["page_id", "norm_label"])
-    near = (L.iou("a_", "b_") >= 0.20) | (L.ioa("a_", "b_") >= 0.60) | (L.ioa("b_", "a_") >= 0.60)
-    found = pairs.filter(near).groupBy("page_id", F.col("a_seq").alias("seq")).agg(F.count_distinct("b_source_family").alias("n"))
+    rows = boxes.select("page_id", "norm_label", "seq", "source_family", *XY, L.box_area().alias("area"))
+    other = prefixed(rows.drop("seq"), "b_", "page_id", "norm_label").hint("shuffle_hash")
+    pairs = prefixed(rows.drop("source_family"), "a_", "page_id", "norm_label").join(other, ["page_id", "norm_label"]).filter(overlapping("a_", "b_"))
+    shared = pairs.select("page_id", F.col("a_seq").alias("seq"), "b_source_family", L.intersection("a_", "b_").alias("i"), "a_area", "b_area")
+    near = (F.col("i") / (F.col("a_area") + F.col("b_area") - F.col("i")) >= 0.20) | (F.col("i") / F.least("a_area", "b_area") >= 0.60)
+    found = shared.filter(near).groupBy("page_id", "seq").agg(F.size(F.collect_set("b_source_family")).alias("n"))
     return boxes.join(found, ["page_id", "seq"], "left").select("page_id", "seq", F.least(F.lit(most), F.coalesce("n", F.lit(1))).cast("int").alias("support"))
 
 
@@ -41,15 +49,14 @@ def pseudo_lines(boxes: DataFrame, width: int, height: int, most: int = 120) ->
 def line_coverage(lines: DataFrame, boxes: DataFrame) -> DataFrame:
     """Each line's best coverage by a box of its page, 0 without any, and the number of boxes that cover half of it."""
     pairs = prefixed(lines.select("page_id", "line_ord", *XY), "l_", "page_id").join(prefixed(boxes.select("page_id", *XY), "b_", "page_id"), "page_id")
-    overlap = (F.col("l_x1") < F.col("b_x2")) & (F.col("b_x1") < F.col("l_x2")) & (F.col("l_y1") < F.col("b_y2")) & (F.col("b_y1") < F.col("l_y2"))
-    best = pairs.filter(overlap).groupBy("page_id", F.col("l_line_ord").alias("line_ord")).agg(F.max(L.ioa("l_", "b_")).alias("best"), F.count_if(L.ioa("l_", "b_") >= 0.5).alias("covering"))
+    best = pairs.filter(overlapping("l_", "b_")).groupBy("page_id", F.col("l_line_ord").alias("line_ord")).agg(F.max(L.ioa("l_", "b_")).alias("best"), F.count_if(L.ioa("l_", "b_") >= 0.5).alias("covering"))
     return lines.join(best, ["page_id", "line_ord"], "left").select("page_id", "line_ord", F.round(F.coalesce("best", F.lit(0.0)), 6).alias("best_coverage"), F.coalesce("covering", F.lit(0)).alias("covering"))
 
 
 def line_hits(boxes: DataFrame, lines: DataFrame, threshold: float = 0.5) -> DataFrame:
     """page_id, seq, hits: the page's lines that a box covers to the threshold."""
     pairs = prefixed(boxes.select("page_id", "seq", *XY), "b_", "page_id").join(prefixed(lines.select("page_id", *XY), "l_", "page_id"), "page_id")
-    hit = pairs.filter(L.ioa("l_", "b_") >= threshold).groupBy("page_id", F.col("b_seq").alias("seq")).agg(F.count(F.lit(1)).alias("hits"))
+    hit = pairs.filter(overlapping("l_", "b_")).filter(L.ioa("l_", "b_") >= threshold).groupBy("page_id", F.col("b_seq").alias("seq")).agg(F.count(F.lit(1)).alias("hits"))
     return boxes.join(hit, ["page_id", "seq"], "left").select("page_id", "seq", F.coalesce("hits", F.lit(0)).alias("hits"))
 
 
@@ -62,46 +69,68 @@ def base_candidates(boxes: DataFrame, width: int, height: int) -> DataFrame:
     return rated.filter(~text | ~bad)
 
 
-def union_cells(boxes: DataFrame, width: int, height: int, *keys: str) -> DataFrame:
-    """keys, cells: cells of the raster that the boxes of a group touch, by interval unions row by row; no raster is made."""
-    wide, high = max(1, -(-width // int(CELL))), max(1, -(-height // int(CELL)))
-    clip = lambda c, f, top: F.least(F.greatest(f(F.col(c) / CELL).cast("int"), F.lit(0)), F.lit(top))
-    spans = boxes.select(*keys, clip("x1", F.floor, wide).alias("a"), clip("x2", F.ceil, wide).alias("b"), clip("y1", F.floor, high).alias("t"), clip("y2", F.ceil, high).alias("u")).filter("b > a and u > t")
-    rows = spans.withColumn("y", F.explode(F.sequence(F.col("t"), F.col("u") - 1))).select(*keys, "y", "a", "b").distinct()
-    before = Window.partitionBy(*keys, "y").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
-    fresh = F.greatest(F.lit(0), F.col("b") - F.greatest(F.col("a"), F.coalesce(F.max("b").over(before), F.col("a"))))
-    return rows.withColumn("n", fresh).groupBy(*keys).agg(F.sum("n").cast("long").alias("cells"))
+def raster(xy: np.ndarray, w: int, h: int) -> np.ndarray:
+    """The page's cells, set where a box touches them."""
+    wide, high = max(1, -(-w // int(CELL))), max(1, -(-h // int(CELL)))
+    out = np.zeros((high, wide), bool)
+    low, top = np.floor(xy[:, :2] / CELL).astype(int), np.ceil(xy[:, 2:] / CELL).astype(int)
+    for (a, t), (b, u) in zip(np.clip(low, 0, [wide, high]), np.clip(top, 0, [wide, high]), strict=True):
+        out[t:u, a:b] = True
+    return out
+
+
+def union_cells(boxes: DataFrame, width: int, height: int) -> DataFrame:
+    """page_id, cells, ratio: cells of the page's raster that its boxes touch.
+
+    One page's boxes, some hundreds, make a group, and its raster stays in the worker.
+    """
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        cells = raster(g[list(XY)].to_numpy(float), width, height)
+        return pd.DataFrame({"page_id": g["page_id"].head(1), "cells": int(cells.sum()), "ratio": round(float(cells.mean()), 6)})
+
+    return boxes.select("page_id", *XY).groupBy("page_id").applyInPandas(run, "page_id long, cells long, ratio double").filter("cells > 0")
 
 
-def raster_cells(width: int, height: int) -> int:
-    return max(1, -(-width // int(CELL))) * max(1, -(-height // int(CELL)))
+def base_recall(boxes: DataFrame, base: DataFrame, width: int, height: int) -> DataFrame:
+    """page_id, recall: cells that boxes and base share over the base's, 0 for a base without cells; pages of either."""
 
+    def run(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        ours, of = (raster(x[list(XY)].to_numpy(float).reshape(-1, 4), width, height) for x in (mine, theirs))
+        page = (mine if len(mine) else theirs)["page_id"].head(1)
+        return pd.DataFrame({"page_id": page, "recall": round(float((ours & of).sum() / of.sum()), 6) if of.any() else 0.0})
 
-def base_recall(boxes: DataFrame, base: DataFrame, width: int, height: int, *keys: str) -> DataFrame:
-    """keys, page_id, recall: shared cells of boxes and base over the base's, by inclusion and exclusion of unions."""
-    ours = union_cells(boxes, width, height, *keys, "page_id").withColumnRenamed("cells", "f")
-    theirs = union_cells(base, width, height, "page_id").withColumnRenamed("cells", "g")
-    groups = boxes.select(*keys, "page_id").distinct()
-    both = boxes.select(*keys, "page_id", *XY).unionByName(groups.join(base.select("page_id", *XY), "page_id").select(*keys, "page_id", *XY))
-    joint = union_cells(both, width, height, *keys, "page_id").withColumnRenamed("cells", "u")
-    out = groups.join(ours, [*keys, "page_id"], "left").join(joint, [*keys, "page_id"], "left").join(theirs, "page_id", "left")
-    z = lambda c: F.coalesce(c, F.lit(0))
-    return out.select(*keys, "page_id", F.round(L.ratio((z("f") + z("g") - z("u")).cast("double"), z("g")), 6).alias("recall"))
+    of_page = lambda d: d.select("page_id", *XY).groupBy("page_id")
+    return of_page(boxes).cogroup(of_page(base)).applyInPandas(run, "page_id long, recall double")
 
 
-def greedy_keep(boxes: DataFrame, least_cover: float, least_iou: float) -> DataFrame:
-    """Greedy selection page by page, largest first: a box goes if a kept one covers least_cover of it or has least_iou with it.
+def greedy_keep(boxes: DataFrame, least_cover: float, least_iou: float, largest_first: bool = True) -> DataFrame:
+    """Greedy selection page by page, by size, then score, then reading order: a box goes if a kept one covers least_cover of it or has least_iou with it.
 
-    A fold over each page's boxes inside the JVM; pages hold hundreds of boxes.  Returns page_id, kept (seqs in order).
+    A fold over each page's boxes inside the JVM; pages hold hundreds of boxes.  boxes (page_id, seq, reading_order, score, corners);
+    reading order 0 or null counts as last.  Returns page_id, kept (seqs in order).
     """
-    item = F.struct((-L.box_area()).alias("neg"), (-F.coalesce("score", F.lit(0.0))).alias("ns"), *[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")], F.col("seq").cast("int").alias("seq"))
-    pages = boxes.groupBy("page_id").agg(F.sort_array(F.collect_list(item)).alias("items"))
-    kept = "cast(array() as array<struct<neg:double,ns:double,x1:double,y1:double,x2:double,y2:double,seq:int>>)"
+    rank = -L.box_area() if largest_first else L.box_area()
+    last = F.coalesce(F.nullif(F.col("reading_order").cast("long"), F.lit(0)), F.lit(10**9))
+    corners = [F.col(c).cast("double").alias(c) for c in XY]
+    item = F.struct(rank.alias("rank"), (-F.coalesce("score", F.lit(0.0))).alias("ns"), last.alias("ro"), F.col("seq").cast("int").alias("seq"), *corners, L.box_area().alias("area"))
+    pages = boxes.filter(L.box_area() > 0).groupBy("page_id").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    kept = "cast(array() as array<struct<rank:double,ns:double,ro:bigint,seq:int,x1:double,y1:double,x2:double,y2:double,area:double>>)"
     inter = "greatest(0d, least(k.x2, b.x2) - greatest(k.x1, b.x1)) * greatest(0d, least(k.y2, b.y2) - greatest(k.y1, b.y1))"
-    clash = f"exists(acc, k -> {inter} >= {least_cover}D * -b.neg or {inter} >= {least_iou}D * (-k.neg - b.neg - {inter}))"
+    clash = f"exists(acc, k -> {inter} >= {least_cover}D * b.area or {inter} >= {least_iou}D * (k.area + b.area - {inter}))"
     return pages.select("page_id", F.expr(f"transform(aggregate(items, {kept}, (acc, b) -> if({clash}, acc, concat(acc, array(b)))), k -> k.seq)").alias("kept"))
 
 
+def ocr_boxes(boxes: DataFrame) -> DataFrame:
+    """The boxes to read: titles, small ones first, and texts, large ones first, without those that repeat kept ones; box_index numbers a page's boxes."""
+    title = greedy_keep(boxes.filter(F.col("norm_label") == "title"), 0.92, 0.85, largest_first=False)
+    text = greedy_keep(boxes.filter(F.col("norm_label") == "text"), 0.85, 0.75)
+    kept = title.union(text).select("page_id", F.explode("kept").alias("seq"))
+    last = F.coalesce(F.nullif(F.col("reading_order").cast("long"), F.lit(0)), F.lit(10**9))
+    number = F.row_number().over(Window.partitionBy("page_id").orderBy(last, "y1", "x1", F.col("norm_label").desc(), "seq"))
+    return boxes.join(kept, ["page_id", "seq"]).withColumn("box_index", number)
+
+
 def dedupe_quantized(rows: DataFrame, step: float, *keys: str) -> DataFrame:
     """The first row (by seq) of each page, keys and quantized place."""
     q = rows.select("*", *L.quantized(step))
@@ -117,19 +146,3 @@ def variant_members() -> dict[str, tuple[str, ...]]:
     """Variants and the models they fuse."""
     paddle = ("pld_v2", "pld_v3", "pld_plusL", "pvl15")
     return {"S1": ("pld_plusL",), "S2": ("dell",), "S3": ("mineru25",), "P1": paddle, "P2": (*paddle, "dell"), "P3": (*paddle, "mineru25"), "P4": (*paddle, "dell", "mineru25")}
-
-
-def page_metrics(boxes: DataFrame, base: DataFrame, width: int, height: int, key: str) -> DataFrame:
-    """key, page_id, boxes, area ratio of text and titles, recall of the base."""
-    text = boxes.filter(F.col("norm_label").isin("text", "title"))
-    n = boxes.groupBy(key, "page_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("norm_label") == "text").alias("n_text"))
-    cells = union_cells(text, width, height, key, "page_id")
-    share = F.round(F.coalesce("cells", F.lit(0)) / float(raster_cells(width, height)), 6)
-    return n.join(cells, [key, "page_id"], "left").join(base_recall(boxes, base, width, height, key), [key, "page_id"]).select(key, "page_id", "n", "n_text", share.alias("area"), "recall")
-
-
-def leaderboard(metrics: DataFrame, key: str) -> DataFrame:
-    """Means over pages and score = recall + 0.25 area - 0.00025 boxes."""
-    m = metrics.groupBy(key).agg(F.count(F.lit(1)).alias("pages"), F.avg("recall").alias("r"), F.avg("area").alias("a"), F.avg("n").alias("b"))
-    score = F.col("r") + 0.25 * F.col("a") - 0.00025 * F.col("b")
-    return m.select(key, "pages", F.round("r", 5).alias("recall"), F.round("a", 5).alias("area"), F.round("b", 4).alias("boxes"), F.round(score, 5).alias("score"))

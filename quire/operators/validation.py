@@ -1,10 +1,8 @@
-"""Checks of finished runs: plans, artifacts, headline counts, progress, and the rollup of issues (level, code, subject)."""
+"""Progress of runs, the rollup of issues (level, code, ...), paths that leave a run, and files unfit to publish."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -19,42 +17,11 @@ SECRETS = {
     "local macOS path": r"/Users/[A-Za-z0-9._-]+/",
 }
 
-
-def _issues(rows: DataFrame, code: str, subject, level: str = "error") -> DataFrame:
-    return rows.select(F.lit(level).alias("level"), F.lit(code).alias("code"), subject.cast("string").alias("subject"))
-
-
-def _pair():
-    return F.concat_ws("/", "page_id", "model_id")
-
-
-def plan_issues(plan: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Issues of plan rows (page_id, model_id) against the manifest's pages (page_id)."""
-    known = manifest.select("page_id").distinct()
-    turn = F.row_number().over(Window.partitionBy("page_id", "model_id").orderBy("page_id"))
-    return reduce(DataFrame.unionByName, [
-        _issues(plan.filter(F.coalesce(F.col("page_id").cast("string"), F.lit("")) == ""), "model_plan_missing_page_id", F.col("model_id")),
-        _issues(plan.select("page_id").distinct().join(known, "page_id", "left_anti").filter("page_id is not null"), "unknown_model_plan_page", F.col("page_id")),
-        _issues(known.join(plan, "page_id", "left_anti"), "missing_model_plan_page", F.col("page_id")),
-        _issues(plan.withColumn("turn", turn).filter("turn > 1"), "duplicate_planned_model", _pair()),
-    ])
-
-
-def artifact_issues(plan: DataFrame, failed: DataFrame, outputs: DataFrame) -> DataFrame:
-    """Planned pairs neither failed nor present, failed ones that left an output, and outputs nobody planned; all (page_id, model_id)."""
-    keys = ["page_id", "model_id"]
-    plan, failed, outputs = (d.select(*keys).distinct() for d in (plan, failed, outputs))
-    return reduce(DataFrame.unionByName, [
-        _issues(plan.join(failed, keys, "left_anti").join(outputs, keys, "left_anti"), "missing_model_output", _pair()),
-        _issues(failed.join(outputs, keys, "left_semi"), "failed_adapter_has_model_output", _pair()),
-        _issues(outputs.join(plan, keys, "left_anti"), "unexpected_model_output", _pair()),
-    ])
-
-
-def headline_issues(stated: DataFrame, counted: DataFrame) -> DataFrame:
-    """Names whose stated value differs from the counted one; both (name, value)."""
-    both = stated.select("name", F.col("value").alias("stated")).join(counted.select("name", F.col("value").alias("counted")), "name", "full_outer")
-    return _issues(both.filter(~F.col("stated").eqNullSafe(F.col("counted"))), "headline_mismatch", F.col("name")).withColumn("code", F.concat(F.col("subject"), F.lit("_mismatch")))
+# Folders, names and endings that published files must not have, and their greatest size.
+CACHE_PARTS = ("__pycache__", ".pytest_cache", ".mypy_cache", ".ruff_cache")
+SENSITIVE_NAMES = (".DS_Store", ".env", "credentials.json", "id_rsa", "id_ed25519")
+SENSITIVE_ENDINGS = (".key", ".p12", ".pem", ".pid", ".pyc")
+MOST_BYTES = 10 * 1024 * 1024
 
 
 def issue_rollup(issues: DataFrame, strict: bool = False) -> DataFrame:
@@ -70,12 +37,52 @@ def stage_progress(expected: DataFrame, artifacts: DataFrame, first: int = 10) -
     stages = artifacts.select("stage").distinct().agg(F.sort_array(F.collect_set("stage")).alias("stages"))  # one row: a run has a handful of stages
     grid = slugs.join(F.broadcast(stages)).select("slug", F.explode("stages").alias("stage"))
     have = artifacts.select("stage", "slug").distinct().withColumn("have", F.lit(True))
-    seen = grid.join(have, ["stage", "slug"], "left").withColumn("rank", F.row_number().over(Window.partitionBy("stage").orderBy(F.col("have").isNotNull(), "slug")))
-    lost = F.when(F.col("have").isNull() & (F.col("rank") <= first), F.col("slug"))
-    out = seen.groupBy("stage").agg(F.count("have").alias("done"), F.count(F.lit(1)).alias("total"), F.sort_array(F.collect_list(lost)).alias("missing"))
+    seen = grid.join(have, ["stage", "slug"], "left")
+    rank = F.row_number().over(Window.partitionBy("stage").orderBy("slug"))
+    lost = seen.filter("have is null").select("stage", "slug").withColumn("rank", rank).filter(F.col("rank") <= first)
+    names = lost.groupBy("stage").agg(F.sort_array(F.collect_list("slug")).alias("missing"))
+    counts = seen.groupBy("stage").agg(F.count("have").alias("done"), F.count(F.lit(1)).alias("total"))
+    out = counts.join(names, "stage", "left").withColumn("missing", F.coalesce("missing", F.array().cast("array<string>")))
     return out.select("stage", "done", "total", F.round(F.col("done") * 100 / F.col("total"), 2).alias("percent"), "missing")
 
 
+def resolved(path: Column) -> Column:
+    """Parts of an absolute path without . and .. (which stop at the root)."""
+    empty = F.array().cast("array<string>")
+    up = lambda acc: F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))
+    step = lambda acc, p: F.when(p.isin("", "."), acc).when(p == "..", up(acc)).otherwise(F.concat(acc, F.array(p)))
+    return F.aggregate(F.split(path, "/"), empty, step)
+
+
+def inside(path: Column, root: str) -> Column:
+    """Whether a path, taken from root if it is relative, stays under root."""
+    absolute = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
+    base = [p for p in root.split("/") if p]
+    return F.slice(resolved(absolute), 1, len(base)) == F.array(*map(F.lit, base))
+
+
+def path_issues(outputs: DataFrame, root: str) -> DataFrame:
+    """Outputs (name, path) that leave the run's folder; empty paths stand for defaults."""
+    bad = outputs.filter((F.coalesce("path", F.lit("")) != "") & ~inside(F.col("path"), root))
+    return bad.select(F.lit("error").alias("level"), F.lit("output_path_outside_run").alias("code"), F.col("name").cast("string").alias("detail"))
+
+
+def file_findings(files: DataFrame) -> DataFrame:
+    """path, finding of files (path relative to the root, length, content): cache folders, sensitive names, great sizes, and secrets in text files no greater."""
+    name, parts = F.element_at(F.split("path", "/"), -1), F.split("path", "/")
+    ending = F.lower(F.regexp_extract(name, r".(\.[^.]+)$", 1))
+    small = F.col("length") <= MOST_BYTES
+    body = F.decode("content", "ISO-8859-1")
+    secrets = [F.when(small & ~body.contains("\0") & body.rlike(p), F.lit(n)) for n, p in SECRETS.items()]
+    found = [
+        F.when(F.arrays_overlap(parts, F.array(*map(F.lit, CACHE_PARTS))), F.lit("cache path")),
+        F.when(name.isin(*SENSITIVE_NAMES) | ending.isin(*SENSITIVE_ENDINGS), F.lit("sensitive name")),
+        F.when(~small, F.lit("too large")),
+        *secrets,
+    ]
+    return files.select("path", F.explode(F.array_compact(F.array(*found))).alias("finding"))
+
+
 def secret_findings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, finding: a row for every kind of secret a text holds."""
     kinds = F.array_compact(F.array(*[F.when(F.col(text).rlike(p), F.lit(n)) for n, p in SECRETS.items()]))

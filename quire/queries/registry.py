@@ -1,226 +1,13 @@
-"""All queries of the library outside the training-data operators, each with SQL for an independent engine."""
+"""All queries of the library outside the training-data operators, each with SQL for an independent engine where SQL can express it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from quire.functions import layout as L
-from quire.operators import documents as D
-from quire.operators import fusion as Z
-from quire.operators import performance as P
-from quire.operators import spatial as S
-from quire.operators import validation as V
-from quire.plans import routing as R
-from quire.sources import derived as T
-from quire.sources import legacy as G
-
-W, H = T.WIDTH, T.HEIGHT
-TEXT = ("text", "title")
-
-
-def boxes(spark: SparkSession, d: str) -> DataFrame:
-    return T.boxes(spark, d).withColumn("norm_label", L.normalize_label(F.col("source_label")))
-
-
-def sound(spark: SparkSession, d: str) -> DataFrame:
-    return boxes(spark, d).filter(~L.degenerate())
-
-
-def manifest(spark: SparkSession, d: str) -> DataFrame:
-    """Manifest rows with defects, from orders."""
-    o = T.table(spark, d, "orders")
-    k, n = F.col("o_orderkey"), F.col("o_orderpriority")
-    pid = F.when(k % 97 == 0, "").when(k % 89 == 0, F.concat(F.lit("../x"), k.cast("string"))).otherwise(F.concat(F.lit("p"), (k % 4999).cast("string")))
-    return o.select(k.alias("line"), pid.alias("page_id"), F.when(k % 53 == 0, "").otherwise(F.concat(F.lit("img/"), k.cast("string"))).alias("image_path"), F.when(n.startswith("1"), "x").otherwise((k % 40).cast("string")).alias("page_number"))
-
-
-def profiles(spark: SparkSession, d: str) -> DataFrame:
-    """Page profiles from customers: dark share by balance, aspect by key."""
-    c = T.table(spark, d, "customer")
-    dark, aspect = F.col("c_acctbal") / 40000.0, (F.col("c_custkey") % 10).cast("double") / 5
-    return c.select(F.col("c_custkey").alias("page_id"), (F.lit(300) + F.col("c_custkey") % 700).cast("int").alias("w"), (F.lit(400) + F.col("c_custkey") % 900).cast("int").alias("h"), R.complexity(dark, aspect).alias("complexity"))
-
-
-def variants(spark: SparkSession, d: str) -> DataFrame:
-    members = S.variant_members()
-    rows = [F.array(*[F.lit(v) for v, m in members.items() if model in m]) for model in ("pld_v2", "pld_v3", "pld_plusL", "pvl15", "dell", "mineru25")]
-    pick = F.coalesce(*[F.when(F.col("source_model") == m, r) for m, r in zip(("pld_v2", "pld_v3", "pld_plusL", "pvl15", "dell", "mineru25"), rows, strict=True)])
-    return sound(spark, d).withColumn("variant", F.explode(pick))
-
-
-def metrics(spark: SparkSession, d: str, key: str) -> DataFrame:
-    rows = variants(spark, d) if key == "variant" else sound(spark, d)
-    return S.page_metrics(rows, S.base_candidates(boxes(spark, d), W, H), W, H, key)
-
-
-# SQL for the derived inputs.
-BOXES = """
-bh as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_quantity as bigint) as q, l_partkey*7919 + l_suppkey*104729 + l_linenumber*1299709 as h from lineitem),
-bg as (select cast(floor(l_orderkey/64.0) as bigint) as page_id, l_orderkey % 64 as k, h, q, row_number() over (partition by cast(floor(l_orderkey/64.0) as bigint) order by l_orderkey, l_linenumber, l_partkey, l_suppkey) as seq from bh),
-braw as (select page_id, cast(seq as int) as seq, k,
-  case h % 6 when 4 then 'dell' when 5 then 'mineru' else 'paddle' end as source_family,
-  case h % 6 when 0 then 'pld_v2' when 1 then 'pld_v3' when 2 then 'pld_plusL' when 3 then 'pvl15' when 4 then 'dell' else 'mineru25' end as source_model,
-  case when k % 16 = 0 then 'headline' when k % 16 = 1 then 'photograph' when k % 16 = 2 then 'table' when h % 2 = 0 then 'article' else 'paragraph' end as source_label,
-  cast(case when q >= 50 then 50 when q = 1 then 0 when q = 2 then 20 + (k % 4)*600 else 20 + (k % 4)*600 + (h % 7)*3 end as double) as x1,
-  cast(case when q >= 50 then 100 + (h % 5)*8 when q = 1 then 10 + floor(k/4.0)*198 when q = 2 then 10 else 10 + floor(k/4.0)*198 + (h % 5)*3 end as double) as y1,
-  cast(case when q >= 50 then 2350 when q = 1 then 2400 when q = 2 then 100 + (k % 4)*600 when q = 3 then 20 + (k % 4)*600 else 560 + (k % 4)*600 - (h % 4)*8 end as double) as x2,
-  cast(case when q >= 50 then 2600 when q = 1 then 70 + floor(k/4.0)*198 when q = 2 then 3190 else 180 + floor(k/4.0)*198 - (h % 3)*6 end as double) as y2,
-  cast(h % 128 as double)/128 as score from bg),
-bx as (select *, case when k % 16 = 0 then 'title' when k % 16 = 1 then 'image' when k % 16 = 2 then 'table' else 'text' end as norm_label, greatest(0, x2-x1)*greatest(0, y2-y1) as area,
-  x2-x1 <= 1 or y2-y1 <= 1 as flat,
-  case when x2-x1 >= 1560 and y2-y1 <= 192 then 'wide' when y2-y1 >= 2080 and x2-x1 <= 144 then 'tall' else 'none' end as strip from braw)"""
-TIMES = """
-tm as (select event_id as ord, user_id as page_id, event_type as stage, event_type as model_id, case when value >= 0 then value else 0 end as s, case when event_type = 'error' then 'error' else 'ok' end as status,
-  case when cast(regexp_extract(props, '([0-9]+)', 1) as bigint) % 2 = 0 then 'cpu' else 'gpu' end as resource_class, case when value > 50 then 'hard' when value > 20 then 'medium' else 'easy' end as complexity from events)"""
-SUMMARY = """count(*) as n, count(*) filter (status in ('ok', 'skipped')) as completed, count(*) filter (status not in ('ok', 'skipped')) as failed, round(sum(s), 4) as seconds_total, round(avg(s), 4) as seconds_mean,
-  round(quantile_cont(s, 0.5), 4) as seconds_p50, round(quantile_cont(s, 0.95), 4) as seconds_p95, max(s) as seconds_max, round(case when sum(s) > 0 then count(*) filter (status in ('ok', 'skipped')) / sum(s) * 60 else 0 end, 4) as completed_per_minute"""
-PLAN = """
-pl as (select page_id, model_id from (select distinct page_id from tm), (select distinct model_id from tm) where (page_id + length(model_id)) % 5 <> 0),
-ob as (select page_id, model_id, bool_or(status = 'ok') as ok, bool_or(status <> 'ok') as bad from tm group by all)"""
-MANIFEST = """
-mf as (select o_orderkey as line, case when o_orderkey % 97 = 0 then '' when o_orderkey % 89 = 0 then '../x' || o_orderkey else 'p' || (o_orderkey % 4999) end as page_id,
-  case when o_orderkey % 53 = 0 then '' else 'img/' || o_orderkey end as image_path, case when starts_with(o_orderpriority, '1') then 'x' else cast(o_orderkey % 40 as varchar) end as page_number from orders)"""
-PROFILE = """
-pf as (select c_custkey as page_id, cast(300 + c_custkey % 700 as int) as w, cast(400 + c_custkey % 900 as int) as h, case when c_acctbal / 40000.0 > 0.22 or cast(c_custkey % 10 as double) / 5 > 1.8 then 'hard' when c_acctbal / 40000.0 > 0.12 then 'medium' else 'easy' end as complexity from customer),
-md(ord, model_id, family, resource_class, fits) as (values (0, 'baseline_geometry', 'geometry', 'cpu', 'easy,medium,hard'), (1, 'column_detector', 'geometry', 'cpu', 'medium,hard'), (2, 'legal_probe', 'probe', 'gpu', 'hard')),
-rt as (select page_id, complexity, cast(row_number() over (partition by page_id order by ord) - 1 as int) as ord, model_id, family, resource_class from pf join md on contains(fits, complexity))"""
-
-
-def inter(a: str, b: str) -> str:
-    return f"greatest(0, least({a}.x2, {b}.x2) - greatest({a}.x1, {b}.x1)) * greatest(0, least({a}.y2, {b}.y2) - greatest({a}.y1, {b}.y1))"
-
-
-SUPPORT = f"""
-sp as (select a.page_id, a.seq, cast(least(3, count(distinct b.source_family)) as int) as support from bx a join bx b on a.page_id = b.page_id and a.norm_label = b.norm_label and not a.flat and not b.flat
-  where {inter('a', 'b')} >= 0.2 * (a.area + b.area - {inter('a', 'b')}) or {inter('a', 'b')} / a.area >= 0.6 or {inter('a', 'b')} / b.area >= 0.6 group by all)"""
-LINES = """
-lq as (select *, round_even(x1/8, 0) as a, round_even(y1/8, 0) as b, round_even(x2/8, 0) as c, round_even(y2/8, 0) as d from bx where norm_label in ('text', 'title') and not flat and area <= 614400 and not (x2-x1 >= 2160 and y2-y1 <= 192) and not (y2-y1 >= 2880 and x2-x1 <= 144)),
-lf as (select * from lq qualify row_number() over (partition by page_id, a, b, c, d order by score desc, area desc, seq) = 1),
-ln as (select page_id, cast(row_number() over (partition by page_id order by score desc, area desc, seq) as int) as line_ord, seq, x1, y1, x2, y2, area from lf qualify row_number() over (partition by page_id order by score desc, area desc, seq) <= 120)"""
-HITS = f"""
-ht as (select b.page_id, b.seq, count(*) filter ({inter('l', 'b')} / l.area >= 0.5) as hits from bx b join ln l on l.page_id = b.page_id group by all)"""
-BASE = """
-bs as (select bx.* from bx join sp using (page_id, seq) left join ht using (page_id, seq)
-  where norm_label not in ('text', 'title') or not (strip <> 'none' and support < 2 or area/7680000 >= 0.22 and support < 2 and score < 0.75 or area/7680000 >= 0.30 and support < 3 or coalesce(hits, 0) < 2))"""
-
-
-def cells(source: str, keys: str, out: str) -> str:
-    """Occupied cells by listing them all: another way than interval unions."""
-    return f"{out} as (select {keys}, count(*) as cells from (select distinct {keys}, cx, cy from (select {keys}, unnest(range(cast(greatest(0, floor(x1/8)) as bigint), cast(least(300, ceil(x2/8)) as bigint))) as cx, y1, y2 from {source}), range(0, 400) r(cy) where cy >= floor(y1/8) and cy < ceil(y2/8)) group by all)"
-
-
-VARIANTS = "vm(variant, source_model) as (values " + ", ".join(f"('{v}', '{m}')" for v, ms in S.variant_members().items() for m in ms) + "), vx as (select bx.*, variant from bx join vm using (source_model) where not flat)"
-KEYED = {"variant": VARIANTS, "source_model": "vx as (select * from bx where not flat)"}
-
-
-def metric_sql(key: str) -> str:
-    return f"""with {BOXES}, {SUPPORT}, {LINES}, {HITS}, {BASE}, {KEYED[key]},
-vt as (select * from vx where norm_label in ('text', 'title')), {cells('vt', f'{key}, page_id', 'ca')}, {cells('vx', f'{key}, page_id', 'cf')}, {cells('bs', 'page_id', 'cb')},
-gr as (select distinct {key}, page_id from vx), jn as (select {key}, page_id, x1, y1, x2, y2 from vx union all select gr.{key}, page_id, bs.x1, bs.y1, bs.x2, bs.y2 from gr join bs using (page_id)), {cells('jn', f'{key}, page_id', 'cu')},
-mt as (select {key}, page_id, count(*) as n, count(*) filter (norm_label = 'text') as n_text, round(coalesce(any_value(ca.cells), 0) / 120000.0, 6) as area,
-  round(case when coalesce(any_value(cb.cells), 0) > 0 then cast(coalesce(any_value(cf.cells), 0) + any_value(cb.cells) - coalesce(any_value(cu.cells), 0) as double) / any_value(cb.cells) else 0 end, 6) as recall
-  from vx left join ca using ({key}, page_id) left join cf using ({key}, page_id) left join cu using ({key}, page_id) left join cb using (page_id) group by {key}, page_id)"""
-
-
-BOARD = "select {key}, count(*) as pages, round(avg(recall), 5) as recall, round(avg(area), 5) as area, round(avg(n), 4) as boxes, round(avg(recall) + 0.25*avg(area) - 0.00025*avg(n), 5) as score from mt group by all"
-
-Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
-
-
-def query(name: str, sql: str | None = None) -> Callable:
-    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
-        Q[name] = (f, sql)
-        return f
-
-    return add
-
-
-query("timing_by_stage", f"with {TIMES} select stage, {SUMMARY} from tm group by stage")(lambda s, d: P.timing_summary(T.timings(s, d), "stage"))
-query("timing_grouping_sets", f"with {TIMES} select case when grouping(stage) = 0 then 'stage' when grouping(resource_class) = 0 then 'resource_class' when grouping(model_id) = 0 then 'model_id' else 'complexity' end as breakdown, coalesce(stage, model_id, resource_class, complexity) as value, {SUMMARY} from (select *, model_id as m2 from tm) group by grouping sets ((stage), (model_id), (resource_class), (complexity))")(lambda s, d: P.timing_grouping_sets(T.timings(s, d)))
-query("plan_observed_coverage", f"with {TIMES}, {PLAN}, m as (select *, pl.page_id is not null as p, ob.page_id is not null as o from pl full join ob on pl.page_id = ob.page_id and pl.model_id = ob.model_id) select count(*) filter (p) as planned, count(*) filter (o) as observed, count(*) filter (p and o and ok) as successful, count(*) filter (p and o and bad) as failed, count(*) filter (p and not o) as missing, count(*) filter (o and not p) as unexpected, round(count(*) filter (p and o) / count(*) filter (p), 6) as coverage_ratio from m")(lambda s, d: P.coverage(P.plan_pairs(T.timings(s, d)), T.timings(s, d)))
-query("planned_missing_sample", f"with {TIMES}, {PLAN} select page_id, model_id from pl anti join ob using (page_id, model_id) order by 1, 2 limit 25")(lambda s, d: P.missing_sample(P.plan_pairs(T.timings(s, d)), T.timings(s, d)))
-query("slowest_rows", f"with {TIMES} select ord, page_id, stage, s, status from tm order by s desc, ord limit 10")(lambda s, d: P.slowest(T.timings(s, d)))
-query("headline_performance", f"with {TIMES}, p as (select page_id, bool_and(status = 'ok') as ok, count(*) as n, count(*) filter (status = 'error') as e, sum(s) as s from tm group by 1) select count(*) as pages_attempted, count(*) filter (ok) as pages_completed, count(*) filter (not ok) as pages_failed, cast(sum(n) as bigint) as observed, cast(sum(e) as bigint) as errors, round(count(*) filter (ok) * 60 / sum(s), 4) as pages_per_minute from p")(lambda s, d: P.headline(T.timings(s, d)))
-query("timing_with_model_metadata", f"with {TIMES}, l as (select model_id, max_by(complexity, ord) as family from tm where model_id <> 'click' group by 1) select tm.model_id, coalesce(any_value(family), 'unknown') as family, count(*) as n, round(sum(s), 4) as seconds_total from tm left join l using (model_id) group by 1")(lambda s, d: P.with_model_metadata(T.timings(s, d), T.timings(s, d).filter("model_id <> 'click'").select("model_id", F.col("complexity").alias("family"), "ord")))
-query("page_resource_class", f"with {TIMES} select page_id, case when count(distinct resource_class) = 1 then min(resource_class) else 'mixed' end as resource_class from tm group by 1")(lambda s, d: P.page_resource_class(T.timings(s, d)))
-query("label_normalize", "select p_partkey, case when regexp_matches(x, 'text|article|paragraph|content|reference|number|footnote|caption') then 'text' when regexp_matches(x, 'title|header|headline|masthead|author') then 'title' when contains(x, 'table') then 'table' when regexp_matches(x, 'image|figure|photo|advert|cartoon|logo|picture') then 'image' else 'other' end as label from (select p_partkey, lower(trim(p_type || case p_partkey % 5 when 0 then ' Table' when 1 then ' PHOTO' when 2 then ' caption' when 3 then ' Masthead' else '' end)) as x from part)")(lambda s, d: T.table(s, d, "part").select("p_partkey", L.normalize_label(F.concat("p_type", F.element_at(F.array(*map(F.lit, (" Table", " PHOTO", " caption", " Masthead", ""))), (F.col("p_partkey") % 5 + 1).cast("int")))).alias("label")))
-query("label_histogram", f"with {BOXES} select source_label, count(*) as n from bx group by 1")(lambda s, d: boxes(s, d).groupBy("source_label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "source_label"))
-query("source_family", f"with {BOXES} select source_family as family, count(*) as n from bx group by 1")(lambda s, d: boxes(s, d).groupBy(L.source_family(F.lit(None).cast("string"), F.col("source_model")).alias("family")).agg(F.count(F.lit(1)).alias("n")))
-query("box_geometry", f"with {BOXES} select a.page_id, a.seq, b.seq as other, round({inter('a', 'b')}, 3) as inter, round({inter('a', 'b')} / (a.area + b.area - {inter('a', 'b')}), 6) as iou, round({inter('a', 'b')} / a.area, 6) as ioa from bx a join bx b on a.page_id = b.page_id and a.k = b.k and a.seq < b.seq where not a.flat and not b.flat")(lambda s, d: S.prefixed(sound(s, d).select("page_id", "k", "seq", *S.XY), "a_", "page_id", "k").join(S.prefixed(sound(s, d).select("page_id", "k", "seq", *S.XY), "b_", "page_id", "k"), ["page_id", "k"]).filter("a_seq < b_seq").select("page_id", F.col("a_seq").alias("seq"), F.col("b_seq").alias("other"), F.round(L.intersection("a_", "b_"), 3).alias("inter"), F.round(L.iou("a_", "b_"), 6).alias("iou"), F.round(L.ioa("a_", "b_"), 6).alias("ioa")))
-query("box_flags", f"with {BOXES} select page_id, seq, flat, strip, area >= 614400 or strip <> 'none' as large, not flat and area <= 614400 and not (x2-x1 >= 2160 and y2-y1 <= 192) and not (y2-y1 >= 2880 and x2-x1 <= 144) as line_shaped from bx")(lambda s, d: boxes(s, d).select("page_id", "seq", L.degenerate().alias("flat"), L.strip_shape(W, H).alias("strip"), L.large(W, H).alias("large"), L.line_shaped(W, H).alias("line_shaped")))
-query("crop_boxes", f"with {BOXES}, c as (select page_id, seq, cast(greatest(0, floor(x1) - 8) as int) as cx1, cast(greatest(0, floor(y1) - 8) as int) as cy1, cast(least(2400, ceil(x2) + 8) as int) as cx2, cast(least(3200, ceil(y2) + 8) as int) as cy2 from bx) select * from c where cx2 - cx1 >= 24 and cy2 - cy1 >= 18")(lambda s, d: boxes(s, d).withColumn("c", L.crop_box(W, H)).filter("c is not null").select("page_id", "seq", "c.*"))
-query("cross_source_support", f"with {BOXES}, {SUPPORT} select * from sp")(lambda s, d: S.cross_source_support(sound(s, d)))
-query("pseudo_lines", f"with {BOXES}, {LINES} select page_id, line_ord, seq, x1, y1, x2, y2 from ln")(lambda s, d: S.pseudo_lines(boxes(s, d), W, H))
-query("line_best_coverage", f"with {BOXES}, {LINES} select l.page_id, l.line_ord, round(coalesce(max({inter('l', 'b')} / l.area), 0), 6) as best_coverage, count(*) filter ({inter('l', 'b')} / l.area >= 0.5) as covering from ln l left join bx b on l.page_id = b.page_id and not b.flat and b.source_family = 'dell' group by 1, 2")(lambda s, d: S.line_coverage(S.pseudo_lines(boxes(s, d), W, H), sound(s, d).filter("source_family = 'dell'")))
-query("line_hits", f"with {BOXES}, {LINES}, {HITS} select page_id, seq, coalesce(hits, 0) as hits from bx left join ht using (page_id, seq)")(lambda s, d: S.line_hits(boxes(s, d), S.pseudo_lines(boxes(s, d), W, H)))
-query("base_candidates", f"with {BOXES}, {SUPPORT}, {LINES}, {HITS}, {BASE} select page_id, seq from bs")(lambda s, d: S.base_candidates(boxes(s, d), W, H).select("page_id", "seq"))
-query("union_area_ratio", f"with {BOXES}, t as (select * from bx where norm_label in ('text', 'title')), {cells('t', 'page_id', 'c')} select page_id, cells, round(cells / 120000.0, 6) as ratio from c")(lambda s, d: S.union_cells(boxes(s, d).filter(F.col("norm_label").isin(*TEXT)), W, H, "page_id").withColumn("ratio", F.round(F.col("cells") / float(S.raster_cells(W, H)), 6)))
-query("source_metrics", metric_sql("source_model") + " select source_model, page_id, n, n_text, area, recall from mt")(lambda s, d: metrics(s, d, "source_model"))
-query("source_leaderboard", metric_sql("source_model") + " " + BOARD.format(key="source_model"))(lambda s, d: S.leaderboard(metrics(s, d, "source_model"), "source_model"))
-query("variant_leaderboard", metric_sql("variant") + " " + BOARD.format(key="variant"))(lambda s, d: S.leaderboard(metrics(s, d, "variant"), "variant"))
-query("variant_improvement", metric_sql("variant") + " select a.variant, count(*) filter (a.recall > b.recall) as improved_pages from mt a join mt b on a.page_id = b.page_id and b.variant = 'S1' group by 1")(lambda s, d: (lambda m: m.join(m.filter("variant = 'S1'").select("page_id", F.col("recall").alias("r1")), "page_id").groupBy("variant").agg(F.count_if(F.col("recall") > F.col("r1")).alias("improved_pages")))(metrics(s, d, "variant")))
-query("best_single_variant", metric_sql("source_model") + " select page_id, max_by(source_model, 0.02*n_text + area - 0.0002*n) as best from mt where source_model in ('dell', 'mineru25', 'pld_plusL') group by 1 having count(distinct 0.02*n_text + area - 0.0002*n) = count(*)")(lambda s, d: metrics(s, d, "source_model").filter(F.col("source_model").isin("dell", "mineru25", "pld_plusL")).withColumn("v", 0.02 * F.col("n_text") + F.col("area") - 0.0002 * F.col("n")).groupBy("page_id").agg(F.max_by("source_model", "v").alias("best"), F.count_distinct("v").alias("a"), F.count(F.lit(1)).alias("b")).filter("a = b").select("page_id", "best"))
-query("top_informative", metric_sql("variant") + " select a.page_id, round(3*(b.recall - a.recall) + 2*(b.area - a.area) + 0.7*(1 - a.recall), 5) as score from mt a join mt b on a.page_id = b.page_id and a.variant = 'S1' and b.variant = 'P2' order by 2 desc, 1 limit 10")(lambda s, d: (lambda m: m.filter("variant = 'S1'").select("page_id", F.col("recall").alias("ra"), F.col("area").alias("aa")).join(m.filter("variant = 'P2'"), "page_id").select("page_id", F.round(3 * (F.col("recall") - F.col("ra")) + 2 * (F.col("area") - F.col("aa")) + 0.7 * (1 - F.col("ra")), 5).alias("score")).orderBy(F.desc("score"), "page_id").limit(10))(metrics(s, d, "variant")))
-query("reading_order", f"with {BOXES} select page_id, seq, cast(row_number() over (partition by page_id order by y1, x1, seq) as int) as reading_order from bx")(lambda s, d: S.reading_order(boxes(s, d)).select("page_id", "seq", "reading_order"))
-query("quantized_dedupe", f"with {BOXES} select page_id, seq, source_label from bx qualify row_number() over (partition by page_id, source_label, round_even(x1/8, 0), round_even(y1/8, 0), round_even(x2/8, 0), round_even(y2/8, 0) order by seq) = 1")(lambda s, d: S.dedupe_quantized(boxes(s, d), 8.0, "source_label").select("page_id", "seq", "source_label"))
-query("ocr_line_dedupe", f"with {BOXES} select page_id, seq from bx qualify row_number() over (partition by page_id, source_model, round_even(x1/4, 0), round_even(y1/4, 0), round_even(x2/4, 0), round_even(y2/4, 0) order by seq) = 1")(lambda s, d: S.dedupe_quantized(boxes(s, d), 4.0, "source_model").select("page_id", "seq"))
-query("ordered_model_union", f"with {BOXES} select source_model, cast(row_number() over (order by min(page_id * 100000 + seq)) as int) as position from bx group by 1")(lambda s, d: D.ordered_union(boxes(s, d)))
-query("fused_transcript", "select conv_id as page_id, string_agg(text, chr(10) order by case when turn = 0 then 9999 else turn end, turn) as transcript from (select distinct conv_id, turn, text from conversations where text <> '' qualify row_number() over (partition by conv_id, turn order by text) = 1) group by 1")(lambda s, d: D.fused_transcript(T.table(s, d, "conversations").groupBy(F.col("conv_id").alias("page_id"), F.col("turn").alias("ord")).agg(F.min("text").alias("text")).withColumn("reading_order", F.col("ord"))))
-query("disagreement", f"with {BOXES} select page_id, count(*) as regions, count(*) filter (norm_label = 'text') as n_text, round(greatest(0, count(*) - count(distinct source_model)) / greatest(1, count(*)), 6) as disagreement from bx group by 1")(lambda s, d: D.disagreement(boxes(s, d)))
-query("box_text", "with t as (select doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x)), lambda x: x <> '') as l from documents) select doc_id, cast(len(l) as int) as n_lines, cast(coalesce(length(array_to_string(l, chr(10) || chr(10))), 0) as int) as n_chars, md5(coalesce(array_to_string(l, chr(10) || chr(10)), '')) as digest from t")(lambda s, d: D.page_text(T.table(s, d, "documents")))
-query("table_blocks", "with t as (select page_id, list_filter(regexp_extract_all(html, '<p>([^<]*)</p>', 1), lambda x: x <> '') as l from pages) select page_id, cast(len(l) as int) as n_blocks, array_to_string(l, chr(10) || chr(10)) as blocks from t")(lambda s, d: D.table_blocks(T.table(s, d, "pages")))
-query("checksum", "select doc_id, sha256(text) as checksum from documents")(lambda s, d: T.table(s, d, "documents").select("doc_id", F.sha2("text", 256).alias("checksum")))
-query("safe_token", "select p_partkey, case when t = '' then 'unknown' else t end as token from (select p_partkey, lower(trim(regexp_replace(p_name || ' #' || p_type, '[^A-Za-z0-9]+', '_', 'g'), '_')) as t from part)")(lambda s, d: T.table(s, d, "part").select("p_partkey", L.safe_token(F.concat_ws(" #", "p_name", "p_type")).alias("token")))
-query("manifest_issues", f"with {MANIFEST}, t as (select *, row_number() over (partition by page_id order by line) as turn, regexp_full_match(page_id, '[A-Za-z0-9][A-Za-z0-9._-]{{0,254}}') and not contains(page_id, '..') as safe from mf) select line, 'error' as level, unnest(list_filter([case when page_id = '' then 'missing_page_id' end, case when page_id <> '' and not safe then 'invalid_page_id' end, case when safe and turn > 1 then 'duplicate_page_id' end, case when image_path = '' then 'missing_image_path' end, case when page_number <> '' and try_cast(page_number as int) is null then 'invalid_page_number' end], lambda x: x is not null)) as code from t")(lambda s, d: D.manifest_issues(manifest(s, d)))
-query("region_issues", f"with {BOXES} select page_id, seq, unnest(list_filter([case when x2 <= x1 or y2 <= y1 then 'invalid_bbox' end, case when not (score between 0.01 and 1) then 'invalid_confidence' end], lambda x: x is not null)) as code from bx")(lambda s, d: D.region_issues(boxes(s, d)))
-query("plan_routing", f"with {PROFILE} select * from rt")(lambda s, d: R.route(profiles(s, d)))
-query("plan_summary", f"with {PROFILE} select model_id, resource_class, complexity, count(*) as invocations, count(distinct page_id) as pages from rt group by all")(lambda s, d: R.plan_summary(R.route(profiles(s, d))))
-query("builtin_adapter_regions", f"""with {PROFILE}, g as (select *, greatest(8, cast(trunc(w*0.08) as int)) as mx, greatest(8, cast(trunc(h*0.08) as int)) as my, greatest(8, cast(trunc(w*0.03) as int)) as gu, greatest(8, cast(trunc(h*0.10) as int)) as tp, w // 2 as mid, cast(trunc(w*0.06) as int) as m6 from pf)
-select page_id, 'baseline_geometry' as model_id, mx as x1, my as y1, w-mx as x2, h-my as y2, cast(0.55 as double) as confidence, 1 as reading_order from g union all select page_id, 'column_detector', m6, tp, mid-gu, h-my, 0.68, 1 from g union all select page_id, 'column_detector', mid+gu, tp, w-m6, h-my, 0.68, 2 from g
-union all select page_id, 'legal_probe', cast(trunc(w*cast(0.08 as double)) as int), cast(trunc(h*cast(0.70 as double)) as int), cast(trunc(w*cast(0.92 as double)) as int), cast(trunc(h*cast(0.93 as double)) as int), case when complexity = 'easy' then 0.42 else 0.72 end, 3 from g""")(lambda s, d: R.builtin_regions(profiles(s, d)))
-KEEP = "list_reduce(list_prepend(cast([] as {t}[]), list_transform(items, lambda b: [b])), lambda acc, b: case when len(list_filter(acc, lambda k: greatest(0, least(k.x2, b[1].x2) - greatest(k.x1, b[1].x1)) * greatest(0, least(k.y2, b[1].y2) - greatest(k.y1, b[1].y1)) >= 0.92 * b[1].area or greatest(0, least(k.x2, b[1].x2) - greatest(k.x1, b[1].x1)) * greatest(0, least(k.y2, b[1].y2) - greatest(k.y1, b[1].y1)) >= 0.75 * (k.area + b[1].area - greatest(0, least(k.x2, b[1].x2) - greatest(k.x1, b[1].x1)) * greatest(0, least(k.y2, b[1].y2) - greatest(k.y1, b[1].y1))))) > 0 then acc else list_concat(acc, b) end)".format(t="struct(x1 double, y1 double, x2 double, y2 double, area double, seq int)")
-query("ocr_box_selection", f"with {BOXES}, p as (select page_id, list({{'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2, 'area': area, 'seq': seq}} order by area desc, score desc, x1, y1, x2, y2, seq) as items from bx where not flat and norm_label = 'text' group by 1) select page_id, list_transform({KEEP}, lambda k: k.seq) as kept from p")(lambda s, d: S.greedy_keep(sound(s, d).filter("norm_label = 'text'"), 0.92, 0.75))
-
-def fused(spark: SparkSession, d: str) -> DataFrame:
-    """Fused boxes of all variants."""
-    return Z.fuse(candidates(spark, d), S.pseudo_lines(boxes(spark, d), W, H), W, H).drop("seq")
-
-
-def candidates(spark: SparkSession, d: str) -> DataFrame:
-    """Boxes of the variants on pages with Paddle boxes, S1 being the page's best Paddle model."""
-    members = S.variant_members()
-    best = Z.best_singles(boxes(spark, d), members["P1"], W, H)
-    of = F.array_compact(F.array(F.when(F.col("source_model") == F.col("best"), "S1"), *[F.when(F.col("source_model").isin(*m), v) for v, m in members.items() if v != "S1"]))
-    return boxes(spark, d).join(best, "page_id").withColumn("variant", F.explode(of)).drop("best")
-
-
-def fused_measures(spark: SparkSession, d: str) -> DataFrame:
-    return Z.measure(boxes(spark, d), S.pseudo_lines(boxes(spark, d), W, H), W, H)
-
-
-def payloads(spark: SparkSession, d: str) -> DataFrame:
-    """Payload of each event: its value and position as a box record of varying shape."""
-    e = T.table(spark, d, "events")
-    k, v = F.regexp_extract("props", "([0-9]+)", 1), F.format_string("%.3f", "value")
-    shapes = [F.concat(F.lit('{"boxes":[{"bbox":['), k, F.lit(",2,"), k, F.lit('.5,"9"],"score":'), v, F.lit("}]}")), F.concat(F.lit('{"data":{"regions":[{"poly":[[0,0],['), k, F.lit(',1],[9,20],[1,19]],"label":"title"}]}}'))]
-    return e.select(F.col("event_id").alias("page_id"), F.when(F.col("event_id") % 2 == 0, shapes[0]).otherwise(shapes[1]).alias("payload"))
-
-
-query("greedy_fusion")(fused)
-query("fused_measures")(fused_measures)
-query("fused_leaderboard")(lambda s, d: Z.board(fused_measures(s, d)))
-query("fused_top_informative")(lambda s, d: Z.informative(fused_measures(s, d), "P2"))
-query("legacy_regions", """with e as (select cast(event_id as varchar) as page_id, cast(regexp_extract(props, '([0-9]+)', 1) as double) as k, event_id % 2 = 0 as even, cast(printf('%.3f', value) as double) as v from events)
-select page_id, 0 as region, case when even then k else 0 end as x1, case when even then 2.0 else 0.0 end as y1, case when even then k + 0.5 else greatest(k, 9) end as x2, case when even then 9.0 else 20.0 end as y2,
-  case when even then 'text' else 'title' end as source_label, case when even then least(1.0, greatest(0.0, v)) else 0.5 end as confidence, '' as text, 0 as reading_order from e""")(lambda s, d: G.legacy_regions(payloads(s, d)))
-query("secret_findings", "with d as (select doc_id, text from documents) " + " union all ".join(f"select doc_id, '{n}' as finding from d where regexp_matches(text, '{p}')" for n, p in V.SECRETS.items()))(lambda s, d: V.secret_findings(T.table(s, d, "documents")))
-query("stage_progress", f"with {TIMES}, g as (select p.page_id, s.stage, exists(select 1 from tm where tm.page_id = p.page_id and tm.stage = s.stage) as have from (select distinct page_id from tm) p, (select distinct stage from tm) s) select stage, count(*) filter (have) as done, count(*) as total, round(count(*) filter (have) * 100.0 / count(*), 2) as percent from g group by 1")(lambda s, d: V.stage_progress(T.timings(s, d).select(F.col("page_id").alias("slug")), T.timings(s, d).select("stage", F.col("page_id").alias("slug"))).drop("missing"))
-query("artifact_issues", f"with {TIMES}, {PLAN}, f as (select page_id, model_id from ob where bad), o as (select page_id, model_id from ob where ok or page_id % 7 = 0) select 'error' as level, 'missing_model_output' as code, page_id || '/' || model_id as subject from pl anti join f using (page_id, model_id) anti join o using (page_id, model_id) union all select 'error', 'failed_adapter_has_model_output', page_id || '/' || model_id from f semi join o using (page_id, model_id) union all select 'error', 'unexpected_model_output', page_id || '/' || model_id from o anti join pl using (page_id, model_id)")(
-    lambda s, d: V.artifact_issues(P.plan_pairs(T.timings(s, d)), T.timings(s, d).filter("status <> 'ok'"), T.timings(s, d).filter("status = 'ok'").unionByName(T.timings(s, d).filter("page_id % 7 = 0"))))
-query("issue_rollup", f"with {MANIFEST} select count(*) filter (image_path = '') as errors, 0 as warnings, case when count(*) filter (image_path = '') > 0 then 'error' else 'ok' end as status from mf")(lambda s, d: V.issue_rollup(D.manifest_issues(manifest(s, d)).filter("code = 'missing_image_path'")))
+from quire.queries import layout, runs, text, timing  # noqa: F401  (they register their queries)
+from quire.queries.base import Q
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

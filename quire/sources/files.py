@@ -4,17 +4,32 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import tarfile
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Endings of images and archives.
+# Endings of images, archives and lists.
 IMAGES = r"(?i)\.(png|jpg|jpeg|tif|tiff|bmp|webp)$"
 ARCHIVES = r"(?i)\.(zip|tar|tar\.gz|tgz|tar\.bz2|tbz|tbz2|tar\.xz|txz)$"
+LISTS = r"(?i)\.(txt|manifest|lst|tsv|csv)$"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path fits a pattern with * in it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where)
+    return bool(found)
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -23,14 +38,20 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return whole.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line", "raw")).withColumn("line", F.col("line") + 1)
 
 
-def json_lines(spark: SparkSession, path: str, comments: bool = False) -> DataFrame:
-    """file, line, value (variant), code: invalid_jsonl for no JSON, invalid_jsonl_row for no object, null for good rows; blank lines go."""
-    lines = numbered_lines(spark, path).filter(F.trim("raw") != "")
-    if comments:
-        lines = lines.filter(~F.ltrim("raw").startswith("#"))
+def classified(lines: DataFrame, comments: bool = False) -> DataFrame:
+    """Lines (raw and more) with value (variant) and code: invalid_jsonl for no JSON, invalid_jsonl_row for no object, null for good rows; blank lines go, and those with # where comments are allowed."""
+    raw = F.regexp_replace("raw", r"^\s+|\s+$", "")
+    kept = lines.filter((raw != "") & ~(F.lit(comments) & raw.startswith("#")))
     value = F.try_parse_json("raw")
     code = F.when(value.isNull(), "invalid_jsonl").when(~F.schema_of_variant(value).startswith("OBJECT"), "invalid_jsonl_row")
-    return lines.select("file", "line", value.alias("value"), code.alias("code"))
+    return kept.select(*[c for c in lines.columns if c != "raw"], value.alias("value"), code.alias("code"))
+
+
+def json_lines(spark: SparkSession, path: str, comments: bool = False) -> DataFrame:
+    """file, line, value, code of a file's rows, as `classified` gives them; a path without files raises FileNotFoundError."""
+    if not matches(spark, path):
+        raise FileNotFoundError(path)
+    return classified(numbered_lines(spark, path), comments)
 
 
 def strict_json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -55,15 +76,26 @@ def stem(path: Column) -> Column:
 
 
 def path_list(spark: SparkSession, path: str, expand: bool = True) -> DataFrame:
-    """line, path, slug of a list with one path a line; blank and # lines go, $VAR and ~ are expanded where asked."""
+    """line, path, slug of a list with one path a line; blank and # lines go, $VAR (of the driver's environment) and ~ are expanded where asked."""
+    lines = numbered_lines(spark, path).withColumn("raw", F.regexp_replace("raw", r"^\s+|\s+$", "")).filter((F.col("raw") != "") & ~F.col("raw").startswith("#"))
+    p = F.col("raw")
+    if expand:
+        known = {f"${k}": v for k, v in os.environ.items()} | {f"${{{k}}}": v for k, v in os.environ.items()}
+        used = lines.select(F.explode(F.regexp_extract_all("raw", F.lit(r"(\$\w+|\$\{[^}]*\})"), 1)).alias("v")).distinct().collect()  # the variables that the list names
+        for name in sorted((r["v"] for r in used if r["v"] in known), key=len, reverse=True):
+            p = F.replace(p, F.lit(name), F.lit(known[name]))
+        p = F.when(p.rlike("^~(/|$)"), F.concat(F.lit(os.path.expanduser("~")), F.substr(p, F.lit(2)))).otherwise(p)
+    return lines.select("line", p.alias("path")).withColumn("slug", stem(F.col("path")))
 
-    @F.pandas_udf("string")
-    def expanded(p: pd.Series) -> pd.Series:
-        return p.map(lambda x: os.path.expanduser(os.path.expandvars(x)))
 
-    lines = numbered_lines(spark, path).withColumn("raw", F.trim("raw")).filter((F.col("raw") != "") & ~F.col("raw").startswith("#"))
-    p = expanded("raw") if expand else F.col("raw")
-    return lines.select("line", p.alias("path")).withColumn("slug", stem(F.col("path")))
+def require_listed(paths: DataFrame, listed: DataFrame, first: int = 20) -> DataFrame:
+    """The paths, if all are among the listed ones (path); else FileNotFoundError names the first."""
+    bare = F.regexp_replace("path", "^[a-z]+:/+", "/")
+    lost = paths.select(bare.alias("p")).join(listed.select(bare.alias("p")).distinct(), "p", "left_anti")
+    n = lost.count()
+    if n:
+        raise FileNotFoundError(f"{n} paths are missing, first: {[r['p'] for r in lost.orderBy('p').limit(first).collect()]}")
+    return paths
 
 
 def last_by_slug(paths: DataFrame) -> DataFrame:
@@ -117,11 +149,55 @@ def archive_folder(path: Column) -> Column:
 
 
 def staged(paths: DataFrame, max_pages: int | None = None) -> DataFrame:
-    """Distinct paths in the order of their lower case, the first max_pages where given; paths (path, kind)."""
-    first = paths.groupBy("path").agg(F.min("kind").alias("kind")).orderBy(F.lower("path"), "path")
+    """Distinct paths in the order of their lower case, the first max_pages where given, each of the kind it was first given as; paths (ord, path, kind)."""
+    first = paths.groupBy("path").agg(F.min_by("kind", "ord").alias("kind")).orderBy(F.lower("path"), "path")
     return first if max_pages is None else first.limit(max_pages)
 
 
+def image_manifest(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
+    """path of all images below root by the lower case of their names; Spark lists no files or folders that begin with . or _."""
+    name = F.lower(F.regexp_extract("path", "([^/]*)$", 1))
+    return listing(spark, root, recursive).filter(F.col("inside").rlike(IMAGES)).orderBy(name, "path").select("path")
+
+
+def stage_inputs(spark: SparkSession, inputs: list[str], recursive: bool = True, max_pages: int | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """Images of inputs (path, kind), and how many inputs of each kind there were.
+
+    An input is an image, a folder, an archive (whose members are named archive!member) or a list of inputs, several of them parted by commas; a list is
+    read once, its relative paths taken from its folder.  Inputs that are absent or of no known kind raise.
+    """
+    counts, parts, seen, number = {"file": 0, "directory": 0, "archive": 0, "manifest": 0}, [], set(), 0
+    todo = [p.strip() for x in inputs for p in x.split(",") if p.strip()]
+    if not todo:
+        raise ValueError("no inputs")
+    while todo:
+        at = todo.pop(0)
+        if not exists(spark, at):
+            raise FileNotFoundError(at)
+        where = spark._jvm.org.apache.hadoop.fs.Path(at)
+        found = None
+        if where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory():
+            kind, found = "directory", images(spark, at, recursive).select("path")
+        elif re.search(IMAGES, at):
+            kind, found = "file", spark.createDataFrame([(at,)], "path string")
+        elif re.search(ARCHIVES, at):
+            members = archive_members(spark.read.format("binaryFile").load(at))
+            kind, found = "archive", members.select(F.concat_ws("!", "archive", "member").alias("path"))
+        elif re.search(LISTS, at):
+            if at in seen:
+                continue
+            seen.add(at)
+            kind, folder = "manifest", at.rsplit("/", 1)[0]
+            todo = [p if re.match("/|[a-z]+:/", p) else f"{folder}/{p}" for p in (r["path"] for r in path_list(spark, at).orderBy("line").collect())] + todo  # a list of inputs, not of data
+        else:
+            raise ValueError(f"{at} is no image, folder, archive or list")
+        counts[kind] += 1
+        if found is not None:
+            parts.append(found.select(F.lit(number).alias("ord"), "path", F.lit(kind).alias("kind")))
+            number += 1
+    return staged(reduce(DataFrame.unionByName, parts), max_pages), counts
+
+
 def checksums(spark: SparkSession, root: str) -> DataFrame:
     f = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     return f.select("path", F.sha2("content", 256).alias("checksum"))

@@ -15,6 +15,8 @@ def connect(sf_dir):
 
 
 def plain(v):
+    if v is None or v is pd.NA or isinstance(v, float) and v != v:
+        return "null"
     if isinstance(v, float):
         return f"{v:.9g}"
     if hasattr(v, "tolist"):

@@ -8,7 +8,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from quire import adapters, cli, sinks
+from quire import adapters, sinks
 from quire.operators import validation
 from quire.sources import files, legacy
 
@@ -67,7 +67,8 @@ def test_listing_archives_and_staging(spark, root):
     bad = spark.createDataFrame([("/d/x.tar", bytearray(tar_of(["../a.png"])))], "path string, content binary")
     with pytest.raises(Exception, match="leaves its folder"):
         files.archive_members(bad).collect()
-    paths = spark.createDataFrame([("/B", "file"), ("/a", "dir"), ("/a", "dir")], "path string, kind string")
+    paths = spark.createDataFrame([(0, "/B", "file"), (1, "/a", "dir"), (2, "/a", "file")], "ord int, path string, kind string")
+    assert [r["kind"] for r in files.staged(paths).collect()] == ["dir", "file"]
     assert [r["path"] for r in files.staged(paths).collect()] == ["/a", "/B"]
     assert files.staged(paths, 1).count() == 1
 
@@ -85,7 +86,7 @@ def test_legacy_payloads(spark):
     docs = spark.createDataFrame(rows, "page_id string, payload string")
     found = legacy.legacy_regions(docs)
     assert sorted((r["page_id"], r["x2"], r["confidence"]) for r in found.collect()) == [("p1", 2.0, 0.5), ("p2", 1.0, 1.0)]
-    assert {r["page_id"]: r["status"] for r in legacy.legacy_outcome(docs, found).collect()} == {"p1": "ok", "p2": "ok", "p3": "skipped", "p4": "ok"}
+    assert {r["page_id"]: (r["status"], r["observed"], r["skipped"]) for r in legacy.legacy_outcome(docs).collect()} == {"p1": ("ok", 2, 1), "p2": ("ok", 1, 0), "p3": ("skipped", 0, 0), "p4": ("error", 0, 0)}
 
 
 def test_commands(spark):
@@ -94,36 +95,54 @@ def test_commands(spark):
     got = {r["page_id"]: r for r in adapters.run_command(pages, adapters.Command("m", (sys.executable, "-c", code.replace("{", "{{").replace("}", "}}"), "{page_id}"))).collect()}
     assert got["p1"]["status"] == "ok" and got["p2"]["status"] == "error" and "bad page" in got["p2"]["error"]
     slow = adapters.run_command(pages.limit(1), adapters.Command("m", ("sleep", "5"), timeout=0.2)).first()
-    assert slow["status"] == "error" and "Timeout" in slow["error"]
+    assert (slow["status"], slow["error_type"]) == ("error", "TimeoutExpired")
 
 
-def test_checks_and_progress(spark):
-    plan = spark.createDataFrame([("p1", "m"), ("p1", "m"), ("p9", "m"), (None, "m")], "page_id string, model_id string")
-    pages = spark.createDataFrame([("p1",), ("p2",)], "page_id string")
-    issues = validation.plan_issues(plan, pages)
-    assert sorted((r["code"], r["subject"]) for r in issues.collect()) == [("duplicate_planned_model", "p1/m"), ("missing_model_plan_page", "p2"), ("model_plan_missing_page_id", "m"), ("unknown_model_plan_page", "p9")]
-    assert validation.issue_rollup(issues).first()["status"] == "error" and validation.issue_rollup(issues.filter("false")).first()["status"] == "ok"
-    stated, counted = spark.createDataFrame([("pages", 2), ("errors", 0)], "name string, value long"), spark.createDataFrame([("pages", 3), ("errors", 0)], "name string, value long")
-    assert [r["code"] for r in validation.headline_issues(stated, counted).collect()] == ["pages_mismatch"]
+def test_command_placeholders_output_file_and_folder(spark, tmp_path):
+    pages = spark.createDataFrame([("p1", "/a/b.c.png", 7)], "page_id string, image_path string, page_number int")
+    code = "import json, os, sys; json.dump(dict(page_id=sys.argv[1], seen=sys.argv[2:], cwd=os.getcwd()), open(sys.argv[3], 'w'))"
+    argv = (sys.executable, "-c", code, "{page_id}", "{image_stem}|{image_name}|{image_dir}|{page_number}|{model_id}|{run_dir}|{width}", "{output_path}")
+    r = adapters.run_command(pages, adapters.Command("m", argv, cwd=str(tmp_path)), {"run_dir": "/r"}).first()
+    assert r["status"] == "ok" and json.loads(r["payload"])["seen"][0] == "b.c|b.c.png|/a|7|m|/r|" and json.loads(r["payload"])["cwd"] == str(tmp_path)
+    wrong = adapters.run_command(pages, adapters.Command("m", ("echo", '{{"page_id": "x"}}'))).first()
+    assert (wrong["status"], wrong["error_type"]) == ("error", "ValueError")
+
+
+def test_progress(spark):
     made = spark.createDataFrame([("ocr", "a"), ("ocr", "x")], "stage string, slug string")
     r = validation.stage_progress(spark.createDataFrame([("a",), ("b",), ("c",)], "slug string"), made).first()
     assert (r["done"], r["total"], r["percent"], r["missing"]) == (1, 3, 33.33, ["b", "c"])
 
 
-def test_exports_and_command_line(spark, tmp_path, capsys):
+def test_exports(spark, tmp_path):
     df = spark.createDataFrame([("p1", "t", 0.5)], "page_id string, transcript string, score double")
-    sinks.write_json_lines(df, str(tmp_path / "j"))
+    assert sinks.write_json_lines(df, str(tmp_path / "j")) == 1
     sinks.write_tsv(df, str(tmp_path / "t"), {"score": "%.3f"})
     sinks.write_transcripts(df, str(tmp_path / "x"))
     with pytest.raises(Exception, match="already exists"):
         sinks.write_tsv(df, str(tmp_path / "t"))
     assert files.tsv(spark, str(tmp_path / "t")).first()["score"] == "0.500"
     assert df.select(sinks.review_note(F.col("page_id"), score=F.col("score"))).first()[0] == "# p1\n\n- score: 0.5"
-    (tmp_path / "m.jsonl").write_text('{"page_id":"p1","image_path":"a.png"}\n{"page_id":"p1","image_path":"a.png"}\nnope\n')
-    assert sorted(r["code"] for r in cli.validate_manifest(spark, str(tmp_path / "m.jsonl")).collect()) == ["duplicate_page_id", "invalid_jsonl"]
-    (tmp_path / "perf.jsonl").write_text('{"page_id":"p1","stage":"a","model_id":"m","seconds":"2","status":"ok","resource_class":"cpu","complexity":"easy"}\n')
-    assert cli.summarize_performance(spark, str(tmp_path / "perf.jsonl")).count() == 4
-    (tmp_path / "l.txt").write_text("/i/a.png\n/i/b.png\n")
-    (tmp_path / "run" / "ocr").mkdir(parents=True)
-    (tmp_path / "run" / "ocr" / "a.json").write_text("{}")
-    assert cli.status(spark, str(tmp_path / "l.txt"), str(tmp_path / "run")).first()["done"] == 1
+    sinks.write_json_document(spark, {"b": 1, "a": "é"}, str(tmp_path / "d.json"))
+    assert (tmp_path / "d.json").read_text() == '{\n  "a": "é",\n  "b": 1\n}\n'
+    with pytest.raises(FileExistsError):
+        sinks.write_json_document(spark, {}, str(tmp_path / "d.json"))
+    with pytest.raises(FileExistsError):
+        sinks.require_fresh(spark, str(tmp_path))
+
+
+def test_staging_of_mixed_inputs(spark, root):
+    (root / "in" / "z.tar.gz").write_bytes(tar_of(["p/q.png", "p/._q.png"]))
+    (root / "list.txt").write_text("# images\nin/a.png\nin/z.tar.gz\nlist.txt\n")
+    got, counts = files.stage_inputs(spark, [f"{root}/in, {root}/list.txt", f"{root}/list.txt"])
+    assert sorted({r["path"].rsplit("/", 1)[1] for r in got.collect()}) == ["a.png", "c.JPG", "q.png"]
+    assert counts == {"file": 1, "directory": 1, "archive": 1, "manifest": 1}
+    assert files.stage_inputs(spark, [f"{root}/in"], max_pages=1)[0].count() == 1
+    with pytest.raises(FileNotFoundError):
+        files.stage_inputs(spark, [f"{root}/none.png"])
+    (root / "list.md").write_text("x")
+    with pytest.raises(ValueError):
+        files.stage_inputs(spark, [f"{root}/list.md"])
+    with pytest.raises(FileNotFoundError, match="1 paths"):
+        files.require_listed(spark.createDataFrame([("/no/a.png",)], "path string"), files.listing(spark, f"{root}/in"))
+    assert [os.path.basename(r["path"]) for r in files.image_manifest(spark, f"{root}/in").collect()] == ["a.png", "c.JPG"]

@@ -3,7 +3,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from quire.operators import fusion, spatial
-from quire.queries import registry
+from quire.queries import layout, registry
+from quire.queries.base import boxes
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,24 +46,24 @@ def test_lines_spread_over_the_parent_become_single_boxes():
 
 
 def test_query_agrees_with_single_pages(spark):
-    got = registry.fused(spark, SF).toPandas()
+    got = layout.fused(spark, SF).toPandas()
     assert got.groupby(["page_id", "variant"]).size().min() > 0
     from quire.operators import spatial as S
 
-    page = registry.variants(spark, SF).filter("variant = 'P2' and page_id = 3")
+    page = layout.variants(spark, SF).filter("variant = 'P2' and page_id = 3")
     support = S.cross_source_support(page)
     rows = page.join(support, ["page_id", "seq"]).toPandas()
-    lines = S.pseudo_lines(registry.boxes(spark, SF), 2400, 3200).filter("page_id = 3").orderBy("line_ord").select("x1", "y1", "x2", "y2").toPandas().to_numpy(float)
+    lines = S.pseudo_lines(boxes(spark, SF), 2400, 3200).filter("page_id = 3").orderBy("line_ord").select("x1", "y1", "x2", "y2").toPandas().to_numpy(float)
     want = fusion.select_boxes(rows, lines, 2400, 3200)
     mine = got[(got.page_id == 3) & (got.variant == "P2")].sort_values("reading_order")
     assert corners(mine) == corners(want)
 
 
 def test_query_returns_all_variants(spark):
-    got = {(r["variant"], r["page_id"]): r["n"] for r in registry.fused(spark, SF).groupBy("variant", "page_id").agg(F.count("*").alias("n")).collect()}
+    got = {(r["variant"], r["page_id"]): r["n"] for r in layout.fused(spark, SF).groupBy("variant", "page_id").agg(F.count("*").alias("n")).collect()}
     assert {v for v, _ in got} == {"S1", "S2", "S3", "P1", "P2", "P3", "P4"}
-    pages = registry.candidates(spark, SF).filter("page_id in (3, 40) and x2 - x1 > 1 and y2 - y1 > 1")
-    lines = spatial.pseudo_lines(registry.boxes(spark, SF), 2400, 3200).orderBy("page_id", "line_ord").toPandas()
+    pages = layout.candidates(spark, SF).filter("page_id in (3, 40) and x2 - x1 > 1 and y2 - y1 > 1")
+    lines = spatial.pseudo_lines(boxes(spark, SF), 2400, 3200).orderBy("page_id", "line_ord").toPandas()
     for (page, variant), g in pages.toPandas().groupby(["page_id", "variant"]):
         key = pages.filter(f"page_id = {page} and variant = '{variant}'")
         rows = key.join(spatial.cross_source_support(key), ["page_id", "seq"]).toPandas()
@@ -70,18 +71,18 @@ def test_query_returns_all_variants(spark):
 
 
 def test_no_boxes(spark):
-    b = registry.variants(spark, SF).filter("false")
+    b = layout.variants(spark, SF).filter("false")
     lines = spark.createDataFrame([(1, 1, 0.0, 0.0, 1.0, 1.0)], "page_id long, line_ord int, x1 double, y1 double, x2 double, y2 double")
     assert fusion.fuse(b, lines, 2400, 3200).select(F.count("*")).first()[0] == 0
 
 
 def test_measures_of_fused_boxes(spark):
     w, h = 2400, 3200
-    got = registry.fused_measures(spark, SF).toPandas()
-    kept = registry.fused(spark, SF).toPandas()
-    boxes = registry.boxes(spark, SF).toPandas()
-    lines = spatial.pseudo_lines(registry.boxes(spark, SF), w, h).toPandas()
-    base = registry.boxes(spark, SF).join(spatial.base_candidates(registry.boxes(spark, SF), w, h).select("page_id", "seq"), ["page_id", "seq"]).toPandas()
+    got = layout.fused_measures(spark, SF).toPandas()
+    kept = layout.fused(spark, SF).toPandas()
+    raw_boxes = boxes(spark, SF).toPandas()
+    lines = spatial.pseudo_lines(boxes(spark, SF), w, h).toPandas()
+    base = boxes(spark, SF).join(spatial.base_candidates(boxes(spark, SF), w, h).select("page_id", "seq"), ["page_id", "seq"]).toPandas()
     assert set(got.name) == {"S1", "S2", "S3", "P1", "P2", "P3", "P4", "pld_v2", "pld_v3", "pld_plusL", "pvl15", "dell", "mineru25"}
 
     def cells(df):  # cell by cell
@@ -94,10 +95,10 @@ def test_measures_of_fused_boxes(spark):
         mine, all_ = cells(own), cells(base[base.page_id == r.page_id])
         assert (r.box_count, r.covered_lines, r.uncovered_lines) == (len(own), covered, len(line) - covered)
         assert np.allclose((r.text_area, r.base_recall), (len(mine) / 120000, len(mine & all_) / len(all_)))
-        raw = {m: g for m, g in boxes[(boxes.page_id == r.page_id) & (boxes.source_family == "paddle")].groupby("source_model")}
+        raw = {m: g for m, g in raw_boxes[(raw_boxes.page_id == r.page_id) & (raw_boxes.source_family == "paddle")].groupby("source_model")}
         assert r.best_single == max(raw, key=lambda m: 0.02 * raw[m].norm_label.isin(["text", "title"]).sum() + len(cells(raw[m])) / 120000 - 0.0002 * len(raw[m]))
     board = {(r["kind"], r["name"]): r for r in registry.queries()["fused_leaderboard"](spark, SF).collect()}
     p4 = got[(got.kind == "variant") & (got.name == "P4")]
     assert board["variant", "P4"]["pages"] == len(p4) and abs(board["variant", "P4"]["median_line_coverage"] - p4.line_coverage.median()) < 1e-6
-    assert board["variant", "P4"]["boxes"] < len(boxes) / len(p4)
+    assert board["variant", "P4"]["boxes"] < len(raw_boxes) / len(p4)
     assert registry.queries()["fused_top_informative"](spark, SF).count() == min(20, len(p4))
