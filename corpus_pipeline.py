@@ -12,13 +12,14 @@ from pyspark.sql.window import Window
 
 from quire.llm import langid, mixing, packing, shinglejoin
 from quire.llm.registry import documents, tokenizer_path
-from quire.llm.shared import stage
+from quire.llm.shared import release, stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in one of the learned languages; what the calibrated rejection turns down goes."""
+    release()
     model = langid.train(docs)
     return langid.predict(docs, model, COLUMNS).filter(~F.col("rejected")).select(*COLUMNS)
 
@@ -28,6 +29,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Of repeated rows with the kept id and text one stays.  Documents without words are no copies of others: repeats of one id go, those without an id stay.
     """
+    release()
     keyed = docs.withColumn("_digest", F.coalesce(F.md5("text"), F.lit("")))
     keep = shinglejoin.representatives(keyed.select("doc_id", "text", "_digest"), "_digest", size=5, percent=80)
     keep = keep.select(F.col("doc_id").alias("_id"), F.col("_digest").alias("_text"), F.col("wordless").alias("_wordless"))
@@ -39,11 +41,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the sources' target weights, globally shuffled."""
+    release()
     return mixing.mix_sources(docs).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences; a repeated document is packed as often as it stands there."""
+    release()
     return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), end_id=1, capacity=2048)
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import keep_only, mix64, small_batches, stage, worker_cache, words_of
+from .shared import broadcast, discard, keep_only, mix64, stage, worker_cache, words_of
 
 #: Subsets are weighed for sets up to this size; beyond, a set has thousands of them at any threshold of use.
 LIGHT_MOST = 40
@@ -135,11 +135,22 @@ def parity_distance(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(_fold(x, n) ^ _fold(y, n)).sum())
 
 
-SETS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("sig", T.LongType()), T.StructField("items", T.BinaryType())])
+SETS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("sig", T.LongType()), T.StructField("proof", T.LongType()), T.StructField("items", T.BinaryType())])
 
 
-def shingle_sets(docs: DataFrame, size: int, *keep: str) -> DataFrame:
-    """doc_id, n, sig (a 64-bit name of the set, null if empty), items (sorted hashes), and the columns to keep."""
+def named_sets(docs: DataFrame, size: int, *keep: str) -> DataFrame:
+    """Staged shingle sets in which a name stands for one set: where two sets of one name differ in the other half of their digest, all are named anew."""
+    for attempt in range(16):
+        sets = stage(shingle_sets(docs, size, attempt, *keep), "sets")
+        halves = sets.filter("sig is not null").groupBy("sig").agg(F.min("proof").alias("p"), F.max("proof").alias("q"))
+        if not halves.filter("p <> q").limit(1).count():
+            return sets
+        discard(sets)
+    raise RuntimeError("sets cannot be named apart by 64 bits")
+
+
+def shingle_sets(docs: DataFrame, size: int, attempt: int = 0, *keep: str) -> DataFrame:
+    """doc_id, n, sig (a 64-bit name of the set, null if empty), proof (64 further bits of its digest), items (sorted hashes), and the columns to keep."""
     schema = T.StructType([*SETS.fields, *(docs.schema[c] for c in keep)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,10 +158,11 @@ def shingle_sets(docs: DataFrame, size: int, *keep: str) -> DataFrame:
         for b in batches:
             sets = [shingle_set(t, size) for t in b.column("text").to_pylist()]
             items = [pack(s) for s in sets]
-            names = [int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little", signed=True) if x else None for x in items]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array(items, pa.binary()), *b.columns[2:]], names=schema.names)
+            names = np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=16, salt=salt).digest() for x in items), "<i8").reshape(-1, 2)
+            empty = np.array([not x for x in items], bool)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names[:, 0], mask=empty), pa.array(names[:, 1], mask=empty), pa.array(items, pa.binary()), *b.columns[2:]], names=schema.names)
 
-    small_batches(docs.sparkSession, 500)
+    salt = str(attempt).encode()
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep).mapInArrow(run, schema)
 
 
@@ -170,7 +182,7 @@ def frequent_items(sets: DataFrame) -> np.ndarray:
 
 def postings(sets: DataFrame, percent: int, boundary: int, frequent: np.ndarray) -> DataFrame:
     """key, n, sig, pos: the light sets' subset keys (pos 0) and the heavy sets' list entries with their elements' positions."""
-    late = sets.sparkSession.sparkContext.broadcast((np.sort(frequent), np.argsort(frequent, kind="stable")))  # at most MOST_FREQUENT elements
+    late = broadcast(sets.sparkSession, (np.sort(frequent), np.argsort(frequent, kind="stable")))  # at most MOST_FREQUENT elements
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys_of, rank_of = late.value
@@ -217,7 +229,7 @@ def set_filter(keys: DataFrame, column: str) -> np.ndarray:
 
 def passing(df: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
     """The rows whose key may be in the filter."""
-    shared = df.sparkSession.sparkContext.broadcast(bits)
+    shared = broadcast(df.sparkSession, bits)
     names = df.columns
     probe = df.withColumn("_at", F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)))
 
@@ -268,7 +280,9 @@ def verified(pairs: DataFrame, sets: DataFrame, sketches: DataFrame, percent: in
     ends = close.select(F.explode(F.array("a", "b")).alias("sig"))
     have = passing(sets.filter("sig is not null").select("sig", "n", "items"), "sig", set_filter(ends, "sig"))
     have = stage(have.groupBy("sig").agg(F.first("n").alias("n"), F.first("items").alias("items")), "verify")
-    return stage(both_ends(close, have, "items").mapInArrow(exact, "a long, b long"), "links")
+    links = stage(both_ends(close, have, "items").mapInArrow(exact, "a long, b long"), "links")
+    discard(close, have)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -283,7 +297,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
-        e = stage(small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "edges")
+        old, e = e, stage(small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "edges")
+        discard(old)
         now = e.agg(*print_of).first()
         if now == last:
             break
@@ -306,6 +321,7 @@ def linked_components(sets: DataFrame, percent: int) -> DataFrame:
     members = shared.withColumn("band", F.explode(F.array(band, band + 1))).select("key", "band", "n", "sig", "pos").distinct()
     hubs = members.groupBy("key", "band").agg(F.min(F.struct("pos", "n", "sig")).alias("hub"), F.count(F.lit(1)).alias("many")).filter("many > 1").select("key", "band", F.col("hub.n").alias("hub_n"), F.col("hub.sig").alias("hub_sig"), F.col("hub.pos").alias("hub_pos"))
     members = stage(members.join(hubs, ["key", "band"]), "lists")
+    discard(every, keys)
     at_hub = (F.col("sig") != F.col("hub_sig")) & fits(F.col("n"), F.col("pos"), F.col("hub_n"), F.col("hub_pos"))
     tried = stage(members.filter(at_hub).select(F.least("sig", "hub_sig").alias("a"), F.greatest("sig", "hub_sig").alias("b")).distinct(), "tried")
     sketches = stage(sketch_table(sets), "sketches")
@@ -314,12 +330,17 @@ def linked_components(sets: DataFrame, percent: int) -> DataFrame:
     placed = members.join(comps, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     placed = placed.join(comps.select(F.col("sig").alias("hub_sig"), F.col("comp").alias("hub_comp")), "hub_sig", "left").withColumn("hub_comp", F.coalesce("hub_comp", "hub_sig"))
     placed = stage(placed.select("key", "band", "n", "sig", "pos", "comp", "hub_comp"), "placed")
+    discard(members, comps)
     away = placed.filter("comp <> hub_comp").select("key", "band", F.col("n").alias("n1"), F.col("sig").alias("s1"), F.col("pos").alias("p1"), F.col("comp").alias("c1"))
     others = placed.select("key", "band", F.col("n").alias("n2"), F.col("sig").alias("s2"), F.col("pos").alias("p2"), F.col("comp").alias("c2"), (F.col("comp") == F.col("hub_comp")).alias("at_hub")).filter(F.col("s2").isNotNull())
     met = fits(F.col("n1"), F.col("p1"), F.col("n2"), F.col("p2")) & (own_band(F.greatest("n1", "n2")) == F.col("band"))
     more = away.join(others, ["key", "band"]).filter((F.col("c1") != F.col("c2")) & (F.col("at_hub") | (F.col("s1") < F.col("s2"))) & met)
     more = more.select(F.least("s1", "s2").alias("a"), F.greatest("s1", "s2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    return components(links.union(verified(stage(more, "more"), sets, sketches, percent)))
+    more = stage(more, "more")
+    discard(placed, tried)
+    links = links.union(verified(more, sets, sketches, percent))
+    discard(more, sketches)
+    return components(links)
 
 
 def _named(sets: DataFrame, percent: int) -> DataFrame:
@@ -331,10 +352,11 @@ def _named(sets: DataFrame, percent: int) -> DataFrame:
 
 def representatives(docs: DataFrame, digest: str, size: int, percent: int) -> DataFrame:
     """doc_id, digest, wordless: one text of each component, that of the least doc_id (nulls last) and then digest, and every text without words."""
-    sets = stage(shingle_sets(docs, size, digest), "sets")
-    comps = _named(sets, percent).select("sig", "comp")
+    sets = named_sets(docs, size, digest)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", digest)).alias("x")
-    one = sets.select("doc_id", digest, "sig").join(comps, "sig").groupBy("comp").agg(first).select("x.doc_id", f"x.{digest}", F.lit(False).alias("wordless"))
+    firsts = sets.filter("sig is not null").groupBy("sig").agg(first)
+    one = firsts.join(linked_components(sets, percent), "sig", "left").groupBy(F.coalesce("comp", "sig").alias("comp")).agg(F.min("x").alias("x"))
+    one = one.select("x.doc_id", f"x.{digest}", F.lit(False).alias("wordless"))
     return one.union(sets.filter("sig is null").select("doc_id", digest, F.lit(True)).distinct())
 
 
@@ -344,9 +366,9 @@ def component_ids(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFram
     Empty sets link with nothing, not even each other: a document without words is its own component.  Repeated rows link.  A row whose
     doc_id is null keeps a null component if no linked row has an id; it never gives its component a name.
     """
-    sets = stage(shingle_sets(docs, size), "sets")
+    sets = named_sets(docs, size)
     grouped = _named(sets, percent)
     names = grouped.groupBy("comp").agg(F.min("least").alias("component_id"))
     by_sig = grouped.join(names, "comp").select("sig", "component_id")
-    out = sets.select("doc_id", "n", "sig").join(by_sig, "sig", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    out = sets.filter("sig is not null").select("doc_id", "n", "sig").join(by_sig, "sig").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return out.union(sets.filter("sig is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
