@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import small_batches, stage
+from .shared import meet_hot, small_batches, stage
 from .urlrules import host_of
 
 MIN_PAGES = 2
@@ -43,8 +43,10 @@ CANDIDATES = frozenset("address center details dir div dl fieldset header hgroup
 #: An opening tag closes these open elements, up to the given ones.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 CLOSES_P = BLOCK - {"dd", "dt", "li", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend", "summary", "html", "body", "head"}
-#: Words of class and id that mark furniture; whole words only.
+#: Words of class and id that mark furniture: whole names, or names of these words and BOXES alone.
 FURNITURE = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar side nav navbar navigation menu breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe signup login share sharing social related recommended comments comment disqus respond replies reply pagination pager toolbar widget skip".split())
+#: Words that only say what kind of box an element is.
+BOXES = frozenset("area bar block body bottom box button buttons container content fixed group header heading inner item items left link links list main mobile module outer page panel primary right secondary section site slot sticky strip text title top unit wrap wrapper zone".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -143,7 +145,13 @@ def is_furniture(n: Node) -> bool:
     if n.tag == "header":  # a page's header, not an article's
         return not any(a.tag == "article" for a in _ancestors(n))
     marks = f"{n.attrs.get('class', '')} {n.attrs.get('id', '')}".lower() if n.attrs else ""
-    return n.tag not in ("html", "body", "article", "main") and any(w in FURNITURE for w in _WORD.findall(marks))
+    return n.tag not in ("html", "body", "article", "main") and any(names_furniture(name) for name in marks.split())
+
+
+def names_furniture(name: str) -> bool:
+    """Such as sidebar, main-menu, ad_box2; not side-effects or menu-analysis."""
+    words = set(_WORD.findall(name))
+    return not words.isdisjoint(FURNITURE) and words <= FURNITURE | BOXES
 
 
 def _ancestors(n: Node) -> Iterator[Node]:
@@ -153,12 +161,11 @@ def _ancestors(n: Node) -> Iterator[Node]:
 
 
 def main_region(nodes: list[Node]) -> list[Node]:
-    """Top-level <article> elements outside furniture, else <main>, else the whole page."""
-    for tag in ("article", "main"):
-        out = [n for n in nodes if n.tag == tag and not any(a.tag == tag or is_furniture(a) for a in _ancestors(n)) and not is_furniture(n)]
-        if out:
-            return out
-    return nodes[:1]
+    """<main> where it holds all top-level <article> elements, else these, else <main>, else the whole page; none within furniture."""
+    found = {tag: [n for n in nodes if n.tag == tag and not any(a.tag == tag or is_furniture(a) for a in _ancestors(n)) and not is_furniture(n)] for tag in ("article", "main")}
+    if found["main"] and all(any(a.tag == "main" for a in _ancestors(n)) for n in found["article"]):
+        return found["main"]
+    return found["article"] or nodes[:1]
 
 
 def signed(h: int) -> int:
@@ -238,7 +245,6 @@ def extract_main(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
 
     Null or repeated ids, urls and rows are kept as they are; extra columns are ignored; an empty table gives an empty result.
     """
-    small_batches(pages.sparkSession)
     rows = pages.select("page_id", "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), host_of(F.col("url")).alias("host"))
     rows = rows.withColumn("page_key", F.unhex(F.md5(F.concat_ws("\n", F.col("host"), F.col("html")))))
 
@@ -270,7 +276,10 @@ def extract_main(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     parts = pages_.select("host", "page_key", F.explode("hashes").alias("hash")).distinct()
     sizes = pages_.select("host", "page_key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     often = parts.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
-    template = often.join(sizes, "host").filter(F.col("n") >= SHARE * F.col("pages")).select("host", "hash")
-    mine = parts.join(template, ["host", "hash"]).groupBy("page_key").agg(F.collect_list("hash").alias("template"))  # at most a page's own elements
+    often = meet_hot(often, stage(sizes, "hosts"), "host", "pages").filter(F.col("n") >= SHARE * F.col("pages"))
+    template = stage(often.select(F.struct("host", "hash").alias("place"), "hash", "n"), "template")
+    held = parts.select("page_key", F.struct("host", "hash").alias("place"))
+    mine = meet_hot(held, template, "place", "n").groupBy("page_key").agg(F.collect_list("hash").alias("template"))  # at most a page's own elements
+    small_batches(pages.sparkSession)
     joined = pages_.join(mine, "page_key", "left").select("page_id", "url", "hashes", "parts", "template")
     return joined.mapInArrow(texts, schema)
