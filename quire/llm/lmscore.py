@@ -13,8 +13,8 @@ leave of the failure arc's mass.  So in every state the known words, the end and
 
 Counts.  Words and word pairs are counted over all training documents: each block of documents deals its distinct words and
 pairs out by hash, one shuffle adds them up and a second hands every block the totals of its own.  Both travel packed, one row for a
-block and a part of the hashes.  Pairs are told apart by 64-bit hashes.  Neither vocabulary nor pairs are ever broadcast.  A byte context becomes a
-state if it carries at least SHARE of all training characters: at most ORDER / SHARE states at any corpus size, which bounds the broadcast.
+block and a part of the hashes.  Pairs are told apart by 64-bit hashes.  Neither vocabulary nor pairs are ever broadcast; the
+automaton is: every byte context of up to ORDER - 1 bytes that occurs is a state, so its size has a bound at any corpus size.
 
 Null text is an empty one (its end alone).  Repeated rows count and score separately.  Null doc_id hashes as empty text.
 """
@@ -32,10 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import doc_bucket, mix64, partition_count, small_batches, stage, words_of
+from .shared import broadcast, doc_bucket, mix64, partition_count, small_batches, stage, words_of
 
-ORDER = 5
-SHARE = 1e-4
+ORDER = 3
 DISCOUNT = 0.5
 #: Weight of the boundary state's prior in every word's state, in words.
 MU = 100.0
@@ -228,15 +227,10 @@ def _word_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(grams, pa.binary()), pa.array(np.concatenate(sums) if sums else [], pa.int64())], names=["gram", "n"])
 
 
-def _state_grams(vocab: DataFrame) -> dict[bytes, int]:
-    """n-grams whose context is a state: those contexts that carry SHARE of all characters."""
-    grams = vocab.filter("word <> X'0A'").mapInArrow(_word_grams, "gram binary, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    grams = stage(grams, "grams")
-    total = grams.filter("length(gram) = 1").agg(F.sum("n")).first()[0] or 0
-    contexts = grams.filter((F.col("n") >= SHARE * total) & (F.length("gram") < ORDER)).select(F.col("gram").alias("context"))
-    edge = grams.sparkSession.createDataFrame([(b"",), (bytes([_EDGE]),)], "context binary")
-    kept = grams.withColumn("context", F.expr("substring(gram, 1, length(gram) - 1)")).join(contexts.union(edge).distinct(), "context")
-    return {bytes(r["gram"]): r["n"] for r in kept.select("gram", "n").collect()}  # at most 256 successors of each state
+def _grams(vocab: DataFrame) -> dict[bytes, int]:
+    """Counts of the byte n-grams of all words: at most 256 ** ORDER and fewer, whatever the corpus."""
+    grams = vocab.filter("word <> X'0A'").mapInArrow(_word_grams, "gram binary, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    return dict(zip(grams.column("gram").to_pylist(), grams.column("n").to_pylist(), strict=True))
 
 
 def score_documents(docs: DataFrame, modulus: int = 7, held_remainder: int = 2) -> DataFrame:
@@ -255,8 +249,8 @@ def score_documents(docs: DataFrame, modulus: int = 7, held_remainder: int = 2)
     totals = stage(dealt.groupBy("part").applyInArrow(_added, TOTALS), "totals")
     vocab = totals.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(F.col("x.words").alias("word"), F.col("x.counts").alias("c")).filter("c > 0")
     kinds = vocab.count()
-    automaton = Automaton(_state_grams(vocab))
-    shared = spark.sparkContext.broadcast(automaton)  # at most ORDER / SHARE states of 257 symbols
+    automaton = Automaton(_grams(vocab))
+    shared = broadcast(spark, automaton)  # at most 1 + 256 + 256 ** 2 states of 257 symbols; texts in UTF-8 have far fewer
 
     def spelled_mass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
