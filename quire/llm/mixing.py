@@ -14,6 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import stage
+
+#: Sources up to which the rates are broadcast: about 600 bytes each.  Beyond, rows and rates meet by source and salt.
+BROADCAST_SOURCES = 20_000
+SALTS = 64
 STEP = 8.0
 #: Poisson(8) exceeds 60 with probability below 1e-30: under the spacing of the uniform numbers.
 TERMS = 60
@@ -54,16 +59,24 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None, temperature:
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.7, budget: float = 1.0, seed: str = "mix") -> DataFrame:
     """All columns of docs, then copy (int, from 1), rate (double) and shuffle_key (long), in shuffled order.
 
-    Input columns of these three names are replaced.  An empty table gives an empty result.
+    Input columns of these three names are replaced; columns whose names begin with _mix_ are for this function's use, and raise ValueError.
+    An empty table gives an empty result.
     """
     docs = docs.drop("copy", "rate", "shuffle_key")
     cols = docs.columns
-    rates = source_rates(docs, weights, temperature, budget)
+    if taken := [c for c in cols if c.lower().startswith("_mix_")]:
+        raise ValueError(f"columns {taken} clash with names of this operator")
+    rates = stage(source_rates(docs, weights, temperature, budget), "rates")
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / STEP)).cast("int")
     rates = rates.withColumn("parts", parts).withColumn("cdf", poisson_cdf(F.col("rate") / F.col("parts"))).select(F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate"), F.col("parts").alias("_mix_parts"), F.col("cdf").alias("_mix_cdf"))
     # The key is made below the join, so that no lambda holds the digest of the text: it is computed once a row.
     keyed = docs.withColumn("_mix_key", F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce(F.col("text"), F.lit("")))))
-    drawn = keyed.join(rates, docs["source"].eqNullSafe(rates["_mix_source"]))
+    if rates.count() <= BROADCAST_SOURCES:
+        drawn = keyed.join(F.broadcast(rates), docs["source"].eqNullSafe(rates["_mix_source"]))
+    else:
+        salted = rates.withColumn("_mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        keyed = keyed.withColumn("_mix_turn", F.pmod(F.xxhash64("_mix_key"), F.lit(SALTS)).cast("int"))
+        drawn = keyed.join(salted, docs["source"].eqNullSafe(salted["_mix_source"]) & (F.col("_mix_turn") == F.col("_mix_salt")))
     uniform = F.transform(F.sequence(F.lit(1), F.col("_mix_parts")), lambda i: unit_hash(F.lit(seed), F.col("_mix_key"), i.cast("string")))
     draw = F.aggregate(uniform, F.lit(0), lambda n, u: n + F.size(F.filter(F.col("_mix_cdf"), lambda c: c <= u)))
     copies = drawn.withColumn("_mix_n", draw).filter("_mix_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_mix_n"))))
