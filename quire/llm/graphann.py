@@ -9,7 +9,8 @@ Queries visit every shard in blocks: index and blocks stream through the same pa
 graph and one block.  A beam search gives each query its nearest nodes of the shard, scored in double precision on the
 original vectors; the nearest of all shards are kept.
 
-Vectors that are null, zero, of another length than most, or that hold null or non-finite components take no part.
+Vectors that are null, zero, or that hold null or non-finite components take no part.  Vectors of different lengths have no cosine:
+each length has shards of its own, and a query visits those of its length.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .shared import mix64, partition_count, stage
+from .shared import partition_count, small_batches, stage
 
 DEGREE = 24
 BEAM = 64
@@ -32,10 +33,18 @@ BLOCK_ROWS = 512
 
 
 def _norm(x: np.ndarray) -> np.ndarray:
-    n = np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    x = _scaled(x)
+    n = np.linalg.norm(x, axis=1, keepdims=True)
     return (x / np.where(n > 0, n, 1)).astype(np.float32)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows in double precision, multiplied by a power of two that keeps their squares in range; no cosine changes by that."""
+    x = x.astype(np.float64)
+    _, exponent = np.frexp(np.abs(x).max(axis=1, initial=0.0))
+    return np.ldexp(x, -exponent[:, None])
+
+
 def beam_search(data: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """Nodes [query, beam] found nearest (−1: none) and their similarity, searched in step; data and queries are unit vectors."""
     q, n = len(queries), len(data)
@@ -130,33 +139,41 @@ def usable(column: str):
 INDEX = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("entry", T.IntegerType()), T.StructField("vectors", T.BinaryType()), T.StructField("graph", T.BinaryType()), T.StructField("ids", T.ArrayType(T.ArrayType(T.LongType())))])
 
 
-def build_index(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """rows (vec_id, v array<float>): one record per shard with vectors, graph and, for each node, its k + 1 smallest ids."""
-    spark = rows.sparkSession
+LAYOUT = "width int, base int, shards int"
+
+
+def fold_vectors(rows: DataFrame, k: int, kind: str) -> DataFrame:
+    """vec (the vector's bytes), width, ids: its k + 1 smallest ids, of each different vector of rows (vec_id, v)."""
+    step = np.dtype(kind).itemsize
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            v = np.asarray(b.column("v").flatten().to_numpy(zero_copy_only=False), dtype="<f4").reshape(b.num_rows, -1)
+            lists = b.column("v")
+            raw = lists.flatten().to_numpy(zero_copy_only=False).astype(kind).tobytes()
+            ends = np.cumsum(lists.value_lengths().to_numpy()).tolist()
             own: dict[bytes, list[int]] = {}
-            for i, x in zip(b.column("vec_id").to_pylist(), v, strict=True):
-                own.setdefault(x.tobytes(), []).append(i)
+            for i, s, e in zip(b.column("vec_id").to_pylist(), [0, *ends], ends, strict=False):
+                own.setdefault(raw[step * s : step * e], []).append(i)
             yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()), pa.array([sorted(x)[: k + 1] for x in own.values()], pa.list_(pa.int64()))], names=["vec", "ids"])
 
     folded = rows.mapInArrow(fold, "vec binary, ids array<long>")
     nodes = folded.groupBy("vec").agg(F.slice(F.sort_array(F.flatten(F.collect_list("ids"))), 1, k + 1).alias("ids"))  # k + 1 ids from each batch that has the vector
-    nodes = stage(nodes, "nodes")
-    shards = max(1, -(-nodes.count() // shard_rows))
-    dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("vec"), F.lit(shards)).cast("int"))
+    return stage(nodes.withColumn("width", (F.octet_length("vec") / step).cast("int")), "nodes")
+
+
+def build_index(nodes: DataFrame, layout: DataFrame, kind: str) -> DataFrame:
+    """One record per shard with vectors, graph and each node's ids."""
 
     def build(key: tuple, group: pa.Table) -> pa.Table:
         order = np.argsort(np.array([x[0] for x in group.column("ids").to_pylist()]), kind="stable")
         group = group.take(pa.array(order))
         vectors = b"".join(group.column("vec").to_pylist())
-        data = _norm(np.frombuffer(vectors, dtype="<f4").reshape(group.num_rows, -1))
-        graph, entry = build_graph(data)
+        graph, entry = build_graph(_norm(np.frombuffer(vectors, dtype=kind).reshape(group.num_rows, -1)))
         return pa.table([pa.array([int(key[0].as_py())], pa.int32()), pa.array([group.num_rows], pa.int32()), pa.array([entry], pa.int32()), pa.array([vectors], pa.binary()), pa.array([graph.astype("<i4").tobytes()], pa.binary()), pa.array([group.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64())))], names=INDEX.names)
 
-    return stage(dealt.repartition(max(partition_count(spark), shards), "shard").groupBy("shard").applyInArrow(build, INDEX), "graphs")
+    dealt = nodes.join(F.broadcast(layout), "width").withColumn("shard", F.col("base") + F.pmod(F.xxhash64("vec"), F.col("shards")).cast("int"))  # layout: a row for each length
+    shards = layout.agg(F.max(F.col("base") + F.col("shards"))).first()[0]
+    return stage(dealt.repartition(max(partition_count(nodes.sparkSession), shards), "shard").groupBy("shard").applyInArrow(build, INDEX), "graphs")
 
 
 FOUND = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType())])
@@ -166,21 +183,29 @@ def nearest(table: DataFrame, k: int = 5, vector: str = "embedding", query_modul
     """query_id, rank, vec_id, score (cosine): the k nearest other rows of each row whose vec_id query_modulus divides.
 
     Rows with a null vec_id take no part.  Repeated rows (same id) count as one another's copies: an id never finds itself.  Ties go to the smaller vec_id.
+    Vectors of floats are compared as floats' values, others as doubles, all in double precision.  Other columns are ignored.
     """
     spark = table.sparkSession
-    rows = table.filter(usable(vector) & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vector).cast("array<float>").alias("v"))
-    widths = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()  # the commonest length
+    single = table.schema[vector].dataType == T.ArrayType(T.FloatType(), True) or table.schema[vector].dataType == T.ArrayType(T.FloatType(), False)
+    kind, of = ("<f4", "array<float>") if single else ("<f8", "array<double>")
+    rows = table.filter(usable(vector) & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vector).cast(of).alias("v"))
+    nodes = fold_vectors(rows, k, kind)
+    widths = {r["width"]: r["n"] for r in nodes.groupBy("width").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row for each length of vectors
     if not widths:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.filter(F.size("v") == widths[0]["d"])
-    index = build_index(rows, k, shard_rows)
-    shards = [r["shard"] for r in index.select("shard").collect()]
-    queries = rows.filter(F.col("vec_id") % query_modulus == 0).dropDuplicates(["vec_id", "v"])
-    blocks = queries.withColumn("block", F.floor(F.row_number().over(Window.partitionBy(F.pmod(F.xxhash64("vec_id"), F.lit(64))).orderBy("vec_id")) / BLOCK_ROWS)).withColumn("deal", F.pmod(F.xxhash64("vec_id"), F.lit(64)))
-    blocks = stage(blocks.groupBy("deal", "block").agg(F.collect_list(F.struct("vec_id", "v")).alias("queries")).select("queries"), "queries")  # BLOCK_ROWS rows a block
-    asked = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(max(shards)))))
+    layout, base = [], 0
+    for width, n in sorted(widths.items()):
+        layout.append((width, base, -(-n // shard_rows)))
+        base += -(-n // shard_rows)
+    layout = spark.createDataFrame(layout, LAYOUT)
+    index = build_index(nodes, layout, kind)
+    queries = stage(rows.filter(F.col("vec_id") % query_modulus == 0).dropDuplicates(["vec_id", "v"]), "queries")
+    count = max(1, -(-queries.count() // BLOCK_ROWS))
+    block = F.pmod(F.xxhash64("vec_id", "v"), F.lit(count))
+    blocks = stage(queries.groupBy(F.size("v").alias("width"), block.alias("block")).agg(F.collect_list(F.struct("vec_id", "v")).alias("queries")).select("width", "queries"), "blocks")  # about BLOCK_ROWS rows a block
+    asked = blocks.join(F.broadcast(layout), "width").select("queries", F.explode(F.sequence("base", F.col("base") + F.col("shards") - 1)).alias("shard"))
     stream = index.withColumn("step", F.lit(0)).unionByName(asked.withColumn("step", F.lit(1)), allowMissingColumns=True)
-    stream = stream.repartition(max(partition_count(spark), len(shards)), "shard").sortWithinPartitions("shard", "step")
+    stream = stream.repartition(max(partition_count(spark), base), "shard").sortWithinPartitions("shard", "step")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = None
@@ -189,14 +214,14 @@ def nearest(table: DataFrame, k: int = 5, vector: str = "embedding", query_modul
                 r = {c: b.column(i)[at] for i, c in enumerate(b.schema.names)}
                 if r["step"].as_py() == 0:
                     n, shard = r["n"].as_py(), r["shard"].as_py()
-                    raw = np.frombuffer(r["vectors"].as_py(), dtype="<f4").reshape(n, -1)
+                    raw = np.frombuffer(r["vectors"].as_py(), dtype=kind).reshape(n, -1)
                     data, graph = _norm(raw), np.frombuffer(r["graph"].as_py(), dtype="<i4").reshape(n, -1)
                     entry, ids = r["entry"].as_py(), r["ids"].as_py()
-                    exact = raw.astype(np.float64)
+                    exact = _scaled(raw)
                     lengths = np.sqrt((exact * exact).sum(axis=1))
                 elif r["shard"].as_py() == shard:
                     qs = r["queries"].as_py()
-                    q = np.array([x["v"] for x in qs], dtype=np.float32).astype(np.float64)
+                    q = _scaled(np.array([x["v"] for x in qs], dtype=kind))
                     found, _ = beam_search(data, graph, entry, _norm(q), beam)
                     out = []
                     for x, v, f in zip(qs, q, found, strict=True):
@@ -207,6 +232,7 @@ def nearest(table: DataFrame, k: int = 5, vector: str = "embedding", query_modul
                     cols = list(zip(*out, strict=True)) or [[], [], []]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=FOUND.names)
 
+    small_batches(spark)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     found = stream.mapInArrow(search, FOUND).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
