@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import doc_bucket, keep_only, mix64, small_batches
+from .shared import batch_limits, broadcast, doc_bucket, keep_only, mix64, small_batches
 
 ORDER = 4
 #: Share of the sample kept for calibration: sample hashes of this remainder modulo 8.
@@ -33,6 +33,8 @@ _EDGE = 32
 BLOCK = 8192
 #: Characters of the windows that rejection is calibrated on.
 LENGTHS = (20, 40, 80, 160, 320, 640, 1280)
+#: Characters after which further ones add little evidence for a language.
+EVIDENCE = 200.0
 
 
 def word_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +138,11 @@ def has_letter(text: str) -> bool:
 
 
 def score_texts(model: Model, texts: list[str | None]) -> list[tuple[str, float, float, bool]]:
-    """(language, score, cross-entropy per character, rejected) of each text.  Without a letter: und, 0.0, 0.0, True."""
+    """(language, score, cross-entropy per character, rejected) of each text.  Without a letter: und, 0.0, 0.0, True.
+
+    score: the language's share of the likelihood, characters being dependent evidence that saturates at EVIDENCE of them, times the
+    fit: limit over cross-entropy for texts beyond the limit of rejection, else 1.
+    """
     split = [t.lower().split() if t else [] for t in texts]
     at: dict[str, int] = {}
     ids = [np.fromiter((at.setdefault(w, len(at)) for w in ws), dtype=np.int64, count=len(ws)) for ws in split]
@@ -152,20 +158,22 @@ def score_texts(model: Model, texts: list[str | None]) -> list[tuple[str, float,
         n = int(sizes[i].sum())
         entropy = -table[i].sum(axis=0) / n
         best = int(entropy.argmin())
-        gap = (entropy - entropy[best]) * min(n, 200)  # beyond some length more characters add no evidence, being alike
-        score = float(1 / np.exp(-gap).sum())
-        rejected = model.limits is not None and bool(entropy[best] > np.interp(np.log(n), np.log(LENGTHS), model.limits[:, best]))
-        out.append((model.langs[best], score, float(entropy[best]), rejected))
+        gap = (entropy - entropy[best]) * (n * EVIDENCE / (n + EVIDENCE))
+        limit = np.inf if model.limits is None else float(np.interp(np.log(n), np.log(LENGTHS), model.limits[:, best]))
+        fit = min(1.0, limit / float(entropy[best])) if entropy[best] > 0 else 1.0
+        out.append((model.langs[best], fit * float(1 / np.exp(-gap).sum()), float(entropy[best]), bool(entropy[best] > limit)))
     return out
 
 
 def windows(text: str, length: int, most: int = 8) -> list[str]:
-    """The first runs of whole words that reach the length, one after another."""
+    """The first runs of whole words that reach the length, one after another; none that a long word makes more than twice as long."""
     out, run, size = [], [], 0
     for w in text.split():
         run.append(w)
         size += len(w) + 1
-        if size >= length:
+        if size > 2 * length:
+            run, size = [], 0
+        elif size >= length:
             out.append(" ".join(run))
             run, size = [], 0
             if len(out) == most:
@@ -173,11 +181,14 @@ def windows(text: str, length: int, most: int = 8) -> list[str]:
     return out
 
 
-def calibrate(model: Model, texts: list[tuple[str, str]], slack: float = 8.0) -> None:
-    """Set each language's limit of cross-entropy by length: median and slack deviations, at least 5 %, of the texts' windows of that length."""
+def calibrate(model: Model, cuts: list[tuple[int, str, str]], slack: float = 8.0) -> None:
+    """Set each language's limit of cross-entropy by length: median and slack deviations, at least 30 %, of the windows (length, text, language).
+
+    The allowance keeps texts that quote another learned language or hold some noise; texts of other languages lie 60 % and more above the median.
+    """
     limits: list[np.ndarray] = []
     for length in LENGTHS:
-        cut = [(w, lang) for t, lang in texts for w in windows(t, length)]
+        cut = [(w, lang) for n, w, lang in cuts if n == length]
         found: dict[str, list[float]] = {lang: [] for lang in model.langs}
         for (_, lang), (got, _, entropy, _) in zip(cut, score_texts(model, [w for w, _ in cut]), strict=True):
             if got == lang:
@@ -185,18 +196,23 @@ def calibrate(model: Model, texts: list[tuple[str, str]], slack: float = 8.0) ->
         every = [x for v in found.values() for x in v]
         pick = [np.array(found[lang] if len(found[lang]) >= 5 else every) for lang in model.langs]
         unknown = limits[-1] if limits else np.full(len(model.langs), np.inf)  # no text is that long: the shorter windows' limit
-        limits.append(np.array([np.median(v) + max(slack * 1.4826 * np.median(np.abs(v - np.median(v))), 0.05 * np.median(v)) if len(v) else unknown[k] for k, v in enumerate(pick)]))
+        limits.append(np.array([np.median(v) + max(slack * 1.4826 * np.median(np.abs(v - np.median(v))), 0.3 * np.median(v)) if len(v) else unknown[k] for k, v in enumerate(pick)]))
     model.limits = np.array(limits)
 
 
 def train(docs: DataFrame, max_docs: int = 500, modulus: int = 4, held_remainder: int = 2) -> Model:
-    """Fit on at most about max_docs documents a language, those of least hash; held-out documents never count."""
-    from pyspark.sql.window import Window
+    """Fit on at most about max_docs documents a language, those of least hash; held-out documents never count.
 
+    Repeated rows (same id and text) enter the sample together, but count as one document each.
+    """
+    with batch_limits(docs.sparkSession):
+        return _train(docs, max_docs, modulus, held_remainder)
+
+
+def _train(docs: DataFrame, max_docs: int, modulus: int, held_remainder: int) -> Model:
     spark = docs.sparkSession
-    small_batches(spark, 500)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "lang").filter("text is not null and lang is not null").filter(doc_bucket(F.col("doc_id"), modulus) != held_remainder)
-    rows = rows.withColumn("draw", F.xxhash64(F.lit("sample"), F.col("doc_id")).bitwiseAND(F.lit((1 << 62) - 1)))
+    rows = rows.withColumn("draw", F.xxhash64(F.lit("sample"), F.col("doc_id"), F.col("text")).bitwiseAND(F.lit((1 << 62) - 1)))
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per language
     if not sizes:
         return Model([])
@@ -219,8 +235,14 @@ def train(docs: DataFrame, max_docs: int = 500, modulus: int = 4, held_remainder
     counted = sample.filter(fold != CALIBRATE).select("text", "lang").mapInArrow(count, "lang string, word string, n long").groupBy("word").agg(*each).toArrow()  # bounded by the sample
     model = fit(langs, counted.column("word").to_pylist(), np.stack([counted.column(f"n{i}").to_numpy() for i in range(len(langs))], axis=1).astype(np.float32).reshape(-1, len(langs)))
     del counted
-    kept = sample.filter(fold == CALIBRATE).select("text", "lang")
-    calibrate(model, [(r["text"], r["lang"]) for r in kept.collect()])  # an eighth of the sample
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [(n, w, lang) for t, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True) for n in LENGTHS for w in windows(t, n)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True) if found else ((), (), ()), (pa.int32(), pa.string(), pa.string()), strict=True)], names=["length", "text", "lang"])
+
+    kept = sample.filter(fold == CALIBRATE).select("text", "lang").mapInArrow(cut, "length int, text string, lang string")
+    calibrate(model, [tuple(r) for r in kept.collect()])  # of an eighth of the sample, a few windows of bounded length each
     return model
 
 
@@ -235,7 +257,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     keep = [c for c in keep if c not in RESULT.names]
-    shared = spark.sparkContext.broadcast(model)  # bounded by the training sample
+    shared = broadcast(spark, model)  # bounded by the training sample
     rows = docs.select(*keep, F.col("text").cast("string").alias("_lid_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
