@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import crc_of, small_batches, stage
+from .shared import crc_of, stage
 
 PACKET, SYNC = 188, 0x47
 PAT_PID, PMT_PID, DATA_PID = 0x0000, 0x1000, 0x0100
@@ -195,7 +195,6 @@ MEDIA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_by
 
 def encode_media(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes and the text as a transport stream (binary), for every row; null text is empty.  Extra columns are ignored."""
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -226,5 +225,5 @@ def describe_media(media: DataFrame) -> DataFrame:
 
 
 def media_features(docs: DataFrame) -> DataFrame:
-    """Encode, store in the shared folder, read back and describe; one row per input row."""
-    return describe_media(stage(encode_media(docs), "media"))
+    """Encode and store in the shared folder; read the streams back, parse them, and store timestamps and random-access points beside their digests.  One row per input row."""
+    return stage(describe_media(stage(encode_media(docs), "media")), "media-index")

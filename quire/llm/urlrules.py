@@ -48,8 +48,8 @@ PATTERN_RULES = (
     UrlRule("campaign tag", "block", r"[?&]utm_source=", ("utm", "source")),
     UrlRule("session in query", "block", r"[?&]sessionid=", ("sessionid",)),
     UrlRule("advert path", "block", r"/ads?/(?:click|view)", ()),
-    UrlRule("print view", "block", r"/print/\d+", ("print",)),
-    UrlRule("deep listing page", "block", r"[?&]page=\d{3,}(?:&|#|$)", ("page",)),
+    UrlRule("print view", "block", r"/print/[0-9]+", ("print",)),
+    UrlRule("deep listing page", "block", r"[?&]page=[0-9]{3,}(?:&|#|$)", ("page",)),
 )
 
 
