@@ -70,6 +70,22 @@ def test_lists_with_dissimilar_members_and_late_items(spark, monkeypatch):
         assert got == want
 
 
+def test_sets_whose_names_clash_are_named_anew(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    real, tried = shinglejoin.shingle_sets, []
+
+    def clashing(docs, size, attempt=0, *keep):
+        tried.append(attempt)
+        out = real(docs, size, attempt, *keep)
+        return out if attempt else out.withColumn("sig", F.when(F.col("sig").isNotNull(), F.lit(1).cast("long")))
+
+    monkeypatch.setattr(shinglejoin, "shingle_sets", clashing)
+    docs = spark.createDataFrame([(i, f"a b c {'d' if i < 3 else i} e") for i in range(6)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"]) for r in shinglejoin.component_ids(docs).collect())
+    assert got == [(0, 0), (1, 0), (2, 0), (3, 3), (4, 4), (5, 5)] and tried == [0, 1]
+
+
 def test_empty_table(spark):
     assert shinglejoin.component_ids(nothing(spark)).count() == 0
 
@@ -122,3 +138,11 @@ def test_few_vectors(spark):
     rows = graphann.nearest(table).orderBy("query_id", "rank").collect()
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in rows] == [(0, 1, 1), (0, 2, 50), (50, 1, 1), (50, 2, 0)]
     assert graphann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_lengths_are_apart_and_columns_may_clash(spark):
+    rows = [(0, [1.0, 0.0], "x", 1), (1, [1.0, 0.1], "x", 1), (50, [0.0, 1.0, 0.0], "x", 1), (51, [0.0, 1.0, 1.0], "x", 1), (100, [1.0], "x", 1), (100, [1.0], "x", 1), (150, [1e200, 1e200], "x", 1)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, shard string, rank int")
+    got = graphann.nearest(table).orderBy("query_id", "rank").collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"]) for r in got] == [(0, 1, 1), (0, 2, 150), (50, 1, 51), (150, 1, 1), (150, 2, 0)]
+    assert abs(got[-1]["score"] - 0.5**0.5) < 1e-12

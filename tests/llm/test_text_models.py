@@ -37,7 +37,6 @@ def test_model_beats_base_on_held_out_text(spark):
 
 def test_words_are_scored_after_the_word_before(spark, monkeypatch):
     monkeypatch.setattr(lmscore, "BLOCK_BYTES", 20)
-    monkeypatch.setattr(lmscore, "SHARE", 0.0)
     texts = ["the cat sat on the mat", "the cat sat", "on the mat the cat", "mat the on sat cat the", "the cat sat on the mat", "a cat", "", None, "the zebra sat", "cat the sat", "end"] * 2
     got = lmscore.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), modulus=3).collect()
     c, pairs, docs = Counter(), Counter(), {i: [*words_of(t), b"\n"] for i, t in enumerate(texts)}
@@ -49,7 +48,7 @@ def test_words_are_scored_after_the_word_before(spark, monkeypatch):
     for w in set(c) - {b" ", b"\n"}:
         x = b" " + w + b" "
         for i in range(1, len(x)):
-            for k in range(1, min(5, i + 1) + 1):
+            for k in range(1, min(lmscore.ORDER, i + 1) + 1):
                 grams[x[i - k + 1 : i + 1]] += c[w]
     m, n, v = lmscore.Automaton(grams), sum(c.values()) - c[b" "], len(c) - 1
     spell = {w: 10 ** m.word_weights([w])[0] for w in c if w not in (b" ", b"\n")}
@@ -68,7 +67,7 @@ def test_automaton_is_a_distribution_and_equals_plain_backoff():
     grams = Counter()
     for w, n in {"the": 9, "then": 4, "hat": 2, "a": 5}.items():
         t = f" {w} ".encode()
-        for k in range(1, 6):
+        for k in range(1, lmscore.ORDER + 1):
             for i in range(1, len(t)):
                 if i - k + 1 >= 0:
                     grams[t[i - k + 1 : i + 1]] += n
@@ -86,18 +85,71 @@ def test_automaton_is_a_distribution_and_equals_plain_backoff():
     for w in (b"the", b"thaten", b"zebra", b"a", b""):
         t, total = b" " + w + b" ", 0.0
         for i in range(1, len(t)):
-            total += math.log10(p(t[max(0, i - 4) : i], t[i]))
+            total += math.log10(p(t[max(0, i - lmscore.ORDER + 1) : i], t[i]))
         assert abs(m.word_weights([w])[0] - total) < 1e-9
 
 
-def test_language_model_equals_plain_kneser_ney_sum_and_held_out_accuracy(spark):
+def plain_kneser_ney(counts):
+    """p(i, word laid out between spaces) by the definition, from counts of words."""
+    seen = {n: Counter() for n in range(1, langid.ORDER + 1)}
+    for w, c in counts.items():
+        t = f" {w} "
+        for n in seen:
+            for i in range(1, len(t)):
+                if i - n + 1 >= 0 and c:
+                    seen[n][t[i - n + 1 : i + 1]] += c
+    value = {langid.ORDER: seen[langid.ORDER]}
+    for n in range(1, langid.ORDER):
+        before = Counter(g[1:] for g in seen[n + 1])
+        value[n] = {g: before[g] or 1 for g in seen[n]}
+    discount, total, kinds = {}, {n: Counter() for n in value}, {n: Counter() for n in value}
+    for n, v in value.items():
+        ones, twos = (sum(x == k for x in v.values()) for k in (1, 2))
+        discount[n] = min(max(ones / max(ones + 2 * twos, 1), 0.1), 0.9)
+        for g, x in v.items():
+            total[n][g[:-1]] += x
+            kinds[n][g[:-1]] += 1
+
+    def p(t, i):
+        out = 1e-4
+        for n in range(1, langid.ORDER + 1):
+            c = t[max(0, i - n + 1) : i]
+            if i - n + 1 >= 0 and total[n][c]:
+                out = out * discount[n] * kinds[n][c] / total[n][c] + max(value[n].get(c + t[i], 0) - discount[n], 0) / total[n][c]
+        return out
+
+    return p
+
+
+def test_language_model_equals_plain_kneser_ney():
+    words = ["abab", "ba", "cc", "abc", "a", "bca", "ababab", "éà", "cab"]
+    counts = np.array([[5, 0], [3, 1], [0, 4], [2, 2], [1, 0], [0, 1], [1, 0], [0, 3], [1, 1]], dtype=float)
+    model = langid.fit(["x", "y"], words, counts)
+    probe = [*words, "zz", "abcab", "ab", "ccc", "é"]
+    got = model.log_probs(probe)
+    for k in range(2):
+        p = plain_kneser_ney({w: int(c[k]) for w, c in zip(words, counts)})
+        for w, row in zip(probe, got):
+            t = f" {w} "
+            assert abs(row[k] - sum(math.log(p(t, i)) for i in range(1, len(t)))) < 1e-9
+
+
+def test_language_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.identify_languages(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
     assert np.mean([r["lang_pred"] == r["lang"] for r in got]) > 0.95
     assert np.mean([r["rejected"] for r in got]) < 0.02
-    model = langid.fit(["x", "y"], ["abab", "ba", "cc"], np.array([[5.0, 0], [3, 1], [0, 4]]))
-    p = np.exp(model.log_probs(["abab", "cc", "zz"]))
-    assert p[0, 0] > p[0, 1] and p[1, 1] > p[1, 0] and (p > 0).all() and (p < 1).all()
+    foreign = docs.limit(1).selectExpr("cast(1 as long) doc_id", "'Съешь же ещё этих мягких французских булок да выпей чаю' text", "lang")
+    model = langid.train(docs)
+    row = langid.predict(foreign, model, ["doc_id"]).first()
+    assert row["rejected"] and row["score"] < 0.9
+
+
+def test_repeated_rows_do_not_flood_the_sample(spark):
+    docs = documents(spark)
+    one = spark.range(3000).selectExpr("cast(null as long) doc_id", "concat('words of text number ', id) text", "'en' lang")
+    model = langid.train(docs.select("doc_id", "text", "lang").union(one), max_docs=100)
+    assert model.langs == ["en", "fr"] and 10 < len(model.grams[0])
 
 
 def test_short_foreign_texts_are_rejected(spark):
@@ -118,6 +170,27 @@ def test_language_of_awkward_texts(spark):
     assert langid.identify_languages(nothing(spark)).count() == 0
 
 
+def test_names_of_furniture():
+    for name in ("sidebar", "main-menu", "ad_box", "cookie-banner", "nav", "site-nav", "comments"):
+        assert htmlmain.names_furniture(name)
+    for name in ("side-effects", "related-work", "notice-period", "menu-analysis", "article", "content", "", "advance"):
+        assert not htmlmain.names_furniture(name)
+
+
+def test_text_of_main_beside_the_article_stays(spark):
+    page = '<body><div class="menu">M</div><main><h1>Title</h1><article><p class="side-effects">Body</p></article><p id="notice-period">After</p></main><article>Other</article></body>'
+    inside = page.replace("<article>Other</article>", "")
+    assert texts_of(spark, ("a.example", page), ("b.example", inside)) == ["Body Other", "Title Body After"]
+
+
+def test_pages_without_rows_and_with_clashing_columns(spark):
+    schema = "page_id long, url string, html string, host string, place string, rule string, verdict string, n long"
+    none, one = spark.createDataFrame([], schema), spark.createDataFrame([(1, "http://a.net/x", "<p>Hi", "h", "p", "r", "v", 3)], schema)
+    assert htmlmain.extract_main(none).count() == 0 and urlrules.judge_urls(none).count() == 0
+    assert [tuple(r) for r in htmlmain.extract_main(one).collect()] == [(1, "http://a.net/x", "Hi", 2)]
+    assert [tuple(r) for r in urlrules.judge_urls(one).collect()] == [(1, "http://a.net/x", "a.net", "/x", "net/", "block")]
+
+
 PAGE = '<html><head><title>T</title></head><body><nav><ul><li>Home<li>News</ul></nav><div class="ad">Buy</div><article><h1>A &amp; B{n}</h1><p>one  <b>two<br><p>three&nbsp;x</p><aside>side</aside><div id="comments">c</div></article><footer>f</footer></body></html>'
 
 
@@ -177,6 +250,15 @@ def test_mix_rates_and_edges(spark):
     assert keys == sorted(keys)
 
 
+def test_many_sources_mix_alike(spark, monkeypatch):
+    docs = documents(spark)
+    want = sorted(map(str, mixing.mix_sources(docs).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert sorted(map(str, mixing.mix_sources(docs).collect())) == want
+    with pytest.raises(ValueError, match="clash"):
+        mixing.mix_sources(docs.withColumnRenamed("token", "_mix_key"))
+
+
 @pytest.mark.parametrize("rate", [0.0, 0.3, 1.0, 7.9])
 def test_poisson_cdf(spark, rate):
     from pyspark.sql import functions as F
