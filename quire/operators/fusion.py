@@ -1,224 +1,230 @@
 """Greedy fusion of a page's detections, with small recovery boxes in place of large unsupported ones.
 
-Whether a box is kept depends on those kept before it, so a page and variant is one sequential pass.  Pages hold hundreds of boxes and at most 120 lines, which bounds a group; pages spread over the cluster.
+Whether a box is kept depends on those kept before it, so a set of models on a page is one ordered fold, inside the JVM.  All that
+needs pairs of boxes is joined before it, once for all sets: the models that support a box, the lines it covers and the earlier
+boxes that are nearly it.  The fold's state is the kept boxes and the covered lines, in arrays; pages hold hundreds of boxes and
+at most 120 lines, which bounds a group, and pages spread over the cluster.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.operators.spatial import XY, raster, variant_members
+from quire.functions import layout as L
+from quire.operators.grid import fixed, overlaps
+from quire.operators.spatial import CELL, XY, near, rastered, shared_part, variant_members
+from quire.operators.sweep import on_raster, raster_size, union_areas
 
 # Thresholds of the selection, and the names that recovered boxes carry.
 SAME_IOU, NEW_SHARE, NEW_LEAST, UNCOVERED, RECOVER_AREA, TIGHT, PAD, MOST_RECOVERED = 0.85, 0.40, 2, 0.02, 0.12, 0.55, 6.0, 32
 RECOVERED = {"source_family": "synthetic", "source_model": "synthetic_line_recovery", "norm_label": "text"}
-OUT = "page_id long, variant string, reading_order int, seq int, source_family string, source_model string, norm_label string, x1 double, y1 double, x2 double, y2 double, score double"
-
-
-def _areas(b: np.ndarray) -> np.ndarray:
-    return np.prod(np.clip(b[..., 2:] - b[..., :2], 0, None), axis=-1)
-
-
-def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Shared area of every box of a with every box of b."""
-    low, high = np.maximum(a[:, None, :2], b[None, :, :2]), np.minimum(a[:, None, 2:], b[None, :, 2:])
-    return np.prod(np.clip(high - low, 0, None), axis=-1)
-
-
-def _covers(lines: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of each line's area inside each box; 0 for lines without area."""
-    whole = _areas(lines)[:, None]
-    return np.divide(_shared(lines, b), whole, out=np.zeros((len(lines), len(b))), where=whole > 0)
-
-
-def _clamped(b: np.ndarray, pad: float, w: float, h: float) -> np.ndarray:
-    """Boxes grown by pad and cut to the page; without extent they are all zero."""
-    out = np.clip(b + np.array([-pad, -pad, pad, pad]), 0, [w, h, w, h])
-    return np.where(((out[:, 2] > out[:, 0]) & (out[:, 3] > out[:, 1]))[:, None], out, 0.0)
-
-
-def recovery(parent: np.ndarray, bare: np.ndarray, w: float, h: float) -> np.ndarray:
-    """One padded box around the bare lines if it is much smaller than the parent, else a padded box per line and place."""
-    if not len(bare):
-        return np.zeros((0, 4))
-    hull = np.concatenate([np.maximum(parent[:2], bare[:, :2].min(0)), np.minimum(parent[2:], bare[:, 2:].max(0))])
-    hull = _clamped(hull[None], 0.0, w, h)
-    if _areas(hull)[0] > 0 and _areas(hull)[0] <= TIGHT * max(1.0, _areas(parent)):
-        return _clamped(hull, PAD, w, h)
-    each = _clamped(bare, PAD, w, h)
-    _, first = np.unique(np.rint(each / 8), axis=0, return_index=True)
-    return each[np.sort(first)[:MOST_RECOVERED]]
-
-
-class Selection:
-    """The kept boxes, and how well they cover each line."""
-
-    def __init__(self, lines: np.ndarray):
-        self.lines, self.best = lines, np.zeros(len(lines))
-        self.box, self.label, self.source = np.zeros((0, 4)), np.zeros(0, object), []
-
-    def add(self, boxes: np.ndarray, label: str, sources: list) -> None:
-        self.box, self.label = np.vstack([self.box, boxes]), np.append(self.label, [label] * len(boxes))
-        self.source += sources
-        if len(self.lines):
-            self.best = np.maximum(self.best, _covers(self.lines, boxes).max(1))
-
-    def twins(self, b: np.ndarray, label: str) -> np.ndarray:
-        """Areas that b shares with kept boxes of its label that are nearly it."""
-        near = _shared(self.box, b[None])[:, 0]
-        union = _areas(self.box) + _areas(b) - near
-        return near[(self.label == label) & (near >= SAME_IOU * union) & (union > 0)]
-
-
-def supports(xy: np.ndarray, label: np.ndarray, family: np.ndarray, most: int = 3) -> np.ndarray:
-    """Families (own included) with an overlapping box of the same label, at most `most`, for each box of a page."""
-    near, size = _shared(xy, xy), _areas(xy)
-    part = lambda whole: np.divide(near, whole, out=np.zeros(near.shape), where=whole > 0)
-    of_a = part(np.broadcast_to(size[:, None], near.shape))
-    hit = (label[:, None] == label) & ((part(size[:, None] + size - near) >= 0.20) | (of_a >= 0.60) | (of_a.T >= 0.60))
-    np.fill_diagonal(hit, True)
-    return np.minimum(most, sum((hit[:, family == f].any(1).astype(int) for f in set(family)), np.zeros(len(xy), int)))
-
-
-def select_boxes(boxes: pd.DataFrame, lines: np.ndarray, w: float, h: float, threshold: float = 0.5) -> pd.DataFrame:
-    """Kept and recovered boxes of one page and variant in reading order; boxes need norm_label, score, support, seq and corners."""
-    xy, score = boxes[list(XY)].to_numpy(float), boxes["score"].fillna(0.0).to_numpy(float)
-    size = _areas(xy)
-    labels, supports_, seqs, families, models = (boxes[c].to_numpy(object) for c in ("norm_label", "support", "seq", "source_family", "source_model"))
-    kept = Selection(lines)
-    for i in np.lexsort((boxes["seq"].to_numpy(), -size, -score)):
-        b, label, support = xy[i], labels[i], supports_[i]
-        bw, bh, share = b[2] - b[0], b[3] - b[1], size[i] / max(1.0, w * h)
-        if bw <= 1 or bh <= 1:
-            continue
-        text = label in ("text", "title")
-        thin = bw >= 0.65 * w and bh <= 0.06 * h or bh >= 0.65 * h and bw <= 0.06 * w
-        large = text and (share >= 0.08 or thin)
-        if text and thin and support < 2:
-            continue
-        giant = text and (share >= 0.22 and support < 2 and score[i] < 0.75 or share >= 0.30 and support < 3)
-        inside = _covers(lines, b[None])[:, 0] >= threshold
-        bare = inside & (kept.best < threshold)
-        earns = bare.sum() >= NEW_LEAST and bare.sum() >= NEW_SHARE * inside.sum()
-        twins = kept.twins(b, label)
-        doubtful = large and (support < 2 or giant and not len(twins))
-        if doubtful and not earns:
-            continue
-        if len(twins):
-            if size[i] - twins.max() <= UNCOVERED * max(1.0, w * h) and not bare.any():
-                continue
-        elif doubtful:
-            found = recovery(b, lines[bare], w, h) if share >= RECOVER_AREA else np.zeros((0, 4))
-            if len(found):
-                kept.add(found, "text", [(None, RECOVERED["source_family"], RECOVERED["source_model"], min(0.95, max(0.10, score[i])))] * len(found))
-                continue
-            if giant:
-                continue
-        kept.add(b[None], label, [(seqs[i], families[i], models[i], score[i])])
-    out = pd.DataFrame(kept.source, columns=["seq", "source_family", "source_model", "score"])
-    out[list(XY)], out["norm_label"] = kept.box, kept.label
-    out = out.sort_values(["y1", "x1"], kind="stable").reset_index(drop=True)
-    out["reading_order"] = out.index + 1
-    out["seq"] = out["seq"].astype("Int32")
-    return out
-
-
-def _columns(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return g[list(XY)].to_numpy(float).reshape(-1, 4), g["norm_label"].to_numpy(object), g["source_family"].to_numpy(object)
+TEXT = ("text", "title")
 
 
-def fuse(boxes: DataFrame, lines: DataFrame, width: int, height: int, threshold: float = 0.5) -> DataFrame:
-    """Fused boxes of every page and variant; boxes (page_id, variant, seq, source_*, norm_label, corners, score), lines (page_id, line_ord, corners).
+def model_sets() -> dict[str, tuple[str, ...]]:
+    """The sets of models that are fused: every source alone, and the variants of several."""
+    members = variant_members()
+    return {m: (m,) for m in members["P4"]} | {v: m for v, m in members.items() if len(m) > 1}
 
-    Recovered boxes have no seq.  A null score counts as 0; pages without lines keep no large unsupported text; no boxes, no rows.
-    """
-    rated = boxes.select("page_id", "variant", "seq", "source_family", "source_model", "norm_label", *XY, "score")
 
-    def run(mine: pd.DataFrame, own_lines: pd.DataFrame) -> pd.DataFrame:
-        at = own_lines.sort_values("line_ord")[list(XY)].to_numpy(float).reshape(-1, 4)
-        parts = []
-        for (page, variant), g in mine.groupby(["page_id", "variant"]):
-            g = g.assign(support=supports(*_columns(g)))
-            parts.append(select_boxes(g, at, width, height, threshold).assign(page_id=page, variant=variant))
-        names = [c.split()[0] for c in OUT.split(", ")]
-        return pd.concat(parts)[names] if parts else pd.DataFrame(columns=names)
+def _let(name: str, value: str, body: str) -> str:
+    """body, with value under a name: SQL's lambdas have no other way to use a value twice and compute it once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
-    return rated.groupBy("page_id").cogroup(lines.select("page_id", "line_ord", *XY).groupBy("page_id")).applyInPandas(run, OUT)
 
+def _shared(a: str, b: str) -> str:
+    side = lambda c: f"greatest(0d, least({a}.{c}2, {b}.{c}2) - greatest({a}.{c}1, {b}.{c}1))"
+    return f"{side('x')} * {side('y')}"
 
-def _text(g: pd.DataFrame) -> np.ndarray:
-    return g.loc[g["norm_label"].isin(["text", "title"]), list(XY)].to_numpy(float).reshape(-1, 4)
 
+def _clamped(x1: str, y1: str, x2: str, y2: str, w: float, h: float) -> str:
+    """A box cut to the page; all zeros without an extent."""
+    cut = lambda v, top: f"greatest(0d, least({float(top)}D, {v}))"
+    box = f"named_struct('x1', {cut(x1, w)}, 'y1', {cut(y1, h)}, 'x2', {cut(x2, w)}, 'y2', {cut(y2, h)})"
+    return _let("q", box, "if(q.x2 > q.x1 and q.y2 > q.y1, q, named_struct('x1', 0d, 'y1', 0d, 'x2', 0d, 'y2', 0d))")
 
-def best_model(g: pd.DataFrame, models: tuple[str, ...], w: int, h: int) -> str | None:
-    """The model whose raw boxes score best by texts, their area and few boxes; the first of equals, None without any boxes."""
-    best, top = None, -np.inf
-    for m in models:
-        own = g[g["source_model"] == m]
-        text = _text(own)
-        score = 0.02 * len(text) + raster(text, w, h).mean() - 0.0002 * len(own)
-        if len(own) and score > top:
-            best, top = m, score
-    return best
 
+def _recovered(w: float, h: float) -> str:
+    """Boxes around the bare lines of b: one, if much smaller than b, else one for each line and place."""
+    edge = lambda pick, c, of: f"array_{pick}(transform(d.bare, i -> lines[i].{c}))" if of is None else f"{of}(b.{c}, array_{pick}(transform(d.bare, i -> lines[i].{c})))"
+    hull = _clamped(edge("min", "x1", "greatest"), edge("min", "y1", "greatest"), edge("max", "x2", "least"), edge("max", "y2", "least"), w, h)
+    padded = lambda v: _clamped(f"{v}.x1 - {PAD}D", f"{v}.y1 - {PAD}D", f"{v}.x2 + {PAD}D", f"{v}.y2 + {PAD}D", w, h)
+    place = lambda v: f"array({', '.join(f'rint({v}.{c} / 8)' for c in XY)})"
+    one = f"t.x2 > t.x1 and t.y2 > t.y1 and (t.x2 - t.x1) * (t.y2 - t.y1) / greatest(1d, b.area) <= {TIGHT}D"
+    first = f"filter(each, (v, n) -> not exists(slice(each, 1, n), u -> {place('u')} = {place('v')}))"
+    several = _let("each", f"transform(d.bare, i -> {padded('lines[i]')})", f"slice({first}, 1, {MOST_RECOVERED})")
+    return _let("t", hull, f"if({one}, array({padded('t')}), {several})")
 
-def best_singles(boxes: DataFrame, models: tuple[str, ...], width: int, height: int) -> DataFrame:
-    """page_id, best: the best of the models on every page that has boxes of any."""
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"page_id": g["page_id"].head(1), "best": best_model(g, models, width, height)})
+def _step(w: float, h: float, threshold: float) -> str:
+    """The state after box b, from that before it: acc(kept, turns, made, covered).  Names: b box, d what the state says of it, e its rank, r recovered boxes.
+
+    kept: the chosen boxes in order, turns: those of them that are the page's own, made: recovered ones, covered: places of lines.
+    """
+    page = max(1.0, float(w) * float(h))
+    twins = f"""concat(
+        if(size(b.twins) = 0, b.none, transform(filter(b.twins, t -> array_contains(acc.turns, t.turn)), t -> t.shared)),
+        if(size(acc.made) = 0 or b.norm_label <> '{RECOVERED["norm_label"]}', b.none, filter(transform(acc.made,
+          k -> {_let('i', _shared('k', 'b'), f"if(i / ((k.x2 - k.x1) * (k.y2 - k.y1) + b.area - i) >= {SAME_IOU}D, i, null)")}), i -> i is not null)))"""
+    said = f"""named_struct('bare', array_except(b.hits, acc.covered), 'twins', {twins},
+      'support', if(b.large, 1 + size(array_distinct(transform(filter(b.partners, p -> array_contains(members, p.model)), p -> p.family))), 1))"""
+    judged = f"""named_struct(
+      'earns', size(d.bare) >= {NEW_LEAST} and size(d.bare) >= {NEW_SHARE}D * size(b.hits),
+      'giant', b.large and (b.share >= 0.22D and d.support < 2 and b.sure < 0.75D or b.share >= 0.30D and d.support < 3))"""
+    state = lambda kept, turns, made, covered: f"named_struct('kept', {kept}, 'turns', {turns}, 'made', {made}, 'covered', {covered})"
+    kept = "named_struct('turn', b.turn, 'x1', b.x1, 'y1', b.y1, 'x2', b.x2, 'y2', b.y2, 'score', b.score)"
+    keep = state(f"concat(acc.kept, array({kept}))", "concat(acc.turns, array(b.turn))", "acc.made", "array_union(acc.covered, b.hits)")
+    new = "transform(r, v -> named_struct('turn', cast(null as int), 'x1', v.x1, 'y1', v.y1, 'x2', v.x2, 'y2', v.y2, 'score', least(0.95D, greatest(0.10D, b.sure))))"
+    inside = f"filter(sequence(0, size(lines) - 1), i -> exists(r, v -> {_shared('v', 'lines[i]')} / lines[i].area >= {threshold}D))"
+    recover = _let("r", _recovered(w, h), state(f"concat(acc.kept, {new})", "acc.turns", "concat(acc.made, r)", f"array_union(acc.covered, {inside})"))
+    choice = f"""case
+      when b.thin and d.support < 2 then acc
+      when b.large and (d.support < 2 or e.giant and size(d.twins) = 0) and not e.earns then acc
+      when size(d.twins) > 0 then if(b.area - array_max(d.twins) <= {UNCOVERED * page}D and size(d.bare) = 0, acc, {keep})
+      when not b.large or d.support >= 2 and not e.giant then {keep}
+      when b.share >= {RECOVER_AREA}D then {recover}
+      when e.giant then acc
+      else {keep} end"""
+    judging = _let("d", said, _let("e", judged, choice))
+    return f"if(not b.large and size(b.twins) = 0 and size(acc.made) = 0, {keep}, {judging})"
+
+
+def prepared(boxes: DataFrame, lines: DataFrame, width: float, height: float, threshold: float = 0.5) -> DataFrame:
+    """One row a page: items (its boxes in the order of the fold, with what pairs say of them) and lines.
+
+    boxes (page_id, seq, source_family, source_model, norm_label, corners, score), lines (page_id, line_ord, corners); other columns are left aside.
+    An item's hits are places in lines, its twins the turns of earlier boxes of its label with an overlap of SAME_IOU at least; the
+    partners (of large texts alone, as no other box needs support) are the models of other families that support it.
+
+    Boxes and lines meet in one grid join, whose two sides are the same rows and so one exchange.
+    """
+    sure, size = F.coalesce("score", F.lit(0.0)), L.box_area()
+    turn = F.row_number().over(Window.partitionBy("page_id").orderBy(sure.desc(), size.desc(), "seq"))
+    rows = boxes.select("page_id", "seq", F.coalesce("source_family", F.lit("")).alias("source_family"), "source_model", "norm_label", *[F.col(c).cast("double").alias(c) for c in XY], F.col("score").cast("double").alias("score"))
+    text, thin = F.col("norm_label").isin(*TEXT), L.strip_shape(width, height) != "none"
+    share = size / max(1.0, float(width) * float(height))
+    rows = rows.select("*", turn.alias("turn"), sure.alias("sure"), size.alias("area"), share.alias("share"), (text & thin).alias("thin"), (text & (thin | (share >= 0.08))).alias("large"))
+    at = Window.partitionBy("page_id").orderBy("line_ord")
+    placed = lines.select("page_id", "line_ord", *[F.col(c).cast("double").alias(c) for c in XY]).withColumn("place", F.row_number().over(at) - 1).drop("line_ord")
+
+    nothing = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    met = rows.select("page_id", *XY, "turn", "norm_label", "source_family", "source_model", "large", nothing("int", "place"))
+    met = met.unionByName(placed.select("page_id", *XY, nothing("int", "turn"), nothing("string", "norm_label"), nothing("string", "source_family"), nothing("string", "source_model"), nothing("boolean", "large"), "place"))
+    near_by = (F.col("a_norm_label") == F.col("b_norm_label")) & (F.col("a_turn") < F.col("b_turn"))
+    pairs = overlaps(met, met, ["page_id"], near_by | (F.col("a_place").isNotNull() & F.col("b_turn").isNotNull()), fixed((width / 4, height / 8)))
+    i, area_a, area_b = F.col("i"), L.box_area("a_"), L.box_area("b_")
+    supports = (F.col("a_source_family") != F.col("b_source_family")) & near(i, area_a, area_b)
+    partner = lambda p: F.struct(F.col(f"{p}source_model").alias("model"), F.col(f"{p}source_family").alias("family")).alias("partner")
+    twin = F.struct(F.col("a_turn").alias("turn"), i.alias("shared")).alias("twin")
+    fact = lambda turn, hit=nothing("int", "hit"), twin=nothing("struct<turn:int,shared:double>", "twin"), partner=nothing("struct<model:string,family:string>", "partner"): F.struct(F.col(turn).alias("turn"), hit, twin, partner)
+    covers, same = F.col("a_place").isNotNull() & (i / area_a >= threshold), F.col("a_turn").isNotNull() & (i / (area_a + area_b - i) >= SAME_IOU)
+    helps_a, helps_b = F.col("a_large") & supports, F.col("b_large") & supports
+    said = [F.when(covers, fact("b_turn", hit=F.col("a_place").alias("hit"))), F.when(same, fact("b_turn", twin=twin)), F.when(helps_a, fact("a_turn", partner=partner("b_"))), F.when(helps_b, fact("b_turn", partner=partner("a_")))]
+    telling = pairs.withColumn("i", L.intersection("a_", "b_")).filter(covers | same | helps_a | helps_b)
+    facts = telling.select("page_id", F.explode(F.array(*said)).alias("f")).filter("f is not null").select("page_id", "f.*")
+    none = F.array().cast("array<double>").alias("none")
+    item = F.struct("turn", "seq", "source_family", "source_model", "norm_label", *XY, "score", "sure", "area", "share", "thin", "large", L.degenerate().alias("flat"), none)
+    line = F.struct("place", *XY, L.box_area().alias("area"))
+    every = facts.unionByName(rows.select("page_id", "turn", item.alias("box")), True).unionByName(placed.select("page_id", line.alias("line")), True)
+    # All rows of a page lie together from here on, so both groupings follow without another shuffle.
+    known = every.repartition("page_id").groupBy("page_id", "turn").agg(F.max("box").alias("box"), F.array_sort(F.collect_list("hit")).alias("hits"), F.collect_list("twin").alias("twins"), F.collect_set("partner").alias("partners"), F.array_sort(F.collect_list("line")).alias("lines"))
+    whole = F.when(F.col("turn").isNotNull(), F.struct("box.*", "hits", "twins", "partners"))
+    pages = known.groupBy("page_id").agg(F.array_sort(F.collect_list(whole)).alias("items"), F.max(F.when(F.col("turn").isNull(), F.col("lines"))).alias("lines"))
+    return pages.withColumn("lines", F.coalesce("lines", F.array().cast("array<struct<place:int,x1:double,y1:double,x2:double,y2:double,area:double>>"))).filter(F.size("items") > 0)
+
+
+def select_boxes(pages: DataFrame, sets: dict[str, tuple[str, ...]], width: float, height: float, threshold: float = 0.5) -> DataFrame:
+    """The columns of pages, name, kept (boxes in the order of choice) and covered (places of lines), for every set of models on every page."""
+    named = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(list(m)).alias("members")) for n, m in sets.items()])
+    start = "named_struct('kept', cast(array() as array<struct<turn:int,x1:double,y1:double,x2:double,y2:double,score:double>>), 'turns', cast(array() as array<int>), 'made', cast(array() as array<struct<x1:double,y1:double,x2:double,y2:double>>), 'covered', cast(array() as array<int>))"
+    mine = "filter(items, b -> array_contains(members, b.source_model) and not b.flat)"
+    each = pages.withColumn("of", F.explode(named)).select(*pages.columns, "of.name", "of.members")
+    state = F.expr(f"aggregate({mine}, {start}, (acc, b) -> {_step(width, height, threshold)})")
+    return each.withColumn("state", state).select(*pages.columns, "name", "state.kept", "state.covered")
+
 
-    return boxes.filter(F.col("source_model").isin(*models)).select("page_id", "source_model", "norm_label", *XY).groupBy("page_id").applyInPandas(run, "page_id long, best string")
+def fuse(boxes: DataFrame, lines: DataFrame, width: int, height: int, threshold: float = 0.5) -> DataFrame:
+    """Fused boxes of every page and set of models, in reading order; recovered boxes have no seq.
 
+    A null score counts as 0; pages without lines keep no large unsupported text; no boxes, no rows.
+    """
+    chosen = select_boxes(prepared(boxes, lines, width, height, threshold), model_sets(), width, height, threshold)
+    ordered = F.expr("array_sort(transform(kept, (k, n) -> named_struct('y1', k.y1, 'x1', k.x1, 'n', n, 'k', k)))")
+    out = chosen.select("page_id", "name", "items", F.posexplode(ordered).alias("place", "o")).select("page_id", "name", F.col("place") + 1, "o.k", F.expr("get(items, o.k.turn - 1)").alias("b"))
+    out = out.toDF("page_id", "name", "reading_order", "k", "b")
+    of = [F.coalesce(F.col(f"b.{c}"), F.lit(v)).alias(c) for c, v in RECOVERED.items()]
+    return out.select("page_id", "name", "reading_order", "b.seq", *of, *[f"k.{c}" for c in XY], "k.score")
 
-def base_boxes(g: pd.DataFrame, lines: np.ndarray, w: float, h: float, threshold: float) -> pd.DataFrame:
-    """Boxes fit to measure recall against: non-text ones; text ones that are no unsupported strip or weak giant and cover two lines."""
-    xy, support = g[list(XY)].to_numpy(float), supports(*_columns(g))
-    bw, bh, share = xy[:, 2] - xy[:, 0], xy[:, 3] - xy[:, 1], _areas(xy) / max(1.0, w * h)
-    strip = (bw >= 0.65 * w) & (bh <= 0.06 * h) | (bh >= 0.65 * h) & (bw <= 0.06 * w)
-    giant = (share >= 0.22) & (support < 2) & (g["score"].fillna(0.0).to_numpy(float) < 0.75) | (share >= 0.30) & (support < 3)
-    bad = strip & (support < 2) | giant | ((_covers(lines, xy) >= threshold).sum(0) < 2)
-    return g[(bw > 1) & (bh > 1) & ~(g["norm_label"].isin(["text", "title"]).to_numpy() & bad)]
 
+def as_variants(by_set: DataFrame, best: DataFrame) -> DataFrame:
+    """Rows of model sets as those of variants: S1 is the page's best single model; pages without one have none."""
+    alias = {m[0]: v for v, m in variant_members().items() if len(m) == 1 and v != "S1"}
+    own = F.when(F.col("name").isin(*[v for v, m in variant_members().items() if len(m) > 1]), F.col("name"))
+    for model, v in alias.items():
+        own = own.when(F.col("name") == model, v)
+    names = F.array_compact(F.array(own, F.when(F.col("name") == F.col("best"), "S1")))
+    return by_set.join(best, "page_id").withColumn("variant", F.explode(names)).drop("name", "best")
 
-MEASURES = "page_id long, kind string, name string, best_single string, line_coverage double, covered_lines long, uncovered_lines long, box_count long, text_area double, base_recall double"
 
+def best_singles(boxes: DataFrame, models: tuple[str, ...], width: int, height: int) -> DataFrame:
+    """page_id, best: the model whose raw boxes score best by texts, their area and few boxes, the first of equals, on every page that has boxes of any."""
+    own = boxes.filter(F.col("source_model").isin(*models))
+    text = F.col("norm_label").isin(*TEXT)
+    cells = union_areas(rastered(own.filter(text), width, height, "page_id", "source_model"), ["page_id", "source_model"])
+    counts = own.groupBy("page_id", "source_model").agg(F.count_if(text).alias("texts"), F.count(F.lit(1)).alias("n"))
+    score = 0.02 * F.col("texts") + F.coalesce("area", F.lit(0.0)) / raster_size(width, height, CELL) - 0.0002 * F.col("n")
+    first = F.array_position(F.lit(list(models)), F.col("source_model"))
+    return counts.join(cells, ["page_id", "source_model"], "left").groupBy("page_id").agg(F.max_by("source_model", F.struct(score, -first)).alias("best"))
 
-def measure_page(g: pd.DataFrame, lines: np.ndarray, w: int, h: int, threshold: float = 0.5) -> pd.DataFrame:
-    """Measures of the fused boxes of every variant and source of a page (S1 is its best Paddle model); none for a page without Paddle boxes."""
-    names, members = [c.split()[0] for c in MEASURES.split(", ")], variant_members()
-    paddle = members["P1"]
-    best = best_model(g, paddle, w, h)
-    if best is None:
-        return pd.DataFrame(columns=names)
-    base = raster(_text(base_boxes(g, lines, w, h, threshold)), w, h)
-    have, rows = set(g["source_model"]), []
-    groups = [("variant", v, (best,) if v == "S1" else m) for v, m in members.items()] + [("source", m, (m,)) for m in members["P4"] if m in have or m not in paddle]
-    done: dict[tuple, tuple] = {}
-    for kind, name, models in groups:
-        if models not in done:
-            own = g[g["source_model"].isin(models)]
-            kept = select_boxes(own.assign(support=supports(*_columns(own))), lines, w, h, threshold)
-            covered = int((_covers(lines, kept[list(XY)].to_numpy(float).reshape(-1, 4)).max(1, initial=0.0) >= threshold).sum())
-            mine = raster(_text(kept), w, h)
-            done[models] = (covered / len(lines) if len(lines) else 0.0, covered, len(lines) - covered, len(kept), mine.mean(), (mine & base).sum() / base.sum() if base.any() else 0.0)
-        rows.append((g["page_id"].iat[0], kind, name, best, *done[models]))
-    return pd.DataFrame(rows, columns=names)
 
+def _fits(width: float, height: float) -> str:
+    """Whether an item is fit to measure recall against: no text, or text that is no unsupported strip or weak giant and covers two lines."""
+    support = "1 + size(array_distinct(b.partners.family))"
+    bad = f"b.thin and {support} < 2 or b.share >= 0.22D and {support} < 2 and b.sure < 0.75D or b.share >= 0.30D and {support} < 3 or size(b.hits) < 2"
+    return f"not b.flat and b.norm_label in {TEXT} and not ({bad})"
 
-def measure(boxes: DataFrame, lines: DataFrame, width: int, height: int, threshold: float = 0.5) -> DataFrame:
-    """measure_page of every page: boxes of all models (page_id, seq, source_*, norm_label, corners, score), lines (page_id, line_ord, corners)."""
 
-    def run(g: pd.DataFrame, own_lines: pd.DataFrame) -> pd.DataFrame:
-        at = own_lines.sort_values("line_ord")[list(XY)].to_numpy(float).reshape(-1, 4)
-        return measure_page(g.sort_values("seq"), at, width, height, threshold)
+def measure(boxes: DataFrame, lines: DataFrame, width: int, height: int, threshold: float = 0.5) -> DataFrame:
+    """Measures of the fused boxes of every variant and source on every page (S1 is its best Paddle model); none for a page without Paddle boxes.
 
-    rows = boxes.select("page_id", "seq", "source_family", "source_model", "norm_label", *XY, "score")
-    return rows.groupBy("page_id").cogroup(lines.select("page_id", "line_ord", *XY).groupBy("page_id")).applyInPandas(run, MEASURES)
+    boxes and lines as `prepared` takes them.  Returns page_id, kind, name, best_single, line_coverage, covered_lines, uncovered_lines, box_count, text_area, base_recall.
+    The fold runs once a set; the areas of all sets' texts, of the base and of each with the base come from one sweep a page that carries the counts along.
+    """
+    members = variant_members()
+    paddle, sets = members["P1"], model_sets()
+    several, alone = [v for v, m in members.items() if len(m) > 1], {m[0]: v for v, m in members.items() if len(m) == 1 and v != "S1"}
+    chosen = select_boxes(prepared(boxes, lines, width, height, threshold), sets, width, height, threshold)
+    corner = lambda v, tag: f"named_struct('tag', {tag}, {', '.join(f'{chr(39)}{c}{chr(39)}, {v}.{c}' for c in XY)})"
+    texts = f"transform(filter(kept, k -> k.turn is null or get(items, k.turn - 1).norm_label in {TEXT}), k -> {corner('k', 'name')})"
+    base = f"if(name = '{next(iter(sets))}', transform(filter(items, b -> {_fits(width, height)}), b -> {corner('b', repr('base'))}), array())"
+    counts = "array(named_struct('tag', 'counts', 'x1', null, 'y1', null, 'x2', null, 'y2', null))"
+    counted = chosen.select("page_id", "name", F.size("kept").alias("n"), F.size("covered").alias("c"), F.size("lines").alias("all"), F.expr("exists(items, b -> b.source_model = name)").alias("has"), F.expr(f"explode(concat({counts}, {texts}, {base}))").alias("r"))
+    tag = F.col("r.tag")
+    cells = counted.select("page_id", tag.alias("tag"), *on_raster(*[F.col(f"r.{c}") for c in XY], width, height, CELL), *[F.when((tag == "counts") & (F.col("name") == m), F.struct("n", "c", "all", "has")).alias(f"of_{m}") for m in sets])
+    tag = F.col("tag")
+    areas = {"base": tag == "base"} | {f"own_{m}": tag == m for m in sets} | {f"both_{m}": tag.isin(m, "base") for m in sets}
+    swept = union_areas(cells, ["page_id"], areas, tuple(f"of_{m}" for m in sets))
+    each = F.array(*[F.struct(F.lit(m).alias("name"), F.col(f"own_{m}").alias("own"), F.col(f"both_{m}").alias("both"), f"of_{m}.*") for m in sets])
+    by_set = swept.select("page_id", "base", F.explode(each).alias("s")).select("page_id", "base", "s.*")
+
+    name, kind = F.col("name"), lambda k, v: F.struct(F.lit(k).alias("kind"), v.alias("name"))
+    as_variant = F.create_map(*[F.lit(x) for kv in ({v: v for v in several} | alone).items() for x in kv])[name]
+    out_rows = F.array_compact(F.array(F.when(as_variant.isNotNull(), kind("variant", as_variant)), F.when(name == F.col("best"), kind("variant", F.lit("S1"))), F.when(~name.isin(*several) & (F.col("has") | ~name.isin(*paddle)), kind("source", name))))
+    out = by_set.join(best_singles(boxes, paddle, width, height), "page_id").withColumn("o", F.explode(out_rows))
+    return out.select(
+        "page_id",
+        "o.kind",
+        "o.name",
+        F.col("best").alias("best_single"),
+        L.ratio(F.col("c").cast("double"), F.col("all")).alias("line_coverage"),
+        F.col("c").cast("long").alias("covered_lines"),
+        (F.col("all") - F.col("c")).cast("long").alias("uncovered_lines"),
+        F.col("n").cast("long").alias("box_count"),
+        (F.col("own") / raster_size(width, height, CELL)).alias("text_area"),
+        shared_part(F.col("own"), F.col("base"), F.col("both")).alias("base_recall"),
+    )
 
 
 def board(measures: DataFrame) -> DataFrame:

@@ -2,39 +2,33 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions import layout as L
+from quire.operators.grid import XY, overlaps, prefixed  # noqa: F401
+from quire.operators.sweep import on_raster, raster_size, union_areas
 
 CELL = 8.0
-XY = ("x1", "y1", "x2", "y2")
 
 
-def prefixed(df: DataFrame, p: str, *keep: str) -> DataFrame:
-    return df.select(*keep, *[F.col(c).alias(p + c) for c in df.columns if c not in keep])
-
-
-def overlapping(a: str, b: str) -> Column:
-    """Four comparisons that spare most pairs the arithmetic."""
-    return (F.col(f"{a}x1") < F.col(f"{b}x2")) & (F.col(f"{b}x1") < F.col(f"{a}x2")) & (F.col(f"{a}y1") < F.col(f"{b}y2")) & (F.col(f"{b}y1") < F.col(f"{a}y2"))
+def near(i: Column, a: Column, b: Column) -> Column:
+    """Whether boxes of the areas a and b that share i support each other."""
+    return (i / (a + b - i) >= 0.20) | (i / F.least(a, b) >= 0.60)
 
 
 def cross_source_support(boxes: DataFrame, most: int = 3) -> DataFrame:
     """page_id, seq, support: families (own included) with an overlapping box of the same label on the page, at most `most`.
 
-    Hash join on page and label.  Pairs that do not overlap go by comparisons alone; the others' shared area is computed once.  Pages hold hundreds of boxes, so a key's square is small.
+    Pairs of one family say nothing new and go before any geometry; each other pair is tried once and counts for both.
     """
-    rows = boxes.select("page_id", "norm_label", "seq", "source_family", *XY, L.box_area().alias("area"))
-    other = prefixed(rows.drop("seq"), "b_", "page_id", "norm_label").hint("shuffle_hash")
-    pairs = prefixed(rows.drop("source_family"), "a_", "page_id", "norm_label").join(other, ["page_id", "norm_label"]).filter(overlapping("a_", "b_"))
-    shared = pairs.select("page_id", F.col("a_seq").alias("seq"), "b_source_family", L.intersection("a_", "b_").alias("i"), "a_area", "b_area")
-    near = (F.col("i") / (F.col("a_area") + F.col("b_area") - F.col("i")) >= 0.20) | (F.col("i") / F.least("a_area", "b_area") >= 0.60)
-    found = shared.filter(near).groupBy("page_id", "seq").agg(F.size(F.collect_set("b_source_family")).alias("n"))
-    return boxes.join(found, ["page_id", "seq"], "left").select("page_id", "seq", F.least(F.lit(most), F.coalesce("n", F.lit(1))).cast("int").alias("support"))
+    rows = boxes.select("page_id", "norm_label", "seq", F.coalesce("source_family", F.lit("")).alias("family"), *XY)
+    pairs = overlaps(rows, rows, ["page_id", "norm_label"], (F.col("a_seq") < F.col("b_seq")) & (F.col("a_family") != F.col("b_family")))
+    shared = pairs.withColumn("i", L.intersection("a_", "b_")).filter(near(F.col("i"), L.box_area("a_"), L.box_area("b_")))
+    sides = F.array(*[F.struct(F.col(f"{p}seq").alias("seq"), F.col(f"{q}family").alias("family")) for p, q in (("a_", "b_"), ("b_", "a_"))])
+    found = shared.select("page_id", F.explode(sides).alias("side")).groupBy("page_id", "side.seq").agg(F.size(F.collect_set("side.family")).alias("n"))
+    return boxes.join(found, ["page_id", "seq"], "left").select("page_id", "seq", F.least(F.lit(most), 1 + F.coalesce("n", F.lit(0))).cast("int").alias("support"))
 
 
 def pseudo_lines(boxes: DataFrame, width: int, height: int, most: int = 120) -> DataFrame:
@@ -48,15 +42,20 @@ def pseudo_lines(boxes: DataFrame, width: int, height: int, most: int = 120) ->
 
 def line_coverage(lines: DataFrame, boxes: DataFrame) -> DataFrame:
     """Each line's best coverage by a box of its page, 0 without any, and the number of boxes that cover half of it."""
-    pairs = prefixed(lines.select("page_id", "line_ord", *XY), "l_", "page_id").join(prefixed(boxes.select("page_id", *XY), "b_", "page_id"), "page_id")
-    best = pairs.filter(overlapping("l_", "b_")).groupBy("page_id", F.col("l_line_ord").alias("line_ord")).agg(F.max(L.ioa("l_", "b_")).alias("best"), F.count_if(L.ioa("l_", "b_") >= 0.5).alias("covering"))
+    pairs = overlaps(lines.select("page_id", "line_ord", *XY), boxes.select("page_id", *XY), ["page_id"]).withColumn("cover", L.ioa("a_", "b_"))
+    best = pairs.groupBy("page_id", F.col("a_line_ord").alias("line_ord")).agg(F.max("cover").alias("best"), F.count_if(F.col("cover") >= 0.5).alias("covering"))
     return lines.join(best, ["page_id", "line_ord"], "left").select("page_id", "line_ord", F.round(F.coalesce("best", F.lit(0.0)), 6).alias("best_coverage"), F.coalesce("covering", F.lit(0)).alias("covering"))
 
 
+def covered_lines(boxes: DataFrame, lines: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """page_id, a_line_ord, b_seq: the lines that a box of their page covers to the threshold."""
+    pairs = overlaps(lines.select("page_id", "line_ord", *XY), boxes.select("page_id", "seq", *XY), ["page_id"])
+    return pairs.filter(L.ioa("a_", "b_") >= threshold).select("page_id", "a_line_ord", "b_seq")
+
+
 def line_hits(boxes: DataFrame, lines: DataFrame, threshold: float = 0.5) -> DataFrame:
     """page_id, seq, hits: the page's lines that a box covers to the threshold."""
-    pairs = prefixed(boxes.select("page_id", "seq", *XY), "b_", "page_id").join(prefixed(lines.select("page_id", *XY), "l_", "page_id"), "page_id")
-    hit = pairs.filter(overlapping("l_", "b_")).filter(L.ioa("l_", "b_") >= threshold).groupBy("page_id", F.col("b_seq").alias("seq")).agg(F.count(F.lit(1)).alias("hits"))
+    hit = covered_lines(boxes, lines, threshold).groupBy("page_id", F.col("b_seq").alias("seq")).agg(F.count(F.lit(1)).alias("hits"))
     return boxes.join(hit, ["page_id", "seq"], "left").select("page_id", "seq", F.coalesce("hits", F.lit(0)).alias("hits"))
 
 
@@ -69,39 +68,27 @@ def base_candidates(boxes: DataFrame, width: int, height: int) -> DataFrame:
     return rated.filter(~text | ~bad)
 
 
-def raster(xy: np.ndarray, w: int, h: int) -> np.ndarray:
-    """The page's cells, set where a box touches them."""
-    wide, high = max(1, -(-w // int(CELL))), max(1, -(-h // int(CELL)))
-    out = np.zeros((high, wide), bool)
-    low, top = np.floor(xy[:, :2] / CELL).astype(int), np.ceil(xy[:, 2:] / CELL).astype(int)
-    for (a, t), (b, u) in zip(np.clip(low, 0, [wide, high]), np.clip(top, 0, [wide, high]), strict=True):
-        out[t:u, a:b] = True
-    return out
+def rastered(boxes: DataFrame, width: int, height: int, *keep: str | Column) -> DataFrame:
+    """The boxes' corners in cells of the page's raster, and the kept columns."""
+    return boxes.select(*keep, *on_raster(*[F.col(c) for c in XY], width, height, CELL))
 
 
 def union_cells(boxes: DataFrame, width: int, height: int) -> DataFrame:
-    """page_id, cells, ratio: cells of the page's raster that its boxes touch.
+    """page_id, cells, ratio: cells of the page's raster that its boxes touch; none for pages without any."""
+    cells = union_areas(rastered(boxes, width, height, "page_id"), ["page_id"]).filter("area > 0")
+    return cells.select("page_id", F.col("area").cast("long").alias("cells"), F.round(F.col("area") / raster_size(width, height, CELL), 6).alias("ratio"))
 
-    One page's boxes, some hundreds, make a group, and its raster stays in the worker.
-    """
-
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        cells = raster(g[list(XY)].to_numpy(float), width, height)
-        return pd.DataFrame({"page_id": g["page_id"].head(1), "cells": int(cells.sum()), "ratio": round(float(cells.mean()), 6)})
 
-    return boxes.select("page_id", *XY).groupBy("page_id").applyInPandas(run, "page_id long, cells long, ratio double").filter("cells > 0")
+def shared_part(mine: Column, of: Column, both: Column) -> Column:
+    """What a union shares with another, over the other: areas of both and of their common union; 0 if the other is empty."""
+    return F.when(of > 0, (mine + of - both) / of).otherwise(0.0)
 
 
 def base_recall(boxes: DataFrame, base: DataFrame, width: int, height: int) -> DataFrame:
     """page_id, recall: cells that boxes and base share over the base's, 0 for a base without cells; pages of either."""
-
-    def run(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        ours, of = (raster(x[list(XY)].to_numpy(float).reshape(-1, 4), width, height) for x in (mine, theirs))
-        page = (mine if len(mine) else theirs)["page_id"].head(1)
-        return pd.DataFrame({"page_id": page, "recall": round(float((ours & of).sum() / of.sum()), 6) if of.any() else 0.0})
-
-    of_page = lambda d: d.select("page_id", *XY).groupBy("page_id")
-    return of_page(boxes).cogroup(of_page(base)).applyInPandas(run, "page_id long, recall double")
+    mine, theirs = (rastered(b, width, height, "page_id", F.lit(kind).alias("of_base")) for b, kind in ((boxes, False), (base, True)))
+    cells = union_areas(mine.union(theirs), ["page_id"], {"mine": ~F.col("of_base"), "of": F.col("of_base"), "both": F.lit(True)})
+    return cells.select("page_id", F.round(shared_part(F.col("mine"), F.col("of"), F.col("both")), 6).alias("recall"))
 
 
 def greedy_keep(boxes: DataFrame, least_cover: float, least_iou: float, largest_first: bool = True) -> DataFrame:

@@ -9,6 +9,7 @@ from quire.functions import layout as L
 from quire.operators import documents as D
 from quire.operators import fusion as Z
 from quire.operators import spatial as S
+from quire.queries import fusion_sql
 from quire.queries.base import BASE, BOXES, HITS, LINES, SUPPORT, TEXT, VARIANTS, H, W, boxes, cells, inter, query, sound
 from quire.sources import derived as T
 
@@ -191,41 +192,34 @@ def variants(spark: SparkSession, d: str) -> DataFrame:
     return sound(spark, d).withColumn("variant", F.explode(of))
 
 
-def candidates(spark: SparkSession, d: str) -> DataFrame:
-    """Boxes of the variants on pages with Paddle boxes, S1 being the page's best Paddle model."""
-    members = S.variant_members()
-    best = Z.best_singles(boxes(spark, d), members["P1"], W, H)
-    of = F.array_compact(F.array(F.when(F.col("source_model") == F.col("best"), "S1"), *[F.when(F.col("source_model").isin(*m), v) for v, m in members.items() if v != "S1"]))
-    return boxes(spark, d).join(best, "page_id").withColumn("variant", F.explode(of)).drop("best")
-
-
-@query("greedy_fusion")
+@query("greedy_fusion", fusion_sql.GREEDY)
 def fused(spark: SparkSession, d: str) -> DataFrame:
-    """Fused boxes of all variants."""
-    return Z.fuse(candidates(spark, d), S.pseudo_lines(boxes(spark, d), W, H), W, H).drop("seq")
+    """Fused boxes of all variants; S1 is the page's best Paddle model."""
+    b = boxes(spark, d)
+    best = Z.best_singles(b, S.variant_members()["P1"], W, H)
+    return Z.as_variants(Z.fuse(b, S.pseudo_lines(b, W, H), W, H), best).drop("seq")
 
 
-@query("fused_measures")
+@query("fused_measures", fusion_sql.MEASURES + " select * from ms")
 def fused_measures(spark: SparkSession, d: str) -> DataFrame:
     return Z.measure(boxes(spark, d), S.pseudo_lines(boxes(spark, d), W, H), W, H)
 
 
-query("fused_leaderboard")(lambda s, d: Z.board(fused_measures(s, d)))
-query("fused_top_informative")(lambda s, d: Z.informative(fused_measures(s, d), "P2"))
-query("fused_top_delta")(lambda s, d: Z.delta(fused_measures(s, d)))
-
 # The rankings' formulas on measures that SQL can make: plain counts of each variant's and source's boxes.
-MEASURES = f"""with {BOXES}, {VARIANTS}, vb as (select 'variant' as kind, variant as name, bx.* from bx join vm using (source_model) union all select 'source', source_model, bx.* from bx),
-ms as (
-  select page_id, kind, name, count(*) filter (score >= 0.25) / count(*) as line_coverage, count(*) filter (flat) as uncovered_lines, count(*) as box_count,
-    count(*) filter (norm_label = 'text') / count(*) as text_area, case when page_id % 9 <> 0 or name = 'S1' then count(*) filter (score >= 0.5) / 64.0 end as base_recall
-  from vb where not (name = 'P4' and page_id % 7 = 0) group by 1, 2, 3),
-s1 as (select page_id, coalesce(base_recall, 0) as r1 from ms where kind = 'variant' and name = 'S1'),
+BOARD = """, s1 as (select page_id, coalesce(base_recall, 0) as r1 from ms where kind = 'variant' and name = 'S1'),
 bd as (
   select kind, name, count(*) as pages, round(coalesce(avg(base_recall), 0), 6) as recall, round(avg(line_coverage), 6) as line_coverage, round(median(line_coverage), 6) as median_line_coverage,
     round(avg(text_area), 6) as area, round(avg(box_count), 3) as boxes, count(*) filter (coalesce(base_recall, 0) > r1) as improved, round(coalesce(avg(base_recall), 0) + 0.25 * avg(text_area) - 0.00025 * avg(box_count), 6) as score
   from ms left join s1 using (page_id) group by 1, 2)
 """
+MEASURES = (
+    f"""with {BOXES}, {VARIANTS}, vb as (select 'variant' as kind, variant as name, bx.* from bx join vm using (source_model) union all select 'source', source_model, bx.* from bx),
+ms as (
+  select page_id, kind, name, count(*) filter (score >= 0.25) / count(*) as line_coverage, count(*) filter (flat) as uncovered_lines, count(*) as box_count,
+    count(*) filter (norm_label = 'text') / count(*) as text_area, case when page_id % 9 <> 0 or name = 'S1' then count(*) filter (score >= 0.5) / 64.0 end as base_recall
+  from vb where not (name = 'P4' and page_id % 7 = 0) group by 1, 2, 3)"""
+    + BOARD
+)
 
 
 def measures(s: SparkSession, d: str) -> DataFrame:
@@ -263,3 +257,10 @@ query("top_delta", MEASURES + ", " + DELTA + " " + RANKED + "td")(lambda s, d: Z
 def review_pages(s: SparkSession, d: str) -> DataFrame:
     pages = boxes(s, d).select("page_id").distinct().withColumn("ord", F.col("page_id"))
     return Z.review_pages(measures(s, d), pages, "P2", "top20")
+
+
+# The same on the measures of fused boxes.
+FUSED = fusion_sql.MEASURES + BOARD
+query("fused_leaderboard", FUSED + "select * from bd")(lambda s, d: Z.board(fused_measures(s, d)))
+query("fused_top_informative", FUSED + ", " + INFORMATIVE + " " + RANKED + "tf")(lambda s, d: Z.informative(fused_measures(s, d), "P2"))
+query("fused_top_delta", FUSED + ", " + DELTA + " " + RANKED + "td")(lambda s, d: Z.delta(fused_measures(s, d)))

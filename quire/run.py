@@ -299,12 +299,9 @@ def fuse_stored(spark: SparkSession, run_dir: str, width: int, height: int, want
     """Fuse an older run's stored results (pages of one size): the four tables of measures, both rankings, and the variant to use."""
     run_dir = run_dir.rstrip("/")
     raw = results.normalized_boxes(spark, f"{run_dir}/outputs/sources")
-    place = F.dense_rank().over(Z.Window.orderBy("page_id"))
-    pages = raw.select("page_id").distinct().withColumn("number", place.cast("long"))  # page names only
     order = Z.Window.partitionBy("page_id").orderBy("source_root", "variant", "seq")
-    b = raw.join(pages, "page_id").withColumn("place", F.row_number().over(order)).select(F.col("number").alias("page_id"), F.col("place").alias("seq"), "source_family", "source_model", "norm_label", *S.XY, "score").persist()
-    lines_ = S.pseudo_lines(b, width, height)
-    m = Z.measure(b, lines_.toDF(*lines_.columns), width, height, threshold).join(pages.select(F.col("number").alias("page_id"), F.col("page_id").alias("slug")), "page_id").drop("page_id").withColumnRenamed("slug", "page_id").persist()
+    b = raw.withColumn("place", F.row_number().over(order)).select("page_id", F.col("place").alias("seq"), "source_family", "source_model", "norm_label", *S.XY, "score").persist()
+    m = Z.measure(b, S.pseudo_lines(b, width, height), width, height, threshold).persist()
     out = f"{run_dir}/outputs/fusion"
     sinks.write_leaderboards(out, Z.variant_board(m), Z.source_board(m), Z.per_page(m, "variant"), Z.per_page(m, "source"))
     chosen = Z.recommended(m, wanted).first()
@@ -312,6 +309,8 @@ def fuse_stored(spark: SparkSession, run_dir: str, width: int, height: int, want
         sinks.write_tsv(rows.orderBy("rank"), f"{run_dir}/review/{name}/ranking.tsv", sinks.RANKING)
     summary = {"best_variant_by_score": chosen["best_by_score"], "recommended_variant": chosen["recommended"], "preferred_recommended_variant": wanted, "pages": m.select("page_id").distinct().count()}
     sinks.write_json_document(spark, summary, f"{out}/summary.json")
+    m.unpersist()
+    b.unpersist()
     return summary
 
 
