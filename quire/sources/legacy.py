@@ -121,13 +121,22 @@ def _read(raw: str | None):
         return None, type(e).__name__
 
 
+def _outcome(raw: str | None, page_id: str, *of: object) -> tuple[int, list[tuple], str | None]:
+    """How many records a payload has, its regions, and what is wrong with it.  One nested too deep to be walked is at fault like one that cannot be read."""
+    payload, fault = _read(raw)
+    try:
+        return len(records(payload, page_id)), regions_of(payload, page_id, *of), fault
+    except RecursionError as e:
+        return 0, [], type(e).__name__
+
+
 def legacy_regions(payloads: DataFrame, model_id: str = "legacy", family: str = "", default: float = 0.5) -> DataFrame:
-    """Regions of payloads (page_id, payload as JSON text); null or unreadable payloads give none."""
+    """Regions of payloads (page_id, payload as JSON text); null, unreadable or too deeply nested payloads give none."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in REGION.split(", ")]
         for b in batches:
-            rows = [r for page, raw in zip(b["page_id"], b["payload"]) for r in regions_of(_read(raw)[0], page or "", model_id, family, default)]
+            rows = [r for page, raw in zip(b["page_id"], b["payload"]) for r in _outcome(raw, page or "", model_id, family, default)[1]]
             yield pd.DataFrame(rows, columns=names)
 
     return payloads.select(F.col("page_id").cast("string").alias("page_id"), F.col("payload").cast("string").alias("payload")).mapInPandas(run, REGION)
@@ -141,9 +150,8 @@ def legacy_outcome(payloads: DataFrame, model_id: str = "legacy") -> DataFrame:
         for b in batches:
             rows = []
             for page, raw in zip(b["page_id"], b["payload"]):
-                payload, fault = _read(raw)
-                seen, made = len(records(payload, page or "")), len(regions_of(payload, page or ""))
-                rows.append((page, model_id, seen, made, max(0, seen - made), "error" if fault else "skipped" if raw is None else "ok", fault))
+                seen, made, fault = _outcome(raw, page or "")
+                rows.append((page, model_id, seen, len(made), max(0, seen - len(made)), "error" if fault else "skipped" if raw is None else "ok", fault))
             yield pd.DataFrame(rows, columns=names)
 
     return payloads.select(F.col("page_id").cast("string").alias("page_id"), F.col("payload").cast("string").alias("payload")).mapInPandas(run, OUTCOME)

@@ -183,6 +183,18 @@ def test_transcript_of_every_line(spark):
     from quire.operators import ocr
 
     payload = {"res": [{"rec_texts": [" a ", "", "b"], "dt_polys": [[[0, 0], [9, 0], [9, 5]], [[0, 0], [9, 9]], [0, 20, 9, 25]]}, {"pages": {"text": "c", "poly": [[0, 10], [5, 15]], "score": "x"}}, {"text": "a", "bbox": [1, 0, 9, 5]}]}
-    assert ocr.read_lines(payload) == [("a", None, 0.0, 0.0, 9.0, 5.0), ("c", None, 0.0, 10.0, 5.0, 15.0), ("b", None, 0.0, 20.0, 9.0, 25.0)]
-    rows = spark.createDataFrame([("k", json.dumps(payload)), ("n", None), ("x", "{")], "key string, payload string")
-    assert ocr.result_lines(rows).select(F.max("line")).first()[0] == 3
+    deep = "[" * 900 + json.dumps({"rec_texts": ["d", "e"], "rec_scores": [0.5], "polys": [[1, 1, 2, 2], [2, 1, 1, 2]], "text": "é", "poly": "?", "bbox": [[1, "2"], [3, 4], [float("inf"), 0], ["x", 1], [5]]}) + "]" * 900
+    rows = spark.createDataFrame([("k", json.dumps(payload)), ("n", None), ("x", "{"), ("deep", deep), ("deeper", "[" * 99999), ("s", '"a"')], "key string, payload string")
+    got = [tuple(r) for r in ocr.result_lines(rows).orderBy("key", "line").collect()]
+    assert got == [("deep", 1, "d", 0.5, 1.0, 1.0, 2.0, 2.0), ("k", 1, "a", None, 0.0, 0.0, 9.0, 5.0), ("k", 2, "c", None, 0.0, 10.0, 5.0, 15.0), ("k", 3, "b", None, 0.0, 20.0, 9.0, 25.0)]
+
+
+def test_payloads_nested_deep_do_not_end_the_job(spark):
+    from quire.sources import legacy
+
+    nest = lambda n, x: '{"res": ' * n + json.dumps(x) + "}" * n
+    box = {"boxes": [{"bbox": [0, 0, 5, 5]}]}
+    rows = spark.createDataFrame([("a", nest(50, box)), ("b", nest(1500, box)), ("c", nest(90_000, box)), ("d", json.dumps(box))], "page_id string, payload string")
+    assert {r["page_id"] for r in legacy.legacy_regions(rows).collect()} >= {"a", "d"}
+    got = {r["page_id"]: (r["status"], r["emitted"]) for r in legacy.legacy_outcome(rows).collect()}
+    assert got["a"] == got["d"] == ("ok", 1) and got["b"] in (("ok", 1), ("error", 0)) and got["c"] == ("error", 0)
