@@ -2,8 +2,10 @@
 
 Equal vectors are one node.  Nodes are dealt to shards of about `shard_rows` by a hash of the vector.  A shard's graph starts from
 random edges; two passes over its nodes follow (distance slack 1.0, then `alpha`).  In a pass, greedy beam searches from the
-medoid propose neighbours, robust pruning keeps a candidate only if no kept neighbour is alpha times nearer to it than the node itself,
+entry nodes propose neighbours, robust pruning keeps a candidate only if no kept neighbour is alpha times nearer to it than the node itself,
 and kept edges get their reverse, pruned again where a node has too many.  Many nodes search in step, as array operations.
+Pruning keeps few edges between clusters, which a greedy search cannot cross, so searches start from the nearest of many entry nodes: the
+medoid, nodes chosen farthest-first, which lie in all clusters, and random ones, which lie where nodes are many.
 
 Queries visit every shard in blocks: index and blocks stream through the same partition, index first, so a task holds one
 graph and one block.  A beam search gives each query its nearest nodes of the shard, scored in double precision on the
@@ -29,6 +31,7 @@ from .shared import partition_count, small_batches, stage
 DEGREE = 24
 BEAM = 64
 SHARD_ROWS = 4096
+SPREAD = 96  # entry nodes chosen farthest-first, and as many at random
 BLOCK_ROWS = 512
 
 
@@ -45,15 +48,28 @@ def _scaled(x: np.ndarray) -> np.ndarray:
     return np.ldexp(x, -exponent[:, None])
 
 
-def beam_search(data: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+def entry_nodes(data: np.ndarray, most: int = SPREAD) -> np.ndarray:
+    """The medoid of unit vectors, then the node farthest from those chosen, again and again, then random ones."""
+    chosen = [int((data @ data.mean(axis=0)).argmax())]
+    nearest = data @ data[chosen[0]]
+    for _ in range(min(most, len(data)) - 1):
+        chosen.append(int(nearest.argmin()))
+        nearest = np.maximum(nearest, data @ data[chosen[-1]])
+    return np.unique(np.append(chosen, np.random.default_rng(len(data)).integers(0, len(data), most)))
+
+
+def beam_search(data: np.ndarray, graph: np.ndarray, entries: np.ndarray, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """Nodes [query, beam] found nearest (−1: none) and their similarity, searched in step; data and queries are unit vectors."""
     q, n = len(queries), len(data)
     ids = np.full((q, beam), -1, dtype=np.int32)
     sims = np.full((q, beam), -np.inf, dtype=np.float32)
     open_ = np.zeros((q, beam), dtype=bool)
     met = np.zeros((q, n), dtype=bool)
-    ids[:, 0], sims[:, 0], open_[:, 0] = entry, queries @ data[entry], True
-    met[:, entry] = True
+    first = queries @ data[entries].T
+    k = min(beam, len(entries))
+    best = np.argpartition(-first, k - 1, axis=1)[:, :k]
+    ids[:, :k], sims[:, :k], open_[:, :k] = entries[best], np.take_along_axis(first, best, axis=1), True
+    met[:, entries] = True
     live = np.arange(q)
     while len(live):
         score = np.where(open_[live], sims[live], -np.inf)
@@ -101,20 +117,20 @@ def robust_prune(data: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, al
     return out
 
 
-def build_graph(data: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: float = 1.2, batch: int = 512) -> tuple[np.ndarray, int]:
-    """Adjacency [node, degree] and the entry node of unit vectors."""
+def build_graph(data: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: float = 1.2, batch: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """Adjacency [node, degree] and the entry nodes of unit vectors."""
     n = len(data)
     rng = np.random.default_rng(n)
-    entry = int((data @ data.mean(axis=0)).argmax())
+    entries = entry_nodes(data)
     if n <= degree + 1:
-        return np.array([[j for j in range(n) if j != i] + [-1] * (degree - n + 1) for i in range(n)], dtype=np.int32).reshape(n, degree), entry
+        return np.array([[j for j in range(n) if j != i] + [-1] * (degree - n + 1) for i in range(n)], dtype=np.int32).reshape(n, degree), entries
     graph = rng.integers(0, n, (n, degree), dtype=np.int32)
     graph[graph == np.arange(n)[:, None]] = -1
     order = rng.permutation(n)
     for slack in (1.0, alpha):
         for at in range(0, n, batch):
             nodes = order[at : at + batch]
-            found, _ = beam_search(data, graph, entry, data[nodes], beam)
+            found, _ = beam_search(data, graph, entries, data[nodes], beam)
             graph[nodes] = robust_prune(data, nodes, np.concatenate((found, graph[nodes]), axis=1), slack, degree)
             source, target = np.repeat(nodes, degree), graph[nodes].ravel()
             keep = target >= 0
@@ -127,7 +143,7 @@ def build_graph(data: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha:
             back[np.repeat(np.arange(len(uniq)), count), np.arange(len(target)) - np.repeat(first, count)] = source
             for i in range(0, len(uniq), batch):
                 graph[uniq[i : i + batch]] = robust_prune(data, uniq[i : i + batch], np.concatenate((graph[uniq[i : i + batch]], back[i : i + batch]), axis=1), slack, degree)
-    return graph, entry
+    return graph, entries
 
 
 def usable(column: str):
@@ -136,7 +152,7 @@ def usable(column: str):
     return F.col(column).isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(c, lambda x: x != 0)
 
 
-INDEX = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("entry", T.IntegerType()), T.StructField("vectors", T.BinaryType()), T.StructField("graph", T.BinaryType()), T.StructField("ids", T.ArrayType(T.ArrayType(T.LongType())))])
+INDEX = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("entries", T.ArrayType(T.IntegerType())), T.StructField("vectors", T.BinaryType()), T.StructField("graph", T.BinaryType()), T.StructField("ids", T.ArrayType(T.ArrayType(T.LongType())))])
 
 
 LAYOUT = "width int, base int, shards int"
@@ -168,8 +184,8 @@ def build_index(nodes: DataFrame, layout: DataFrame, kind: str) -> DataFrame:
         order = np.argsort(np.array([x[0] for x in group.column("ids").to_pylist()]), kind="stable")
         group = group.take(pa.array(order))
         vectors = b"".join(group.column("vec").to_pylist())
-        graph, entry = build_graph(_norm(np.frombuffer(vectors, dtype=kind).reshape(group.num_rows, -1)))
-        return pa.table([pa.array([int(key[0].as_py())], pa.int32()), pa.array([group.num_rows], pa.int32()), pa.array([entry], pa.int32()), pa.array([vectors], pa.binary()), pa.array([graph.astype("<i4").tobytes()], pa.binary()), pa.array([group.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64())))], names=INDEX.names)
+        graph, entries = build_graph(_norm(np.frombuffer(vectors, dtype=kind).reshape(group.num_rows, -1)))
+        return pa.table([pa.array([int(key[0].as_py())], pa.int32()), pa.array([group.num_rows], pa.int32()), pa.array([entries.tolist()], pa.list_(pa.int32())), pa.array([vectors], pa.binary()), pa.array([graph.astype("<i4").tobytes()], pa.binary()), pa.array([group.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64())))], names=INDEX.names)
 
     dealt = nodes.join(F.broadcast(layout), "width").withColumn("shard", F.col("base") + F.pmod(F.xxhash64("vec"), F.col("shards")).cast("int"))  # layout: a row for each length
     shards = layout.agg(F.max(F.col("base") + F.col("shards"))).first()[0]
@@ -216,13 +232,13 @@ def nearest(table: DataFrame, k: int = 5, vector: str = "embedding", query_modul
                     n, shard = r["n"].as_py(), r["shard"].as_py()
                     raw = np.frombuffer(r["vectors"].as_py(), dtype=kind).reshape(n, -1)
                     data, graph = _norm(raw), np.frombuffer(r["graph"].as_py(), dtype="<i4").reshape(n, -1)
-                    entry, ids = r["entry"].as_py(), r["ids"].as_py()
+                    entries, ids = np.array(r["entries"].as_py(), dtype=np.int32), r["ids"].as_py()
                     exact = _scaled(raw)
                     lengths = np.sqrt((exact * exact).sum(axis=1))
                 elif r["shard"].as_py() == shard:
                     qs = r["queries"].as_py()
                     q = _scaled(np.array([x["v"] for x in qs], dtype=kind))
-                    found, _ = beam_search(data, graph, entry, _norm(q), beam)
+                    found, _ = beam_search(data, graph, entries, _norm(q), beam)
                     out = []
                     for x, v, f in zip(qs, q, found, strict=True):
                         f = f[f >= 0]

@@ -133,6 +133,18 @@ def test_recall_against_brute_force(spark):
         assert len(found) == 5 and q not in [i for i, _ in found] and found == sorted(found, key=lambda x: (-x[1], x[0]))
 
 
+@pytest.mark.parametrize(("clusters", "each", "noise"), [(10, 200, 0.1), (20, 204, 0.3), (20, 204, 0.02), (300, 10, 0.05)])
+def test_recall_on_tight_clusters(spark, clusters, each, noise):
+    rng = np.random.default_rng(clusters)
+    v = np.repeat(rng.normal(size=(clusters, 64)), each, axis=0) + noise * rng.normal(size=(clusters * each, 64))
+    rows = [(i, x) for i, x in enumerate(v.astype(np.float32).tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    want = exact_neighbours(rows, 5, 50)
+    for shard_rows in (graphann.SHARD_ROWS, 900):
+        got = {(r["query_id"], r["vec_id"]) for r in graphann.nearest(table, k=5, shard_rows=shard_rows).collect()}
+        assert sum((q, i) in got for q, found in want.items() for i, _ in found) >= 0.9 * 5 * len(want)
+
+
 def test_few_vectors(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.1]), (50, [0.0, 1.0])], "vec_id long, embedding array<float>")
     rows = graphann.nearest(table).orderBy("query_id", "rank").collect()
