@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators import checks as C
 from quire.operators import validation as V
+from quire.plans import batching
 from quire.plans import routing as R
 from quire.queries.base import BOXES, boxes, query
 from quire.sources import bundle as B
@@ -358,3 +360,23 @@ def adapter_output_regions(s: SparkSession, d: str) -> DataFrame:
     payload = F.when(k % 6 == 4, "{").otherwise(F.concat(F.lit('{"page_id":"'), page, F.lit('","regions":[{'), fields, F.lit("}]}")))
     out = B.output_regions(T.table(s, d, "customer").select(k.alias("page_id"), F.lit("m1").alias("model_id"), payload.alias("payload")))
     return out.select("page_id", F.coalesce("region_ord", F.lit(-1)).alias("region_ord"), "region_id", "x1", "x2", "label", "confidence", F.coalesce("reading_order", F.lit(-1)).alias("reading_order"), F.regexp_replace("error_type", "^JSONDecodeError$", "ValueError").alias("error_type"))
+
+
+def count_words(pages: pd.DataFrame) -> list[int]:
+    """A model for batches of pages: the words of their html; a batch with a page it cannot take fails whole."""
+    for i, url in zip(pages["page_id"], pages["url"], strict=True):
+        if i % 41 == 7:
+            raise ValueError("cannot be decoded")
+        if url is None or "://" not in url:
+            raise KeyError("url")
+    return [len((html or "").split(" ")) for html in pages["html"]]
+
+
+@query(
+    "batch_fallback",
+    """select page_id, case when bad is null then 'ok' else 'error' end as status, bad as error_type, case when bad is null then cast(len(string_split(coalesce(html, ''), ' ')) as varchar) end as result
+from (select *, case when page_id % 41 = 7 then 'ValueError' when url is null or not contains(url, '://') then 'KeyError' end as bad from pages)""",
+)
+def batch_fallback(s: SparkSession, d: str) -> DataFrame:
+    """Pages through a model that takes eight at a time, some of which fail their batch."""
+    return batching.run_batched(T.table(s, d, "pages"), count_words, "page_id", 8).select("page_id", "status", "error_type", "result")
