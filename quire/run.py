@@ -58,7 +58,7 @@ def manifest_report(spark: SparkSession, path: str, images: str | None = None, r
     ).first().asDict()
     roll = V.issue_rollup(issues, strict).first()
     counts |= {"errors": roll["errors"], "warnings": roll["warnings"]}
-    return {"contract": "parse-input-manifest-validation-v1", "status": roll["status"], "manifest_path": path, "counts": counts}, [r.asDict() for r in issues.limit(1000).collect()]  # a report shows 50
+    return {"contract": "parse-input-manifest-validation-v1", "status": roll["status"], "manifest_path": path, "counts": counts}, [r.asDict() for r in issues.orderBy(*issues.columns).limit(1000).collect()]  # a report shows 50
 
 
 def prepare(spark: SparkSession, manifest: str, run_dir: str, profile: str = "adaptive", config: str | None = None, images: str | None = None) -> dict:
@@ -85,17 +85,12 @@ def prepare(spark: SparkSession, manifest: str, run_dir: str, profile: str = "ad
     }
     embedded = profiles.select("page_id", F.struct(F.col("page_id"), "width", "height", "aspect_ratio", "mean_luma", F.col("dark_share").alias("dark_pixel_share"), F.col("complexity").alias("estimated_complexity")).alias("profile"))
     rows_ = O.plan_rows(plan, profile).join(embedded, "page_id").join(pages.select("page_id", "line"), "page_id")
-    lines(spark, pages.select("line", F.to_json(F.struct("page_id", "image_path", "issue_id", "page_number", F.col("checksum").alias("checksum_sha256"))).alias("value")), f"{run_dir}/manifests/parse_input.jsonl")
-    lines(spark, rows_.select("line", F.to_json(F.struct(*sorted(c for c in rows_.columns if c != "line"))).alias("value")), f"{run_dir}/manifests/model_plan.jsonl")
+    sinks.write_lines(pages.select("line", F.to_json(F.struct("page_id", "image_path", "issue_id", "page_number", F.col("checksum").alias("checksum_sha256"))).alias("value")), f"{run_dir}/manifests/parse_input.jsonl")
+    sinks.write_lines(rows_.select("line", F.to_json(F.struct(*sorted(c for c in rows_.columns if c != "line"))).alias("value")), f"{run_dir}/manifests/model_plan.jsonl")
     sinks.write_json_document(spark, summary, f"{run_dir}/reports/plan_summary.json")
     return {"pages": pages, "profiles": profiles, "plan": plan, "adapters": chosen, "summary": summary, "report": report}
 
 
-def lines(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    """One file of JSON lines in the order of `line`; rows (line, value)."""
-    sinks.write_files(rows.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "value"))), lambda x: F.concat(x["value"], F.lit("\n"))), "").alias("value")).select(F.lit(path.rsplit("/", 1)[1]).alias("path"), "value"), path.rsplit("/", 1)[0])  # a manifest's length
-
-
 def canary(spark: SparkSession, manifest: str, run_dir: str, profile: str = "adaptive", config: str | None = None, images: str | None = None) -> dict:
     """Plan and run: built-in models as columns, commands in the workers; fuse pages, write results and reports.  The headline figures."""
     began, run_dir = time.monotonic(), run_dir.rstrip("/")
@@ -122,8 +117,8 @@ def canary(spark: SparkSession, manifest: str, run_dir: str, profile: str = "ada
     fused = G.fused_pages(regions, ok.select("page_id", "model_id", F.col("ord").alias("model_ord"))).persist()
     _write_outputs(run_dir, ok, regions, fused, run)
     timings, errors = _timings(p, run, fused, profile)
-    lines(spark, timings.select("line", F.to_json(F.struct(*TIMING)).alias("value")), f"{run_dir}/reports/performance.jsonl")
-    lines(spark, errors.select("line", F.to_json(F.struct("scope", "page_id", "stage", "model_id", "status", "error_type", "error")).alias("value")), f"{run_dir}/errors.jsonl")
+    sinks.write_lines(timings.select("line", F.to_json(F.struct(*TIMING)).alias("value")), f"{run_dir}/reports/performance.jsonl")
+    sinks.write_lines(errors.select("line", F.to_json(F.struct("scope", "page_id", "stage", "model_id", "status", "error_type", "error")).alias("value")), f"{run_dir}/errors.jsonl")
     scope = {r["scope"]: r["n"] for r in errors.groupBy("scope").agg(F.count(F.lit(1)).alias("n")).collect()}
     seconds, completed, attempted = round(time.monotonic() - began, 6), fused.count(), p["summary"]["pages_planned"]
     observed = run.count()
@@ -267,7 +262,7 @@ def validate(spark: SparkSession, run_dir: str, strict: bool = False) -> tuple[d
         "page_errors": counted["pages_failed"], "adapter_errors": counted["adapter_errors"], "execution_errors": counted["errors"], "errors": roll["errors"], "warnings": roll["warnings"],
     }
     report = {"status": roll["status"], "run_dir": run_dir, "counts": counts, "runtime_status_counts": {r["status"]: r["n"] for r in statuses.orderBy("status").collect()}}
-    return report, [r.asDict() for r in issues.limit(1000).collect()]  # a report shows 50
+    return report, [r.asDict() for r in issues.orderBy(*issues.columns).limit(1000).collect()]  # a report shows 50
 
 
 _REPORT = (

@@ -40,6 +40,30 @@ def write_json_lines(df: DataFrame, path: str) -> int:
     return df.sparkSession.read.text(path).count()
 
 
+def write_lines(rows: DataFrame, path: str) -> None:
+    """One file of the lines of rows (line, value) in the order of `line`, on any file system that Spark writes; it appears whole, by renaming.
+
+    Tasks write numbered parts of their ranges; the parts are then copied one after another as streams, so nothing holds more than a
+    part's buffer, whatever the length.
+    """
+    spark = rows.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop
+    target, whole, parts = (hadoop.fs.Path(path + end) for end in ("", ".tmp", ".parts"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        raise FileExistsError(path)
+    rows.orderBy("line", "value").select("value").write.mode("overwrite").text(path + ".parts")
+    out = fs.create(whole, True)
+    for name in sorted(s.getPath().getName() for s in fs.listStatus(parts) if s.getPath().getName().startswith("part-")):
+        part = fs.open(hadoop.fs.Path(parts, name))
+        hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+        part.close()
+    out.close()
+    fs.delete(parts, True)
+    if not fs.rename(whole, target):
+        raise FileExistsError(path)
+
+
 def write_tsv(df: DataFrame, path: str, formats: dict[str, str] | None = None) -> None:
     """formats: column to printf pattern, such as %.6f."""
     cols = [F.format_string(f, F.col(c).cast("double")).alias(c) if (f := (formats or {}).get(c)) else F.col(c) for c in df.columns]

@@ -146,3 +146,14 @@ def test_staging_of_mixed_inputs(spark, root):
     with pytest.raises(FileNotFoundError, match="1 paths"):
         files.require_listed(spark.createDataFrame([("/no/a.png",)], "path string"), files.listing(spark, f"{root}/in"))
     assert [os.path.basename(r["path"]) for r in files.image_manifest(spark, f"{root}/in").collect()] == ["a.png", "c.JPG"]
+
+
+def test_lines_are_one_file_in_order_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(200_000, numPartitions=7).select((-F.col("id")).alias("line"), F.concat(F.lit("é"), F.col("id").cast("string")).alias("value"), F.lit(1).alias("part"))
+    sinks.write_lines(rows, f"{tmp_path}/a/x.jsonl")
+    assert (tmp_path / "a/x.jsonl").read_text() == "".join(f"é{i}\n" for i in range(199_999, -1, -1))
+    assert [p.name for p in (tmp_path / "a").iterdir() if not p.name.endswith(".crc")] == ["x.jsonl"]
+    with pytest.raises(FileExistsError):
+        sinks.write_lines(rows, f"{tmp_path}/a/x.jsonl")
+    sinks.write_lines(rows.filter("false"), f"file:{tmp_path}/b.jsonl")
+    assert (tmp_path / "b.jsonl").read_text() == ""
