@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions import layout as L
-from quire.operators.grid import XY, overlaps, prefixed  # noqa: F401
+from quire.operators.grid import XY, fixed, overlaps, prefixed  # noqa: F401
 from quire.operators.sweep import on_raster, raster_size, union_areas
 
 CELL = 8.0
+#: A grid of cells of one size, or None for cells after each page's boxes, which takes another pass over them.
+Grid = dict[str, Column] | None
 
 
 def near(i: Column, a: Column, b: Column) -> Column:
@@ -18,13 +20,13 @@ def near(i: Column, a: Column, b: Column) -> Column:
     return (i / (a + b - i) >= 0.20) | (i / F.least(a, b) >= 0.60)
 
 
-def cross_source_support(boxes: DataFrame, most: int = 3) -> DataFrame:
+def cross_source_support(boxes: DataFrame, most: int = 3, grids: Grid = None) -> DataFrame:
     """page_id, seq, support: families (own included) with an overlapping box of the same label on the page, at most `most`.
 
     Pairs of one family say nothing new and go before any geometry; each other pair is tried once and counts for both.
     """
     rows = boxes.select("page_id", "norm_label", "seq", F.coalesce("source_family", F.lit("")).alias("family"), *XY)
-    pairs = overlaps(rows, rows, ["page_id", "norm_label"], (F.col("a_seq") < F.col("b_seq")) & (F.col("a_family") != F.col("b_family")))
+    pairs = overlaps(rows, rows, ["page_id", "norm_label"], (F.col("a_seq") < F.col("b_seq")) & (F.col("a_family") != F.col("b_family")), grids)
     shared = pairs.withColumn("i", L.intersection("a_", "b_")).filter(near(F.col("i"), L.box_area("a_"), L.box_area("b_")))
     sides = F.array(*[F.struct(F.col(f"{p}seq").alias("seq"), F.col(f"{q}family").alias("family")) for p, q in (("a_", "b_"), ("b_", "a_"))])
     found = shared.select("page_id", F.explode(sides).alias("side")).groupBy("page_id", "side.seq").agg(F.size(F.collect_set("side.family")).alias("n"))
@@ -40,29 +42,29 @@ def pseudo_lines(boxes: DataFrame, width: int, height: int, most: int = 120) ->
     return ranked.select("page_id", "line_ord", "seq", *XY)
 
 
-def line_coverage(lines: DataFrame, boxes: DataFrame) -> DataFrame:
+def line_coverage(lines: DataFrame, boxes: DataFrame, grids: Grid = None) -> DataFrame:
     """Each line's best coverage by a box of its page, 0 without any, and the number of boxes that cover half of it."""
-    pairs = overlaps(lines.select("page_id", "line_ord", *XY), boxes.select("page_id", *XY), ["page_id"]).withColumn("cover", L.ioa("a_", "b_"))
+    pairs = overlaps(lines.select("page_id", "line_ord", *XY), boxes.select("page_id", *XY), ["page_id"], grids=grids).withColumn("cover", L.ioa("a_", "b_"))
     best = pairs.groupBy("page_id", F.col("a_line_ord").alias("line_ord")).agg(F.max("cover").alias("best"), F.count_if(F.col("cover") >= 0.5).alias("covering"))
     return lines.join(best, ["page_id", "line_ord"], "left").select("page_id", "line_ord", F.round(F.coalesce("best", F.lit(0.0)), 6).alias("best_coverage"), F.coalesce("covering", F.lit(0)).alias("covering"))
 
 
-def covered_lines(boxes: DataFrame, lines: DataFrame, threshold: float = 0.5) -> DataFrame:
+def covered_lines(boxes: DataFrame, lines: DataFrame, threshold: float = 0.5, grids: Grid = None) -> DataFrame:
     """page_id, a_line_ord, b_seq: the lines that a box of their page covers to the threshold."""
-    pairs = overlaps(lines.select("page_id", "line_ord", *XY), boxes.select("page_id", "seq", *XY), ["page_id"])
+    pairs = overlaps(lines.select("page_id", "line_ord", *XY), boxes.select("page_id", "seq", *XY), ["page_id"], grids=grids)
     return pairs.filter(L.ioa("a_", "b_") >= threshold).select("page_id", "a_line_ord", "b_seq")
 
 
-def line_hits(boxes: DataFrame, lines: DataFrame, threshold: float = 0.5) -> DataFrame:
+def line_hits(boxes: DataFrame, lines: DataFrame, threshold: float = 0.5, grids: Grid = None) -> DataFrame:
     """page_id, seq, hits: the page's lines that a box covers to the threshold."""
-    hit = covered_lines(boxes, lines, threshold).groupBy("page_id", F.col("b_seq").alias("seq")).agg(F.count(F.lit(1)).alias("hits"))
+    hit = covered_lines(boxes, lines, threshold, grids).groupBy("page_id", F.col("b_seq").alias("seq")).agg(F.count(F.lit(1)).alias("hits"))
     return boxes.join(hit, ["page_id", "seq"], "left").select("page_id", "seq", F.coalesce("hits", F.lit(0)).alias("hits"))
 
 
 def base_candidates(boxes: DataFrame, width: int, height: int) -> DataFrame:
     """Boxes fit to measure recall against: non-text ones; text ones that are no unsupported strip or weak giant and cover two lines."""
-    sound = boxes.filter(~L.degenerate())
-    rated = sound.join(cross_source_support(sound), ["page_id", "seq"]).join(line_hits(sound, pseudo_lines(boxes, width, height)), ["page_id", "seq"])
+    sound, grids = boxes.filter(~L.degenerate()), fixed((width / 4, height / 8))
+    rated = sound.join(cross_source_support(sound, grids=grids), ["page_id", "seq"]).join(line_hits(sound, pseudo_lines(boxes, width, height), grids=grids), ["page_id", "seq"])
     text = F.col("norm_label").isin("text", "title")
     bad = ((L.strip_shape(width, height) != "none") & (F.col("support") < 2)) | L.weak_giant(width, height, F.col("support")) | (F.col("hits") < 2)
     return rated.filter(~text | ~bad)

@@ -9,10 +9,13 @@ from quire.functions import layout as L
 from quire.operators import documents as D
 from quire.operators import fusion as Z
 from quire.operators import spatial as S
+from quire.operators.grid import fixed
 from quire.queries import fusion_sql
 from quire.queries.base import BASE, BOXES, HITS, LINES, SUPPORT, TEXT, VARIANTS, H, W, boxes, cells, inter, query, sound
 from quire.sources import derived as T
 
+#: Cells about as large as the pages' blocks.
+GRID = fixed((W / 4, H / 8))
 ENDINGS = (" Table", " PHOTO", " caption", " Masthead", "")
 
 
@@ -73,7 +76,7 @@ def clamped_boxes(s: SparkSession, d: str) -> DataFrame:
     return boxes(s, d).select("page_id", "seq", L.clamped(F.lit(W / 2), F.lit(H / 2), 6.0).alias("c")).select("page_id", "seq", "c.*")
 
 
-query("cross_source_support", f"with {BOXES}, {SUPPORT} select * from sp")(lambda s, d: S.cross_source_support(sound(s, d)))
+query("cross_source_support", f"with {BOXES}, {SUPPORT} select * from sp")(lambda s, d: S.cross_source_support(sound(s, d), grids=GRID))
 query("pseudo_lines", f"with {BOXES}, {LINES} select page_id, line_ord, seq, x1, y1, x2, y2 from ln")(lambda s, d: S.pseudo_lines(boxes(s, d), W, H))
 
 
@@ -84,12 +87,12 @@ select l.page_id, l.line_ord, round(coalesce(max({inter('l', 'b')} / l.area), 0)
 from ln l left join bx b on l.page_id = b.page_id and not b.flat and b.source_family = 'dell' group by 1, 2""",
 )
 def line_best_coverage(s: SparkSession, d: str) -> DataFrame:
-    return S.line_coverage(S.pseudo_lines(boxes(s, d), W, H), sound(s, d).filter("source_family = 'dell'"))
+    return S.line_coverage(S.pseudo_lines(boxes(s, d), W, H), sound(s, d).filter("source_family = 'dell'"), GRID)
 
 
 @query("line_hits", f"with {BOXES}, {LINES}, {HITS} select page_id, seq, coalesce(hits, 0) as hits from bx left join ht using (page_id, seq)")
 def line_hits(s: SparkSession, d: str) -> DataFrame:
-    return S.line_hits(boxes(s, d), S.pseudo_lines(boxes(s, d), W, H))
+    return S.line_hits(boxes(s, d), S.pseudo_lines(boxes(s, d), W, H), grids=GRID)
 
 
 query("base_candidates", f"with {BOXES}, {SUPPORT}, {LINES}, {HITS}, {BASE} select page_id, seq from bs")(lambda s, d: S.base_candidates(boxes(s, d), W, H).select("page_id", "seq"))
