@@ -29,9 +29,9 @@ def _solid(boxes: DataFrame) -> DataFrame:
     return boxes.filter("x1 < x2 and y1 < y2").filter((F.col("x2") < top) & (F.col("y2") < top) & (F.col("x1") > -top) & (F.col("y1") > -top))
 
 
-def fixed(size: tuple[float, float]) -> dict[str, Column]:
+def fixed(size: tuple[float, float]) -> dict[str, float]:
     """A grid of cells of one size, for callers that know about how large boxes are: it spares a pass over the boxes."""
-    return {f"size_{c}": F.lit(float(n)) for c, n in zip("xy", size, strict=True)}
+    return {f"size_{c}": float(n) for c, n in zip("xy", size, strict=True)}
 
 
 def _grids(boxes: DataFrame, keys: list[str]) -> DataFrame:
@@ -43,10 +43,10 @@ def _grids(boxes: DataFrame, keys: list[str]) -> DataFrame:
     return boxes.groupBy(*keys).agg(*out)
 
 
-def _in_cells(boxes: DataFrame, grids: DataFrame | dict[str, Column], keys: list[str]) -> DataFrame:
+def _in_cells(boxes: DataFrame, grids: DataFrame | dict[str, float], keys: list[str]) -> DataFrame:
     """A row for each cell that a box touches, cells beyond the grid's own boxes left out."""
     if isinstance(grids, dict):
-        out = boxes.withColumns(grids)
+        out = boxes.withColumns({c: F.lit(n) for c, n in grids.items()})
         ends = {c: (F.col(f"{c}1"), F.col(f"{c}2")) for c in "xy"}
     else:
         out = boxes.join(grids, keys).filter("x1 < high_x and x2 > low_x and y1 < high_y and y2 > low_y")
@@ -56,7 +56,7 @@ def _in_cells(boxes: DataFrame, grids: DataFrame | dict[str, Column], keys: list
     return out.drop("low_x", "low_y", "high_x", "high_y")
 
 
-def overlaps(left: DataFrame, right: DataFrame, keys: list[str], on: Column | None = None, grids: dict[str, Column] | None = None) -> DataFrame:
+def overlaps(left: DataFrame, right: DataFrame, keys: list[str], on: Column | None = None, grids: dict[str, float] | None = None) -> DataFrame:
     """keys, then a_ and b_ columns: every pair of a left and a right box of equal keys whose insides share a point, once.
 
     `on` (of a_ and b_ columns) is tested before any geometry.  Boxes have corners x1..y2; other columns ride along.

@@ -12,7 +12,7 @@ from quire.operators.sweep import on_raster, raster_size, union_areas
 
 CELL = 8.0
 #: A grid of cells of one size, or None for cells after each page's boxes, which takes another pass over them.
-Grid = dict[str, Column] | None
+Grid = dict[str, float] | None
 
 
 def near(i: Column, a: Column, b: Column) -> Column:
