@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quire import run, sinks
 from quire.operators import run_checks, validation
+from quire.plans import staged
 from quire.sources import files
 
 
@@ -44,6 +45,8 @@ def _parser() -> argparse.ArgumentParser:
     add("plan", "manifest", "run_dir", options=(("--profile", "adaptive"), ("--config", None), ("--images", None)))
     add("canary", "manifest", "run_dir", options=(("--profile", "adaptive"), ("--config", None), ("--images", None)))
     add("summarize-performance", "run_dir", options=(("--output-json", None),))
+    add("run", "config", options=(("--run-dir", None), ("--stages", None)))
+    add("run-status", "run_dir")
     add("status", "manifest", "root", options=(("--missing", 10),))
     add("fuse", "run_dir", "width", "height", options=(("--wanted", "P4"),))
     add("import-config", "run_dir", options=(("--profile", "legacy_import"), ("--output-json", None)), flags=("--strict-missing",))
@@ -89,6 +92,12 @@ def main(argv: list[str] | None = None) -> int:
             sinks.write_json_document(spark, value, args.output_json)
         print(run.as_json(value))
         return 0
+    if args.name == "run":
+        print(run.as_json(staged.run(spark, args.config, args.run_dir, [x.strip() for x in args.stages.split(",")] if args.stages else None)))
+        return 0
+    if args.name == "run-status":
+        print(run.as_json(staged.status(spark, args.run_dir)))
+        return 0
     if args.name == "fuse":
         print(run.as_json(run.fuse_stored(spark, args.run_dir, int(args.width), int(args.height), args.wanted)))
         return 0

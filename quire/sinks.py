@@ -14,18 +14,30 @@ PER_PAGE = {"base_recall": "%.6f", "line_coverage": "%.6f", "text_area": "%.6f"}
 RANKING = {"score": "%.6f", "recall_gain": "%.6f", "area_gain": "%.6f"}
 
 
-def write_json_document(spark: SparkSession, value: dict, path: str) -> None:
-    """One document, keys sorted; it appears whole, by renaming."""
+def _put(spark: SparkSession, value: dict, path: str, replace: bool) -> None:
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    out = fs.create(fs_path(path + ".tmp"), True)
+    target, part = fs_path(path), fs_path(path + ".tmp")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(part, True)
     out.write(bytearray((json.dumps(value, indent=2, sort_keys=True, ensure_ascii=False) + "\n").encode()))
     out.close()
-    if fs.exists(fs_path(path)) or not fs.rename(fs_path(path + ".tmp"), fs_path(path)):
-        fs.delete(fs_path(path + ".tmp"), False)
+    if replace:
+        fs.delete(target, False)
+    if fs.exists(target) or not fs.rename(part, target):
+        fs.delete(part, False)
         raise FileExistsError(path)
 
 
+def write_json_document(spark: SparkSession, value: dict, path: str) -> None:
+    """One document, keys sorted; it appears whole, by renaming."""
+    _put(spark, value, path, replace=False)
+
+
+def replace_json_document(spark: SparkSession, value: dict, path: str) -> None:
+    """As `write_json_document`, in the place of an older document; between the two there is none for a moment."""
+    _put(spark, value, path, replace=True)
+
+
 def require_fresh(spark: SparkSession, path: str) -> None:
     """Refuse a folder that holds anything."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-import io
 import os
-import re
-import tarfile
-import zipfile
-from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Endings of images, archives and lists.
-IMAGES = r"(?i)\.(png|jpg|jpeg|tif|tiff|bmp|webp)$"
-ARCHIVES = r"(?i)\.(zip|tar|tar\.gz|tgz|tar\.bz2|tbz|tbz2|tar\.xz|txz)$"
+from quire.operators.validation import resolved
+from quire.sources import archives
+from quire.sources.archives import ARCHIVES, IMAGES
+
+# Endings of lists.
 LISTS = r"(?i)\.(txt|manifest|lst|tsv|csv)$"
 
 
@@ -25,6 +21,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def matches(spark: SparkSession, pattern: str) -> bool:
     """Whether any path fits a pattern with * in it."""
     where = spark._jvm.org.apache.hadoop.fs.Path(pattern)
@@ -32,8 +33,8 @@ def matches(spark: SparkSession, pattern: str) -> bool:
     return bool(found)
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, line (from 1), raw of every line; a file is read whole, so this is for manifests and reports."""
+def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """file, line (from 1), raw of every line of one file or more; a file is read whole, so this is for manifests and reports."""
     whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     return whole.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line", "raw")).withColumn("line", F.col("line") + 1)
 
@@ -75,17 +76,22 @@ def stem(path: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(path, "([^/]*)$", 1), r"(?<=.)\.[^.]*$", "")
 
 
-def path_list(spark: SparkSession, path: str, expand: bool = True) -> DataFrame:
-    """line, path, slug of a list with one path a line; blank and # lines go, $VAR (of the driver's environment) and ~ are expanded where asked."""
-    lines = numbered_lines(spark, path).withColumn("raw", F.regexp_replace("raw", r"^\s+|\s+$", "")).filter((F.col("raw") != "") & ~F.col("raw").startswith("#"))
+def expanded(lines: DataFrame, expand: bool = True) -> DataFrame:
+    """Lines (raw and more) as paths; blank and # lines go, $VAR (of the driver's environment) and ~ are expanded where asked."""
+    kept = lines.withColumn("raw", F.regexp_replace("raw", r"^\s+|\s+$", "")).filter((F.col("raw") != "") & ~F.col("raw").startswith("#"))
     p = F.col("raw")
     if expand:
         known = {f"${k}": v for k, v in os.environ.items()} | {f"${{{k}}}": v for k, v in os.environ.items()}
-        used = lines.select(F.explode(F.regexp_extract_all("raw", F.lit(r"(\$\w+|\$\{[^}]*\})"), 1)).alias("v")).distinct().collect()  # the variables that the list names
+        used = kept.select(F.explode(F.regexp_extract_all("raw", F.lit(r"(\$\w+|\$\{[^}]*\})"), 1)).alias("v")).distinct().collect()  # the variables that the lines name
         for name in sorted((r["v"] for r in used if r["v"] in known), key=len, reverse=True):
             p = F.replace(p, F.lit(name), F.lit(known[name]))
         p = F.when(p.rlike("^~(/|$)"), F.concat(F.lit(os.path.expanduser("~")), F.substr(p, F.lit(2)))).otherwise(p)
-    return lines.select("line", p.alias("path")).withColumn("slug", stem(F.col("path")))
+    return kept.withColumn("path", p).drop("raw")
+
+
+def path_list(spark: SparkSession, path: str, expand: bool = True) -> DataFrame:
+    """line, path, slug of a list with one path a line, as `expanded` gives them."""
+    return expanded(numbered_lines(spark, path), expand).select("line", "path").withColumn("slug", stem(F.col("path")))
 
 
 def require_listed(paths: DataFrame, listed: DataFrame, first: int = 20) -> DataFrame:
@@ -117,31 +123,6 @@ def images(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
     return listing(spark, root, recursive).filter(F.col("inside").rlike(IMAGES) & ~ignored(F.col("inside"))).select("path", "length")
 
 
-def archive_members(files: DataFrame) -> DataFrame:
-    """archive, member, content of the regular image members; files (path, content).  Members that would leave their folder stop the query."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for path, raw in zip(b["path"], b["content"]):
-                for name, body in _regular(path, bytes(raw)):
-                    parts = name.replace("\\", "/").split("/")
-                    if ".." in parts or name.startswith("/"):
-                        raise ValueError(f"{path}: member {name} leaves its folder")
-                    yield pd.DataFrame({"archive": [path], "member": [name], "content": [body()]})
-
-    found = files.filter(F.col("path").rlike(ARCHIVES)).select("path", "content").mapInPandas(run, "archive string, member string, content binary")
-    return found.filter(F.col("member").rlike(IMAGES) & ~ignored(F.col("member")))
-
-
-def _regular(path: str, raw: bytes):
-    if path.lower().endswith(".zip"):
-        z = zipfile.ZipFile(io.BytesIO(raw))
-        yield from ((m.filename, lambda m=m: z.read(m)) for m in z.infolist() if not m.is_dir())
-    else:
-        t = tarfile.open(fileobj=io.BytesIO(raw))
-        yield from ((m.name, lambda m=m: t.extractfile(m).read()) for m in t if m.isfile())
-
-
 def archive_folder(path: Column) -> Column:
     """Name of an archive's own folder: its stem and the first 12 digits of its path's sha1."""
     name = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_extract(path, "([^/]*)$", 1)), ARCHIVES, ""), " ", "_")
@@ -160,42 +141,80 @@ def image_manifest(spark: SparkSession, root: str, recursive: bool = True) -> Da
     return listing(spark, root, recursive).filter(F.col("inside").rlike(IMAGES)).orderBy(name, "path").select("path")
 
 
+def plain(path: Column) -> Column:
+    """A path without . and .. parts; local ones without their scheme, so that one file has one name."""
+    scheme = F.regexp_extract(path, "^([a-z][a-z0-9]*:/+[^/]*)/", 1)
+    own = F.when(path.rlike("^file:/"), F.lit("")).otherwise(scheme)
+    rest = F.when(path.rlike("^file:/"), F.regexp_replace(path, "^file:/+", "/")).otherwise(F.substr(path, F.length(scheme) + 1))
+    return F.concat(own, F.when(rest.startswith("/"), F.lit("/")).otherwise(F.lit("")), F.array_join(resolved(rest), "/"))
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path is a folder; absent ones raise."""
+    if not exists(spark, path):
+        raise FileNotFoundError(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
+
+
+def _entries(spark: SparkSession, lists: list[tuple[list[int], str]]) -> DataFrame:
+    """place, path of the entries of lists (place, path): relative ones lie in the list's folder, and a place goes on with its line."""
+    at = spark.createDataFrame(lists, "place array<long>, list string")
+    lines = expanded(numbered_lines(spark, [p for _, p in lists])).withColumn("list", plain(F.col("file")))
+    inside = F.concat(F.regexp_replace("list", "/[^/]*$", ""), F.lit("/"), F.col("path"))
+    path = F.when(F.col("path").rlike("^(/|[a-z][a-z0-9]*:/)"), F.col("path")).otherwise(inside)
+    return lines.join(F.broadcast(at), "list").select(F.concat("place", F.array(F.col("line").cast("long"))).alias("place"), plain(path).alias("path"))
+
+
 def stage_inputs(spark: SparkSession, inputs: list[str], recursive: bool = True, max_pages: int | None = None) -> tuple[DataFrame, dict[str, int]]:
     """Images of inputs (path, kind), and how many inputs of each kind there were.
 
     An input is an image, a folder, an archive (whose members are named archive!member) or a list of inputs, several of them parted by commas; a list is
-    read once, its relative paths taken from its folder.  Inputs that are absent or of no known kind raise.
+    read once, its relative paths taken from its folder, whatever lists name each other.  Inputs that are absent or of no known kind raise.
+
+    Lists are followed level by level: all lists of a level are read at once, and those that were read before go by an anti-join.  Only the names of lists,
+    archives and folders come to the driver, which has to name them to Spark's readers; the images that lists name stay a table.
     """
-    counts, parts, seen, number = {"file": 0, "directory": 0, "archive": 0, "manifest": 0}, [], set(), 0
-    todo = [p.strip() for x in inputs for p in x.split(",") if p.strip()]
-    if not todo:
+    counts, parts = {"file": 0, "directory": 0, "archive": 0, "manifest": 0}, []
+    given = [p.strip() for x in inputs for p in x.split(",") if p.strip()]
+    if not given:
         raise ValueError("no inputs")
-    while todo:
-        at = todo.pop(0)
-        if not exists(spark, at):
-            raise FileNotFoundError(at)
-        where = spark._jvm.org.apache.hadoop.fs.Path(at)
-        found = None
-        if where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory():
-            kind, found = "directory", images(spark, at, recursive).select("path")
-        elif re.search(IMAGES, at):
-            kind, found = "file", spark.createDataFrame([(at,)], "path string")
-        elif re.search(ARCHIVES, at):
-            members = archive_members(spark.read.format("binaryFile").load(at))
-            kind, found = "archive", members.select(F.concat_ws("!", "archive", "member").alias("path"))
-        elif re.search(LISTS, at):
-            if at in seen:
+    kind = F.when(F.col("path").rlike(IMAGES), "file").when(F.col("path").rlike(ARCHIVES), "archive").when(F.col("path").rlike(LISTS), "manifest").otherwise("directory")
+    named = spark.createDataFrame([([i], p, _is_folder(spark, p)) for i, p in enumerate(given)], "place array<long>, path string, folder boolean")
+    level = named.select("place", plain(F.col("path")).alias("path"), F.when(F.col("folder"), "directory").otherwise(kind).alias("kind"))
+    seen = spark.createDataFrame([], "path string")
+    while True:
+        images_ = level.filter("kind = 'file'")
+        others = level.filter("kind <> 'file'").join(seen, "path", "left_anti").groupBy("path", "kind").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n")).collect()  # lists, archives, folders
+        folders_of = [r[0] for r in images_.select(F.regexp_replace("path", "/[^/]*$", "")).distinct().collect()]
+        there = reduce(DataFrame.unionByName, (listing(spark, f, recursive=False).select("path") for f in folders_of if exists(spark, f)), spark.createDataFrame([], "path string"))
+        require_listed(images_, there)
+        counts["file"] += images_.count()
+        parts.append(images_.select(F.col("place").alias("ord"), "path", F.lit("file").alias("kind")))
+        lists, packed = [], []
+        for r in others:
+            if _is_folder(spark, r["path"]):
+                counts["directory"] += r["n"]
+                found = images(spark, r["path"], recursive).select(plain(F.col("path")).alias("path"))
+            elif r["kind"] == "directory":
+                raise ValueError(f"{r['path']} is no image, folder, archive or list")
+            elif r["kind"] == "archive":
+                counts["archive"] += r["n"]
+                packed.append(r)
+                continue
+            else:
+                counts["manifest"] += 1
+                lists.append((r["place"], r["path"]))
                 continue
-            seen.add(at)
-            kind, folder = "manifest", at.rsplit("/", 1)[0]
-            todo = [p if re.match("/|[a-z]+:/", p) else f"{folder}/{p}" for p in (r["path"] for r in path_list(spark, at).orderBy("line").collect())] + todo  # a list of inputs, not of data
-        else:
-            raise ValueError(f"{at} is no image, folder, archive or list")
-        counts[kind] += 1
-        if found is not None:
-            parts.append(found.select(F.lit(number).alias("ord"), "path", F.lit(kind).alias("kind")))
-            number += 1
-    return staged(reduce(DataFrame.unionByName, parts), max_pages), counts
+            parts.append(found.select(F.lit(r["place"]).cast("array<long>").alias("ord"), "path", F.lit("directory").alias("kind")))
+        if packed:
+            at = spark.createDataFrame([(r["place"], r["path"]) for r in packed], "ord array<long>, path string")
+            inside = archives.directory(at).join(F.broadcast(at.withColumnRenamed("path", "archive")), "archive")
+            parts.append(inside.select("ord", F.concat_ws("!", "archive", "member").alias("path"), F.lit("archive").alias("kind")))
+        if not lists:
+            return staged(reduce(DataFrame.unionByName, parts), max_pages), counts
+        seen = seen.unionByName(spark.createDataFrame([(p,) for _, p in lists], "path string"))
+        level = _entries(spark, lists).withColumn("kind", kind)
 
 
 def checksums(spark: SparkSession, root: str) -> DataFrame:

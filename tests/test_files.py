@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quire import adapters, sinks
 from quire.operators import validation
-from quire.sources import files, legacy
+from quire.sources import archives, files, legacy
 
 
 @pytest.fixture
@@ -61,12 +61,14 @@ def test_listing_archives_and_staging(spark, root):
     with zipfile.ZipFile(z, "w") as f:
         f.writestr("q/w.png", b"ab")
         f.writestr("._w.png", b"ab")
-    rows = spark.createDataFrame([("/d/A b.tar.gz", bytearray(tar_of(["p/a.png", "p/._a.png", "__MACOSX/a.png", "r.txt"]))), ("/d/z.zip", bytearray(z.getvalue()))], "path string, content binary")
-    assert sorted((r["archive"], r["member"], bytes(r["content"])) for r in files.archive_members(rows).collect()) == [("/d/A b.tar.gz", "p/a.png", b"ab"), ("/d/z.zip", "q/w.png", b"ab")]
+    (root / "A b.tar.gz").write_bytes(tar_of(["p/a.png", "p/._a.png", "__MACOSX/a.png", "r.txt"]))
+    (root / "z.zip").write_bytes(z.getvalue())
+    rows = spark.createDataFrame([(f"{root}/A b.tar.gz",), (f"file://{root}/z.zip",), (f"{root}/none.txt",)], "path string")
+    assert sorted((r["archive"].rsplit("/", 1)[1], r["member"], bytes(r["content"])) for r in archives.members(rows).collect()) == [("A b.tar.gz", "p/a.png", b"ab"), ("z.zip", "q/w.png", b"ab")]
     assert rows.select(files.archive_folder(F.col("path"))).first()[0].startswith("a_b_")
-    bad = spark.createDataFrame([("/d/x.tar", bytearray(tar_of(["../a.png"])))], "path string, content binary")
+    (root / "x.tgz").write_bytes(tar_of(["../a.png"]))
     with pytest.raises(Exception, match="leaves its folder"):
-        files.archive_members(bad).collect()
+        archives.members(spark.createDataFrame([(f"{root}/x.tgz",)], "path string")).collect()
     paths = spark.createDataFrame([(0, "/B", "file"), (1, "/a", "dir"), (2, "/a", "file")], "ord int, path string, kind string")
     assert [r["kind"] for r in files.staged(paths).collect()] == ["dir", "file"]
     assert [r["path"] for r in files.staged(paths).collect()] == ["/a", "/B"]
@@ -135,7 +137,8 @@ def test_staging_of_mixed_inputs(spark, root):
     (root / "in" / "z.tar.gz").write_bytes(tar_of(["p/q.png", "p/._q.png"]))
     (root / "list.txt").write_text("# images\nin/a.png\nin/z.tar.gz\nlist.txt\n")
     got, counts = files.stage_inputs(spark, [f"{root}/in, {root}/list.txt", f"{root}/list.txt"])
-    assert sorted({r["path"].rsplit("/", 1)[1] for r in got.collect()}) == ["a.png", "c.JPG", "q.png"]
+    assert sorted(r["path"].removeprefix(str(root)) for r in got.collect()) == sorted(["/in/a.png", next(f"/in/{p.relative_to(root / 'in')}" for p in (root / "in").rglob("c.JPG")), "/in/z.tar.gz!p/q.png"])
+    assert {r["path"].rsplit("/", 1)[1]: r["kind"] for r in got.collect()} == {"a.png": "directory", "c.JPG": "directory", "q.png": "archive"}
     assert counts == {"file": 1, "directory": 1, "archive": 1, "manifest": 1}
     assert files.stage_inputs(spark, [f"{root}/in"], max_pages=1)[0].count() == 1
     with pytest.raises(FileNotFoundError):
@@ -148,6 +151,49 @@ def test_staging_of_mixed_inputs(spark, root):
     assert [os.path.basename(r["path"]) for r in files.image_manifest(spark, f"{root}/in").collect()] == ["a.png", "c.JPG"]
 
 
+def test_lists_that_name_each_other_are_read_once(spark, tmp_path):
+    (tmp_path / "d/e").mkdir(parents=True)
+    for n in range(30):
+        (tmp_path / f"d/{n}.png").write_bytes(b"x")
+    text = {"top.txt": "d/left.lst\nd/right.csv\n", "d/left.lst": "e/deep.txt\n0.png\n../top.txt\n", "d/right.csv": "./e/../e/deep.txt\n1.png\n0.png\n", "d/e/deep.txt": "".join(f"../{n}.png\n" for n in range(2, 30)) + "../../d/left.lst\n"}
+    for name, lines in text.items():
+        (tmp_path / name).write_text(lines)
+    got, counts = files.stage_inputs(spark, [f"{tmp_path}/top.txt"])
+    assert sorted(r["path"] for r in got.collect()) == sorted(f"{tmp_path}/d/{n}.png" for n in range(30))
+    assert counts == {"file": 31, "directory": 0, "archive": 0, "manifest": 4}
+    (tmp_path / "d/e/deep.txt").write_text("../31.png\n")
+    with pytest.raises(FileNotFoundError, match="31.png"):
+        files.stage_inputs(spark, [f"{tmp_path}/top.txt"])
+
+
+def test_members_are_read_by_their_places(spark, tmp_path):
+    body = {f"p/{n}.png": os.urandom(1000 + n) * (1 + n % 3) for n in range(40)} | {"p/empty.png": b"", "p/repeat.png": b"1"}
+    with zipfile.ZipFile(tmp_path / "z.ZIP", "w") as f:
+        for n, (name, raw) in enumerate(body.items()):
+            f.writestr(name, raw, [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2][n % 3])
+    for name, mode in (("t.tar", "w:"), ("t.tar.xz", "w:xz")):
+        with tarfile.open(tmp_path / name, mode) as t:
+            for member, raw in [*body.items(), ("p/repeat.png", b"2"), ("notes.txt", b"x")]:
+                info = tarfile.TarInfo(member)
+                info.size = len(raw)
+                t.addfile(info, io.BytesIO(raw))
+            link = tarfile.TarInfo("p/link.png")
+            link.type, link.linkname = tarfile.SYMTYPE, "0.png"
+            t.addfile(link)
+    paths = spark.createDataFrame([(f"{tmp_path}/{n}",) for n in ("z.ZIP", "t.tar", "t.tar.xz", "t.tar")], "path string")
+    got = sorted((r["archive"].rsplit("/", 1)[1], r["member"], bytes(r["content"])) for r in archives.members(paths).collect())
+    twice = [*body.items(), ("p/repeat.png", b"2")]
+    assert got == sorted([("z.ZIP", *x) for x in body.items()] + [(a, *x) for a in ("t.tar", "t.tar.xz") for x in twice])
+    entries = archives.directory(paths)
+    assert {r["way"] for r in entries.collect()} == {"stored", "deflated", "other zip", "tar", "stream"}
+    assert entries.filter("archive like '%t.tar'").count() == len(twice) and archives.members(paths.filter("false")).count() == 0
+    raw = bytearray((tmp_path / "z.ZIP").read_bytes())
+    raw[100] ^= 255
+    (tmp_path / "bad.zip").write_bytes(raw)
+    with pytest.raises(Exception, match="is damaged"):
+        archives.members(spark.createDataFrame([(f"{tmp_path}/bad.zip",)], "path string")).collect()
+
+
 def test_lines_are_one_file_in_order_written_by_many_tasks(spark, tmp_path):
     rows = spark.range(200_000, numPartitions=7).select((-F.col("id")).alias("line"), F.concat(F.lit("é"), F.col("id").cast("string")).alias("value"), F.lit(1).alias("part"))
     sinks.write_lines(rows, f"{tmp_path}/a/x.jsonl")
