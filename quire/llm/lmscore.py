@@ -13,7 +13,7 @@ leave of the failure arc's mass.  So in every state the known words, the end and
 
 Counts.  Words and word pairs are counted over all training documents: each block of documents deals its distinct words and
 pairs out by hash, one shuffle adds them up and a second hands every block the totals of its own.  Both travel packed, one row for a
-block and a part of the hashes.  Pairs are told apart by 64-bit hashes.  Neither vocabulary nor pairs are ever broadcast; the
+block and each part of the hashes that it has words or pairs of; parts that it has none of cost nothing, so rows stay linear in the corpus.  Pairs are told apart by 64-bit hashes.  Neither vocabulary nor pairs are ever broadcast; the
 automaton is: every byte context of up to ORDER - 1 bytes that occurs is a state, so its size has a bound at any corpus size.
 
 Null text is an empty one (its end alone).  Repeated rows count and score separately.  Null doc_id hashes as empty text.
@@ -112,8 +112,8 @@ class Layout:
 
 
 def _dealt(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """Each block's words and pairs with their training counts, by parts of the hashes."""
-    bound = lambda sorted_: np.searchsorted((sorted_ >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
+    """Each block's words and pairs with their training counts, by the parts of the hashes that it has any of: a block makes at most a row for each of its words and pairs, however many parts there are."""
+    part_of = lambda hashes: ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
     for b in batches:
         for row in range(b.num_rows):
             head = {k: b.column(k)[row].as_py() for k in ("block", "held", "lengths", "ids", "words")}
@@ -122,10 +122,13 @@ def _dealt(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordB
             word_counts = np.bincount(ids[learn], minlength=len(head["words"]))[lay.word_order]
             pair_counts = np.bincount(lay.place[learn], minlength=len(lay.pairs))[lay.pair_order]
             words = pa.array(head["words"], pa.binary()).take(pa.array(lay.word_order))
-            w, p = bound(lay.names), bound(lay.pairs)
+            word_parts, pair_parts = part_of(lay.names), part_of(lay.pairs)
+            own = np.union1d(word_parts, pair_parts)
+            bound = lambda found: np.append(np.searchsorted(found, own), len(found))  # noqa: E731, B023
+            w, p = bound(word_parts), bound(pair_parts)
             cut = lambda x, at: [_squeeze(x[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)]  # noqa: E731, B023
             plain = [lay.pairs[i:j].astype("<u8").tobytes() for i, j in zip(p[:-1], p[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([head["block"]] * parts, pa.int64()), pa.ListArray.from_arrays(pa.array(w, pa.int32()), words), pa.array(cut(word_counts, w), pa.binary()), pa.array(plain, pa.binary()), pa.array(cut(pair_counts, p), pa.binary())], names=[c.split()[0] for c in DEALT.split(", ")])
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array([head["block"]] * len(own), pa.int64()), pa.ListArray.from_arrays(pa.array(w, pa.int32()), words), pa.array(cut(word_counts, w), pa.binary()), pa.array(plain, pa.binary()), pa.array(cut(pair_counts, p), pa.binary())], names=[c.split()[0] for c in DEALT.split(", ")])
 
 
 def _added(t: pa.Table) -> pa.Table:
