@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,6 +26,12 @@ SENSITIVE_ENDINGS = (".key", ".p12", ".pem", ".pid", ".pyc")
 MOST_BYTES = 10 * 1024 * 1024
 
 
+def row_counts(**tables: DataFrame) -> dict[str, int]:
+    """How many rows each table has, all counted by one query."""
+    each = [t.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, t in tables.items()]
+    return {r["name"]: r["n"] for r in reduce(DataFrame.unionByName, each).collect()}
+
+
 def issue_rollup(issues: DataFrame, strict: bool = False) -> DataFrame:
     """errors, warnings and status in one row; strict makes warnings errors.  No issues: ok."""
     counts = issues.agg(F.count_if(F.col("level") == "error").alias("errors"), F.count_if(F.col("level") == "warning").alias("warnings"))

@@ -233,16 +233,16 @@ def validate(spark: SparkSession, run_dir: str, strict: bool = False) -> tuple[d
     wanted = planned.join(failed, ["page_id", "model_id"], "left_anti")
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "model_id"))), lambda m: m["model_id"])
     expected = completed.distinct().join(wanted.groupBy("page_id").agg(ordered.alias("model_ids")), "page_id", "left").withColumn("model_ids", F.coalesce("model_ids", F.array().cast("array<string>")))
-    counted = {
-        "page_count": pages.count(), "pages_completed": completed.count(), "pages_failed": lost.count(), "adapter_invocations_planned": planned.count(),
-        "adapter_invocations_observed": own.count(), "adapter_errors": errors.filter("scope = 'adapter'").count(), "errors": errors.count(),
-    }
+    pairs = R.pair_counts(planned, own, failed).persist()
+    first = V.row_counts(
+        page_count=pages, pages_completed=completed, pages_failed=lost, adapter_invocations_planned=planned, adapter_invocations_observed=own, adapter_errors=errors.filter("scope = 'adapter'"), errors=errors, performance_rows=timings,
+    )
+    counted = {k: n for k, n in first.items() if k != "performance_rows"}
     counted["pages_attempted"] = counted["page_count"]
     whole = lambda v: v if isinstance(v, int) and not isinstance(v, bool) else None
     said = {k: whole(performance.get(k)) for k in R.HEADLINE} | {"page_count": whole(summary.get("page_count"))}
     one = lambda row: spark.createDataFrame([tuple(row[k] for k in R.HEADLINE)], ", ".join(f"{k} long" for k in R.HEADLINE))
-    pairs = R.pair_counts(planned, own, failed).persist()
-    there, rows = fused.select("page_id"), _report_row(d, summary, performance, profile, models, counted, pairs.first(), timings.count())
+    there, rows = fused.select("page_id"), _report_row(d, summary, performance, profile, models, counted, pairs.first(), first["performance_rows"])
     regions = C.together(C.region_issues(B.regions_at(outputs.join(wanted, ["page_id", "model_id"], "left_semi"), "page_id", "model_id")), C.region_issues(B.regions_at(fused.join(expected, "page_id", "left_semi"), "page_id").withColumn("model_id", F.lit(""))))
     paths = spark.createDataFrame([(k, str(v)) for k, v in (summary.get("outputs") or {}).items()] or [("", "")], "name string, path string")
     issues = C.together(
@@ -253,13 +253,16 @@ def validate(spark: SparkSession, run_dir: str, strict: bool = False) -> tuple[d
         C.fused_page_issues(expected, B.fused_rows(fused), b.tables["transcripts"]), R.page_artifact_issues(completed, there, b.tables["transcripts"]), regions,
     ).persist()
     roll = V.issue_rollup(issues, strict).first()
-    kept = lambda docs, *k: C.valid_regions(B.regions_at(docs, *k)).count()
+    kept = lambda docs, *k: C.valid_regions(B.regions_at(docs, *k))
+    fused_pages = there.join(expected, "page_id", "left_semi")
+    more = V.row_counts(
+        model_plan_rows=plan, model_outputs=outputs.join(planned, ["page_id", "model_id"], "left_semi"), model_regions=kept(outputs.join(wanted, ["page_id", "model_id"], "left_semi"), "page_id"), fused_pages=fused_pages,
+        fused_regions=kept(fused.join(expected, "page_id", "left_semi"), "page_id"), transcripts=b.tables["transcripts"].join(fused_pages, "page_id", "left_semi"),
+    )
     statuses = B.output_rows(outputs).join(wanted, ["page_id", "model_id"], "left_semi").groupBy(F.coalesce(F.nullif("status", F.lit("")), F.lit("unknown")).alias("status")).agg(F.count(F.lit(1)).alias("n"))
     counts = {
-        "pages_manifest": counted["page_count"], "pages_completed": counted["pages_completed"], "pages_failed": counted["pages_failed"], "model_plan_rows": plan.count(), "adapter_invocations_planned": counted["adapter_invocations_planned"],
-        "models": len(models), "model_outputs": outputs.join(planned, ["page_id", "model_id"], "left_semi").count(), "model_regions": kept(outputs.join(wanted, ["page_id", "model_id"], "left_semi"), "page_id"), "fused_pages": there.join(expected, "page_id", "left_semi").count(),
-        "fused_regions": kept(fused.join(expected, "page_id", "left_semi"), "page_id"), "transcripts": b.tables["transcripts"].join(there, "page_id", "left_semi").join(expected, "page_id", "left_semi").count(), "performance_rows": timings.count(),
-        "page_errors": counted["pages_failed"], "adapter_errors": counted["adapter_errors"], "execution_errors": counted["errors"], "errors": roll["errors"], "warnings": roll["warnings"],
+        "pages_manifest": counted["page_count"], "pages_completed": counted["pages_completed"], "pages_failed": counted["pages_failed"], "adapter_invocations_planned": counted["adapter_invocations_planned"], "models": len(models), **more,
+        "performance_rows": first["performance_rows"], "page_errors": counted["pages_failed"], "adapter_errors": counted["adapter_errors"], "execution_errors": counted["errors"], "errors": roll["errors"], "warnings": roll["warnings"],
     }
     report = {"status": roll["status"], "run_dir": run_dir, "counts": counts, "runtime_status_counts": {r["status"]: r["n"] for r in statuses.orderBy("status").collect()}}
     return report, [r.asDict() for r in issues.orderBy(*issues.columns).limit(1000).collect()]  # a report shows 50

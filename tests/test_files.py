@@ -116,6 +116,13 @@ def test_progress(spark):
     assert (r["done"], r["total"], r["percent"], r["missing"]) == (1, 3, 33.33, ["b", "c"])
 
 
+def test_tables_are_counted_by_one_query(spark):
+    executions = lambda: spark._jsparkSession.sharedState().statusStore().executionsCount()
+    before = executions()
+    assert validation.row_counts(a=spark.range(7), b=spark.range(3).filter("id > 5"), c=spark.range(4).select("id").distinct()) == {"a": 7, "b": 0, "c": 4}
+    assert executions() - before == 1
+
+
 def test_exports(spark, tmp_path):
     df = spark.createDataFrame([("p1", "t", 0.5)], "page_id string, transcript string, score double")
     assert sinks.write_json_lines(df, str(tmp_path / "j")) == 1
