@@ -125,6 +125,15 @@ def pages_of(spark: SparkSession, manifest: str) -> DataFrame:
     return pages.withColumnRenamed("slug", "page_id")
 
 
+def stored_state(spark: SparkSession, pattern: str) -> str:
+    """Tells one state of the files that fit a pattern from another, by their names, lengths and times; they are listed, not read."""
+    if not files.matches(spark, pattern):
+        return "none"
+    each = F.xxhash64("path", "length", "modificationTime").cast("decimal(20,0)")
+    found = spark.read.format("binaryFile").load(pattern).agg(F.count(F.lit(1)).alias("n"), F.sum(each).alias("state")).first()
+    return f"{found['n']} {found['state']}"
+
+
 def model_pages(spark: SparkSession, pages: DataFrame, run_dir: str, stage: str, variant: str, model: str, family: str, command: tuple[str, ...] = (), timeout: int = 3600, cwd: str = "", max_pages: int = 0) -> DataFrame:
     """page_id, variant, model, family, status, error, payload of a model's every page (the first max_pages by ord, if above 0).
 
@@ -171,10 +180,15 @@ def _nonempty(least: int, model: str) -> Callable[[Tables], None]:
 
 
 def stages_of(spark: SparkSession, config: dict, run_dir: str) -> list[Stage]:
-    """The seven stages of a configuration: a stage for each source, fusion of all sources, review and transcription of the fusion."""
+    """The seven stages of a configuration: a stage for each source, fusion of all sources, review and transcription of the fusion.
+
+    The state of the manifest and of stored results is among a stage's settings, so that it runs again when they change.
+    """
     w, h, fusing, reviewing, reading = config["page_width"], config["page_height"], config["fusion"], config["review"], config["transcription"]
     manifest = config["manifest_path"]
     pages = lambda: pages_of(spark, manifest)
+    stored = lambda below: stored_state(spark, f"{run_dir}/outputs/{below}")
+    listed = [manifest, stored_state(spark, manifest)]
 
     def layout(_: dict) -> Tables:
         each = [model_pages(spark, pages(), run_dir, "paddle_layout", v["variant_id"], v["model_name"] or v["variant_id"], "paddle", tuple(v["command"]), v["timeout_sec"]) for v in config["paddle_layout_variants"]]
@@ -183,7 +197,7 @@ def stages_of(spark: SparkSession, config: dict, run_dir: str) -> list[Stage]:
     def source(name: str) -> Stage:
         own, (_, model, family) = config[name], SOURCES[name]
         work = lambda _: {"pages": model_pages(spark, pages(), run_dir, name, own["variant_id"], model, family, tuple(own["command"]), own["timeout_sec"], own["cwd"], own["max_pages"])}
-        return Stage(name, work, settings=own | {"manifest": manifest}, enabled=own["enabled"], then=_boxes, check=_nonempty(own["min_nonempty_pages"], model) if name != "paddle_vl15" else None)
+        return Stage(name, work, settings=own | {"manifest": listed, "stored": stored(f"sources/{name}/{own['variant_id']}/*/*.json") if own["enabled"] else ""}, enabled=own["enabled"], then=_boxes, check=_nonempty(own["min_nonempty_pages"], model) if name != "paddle_vl15" else None)
 
     def fuse(read: dict[str, Tables]) -> Tables:
         together = lambda name: reduce(DataFrame.unionByName, (tables[name] for tables in read.values()))
@@ -224,13 +238,13 @@ def stages_of(spark: SparkSession, config: dict, run_dir: str) -> list[Stage]:
         return {"crops": crops, "texts": O.page_texts(O.box_texts(crops, lines)).join(own.select("page_id"), "page_id", "left_semi"), "report": O.transcription_report(known, sound, crops, lines)}
 
     sources = ("paddle_layout", *SOURCES)
-    shared = {"width": w, "height": h, "manifest": manifest}
+    shared = {"width": w, "height": h, "manifest": listed}
     return [
-        Stage("paddle_layout", layout, settings={"variants": config["paddle_layout_variants"], "manifest": manifest}, then=_boxes),
+        Stage("paddle_layout", layout, settings={"variants": config["paddle_layout_variants"], "manifest": listed, "stored": stored("sources/paddle_layout/*/*/*.json")}, then=_boxes),
         *map(source, SOURCES),
         Stage("fusion", fuse, sources, fusing | shared, then=fused),
         Stage("review", review, ("fusion",), reviewing | shared),
-        Stage("transcription", transcribe, ("fusion",), reading | shared, reading["enabled"]),
+        Stage("transcription", transcribe, ("fusion",), reading | shared | {"stored": stored("transcription/*/*/crop_*_res.json")}, reading["enabled"]),
     ]
 
 

@@ -146,6 +146,13 @@ def test_a_whole_staged_run(spark, project, monkeypatch, capsys):
     assert cli.main(["run-status", run_dir]) == 0
     state = json.loads(capsys.readouterr().out)
     assert state["total_pages"] == 3 and {s["state"] for s in state["stages"]} == {"finished"}
+    # Results that come later are taken up by the stages that read them, and by no other.
+    late = project / "run/outputs/transcription/P4/b/crop_0004_res.json"
+    late.parent.mkdir()
+    late.write_text(json.dumps({"rec_texts": ["late"], "rec_polys": [[[5, 5], [300, 5], [300, 30], [5, 30]]]}))
+    assert {s["stage"] for s in staged.status(spark, run_dir)["stages"] if s["state"] == "stale"} == {"transcription"}
+    assert [s["stage"] for s in staged.run(spark, config, run_dir)["stages"] if s["outcome"] == "ran"] == ["transcription"]
+    assert tables_of(spark, f"{run_dir}/stages", "transcription")["texts"].filter("page_id = 'b'").first()["text"] == "late"
 
 
 def test_pages_of_a_list_are_those_of_its_last_state(spark, project):
