@@ -38,10 +38,10 @@ def when(condition: Column, code: str, detail: Column | str = "", level: str | C
     return F.when(condition, F.struct(lit(level).alias("level"), F.lit(code).alias("code"), lit(detail).alias("detail")))
 
 
-def issues(rows: DataFrame, found: list[Column], page: str | None = "page_id", model: str | None = None) -> DataFrame:
-    """A row for every check of `found` that holds for a row."""
+def issues(rows: DataFrame, found: list[Column] | Column, page: str | None = "page_id", model: str | None = None) -> DataFrame:
+    """A row for every check of `found` (or of one array of them) that holds for a row."""
     ident = lambda c: (F.coalesce(F.col(c).cast("string"), F.lit("")) if c else F.lit(""))
-    each = rows.select(ident(page).alias("page_id"), ident(model).alias("model_id"), F.explode(F.array_compact(F.array(*found))).alias("i"))
+    each = rows.select(ident(page).alias("page_id"), ident(model).alias("model_id"), F.explode(F.array_compact(found if isinstance(found, Column) else F.array(*found))).alias("i"))
     return each.select("i.level", "i.code", "page_id", "model_id", "i.detail")
 
 
@@ -85,34 +85,38 @@ def manifest_issues(rows: DataFrame, files: DataFrame | None = None, require_fil
     return together(issues(r, found), issues(none, [when(F.lit(True), "empty_manifest")], page=None))
 
 
-def region_checks(coords: Column, is_object: Column, label: Column, confidence: Column) -> list[Column]:
-    """coords: array of the box's values as strings, null if it is no list."""
-    at = lambda i: F.get(coords, F.lit(i)).try_cast("double")
-    four = F.coalesce(F.size(coords) == 4, F.lit(False))
+def read_region() -> Column:
+    """What the checks look at, as an array of one struct: a lambda over it reads every value once, where a plain column would be worked out anew at each use."""
+    numbers = F.transform("coords", lambda x: x.try_cast("double"))
+    return F.array(F.struct("is_object", numbers.alias("n"), text("label").alias("label"), F.col("confidence").isNotNull().alias("rated"), F.col("confidence").try_cast("double").alias("score")))
+
+
+def region_checks(r: Column) -> list[Column]:
+    """Checks of a region as read_region gives it."""
+    at = lambda i: F.get(r["n"], F.lit(i))
+    is_object, four = r["is_object"], F.coalesce(F.size(r["n"]) == 4, F.lit(False))
     numeric = reduce(lambda a, b: a & b, [at(i).isNotNull() for i in range(4)])
     sound = reduce(lambda a, b: a & b, [finite(at(i)) for i in range(4)]) & (at(2) > at(0)) & (at(3) > at(1))
-    score = confidence.try_cast("double")
     return [
         when(~is_object, "invalid_region"),
         when(is_object & ~four, "invalid_bbox", "no four numbers"),
         when(is_object & four & ~numeric, "invalid_bbox", "not numeric"),
         when(is_object & four & numeric & ~sound, "invalid_bbox", "degenerate or not finite"),
-        when(is_object & (text(label) == ""), "missing_region_label"),
-        when(is_object & confidence.isNotNull() & ~(finite(score) & score.between(0.0, 1.0)), "invalid_confidence"),
+        when(is_object & (r["label"] == ""), "missing_region_label"),
+        when(is_object & r["rated"] & ~(finite(r["score"]) & r["score"].between(0.0, 1.0)), "invalid_confidence"),
     ]
 
 
 def region_issues(regions: DataFrame) -> DataFrame:
     """Issues of regions (page_id, model_id, region, is_object, coords, label, confidence), the region's number as detail after the reason."""
-    found = region_checks(F.col("coords"), F.col("is_object"), F.col("label"), F.col("confidence"))
-    named = [F.when(c.isNotNull(), F.struct(c["level"].alias("level"), c["code"].alias("code"), F.concat_ws(" ", F.col("region").cast("string"), F.nullif(c["detail"], F.lit(""))).alias("detail"))) for c in found]
-    return issues(regions, named, model="model_id")
+    named = lambda c: F.when(c.isNotNull(), F.struct(c["level"].alias("level"), c["code"].alias("code"), F.concat_ws(" ", F.col("region").cast("string"), F.nullif(c["detail"], F.lit(""))).alias("detail")))
+    found = F.transform(read_region(), lambda r: F.array(*[named(c) for c in region_checks(r)]))
+    return issues(regions, F.get(found, F.lit(0)), model="model_id")
 
 
 def valid_regions(regions: DataFrame) -> DataFrame:
     """The regions without issues."""
-    found = region_checks(F.col("coords"), F.col("is_object"), F.col("label"), F.col("confidence"))
-    return regions.filter(F.size(F.array_compact(F.array(*found))) == 0)
+    return regions.filter(~F.exists(read_region(), lambda r: reduce(lambda a, b: a | b, [c.isNotNull() for c in region_checks(r)])))
 
 
 def model_output_issues(expected: DataFrame, outputs: DataFrame) -> DataFrame:
