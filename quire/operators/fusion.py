@@ -34,6 +34,11 @@ def _let(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
+def _with(name: str, value: str, body: str) -> str:
+    """The state that body makes with value under a name.  An aggregate over one value hands its state on, which transform would copy box by box."""
+    return f"aggregate(array({value}), acc, (acc, {name}) -> {body})"
+
+
 def _shared(a: str, b: str) -> str:
     side = lambda c: f"greatest(0d, least({a}.{c}2, {b}.{c}2) - greatest({a}.{c}1, {b}.{c}1))"
     return f"{side('x')} * {side('y')}"
@@ -68,17 +73,19 @@ def _step(w: float, h: float, threshold: float) -> str:
         if(size(b.twins) = 0, b.none, transform(filter(b.twins, t -> array_contains(acc.turns, t.turn)), t -> t.shared)),
         if(size(acc.made) = 0 or b.norm_label <> '{RECOVERED["norm_label"]}', b.none, filter(transform(acc.made,
           k -> {_let('i', _shared('k', 'b'), f"if(i / ((k.x2 - k.x1) * (k.y2 - k.y1) + b.area - i) >= {SAME_IOU}D, i, null)")}), i -> i is not null)))"""
-    said = f"""named_struct('bare', array_except(b.hits, acc.covered), 'twins', {twins},
+    bare = "filter(b.hits, i -> not array_contains(acc.covered, i))"
+    said = f"""named_struct('bare', {bare}, 'twins', {twins},
       'support', if(b.large, 1 + size(array_distinct(transform(filter(b.partners, p -> array_contains(members, p.model)), p -> p.family))), 1))"""
     judged = f"""named_struct(
       'earns', size(d.bare) >= {NEW_LEAST} and size(d.bare) >= {NEW_SHARE}D * size(b.hits),
       'giant', b.large and (b.share >= 0.22D and d.support < 2 and b.sure < 0.75D or b.share >= 0.30D and d.support < 3))"""
     state = lambda kept, turns, made, covered: f"named_struct('kept', {kept}, 'turns', {turns}, 'made', {made}, 'covered', {covered})"
     kept = "named_struct('turn', b.turn, 'x1', b.x1, 'y1', b.y1, 'x2', b.x2, 'y2', b.y2, 'score', b.score)"
-    keep = state(f"concat(acc.kept, array({kept}))", "concat(acc.turns, array(b.turn))", "acc.made", "array_union(acc.covered, b.hits)")
+    keep_with = lambda more: state(f"concat(acc.kept, array({kept}))", "concat(acc.turns, array(b.turn))", "acc.made", f"concat(acc.covered, {more})")
+    keep = keep_with("d.bare")
     new = "transform(r, v -> named_struct('turn', cast(null as int), 'x1', v.x1, 'y1', v.y1, 'x2', v.x2, 'y2', v.y2, 'score', least(0.95D, greatest(0.10D, b.sure))))"
     inside = f"filter(sequence(0, size(lines) - 1), i -> exists(r, v -> {_shared('v', 'lines[i]')} / lines[i].area >= {threshold}D))"
-    recover = _let("r", _recovered(w, h), state(f"concat(acc.kept, {new})", "acc.turns", "concat(acc.made, r)", f"array_union(acc.covered, {inside})"))
+    recover = _with("r", _recovered(w, h), state(f"concat(acc.kept, {new})", "acc.turns", "concat(acc.made, r)", f"array_union(acc.covered, {inside})"))
     choice = f"""case
       when b.thin and d.support < 2 then acc
       when b.large and (d.support < 2 or e.giant and size(d.twins) = 0) and not e.earns then acc
@@ -87,8 +94,8 @@ def _step(w: float, h: float, threshold: float) -> str:
       when b.share >= {RECOVER_AREA}D then {recover}
       when e.giant then acc
       else {keep} end"""
-    judging = _let("d", said, _let("e", judged, choice))
-    return f"if(not b.large and size(b.twins) = 0 and size(acc.made) = 0, {keep}, {judging})"
+    judging = _with("d", said, _with("e", judged, choice))
+    return f"if(not b.large and size(b.twins) = 0 and size(acc.made) = 0, {keep_with(bare)}, {judging})"
 
 
 def prepared(boxes: DataFrame, lines: DataFrame, width: float, height: float, threshold: float = 0.5) -> DataFrame:
@@ -229,9 +236,10 @@ def measure(boxes: DataFrame, lines: DataFrame, width: int, height: int, thresho
 
 def board(measures: DataFrame) -> DataFrame:
     """Each variant's and source's means over pages (recall over pages that have one), its pages better than S1 in recall, and score = recall + 0.25 area - 0.00025 boxes."""
-    first = measures.filter("kind = 'variant' and name = 'S1'").select("page_id", F.coalesce("base_recall", F.lit(0.0)).alias("r1"))
-    better = F.coalesce("base_recall", F.lit(0.0)) > F.col("r1")
-    m = measures.join(first, "page_id", "left").groupBy("kind", "name").agg(
+    recall = F.coalesce("base_recall", F.lit(0.0))
+    first = F.when((F.col("kind") == "variant") & (F.col("name") == "S1") & F.col("page_id").isNotNull(), recall)
+    better = recall > F.col("r1")
+    m = measures.withColumn("r1", F.max(first).over(Window.partitionBy("page_id"))).groupBy("kind", "name").agg(
         F.count(F.lit(1)).alias("pages"),
         F.coalesce(F.avg("base_recall"), F.lit(0.0)).alias("r"),
         F.avg("line_coverage").alias("c"),
@@ -266,25 +274,41 @@ def per_page(measures: DataFrame, kind: str) -> DataFrame:
     return measures.filter(F.col("kind") == kind).select("page_id", "name", F.coalesce("base_recall", F.lit(0.0)).alias("base_recall"), "line_coverage", "uncovered_lines", "box_count", "text_area").orderBy("page_id", "name")
 
 
-def _gains(measures: DataFrame, low: str, high: str, weights: tuple[float, float, float], most: int, how: str) -> DataFrame:
+INFORMATIVE, DELTA = (3.0, 2.0, 0.7), (3.5, 1.5, 0.5)
+
+
+def _sides(measures: DataFrame, *names: str) -> DataFrame:
+    """page_id, and for every named variant a struct of recall and area, null where it was not measured: one pass over the measures."""
+    rows = measures.filter((F.col("kind") == "variant") & F.col("name").isin(*names))
+    side = lambda v: F.max(F.when(F.col("name") == v, F.struct(F.col("base_recall").alias("r"), F.col("text_area").alias("a")))).alias(v)
+    alone = F.when(F.col("page_id").isNull(), F.col("name")).alias("alone")  # rows without a page do not meet
+    return rows.groupBy("page_id", alone).agg(*[side(v) for v in dict.fromkeys(names)])
+
+
+def _gain(low: str, high: str, weights: tuple[float, float, float], both: bool) -> Column:
+    """score, recall_gain, area_gain of a page's sides; null where neither variant was measured, or not both."""
+    z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    gain, area = z(f"{high}.r") - z(f"{low}.r"), z(f"{high}.a") - z(f"{low}.a")
+    score = weights[0] * gain + weights[1] * area + weights[2] * (1.0 - z(f"{low}.r"))
+    l, h = F.col(low).isNotNull(), F.col(high).isNotNull()
+    return F.when(l & h & F.col("page_id").isNotNull() if both else l | h, F.struct(F.round(score, 6).alias("score"), F.round(gain, 6).alias("recall_gain"), F.round(area, 6).alias("area_gain")))
+
+
+def _gains(measures: DataFrame, low: str, high: str, weights: tuple[float, float, float], most: int, both: bool) -> DataFrame:
     """rank, page_id, score, recall_gain, area_gain: the pages where `high` gains most over `low`, and those `low` does badly on."""
-    z = lambda c: F.coalesce(c, F.lit(0.0))
-    pick = lambda v, p: measures.filter((F.col("kind") == "variant") & (F.col("name") == v)).select("page_id", F.col("base_recall").alias(f"{p}r"), F.col("text_area").alias(f"{p}a"))
-    both = pick(low, "l").join(pick(high, "h"), "page_id", how)
-    gain, area = z("hr") - z("lr"), z("ha") - z("la")
-    score = weights[0] * gain + weights[1] * area + weights[2] * (1.0 - z("lr"))
-    top = both.select("page_id", F.round(score, 6).alias("score"), F.round(gain, 6).alias("recall_gain"), F.round(area, 6).alias("area_gain")).orderBy(F.desc("score"), "page_id").limit(most)
+    each = _sides(measures, low, high).select("page_id", _gain(low, high, weights, both).alias("g")).filter("g is not null")
+    top = each.select("page_id", "g.*").orderBy(F.desc("score"), "page_id").limit(most)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "page_id")))  # at most `most` rows
 
 
 def informative(measures: DataFrame, variant: str, most: int = 20) -> DataFrame:
     """Pages ranked by what the variant gains over S1."""
-    return _gains(measures, "S1", variant, (3.0, 2.0, 0.7), most, "full_outer")
+    return _gains(measures, "S1", variant, INFORMATIVE, most, False)
 
 
 def delta(measures: DataFrame, without: str = "P2", with_: str = "P4", most: int = 20) -> DataFrame:
     """Pages ranked by what the variant with one source more gains, where both were measured."""
-    return _gains(measures, without, with_, (3.5, 1.5, 0.5), most, "inner")
+    return _gains(measures, without, with_, DELTA, most, True)
 
 
 def review_pages(measures: DataFrame, pages: DataFrame, variant: str, mode: str = "all", most: int = 20) -> DataFrame:
@@ -293,6 +317,12 @@ def review_pages(measures: DataFrame, pages: DataFrame, variant: str, mode: str
         return pages.orderBy("ord").select("page_id")
     if mode != "top20":
         raise ValueError(f"unknown review mode {mode}: all or top20")
-    named = informative(measures, variant, most).select("page_id").union(delta(measures, most=most).select("page_id")).distinct()
-    first = pages.orderBy("ord").limit(5) if named.limit(1).count() == 0 else pages.join(F.broadcast(named), "page_id", "left_semi")  # at most 2 * most rows
-    return first.orderBy("ord").select("page_id")
+    both = {"informative": _gain("S1", variant, INFORMATIVE, False), "delta": _gain("P2", "P4", DELTA, True)}
+    scores = F.array(*[F.when(g.isNotNull(), F.struct(F.lit(k).alias("ranking"), g["score"].alias("score"))) for k, g in both.items()])
+    each = _sides(measures, "S1", variant, "P2", "P4").select("page_id", F.explode(F.array_compact(scores)).alias("s")).select("page_id", "s.*")
+    place = F.row_number().over(Window.partitionBy("ranking").orderBy(F.desc("score"), "page_id"))
+    named = each.withColumn("place", place).filter(F.col("place") <= most).select("page_id").distinct()
+    listed = pages.join(F.broadcast(named), "page_id", "left_semi").withColumn("named", F.lit(True))  # at most 2 * most rows
+    shown = listed.union(pages.orderBy("ord").limit(5).withColumn("named", F.lit(False)))
+    best = shown.withColumn("any", F.max("named").over(Window.partitionBy(F.lit(0)))).filter("named = any")  # at most 2 * most + 5 rows
+    return best.orderBy("ord").select("page_id")

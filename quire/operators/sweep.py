@@ -14,14 +14,16 @@ from pyspark.sql.window import Window
 def union_areas(boxes: DataFrame, keys: list[str], parts: dict[str, Column] | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """keys, an area for each of `parts` (conditions on the boxes that it unites; all boxes, if none are named), and the carried columns, which are constant within a key.
 
-    One shuffle by the keys; edges, strips and spans follow within partitions.  Boxes without an extent cover nothing, and a
+    Equal boxes of a key are one row, whichever parts they belong to, so the sweep grows with the places on a page and not with
+    the parts that hold them.  One shuffle by the keys; edges, strips and spans follow within partitions.  Boxes without an extent cover nothing, and a
     key that has only such boxes has areas of 0.  Rows without corners carry their key and columns.
     """
     parts = parts or {"area": F.lit(True)}
     solid = F.coalesce((F.col("x1") < F.col("x2")) & (F.col("y1") < F.col("y2")), F.lit(False))
     of = Window.partitionBy(*keys)
-    flags = [condition.alias(f"in_{name}") for name, condition in parts.items()]
-    rows = boxes.select(*keys, *carry, *[F.when(solid, F.col(c)).alias(c) for c in ("x1", "y1", "x2", "y2")], *flags).distinct()
+    corners, flags = ("x1", "y1", "x2", "y2"), {f"in_{name}": condition for name, condition in parts.items()}
+    each = boxes.select(*keys, *carry, *[F.when(solid, F.col(c)).alias(c) for c in corners], *[condition.alias(name) for name, condition in flags.items()])
+    rows = each.groupBy(*keys, *corners).agg(*[F.max(c).alias(c) for c in carry], *[F.bool_or(name).alias(name) for name in flags])
     edges = F.array_sort(F.array_distinct(F.concat(F.collect_set("y1").over(of), F.collect_set("y2").over(of))))
     edged = rows.withColumn("edges", edges).withColumn("first", F.array_position("edges", F.col("y1")))
     strips = F.when(F.col("first") > 0, F.sequence("first", F.array_position("edges", F.col("y2")) - 1))

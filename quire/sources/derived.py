@@ -12,6 +12,8 @@ FAMILIES = ("profile", "layout", "text_probe")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the star schema.  The JVM leaves methods above 8,000 bytes uncompiled, so plans that would need longer ones run operator by operator."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
