@@ -35,7 +35,7 @@ def _let(name: str, value: str, body: str) -> str:
 
 
 def _with(name: str, value: str, body: str) -> str:
-    """The state that body makes with value under a name.  An aggregate over one value hands its state on, which transform would copy box by box."""
+    """The state that body makes with value under a name."""
     return f"aggregate(array({value}), acc, (acc, {name}) -> {body})"
 
 
@@ -44,6 +44,11 @@ def _shared(a: str, b: str) -> str:
     return f"{side('x')} * {side('y')}"
 
 
+def _touching(a: str, b: str) -> str:
+    """Comparisons that spare most pairs the arithmetic."""
+    return f"{a}.x1 < {b}.x2 and {b}.x1 < {a}.x2 and {a}.y1 < {b}.y2 and {b}.y1 < {a}.y2"
+
+
 def _clamped(x1: str, y1: str, x2: str, y2: str, w: float, h: float) -> str:
     """A box cut to the page; all zeros without an extent."""
     cut = lambda v, top: f"greatest(0d, least({float(top)}D, {v}))"
@@ -53,48 +58,49 @@ def _clamped(x1: str, y1: str, x2: str, y2: str, w: float, h: float) -> str:
 
 def _recovered(w: float, h: float) -> str:
     """Boxes around the bare lines of b: one, if much smaller than b, else one for each line and place."""
-    edge = lambda pick, c, of: f"array_{pick}(transform(d.bare, i -> lines[i].{c}))" if of is None else f"{of}(b.{c}, array_{pick}(transform(d.bare, i -> lines[i].{c})))"
+    edge = lambda pick, c, of: f"array_{pick}(transform(e.bare, i -> lines[i].{c}))" if of is None else f"{of}(b.{c}, array_{pick}(transform(e.bare, i -> lines[i].{c})))"
     hull = _clamped(edge("min", "x1", "greatest"), edge("min", "y1", "greatest"), edge("max", "x2", "least"), edge("max", "y2", "least"), w, h)
     padded = lambda v: _clamped(f"{v}.x1 - {PAD}D", f"{v}.y1 - {PAD}D", f"{v}.x2 + {PAD}D", f"{v}.y2 + {PAD}D", w, h)
     place = lambda v: f"array({', '.join(f'rint({v}.{c} / 8)' for c in XY)})"
     one = f"t.x2 > t.x1 and t.y2 > t.y1 and (t.x2 - t.x1) * (t.y2 - t.y1) / greatest(1d, b.area) <= {TIGHT}D"
     first = f"filter(each, (v, n) -> not exists(slice(each, 1, n), u -> {place('u')} = {place('v')}))"
-    several = _let("each", f"transform(d.bare, i -> {padded('lines[i]')})", f"slice({first}, 1, {MOST_RECOVERED})")
+    several = _let("each", f"transform(e.bare, i -> {padded('lines[i]')})", f"slice({first}, 1, {MOST_RECOVERED})")
     return _let("t", hull, f"if({one}, array({padded('t')}), {several})")
 
 
 def _step(w: float, h: float, threshold: float) -> str:
-    """The state after box b, from that before it: acc(kept, turns, made, covered).  Names: b box, d what the state says of it, e its rank, r recovered boxes.
+    """The state after box b, from that before it: acc(turns, made, covered).  Names: b box, e what the state says of it (of d, the facts), r recovered boxes.
 
-    kept: the chosen boxes in order, turns: those of them that are the page's own, made: recovered ones, covered: places of lines.
+    turns: the chosen boxes in order, the page's own by their turns, recovered ones by negative places in made; covered: places of lines.
+    Lambdas copy a state with all that it holds at every step, so it holds numbers and, of boxes, only the few recovered ones.
     """
     page = max(1.0, float(w) * float(h))
     twins = f"""concat(
         if(size(b.twins) = 0, b.none, transform(filter(b.twins, t -> array_contains(acc.turns, t.turn)), t -> t.shared)),
-        if(size(acc.made) = 0 or b.norm_label <> '{RECOVERED["norm_label"]}', b.none, filter(transform(acc.made,
+        if(size(acc.made) = 0 or b.norm_label <> '{RECOVERED["norm_label"]}', b.none, filter(transform(filter(acc.made, k -> {_touching("k", "b")}),
           k -> {_let('i', _shared('k', 'b'), f"if(i / ((k.x2 - k.x1) * (k.y2 - k.y1) + b.area - i) >= {SAME_IOU}D, i, null)")}), i -> i is not null)))"""
     bare = "filter(b.hits, i -> not array_contains(acc.covered, i))"
     said = f"""named_struct('bare', {bare}, 'twins', {twins},
       'support', if(b.large, 1 + size(array_distinct(transform(filter(b.partners, p -> array_contains(members, p.model)), p -> p.family))), 1))"""
-    judged = f"""named_struct(
+    judged = f"""named_struct('bare', d.bare, 'twins', d.twins, 'support', d.support,
       'earns', size(d.bare) >= {NEW_LEAST} and size(d.bare) >= {NEW_SHARE}D * size(b.hits),
       'giant', b.large and (b.share >= 0.22D and d.support < 2 and b.sure < 0.75D or b.share >= 0.30D and d.support < 3))"""
-    state = lambda kept, turns, made, covered: f"named_struct('kept', {kept}, 'turns', {turns}, 'made', {made}, 'covered', {covered})"
-    kept = "named_struct('turn', b.turn, 'x1', b.x1, 'y1', b.y1, 'x2', b.x2, 'y2', b.y2, 'score', b.score)"
-    keep_with = lambda more: state(f"concat(acc.kept, array({kept}))", "concat(acc.turns, array(b.turn))", "acc.made", f"concat(acc.covered, {more})")
-    keep = keep_with("d.bare")
-    new = "transform(r, v -> named_struct('turn', cast(null as int), 'x1', v.x1, 'y1', v.y1, 'x2', v.x2, 'y2', v.y2, 'score', least(0.95D, greatest(0.10D, b.sure))))"
-    inside = f"filter(sequence(0, size(lines) - 1), i -> exists(r, v -> {_shared('v', 'lines[i]')} / lines[i].area >= {threshold}D))"
-    recover = _with("r", _recovered(w, h), state(f"concat(acc.kept, {new})", "acc.turns", "concat(acc.made, r)", f"array_union(acc.covered, {inside})"))
+    state = lambda turns, made, covered: f"named_struct('turns', {turns}, 'made', {made}, 'covered', {covered})"
+    keep_with = lambda more: state("concat(acc.turns, array(b.turn))", "acc.made", f"concat(acc.covered, {more})")
+    keep = keep_with("e.bare")
+    new = "transform(r, v -> named_struct('x1', v.x1, 'y1', v.y1, 'x2', v.x2, 'y2', v.y2, 'score', least(0.95D, greatest(0.10D, b.sure))))"
+    touching = _touching("v", "l") if threshold > 0 else "true"
+    inside = f"transform(filter(lines, l -> exists(r, v -> {touching} and {_shared('v', 'l')} / l.area >= {threshold}D)), l -> l.place)"
+    recover = _with("r", _recovered(w, h), state("concat(acc.turns, transform(r, (v, n) -> -(size(acc.made) + n + 1)))", f"concat(acc.made, {new})", f"array_union(acc.covered, {inside})"))
     choice = f"""case
-      when b.thin and d.support < 2 then acc
-      when b.large and (d.support < 2 or e.giant and size(d.twins) = 0) and not e.earns then acc
-      when size(d.twins) > 0 then if(b.area - array_max(d.twins) <= {UNCOVERED * page}D and size(d.bare) = 0, acc, {keep})
-      when not b.large or d.support >= 2 and not e.giant then {keep}
+      when b.thin and e.support < 2 then acc
+      when b.large and (e.support < 2 or e.giant and size(e.twins) = 0) and not e.earns then acc
+      when size(e.twins) > 0 then if(b.area - array_max(e.twins) <= {UNCOVERED * page}D and size(e.bare) = 0, acc, {keep})
+      when not b.large or e.support >= 2 and not e.giant then {keep}
       when b.share >= {RECOVER_AREA}D then {recover}
       when e.giant then acc
       else {keep} end"""
-    judging = _with("d", said, _with("e", judged, choice))
+    judging = _with("e", _let("d", said, judged), choice)
     return f"if(not b.large and size(b.twins) = 0 and size(acc.made) = 0, {keep_with(bare)}, {judging})"
 
 
@@ -145,11 +151,13 @@ def prepared(boxes: DataFrame, lines: DataFrame, width: float, height: float, th
 def select_boxes(pages: DataFrame, sets: dict[str, tuple[str, ...]], width: float, height: float, threshold: float = 0.5) -> DataFrame:
     """The columns of pages, name, kept (boxes in the order of choice) and covered (places of lines), for every set of models on every page."""
     named = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(list(m)).alias("members")) for n, m in sets.items()])
-    start = "named_struct('kept', cast(array() as array<struct<turn:int,x1:double,y1:double,x2:double,y2:double,score:double>>), 'turns', cast(array() as array<int>), 'made', cast(array() as array<struct<x1:double,y1:double,x2:double,y2:double>>), 'covered', cast(array() as array<int>))"
+    start = "named_struct('turns', cast(array() as array<int>), 'made', cast(array() as array<struct<x1:double,y1:double,x2:double,y2:double,score:double>>), 'covered', cast(array() as array<int>))"
     mine = "filter(items, b -> array_contains(members, b.source_model) and not b.flat)"
     each = pages.withColumn("of", F.explode(named)).select(*pages.columns, "of.name", "of.members")
     state = F.expr(f"aggregate({mine}, {start}, (acc, b) -> {_step(width, height, threshold)})")
-    return each.withColumn("state", state).select(*pages.columns, "name", "state.kept", "state.covered")
+    box = lambda turn, v: f"named_struct('turn', {turn}, {', '.join(f'{chr(39)}{c}{chr(39)}, {v}.{c}' for c in (*XY, 'score'))})"
+    kept = f"transform(state.turns, t -> if(t > 0, {box('t', 'get(items, t - 1)')}, {box('cast(null as int)', 'get(state.made, -t - 1)')}))"
+    return each.withColumn("state", state).select(*pages.columns, "name", F.expr(kept).alias("kept"), "state.covered")
 
 
 def fuse(boxes: DataFrame, lines: DataFrame, width: int, height: int, threshold: float = 0.5) -> DataFrame:
@@ -158,9 +166,9 @@ def fuse(boxes: DataFrame, lines: DataFrame, width: int, height: int, threshold:
     A null score counts as 0; pages without lines keep no large unsupported text; no boxes, no rows.
     """
     chosen = select_boxes(prepared(boxes, lines, width, height, threshold), model_sets(), width, height, threshold)
-    ordered = F.expr("array_sort(transform(kept, (k, n) -> named_struct('y1', k.y1, 'x1', k.x1, 'n', n, 'k', k)))")
-    out = chosen.select("page_id", "name", "items", F.posexplode(ordered).alias("place", "o")).select("page_id", "name", F.col("place") + 1, "o.k", F.expr("get(items, o.k.turn - 1)").alias("b"))
-    out = out.toDF("page_id", "name", "reading_order", "k", "b")
+    said = ", ".join(f"'{c}', get(items, k.turn - 1).{c}" for c in ("seq", *RECOVERED))  # taken here, as rows of single boxes would each carry all items along
+    ordered = F.expr(f"array_sort(transform(kept, (k, n) -> named_struct('y1', k.y1, 'x1', k.x1, 'n', n, 'k', k, 'b', named_struct({said}))))")
+    out = chosen.select("page_id", "name", F.posexplode(ordered).alias("place", "o")).select("page_id", "name", (F.col("place") + 1).alias("reading_order"), "o.k", "o.b")
     of = [F.coalesce(F.col(f"b.{c}"), F.lit(v)).alias(c) for c, v in RECOVERED.items()]
     return out.select("page_id", "name", "reading_order", "b.seq", *of, *[f"k.{c}" for c in XY], "k.score")
 

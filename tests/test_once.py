@@ -58,3 +58,8 @@ def test_a_place_in_many_parts_is_swept_once(spark):
     for i in range(7):
         assert got.first()[f"t{i}"] == sweep.union_areas(df.filter(F.col("t") == i), ["k"]).first()["area"]
     assert "max(in_t6" in plan(got) or "bool_or(in_t6" in plan(got)
+
+
+def test_the_state_of_the_fold_holds_places_instead_of_boxes(spark):
+    text = plan(registry.queries()["greedy_fusion"](spark, SF))
+    assert "named_struct(turns" in text and "named_struct(kept" not in text
