@@ -1,15 +1,16 @@
 """Chat formatting by prefix-target expansion: every assistant turn becomes an example of its own.
 
-An example's context is all turns before its reply, and only the reply is trainable.  The contexts of a conversation's
-examples are prefixes of one another, so the formatted conversation is kept once, as one row a turn with its place, and an
-example is the prefix that ends with its target's row:
+An example's context is all turns before its reply, and only the reply is trainable.  Every example is written with its whole
+context, as one row for each of its turns:
 
   conversation   [SYS] s [/SYS][INST] u1 [/INST] a1</s>[INST] u2 [/INST] a2</s>
   example 1      [SYS] s [/SYS][INST] u1 [/INST] a1</s>                              loss on a1
   example 2      [SYS] s [/SYS][INST] u1 [/INST] a1</s>[INST] u2 [/INST] a2</s>      loss on a2
 
-The output grows with the turns, not with their square, and `example_texts` writes chosen examples out in full.
-Turns after the last reply belong to no example; they stay, untrained.
+The output grows with the square of a conversation's turns, as the method has it: a turn stands in every example whose target it
+is or precedes.  These rows are made turn by turn where the turns lie, without a join, so no task holds a conversation or an example;
+the copies of a turn's text stand side by side and take next to no room in a column file.  `example_texts` joins an example's rows to one text.
+Turns after the last reply belong to no example; they stay once, untrained.
 
 Texts cannot forge marks: between < or [ and the rest of a control string stands one backslash more than in the text
 (`[INST]` becomes `[\\INST]`, and `[\\INST]` `[\\\\INST]`), which reading takes away again.
@@ -69,9 +70,9 @@ def _marks(role: Column) -> tuple[Column, Column]:
 
 
 def expand_targets(conversations: DataFrame) -> DataFrame:
-    """conv_id, position (from 1), turn, piece (the formatted turn), start (characters of the conversation before it), chars,
-    trainable, example (number of the example whose target this is, or whose target comes next; null after the last reply),
-    loss_start and loss_end (characters of the conversation that the example trains; null for other rows).
+    """A row for each turn of each example: conv_id, example (from 1; null for turns after the last reply), examples (how many the
+    conversation has), position (from 1), turn, piece (the formatted turn), start (characters of the example before it), chars,
+    trainable (whether this is the example's target), loss_start and loss_end (characters of the example that it trains; null for other rows).
 
     Turns are dealt out by ranges of (conv_id, turn), so a conversation that holds much of the table lies in many partitions.
     Places are counted within each partition and shifted by what the conversation has in earlier partitions: only the first
@@ -109,25 +110,41 @@ def expand_targets(conversations: DataFrame) -> DataFrame:
     placed = counted.join(F.broadcast(shifts), F.col("conv_id").eqNullSafe(F.col("shifted")) & (F.col("part") == F.col("shifted_part")), "left")
     placed = placed.join(F.broadcast(totals), F.col("conv_id").eqNullSafe(F.col("of")), "left")  # at most one a partition, as shifts
     shift = lambda c: F.coalesce(F.col(f"earlier_{c}"), F.lit(0))
-    start, done = F.col("offset") + shift("chars"), F.col("done") + shift("targets")
-    return placed.select(
+    start, done, every = F.col("offset") + shift("chars"), F.col("done") + shift("targets"), F.coalesce("all", "mine")
+    first = placed.select(
         "conv_id",
         (F.col("place") + shift("turns")).alias("position"),
         "turn",
         "piece",
         start.alias("start"),
         "chars",
+        "head",
+        "tail",
         "trainable",
-        F.when(done < F.coalesce("all", "mine"), done + 1).alias("example"),
-        F.when(F.col("trainable"), start + F.col("head")).alias("loss_start"),
-        F.when(F.col("trainable"), start + F.col("chars") - F.col("tail")).alias("loss_end"),
+        every.alias("examples"),
+        F.when(done < every, done + 1).alias("first"),
+    )
+    expanded = first.withColumn("example", F.explode_outer(F.when(F.col("first").isNotNull(), F.sequence("first", "examples"))))
+    target = F.col("trainable") & (F.col("example") == F.col("first"))
+    return expanded.select(
+        "conv_id",
+        "example",
+        "examples",
+        "position",
+        "turn",
+        "piece",
+        "start",
+        "chars",
+        F.coalesce(target, F.lit(False)).alias("trainable"),
+        F.when(target, F.col("start") + F.col("head")).alias("loss_start"),
+        F.when(target, F.col("start") + F.col("chars") - F.col("tail")).alias("loss_end"),
     )
 
 
-def _in_order(examples: DataFrame, *columns: str) -> DataFrame:
-    """Conversations whole and in order within partitions, to be read as a stream: no task holds one in memory."""
-    small_batches(examples.sparkSession)
-    return examples.select("conv_id", "position", *columns).repartition(partition_count(examples.sparkSession), "conv_id").sortWithinPartitions("conv_id", "position")
+def _in_order(rows: DataFrame, order: list[str], *columns: str) -> DataFrame:
+    """Rows in order within partitions, to be read as a stream: no task holds a conversation in memory.  Partitions by all of order but the last."""
+    small_batches(rows.sparkSession)
+    return rows.select(*order, *columns).repartition(partition_count(rows.sparkSession), *order[:-1]).sortWithinPartitions(*order)
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -135,57 +152,52 @@ def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
 
 
 def example_texts(examples: DataFrame) -> DataFrame:
-    """conv_id, example, text, loss_start, loss_end: every example written out in full, context and reply.
-
-    This is the square of a conversation's length: for the conversations that a trainer reads next, not for whole tables.
-    """
+    """conv_id, example, text, loss_start, loss_end: every example as one text, context and reply."""
     kind = examples.schema["conv_id"].dataType
     out = T.StructType([T.StructField("conv_id", kind), *[T.StructField(c, t) for c, t in (("example", T.LongType()), ("text", T.StringType()), ("loss_start", T.LongType()), ("loss_end", T.LongType()))]])
     shape = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, so_far = object(), ""
+        pieces: list[str] = []
         for b in batches:
-            for c, _, piece, trainable, example, low, high in _rows(b):
-                if c != conv:
-                    conv, so_far = c, ""
-                so_far += piece
-                if trainable:
-                    yield pa.RecordBatch.from_pylist([{"conv_id": c, "example": example, "text": so_far, "loss_start": low, "loss_end": high}], schema=shape)
+            for c, example, _, piece, trainable, low, high in _rows(b):
+                pieces.append(piece)
+                if trainable:  # an example ends with its target
+                    yield pa.RecordBatch.from_pylist([{"conv_id": c, "example": example, "text": "".join(pieces), "loss_start": low, "loss_end": high}], schema=shape)
+                    pieces = []
 
-    return _in_order(examples, "piece", "trainable", "example", "loss_start", "loss_end").mapInArrow(run, out)
+    return _in_order(examples.filter("example is not null"), ["conv_id", "example", "position"], "piece", "trainable", "loss_start", "loss_end").mapInArrow(run, out)
 
 
 class _Reading:
     """What is known of a conversation whose rows come one after another."""
 
     def __init__(self, conv_id: object):
-        self.conv_id, self.turns, self.loss_chars, self.formatted_chars = conv_id, 0, 0, 0
+        self.conv_id, self.turns, self.loss_chars = conv_id, 0, 0
         self.all, self.loss = hashlib.sha256(), hashlib.sha256()
 
-    def add(self, piece: str, start: int, example: int | None, low: int | None, high: int | None) -> None:
-        role, text = read_piece(piece)
-        self.turns += 1
-        self.all.update(f"{role}\n{text}\n".encode())
+    def add(self, piece: str, start: int, whole: bool, low: int | None, high: int | None) -> None:
+        if whole:
+            role, text = read_piece(piece)
+            self.turns += 1
+            self.all.update(f"{role}\n{text}\n".encode())
         if low is not None:
             reply = unescaped(piece[low - start : high - start])
             self.loss_chars += len(reply)
             self.loss.update(reply.encode())
-            self.formatted_chars += start + len(piece)
-        elif example is None:
-            self.formatted_chars += len(piece)
 
     def row(self) -> dict:
-        return {"conv_id": self.conv_id, "n_turns": self.turns, "turns_sha256": self.all.hexdigest(), "loss_chars": self.loss_chars, "loss_sha256": self.loss.hexdigest(), "formatted_chars": self.formatted_chars}
+        return {"conv_id": self.conv_id, "n_turns": self.turns, "turns_sha256": self.all.hexdigest(), "loss_chars": self.loss_chars, "loss_sha256": self.loss.hexdigest()}
 
 
 def read_turns(examples: DataFrame) -> DataFrame:
-    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars of every conversation, read from its rows.
+    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars of every conversation, read from its examples.
 
-    formatted_chars counts all examples written out in full, and the turns after the last reply.  The digests run along a
+    The turns are read from the last example, which holds all up to the last reply, and the rows after it; the trained texts from each
+    example's own target; formatted_chars is the length of all examples and of the turns after the last reply.  The digests run along a
     conversation's rows as they come; a digest is sequential, so one conversation's is one task's work, in bounded memory.
     """
-    columns = (("n_turns", T.LongType()), ("turns_sha256", T.StringType()), ("loss_chars", T.LongType()), ("loss_sha256", T.StringType()), ("formatted_chars", T.LongType()))
+    columns = (("n_turns", T.LongType()), ("turns_sha256", T.StringType()), ("loss_chars", T.LongType()), ("loss_sha256", T.StringType()))
     out = T.StructType([T.StructField("conv_id", examples.schema["conv_id"].dataType), *[T.StructField(c, t) for c, t in columns]])
     shape = to_arrow_schema(out)
 
@@ -202,4 +214,8 @@ def read_turns(examples: DataFrame) -> DataFrame:
         if now:
             yield pa.RecordBatch.from_pylist([now.row()], schema=shape)
 
-    return _in_order(examples, "piece", "start", "example", "loss_start", "loss_end").mapInArrow(run, out)
+    whole = F.col("example").isNull() | (F.col("example") == F.col("examples"))
+    read = examples.withColumn("whole", whole).filter("whole or trainable")
+    digests = _in_order(read, ["conv_id", "position"], "piece", "start", "whole", "loss_start", "loss_end").mapInArrow(run, out)
+    lengths = examples.groupBy(F.col("conv_id").alias("of")).agg(F.sum(F.length("piece").cast("long")).alias("formatted_chars"))
+    return digests.join(lengths, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")

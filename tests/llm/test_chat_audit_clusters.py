@@ -8,6 +8,7 @@ from itertools import permutations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quire.llm import annulus, chatexamples, filteraudit
 
@@ -89,6 +90,15 @@ def test_texts_cannot_forge_marks(spark):
         assert len(re.findall("|".join(map(re.escape, CONTROLS)), r["piece"])) == (1 if r["piece"].startswith(" ") else 3 if r["piece"].startswith("[TURN]") else 2)
 
 
+def test_every_example_holds_its_whole_context(spark):
+    rows = [(1, 0, "user", "q1"), (1, 1, "assistant", "a1"), (1, 2, "user", "q2"), (1, 3, "assistant", "a2"), (1, 4, "user", "q3")]
+    examples = chatexamples.expand_targets(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = [(r["example"], r["position"], r["piece"], r["trainable"]) for r in examples.orderBy(F.col("example").asc_nulls_last(), "position").collect()]
+    q1, a1, q2, a2, q3 = (piece(role, text) for _, _, role, text in rows)
+    assert got == [(1, 1, q1, False), (1, 2, a1, True), (2, 1, q1, False), (2, 2, a1, False), (2, 3, q2, False), (2, 4, a2, True), (None, 5, q3, False)]
+    assert chatexamples.read_turns(examples).first()["formatted_chars"] == len(q1 + a1) + len(q1 + a1 + q2 + a2) + len(q3)
+
+
 def test_no_conversations(spark):
     examples = chatexamples.expand_targets(spark.createDataFrame([], TURNS))
     assert examples.count() == 0 and chatexamples.read_turns(examples).count() == 0
