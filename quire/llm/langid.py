@@ -97,25 +97,38 @@ class Model:
         return total
 
 
-def fit(langs: list[str], every: list[str], counts: np.ndarray) -> Model:
-    """Kneser-Ney models from word counts [word, language]."""
-    model = Model(langs)
-    (grams, contexts), owner = word_hashes(every)
+def count_grams(words: list[str], counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct n-grams of words with counts [word, language]: order less one, hash, context's hash, hash of the gram less its first character, counts [gram, language]."""
+    (grams, contexts), owner = word_hashes(words)
     ok = owner >= 0
-    per_place = counts[owner[ok]]
-    raw = []
+    per_place, out = counts[owner[ok]], []
     for n in range(ORDER):
-        g, c = grams[n][ok], contexts[n][ok]
+        g, c, shorter = grams[n][ok], contexts[n][ok], grams[max(0, n - 1)][ok]
         live = g != 0
         keys, first, inverse = np.unique(g[live], return_index=True, return_inverse=True)
-        table = np.stack([np.bincount(inverse, weights=per_place[live, k], minlength=len(keys)) for k in range(len(langs))], axis=1) if len(keys) else np.zeros((0, len(langs)))
-        raw.append([keys, c[live][first] if len(keys) else keys, table, g, live])
+        table = np.stack([np.bincount(inverse, weights=per_place[live, k], minlength=len(keys)) for k in range(counts.shape[1])], axis=1)
+        out.append((np.full(len(keys), n, dtype=np.int32), keys, c[live][first], shorter[live][first], table))
+    return tuple(map(np.concatenate, zip(*out, strict=True)))
+
+
+def fit(langs: list[str], every: list[str], counts: np.ndarray) -> Model:
+    """Kneser-Ney models from word counts [word, language], block by block of words."""
+    blocks = [count_grams(every[i : i + BLOCK], counts[i : i + BLOCK]) for i in range(0, max(1, len(every)), BLOCK)]
+    return fit_grams(langs, *map(np.concatenate, zip(*blocks, strict=True)))
+
+
+def fit_grams(langs: list[str], order: np.ndarray, grams: np.ndarray, contexts: np.ndarray, shorter: np.ndarray, counts: np.ndarray) -> Model:
+    """Kneser-Ney models from counts of n-grams, as `count_grams` gives them; rows of one n-gram add up."""
+    model, raw = Model(langs), []
+    for n in range(ORDER):
+        own = np.flatnonzero(order == n)
+        keys, first, inverse = np.unique(grams[own], return_index=True, return_inverse=True)
+        table = np.stack([np.bincount(inverse, weights=counts[own, k], minlength=len(keys)) for k in range(len(langs))], axis=1)
+        raw.append([keys, contexts[own][first], table, shorter[own][first]])
     for n in range(ORDER):
-        keys, context, table, g, live = raw[n]
+        keys, context, table, _ = raw[n]
         if n < ORDER - 1:  # continuation counts: how many longer n-grams end in this one
-            _, first = np.unique(raw[n + 1][3][raw[n + 1][4]], return_index=True)
-            parent = g[raw[n + 1][4]][first]
-            where = np.searchsorted(keys, parent)
+            where = np.searchsorted(keys, raw[n + 1][3])
             kn = np.zeros_like(table)
             for k in range(len(langs)):
                 kn[:, k] = np.bincount(where, weights=(raw[n + 1][2][:, k] > 0).astype(float), minlength=len(keys))
@@ -231,10 +244,21 @@ def _train(docs: DataFrame, max_docs: int, modulus: int, held_remainder: int) ->
 
     fold = F.pmod(F.shiftright("draw", 3), F.lit(8))
     langs = sorted(sizes)
-    each = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).cast("float").alias(f"n{i}") for i, lang in enumerate(langs)]
-    counted = sample.filter(fold != CALIBRATE).select("text", "lang").mapInArrow(count, "lang string, word string, n long").groupBy("word").agg(*each).toArrow()  # bounded by the sample
-    model = fit(langs, counted.column("word").to_pylist(), np.stack([counted.column(f"n{i}").to_numpy() for i in range(len(langs))], axis=1).astype(np.float32).reshape(-1, len(langs)))
-    del counted
+    each = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).cast("double").alias(f"n{i}") for i, lang in enumerate(langs)]
+    totals = [f"n{i}" for i in range(len(langs))]
+    matrix = lambda b: np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in totals], axis=1)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            order, *hashes, found = count_grams(b.column("word").to_pylist(), matrix(b))
+            yield pa.RecordBatch.from_arrays([pa.array(order), *[pa.array(h.view(np.int64)) for h in hashes], *map(pa.array, found.T)], names=["order", "gram", "context", "shorter", *totals])
+
+    words = sample.filter(fold != CALIBRATE).select("text", "lang").mapInArrow(count, "lang string, word string, n long").groupBy("word").agg(*each)
+    grams = words.mapInArrow(split, "order int, gram long, context long, shorter long, " + ", ".join(f"{c} double" for c in totals))
+    counted = grams.groupBy("order", "gram").agg(F.min("context").alias("context"), F.min("shorter").alias("shorter"), *[F.sum(c).alias(c) for c in totals]).toArrow().combine_chunks()  # the n-grams of a bounded sample, far fewer than its words
+    hashes = [counted.column(c).to_numpy().view(np.uint64) for c in ("gram", "context", "shorter")]
+    model = fit_grams(langs, counted.column("order").to_numpy(), *hashes, np.stack([counted.column(c).to_numpy() for c in totals], axis=1))
+    del counted, hashes
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quire.llm import htmlmain, langid, lmscore, mixing, urlrules
 from quire.llm.shared import words_of
@@ -134,6 +135,27 @@ def test_language_model_equals_plain_kneser_ney():
             assert abs(row[k] - sum(math.log(p(t, i)) for i in range(1, len(t)))) < 1e-9
 
 
+def test_models_of_counted_grams_are_those_of_all_words(spark, monkeypatch):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat sat on the mat", "en"), ("die katze sass da", "de"), ("a cat, a mat", "en"), ("le chat noir", "fr"), ("katze da", "de"), ("the the", "en")] * 20)]
+    words = sorted({w for _, t, _ in rows for w in t.split()})
+    counts = np.array([[i + 3.0 * k for k in range(3)] for i, _ in enumerate(words)])
+    whole = langid.fit(["x", "y", "z"], words, counts)
+    monkeypatch.setattr(langid, "BLOCK", 3)
+    for a, b in ((whole, langid.fit(["x", "y", "z"], words, counts)),):
+        assert all(np.array_equal(x, y) for f in ("grams", "seen", "contexts", "passed") for x, y in zip(getattr(a, f), getattr(b, f), strict=True))
+    used = Counter()
+    monkeypatch.setattr(langid, "calibrate", lambda *a: None)
+    monkeypatch.setattr(langid, "fit", lambda *a: used.update(["words on the driver"]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = langid.train(docs)
+    monkeypatch.undo()
+    took = [r for r in rows if not held(r[0], 4)]
+    fold = {r["doc_id"] for r in docs.withColumn("d", F.xxhash64(F.lit("sample"), "doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1))).filter(F.pmod(F.shiftright("d", 3), F.lit(8)) != langid.CALIBRATE).collect()}
+    c = Counter((w, lang) for i, t, lang in took if i in fold for w in t.split())
+    want = langid.fit(["de", "en", "fr"], words, np.array([[c[w, lang] for lang in ("de", "en", "fr")] for w in words], dtype=float))
+    assert not used and model.log_probs(["cat", "katze"]).round(9).tolist() == want.log_probs(["cat", "katze"]).round(9).tolist()
+
+
 def test_language_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.identify_languages(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
