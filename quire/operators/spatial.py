@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from quire.functions import layout as L
 from quire.operators.grid import XY, fixed, overlaps, prefixed  # noqa: F401
-from quire.operators.sweep import on_raster, raster_size, union_areas
+from quire.operators.sweep import on_raster, raster_size, tasks_for, union_areas
 
 CELL = 8.0
 #: A grid of cells of one size, or None for cells after each page's boxes, which takes another pass over them.
@@ -77,7 +77,7 @@ def rastered(boxes: DataFrame, width: int, height: int, *keep: str | Column) ->
 
 def union_cells(boxes: DataFrame, width: int, height: int) -> DataFrame:
     """page_id, cells, ratio: cells of the page's raster that its boxes touch; none for pages without any."""
-    cells = union_areas(rastered(boxes, width, height, "page_id"), ["page_id"]).filter("area > 0")
+    cells = union_areas(rastered(boxes, width, height, "page_id"), ["page_id"], tasks=tasks_for(boxes)).filter("area > 0")
     return cells.select("page_id", F.col("area").cast("long").alias("cells"), F.round(F.col("area") / raster_size(width, height, CELL), 6).alias("ratio"))
 
 

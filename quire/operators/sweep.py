@@ -10,19 +10,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Boxes for each task of a sweep whose boxes are counted: their strips, some 16 a box on pages of text, are sorted there.
+TASK_ROWS = 50_000
 
-def union_areas(boxes: DataFrame, keys: list[str], parts: dict[str, Column] | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+
+def union_areas(boxes: DataFrame, keys: list[str], parts: dict[str, Column] | None = None, carry: tuple[str, ...] = (), tasks: int | None = None) -> DataFrame:
     """keys, an area for each of `parts` (conditions on the boxes that it unites; all boxes, if none are named), and the carried columns, which are constant within a key.
 
     Equal boxes of a key are one row, whichever parts they belong to, so the sweep grows with the places on a page and not with
     the parts that hold them.  One shuffle by the keys; edges, strips and spans follow within partitions.  Boxes without an extent cover nothing, and a
     key that has only such boxes has areas of 0.  Rows without corners carry their key and columns.
+
+    tasks: how many the keys are dealt out to, as `tasks_for` says; by default the session's number of shuffle partitions.
     """
     parts = parts or {"area": F.lit(True)}
     solid = F.coalesce((F.col("x1") < F.col("x2")) & (F.col("y1") < F.col("y2")), F.lit(False))
     of = Window.partitionBy(*keys)
     corners, flags = ("x1", "y1", "x2", "y2"), {f"in_{name}": condition for name, condition in parts.items()}
     each = boxes.select(*keys, *carry, *[F.when(solid, F.col(c)).alias(c) for c in corners], *[condition.alias(name) for name, condition in flags.items()])
+    each = each.repartition(tasks, *keys) if tasks else each
     rows = each.groupBy(*keys, *corners).agg(*[F.max(c).alias(c) for c in carry], *[F.bool_or(name).alias(name) for name in flags])
     edges = F.array_sort(F.array_distinct(F.concat(F.collect_set("y1").over(of), F.collect_set("y2").over(of))))
     edged = rows.withColumn("edges", edges).withColumn("first", F.array_position("edges", F.col("y1")))
@@ -41,6 +47,11 @@ def union_areas(boxes: DataFrame, keys: list[str], parts: dict[str, Column] | No
     return added.groupBy(*keys).agg(*areas, *[F.max(c).alias(c) for c in carry])
 
 
+def tasks_for(boxes: DataFrame) -> int:
+    """Tasks that sweep TASK_ROWS boxes each, so that they grow in number and not in size; counts the boxes, for inputs that are cheap to read twice."""
+    return max(boxes.count() // TASK_ROWS + 1, boxes.sparkSession.sparkContext.defaultParallelism)
+
+
 def on_raster(x1: Column, y1: Column, x2: Column, y2: Column, width: int, height: int, cell: float) -> list[Column]:
     """Corners in cells of the page's raster, of all cells that a box touches; cells outside the page are cut off."""
     wide, high = max(1, -(-width // int(cell))), max(1, -(-height // int(cell)))

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quire.operators import fusion, sweep
+from quire.operators import fusion, spatial, sweep
 from quire.queries import registry
 
 SF = "/root/testdata/sf0.001"
@@ -63,3 +63,14 @@ def test_a_place_in_many_parts_is_swept_once(spark):
 def test_the_state_of_the_fold_holds_places_instead_of_boxes(spark):
     text = plan(registry.queries()["greedy_fusion"](spark, SF))
     assert "named_struct(turns" in text and "named_struct(kept" not in text
+
+
+def test_tasks_of_a_sweep_grow_in_number(spark, monkeypatch):
+    rows = [(i % 50, float(i % 7), 0.0, float(i % 7 + 2), 5.0) for i in range(1000)]
+    df = spark.createDataFrame(rows, "page_id long, x1 double, y1 double, x2 double, y2 double").persist()
+    want = {(r["page_id"], r["cells"]) for r in spatial.union_cells(df, 2400, 3200).collect()}
+    monkeypatch.setattr(sweep, "TASK_ROWS", 20)
+    got = spatial.union_cells(df, 2400, 3200)
+    assert "RepartitionByExpression [page_id" in plan(got) and ", 51" in plan(got)
+    assert {(r["page_id"], r["cells"]) for r in got.collect()} == want
+    df.unpersist()
