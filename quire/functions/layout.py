@@ -17,9 +17,12 @@ def strip(c: Column) -> Column:
 
 
 def normalize_label(raw: Column) -> Column:
-    """text, title, table, image or other: the first class one of whose words the label holds."""
-    x = F.lower(strip(F.coalesce(raw, F.lit(""))))
-    return F.when(x.rlike(TEXT_WORDS), "text").when(x.rlike(TITLE_WORDS), "title").when(x.rlike(TABLE_WORDS), "table").when(x.rlike(IMAGE_WORDS), "image").otherwise("other")
+    """text, title, table, image or other: the first class one of whose words the label holds, in any case.
+
+    The words are sought in the label as it is: only A to Z have a lower case that the words hold.
+    """
+    has = lambda words: F.coalesce(raw, F.lit("")).rlike(f"(?i){words}")
+    return F.when(has(TEXT_WORDS), "text").when(has(TITLE_WORDS), "title").when(has(TABLE_WORDS), "table").when(has(IMAGE_WORDS), "image").otherwise("other")
 
 
 def label_of(raw) -> str:

@@ -18,15 +18,19 @@ def prefixed(df: DataFrame, p: str, *keep: str) -> DataFrame:
 
 
 def overlapping(a: str, b: str) -> Column:
-    """Four comparisons that spare most pairs the arithmetic."""
-    less = [F.col(f"{p}{c}1") < F.col(f"{q}{c}2") for c in "xy" for p, q in ((a, b), (b, a))]
+    """Four comparisons that spare most pairs the arithmetic, those by height first: pages have more rows than columns."""
+    less = [F.col(f"{p}{c}1") < F.col(f"{q}{c}2") for c in "yx" for p, q in ((a, b), (b, a))]
     return less[0] & less[1] & less[2] & less[3]
 
 
-def _solid(boxes: DataFrame) -> DataFrame:
-    """Boxes that can overlap with anything: finite and with an extent."""
+def solid() -> Column:
+    """Whether a box can overlap with anything: finite and with an extent."""
     top = float("inf")
-    return boxes.filter("x1 < x2 and y1 < y2").filter((F.col("x2") < top) & (F.col("y2") < top) & (F.col("x1") > -top) & (F.col("y1") > -top))
+    return (F.col("x1") < F.col("x2")) & (F.col("y1") < F.col("y2")) & (F.col("x2") < top) & (F.col("y2") < top) & (F.col("x1") > -top) & (F.col("y1") > -top)
+
+
+def _solid(boxes: DataFrame) -> DataFrame:
+    return boxes.filter(solid())
 
 
 def fixed(size: tuple[float, float]) -> dict[str, float]:

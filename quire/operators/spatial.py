@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions import layout as L
-from quire.operators.grid import XY, fixed, overlaps, prefixed  # noqa: F401
+from quire.operators.grid import XY, fixed, overlapping, overlaps, prefixed, solid  # noqa: F401
 from quire.operators.sweep import on_raster, raster_size, tasks_for, union_areas
 
 CELL = 8.0
@@ -33,15 +33,35 @@ def cross_source_support(boxes: DataFrame, most: int = 3, grids: Grid = None) ->
     return boxes.join(found, ["page_id", "seq"], "left").select("page_id", "seq", F.least(F.lit(most), 1 + F.coalesce("n", F.lit(0))).cast("int").alias("support"))
 
 
+def _is_text() -> Column:
+    return F.col("norm_label").isin("text", "title")
+
+
+def _best_first() -> list[Column]:
+    return [F.desc(F.coalesce("score", F.lit(0.0))), F.desc(L.box_area()), F.col("seq")]
+
+
 def pseudo_lines(boxes: DataFrame, width: int, height: int, most: int = 120) -> DataFrame:
     """Text and title boxes shaped like lines, best first, one per quantized place, the first `most` of each page."""
-    q = boxes.filter(F.col("norm_label").isin("text", "title")).filter(L.line_shaped(width, height)).select("*", L.box_area().alias("area"), *L.quantized(CELL))
-    order = [F.desc(F.coalesce("score", F.lit(0.0))), F.desc("area"), F.col("seq")]
+    q = boxes.filter(_is_text()).filter(L.line_shaped(width, height)).select("*", *L.quantized(CELL))
+    order = _best_first()
     first = q.withColumn("turn", F.row_number().over(Window.partitionBy("page_id", "qx1", "qy1", "qx2", "qy2").orderBy(*order))).filter("turn = 1")
     ranked = first.withColumn("line_ord", F.row_number().over(Window.partitionBy("page_id").orderBy(*order))).filter(F.col("line_ord") <= most)
     return ranked.select("page_id", "line_ord", "seq", *XY)
 
 
+def line_places(boxes: DataFrame, width: int, height: int, most: int = 120) -> DataFrame:
+    """The boxes with at, a number on their page, and line_ord, that of `pseudo_lines`, null for boxes that are none.
+
+    For steps that need a page's lines beside its other boxes: the boxes are dealt out by page once, and everything after
+    stays in that partition.
+    """
+    q = boxes.withColumn("fit", F.coalesce(_is_text() & L.line_shaped(width, height), F.lit(False))).select("*", *[F.when(F.col("fit"), q).alias(f"q{c}") for c, q in zip(XY, L.quantized(CELL), strict=True)])
+    first = F.col("fit") & (F.row_number().over(Window.partitionBy("page_id", "fit", "qx1", "qy1", "qx2", "qy2").orderBy(*_best_first())) == 1)
+    ranked = q.withColumn("first", first).withColumn("at", F.row_number().over(Window.partitionBy("page_id").orderBy(F.desc("first"), *_best_first())))
+    return ranked.withColumn("line_ord", F.when(F.col("first") & (F.col("at") <= most), F.col("at"))).select(*boxes.columns, "at", "line_ord")
+
+
 def line_coverage(lines: DataFrame, boxes: DataFrame, grids: Grid = None) -> DataFrame:
     """Each line's best coverage by a box of its page, 0 without any, and the number of boxes that cover half of it."""
     pairs = overlaps(lines.select("page_id", "line_ord", *XY), boxes.select("page_id", *XY), ["page_id"], grids=grids).withColumn("cover", L.ioa("a_", "b_"))
@@ -61,13 +81,42 @@ def line_hits(boxes: DataFrame, lines: DataFrame, threshold: float = 0.5, grids:
     return boxes.join(hit, ["page_id", "seq"], "left").select("page_id", "seq", F.coalesce("hits", F.lit(0)).alias("hits"))
 
 
-def base_candidates(boxes: DataFrame, width: int, height: int) -> DataFrame:
-    """Boxes fit to measure recall against: non-text ones; text ones that are no unsupported strip or weak giant and cover two lines."""
-    sound, grids = boxes.filter(~L.degenerate()), fixed((width / 4, height / 8))
-    rated = sound.join(cross_source_support(sound, grids=grids), ["page_id", "seq"]).join(line_hits(sound, pseudo_lines(boxes, width, height), grids=grids), ["page_id", "seq"])
-    text = F.col("norm_label").isin("text", "title")
+def rated(boxes: DataFrame, width: int, height: int) -> DataFrame:
+    """All boxes of a page (page_id and seq not null) with the hits of texts and titles and, where `fit_for_base` asks for it, their support; 0 and 1 elsewhere.
+
+    One pass: each box carries its page's lines and those of its large texts and titles, which alone can be doubted for their
+    support, so that the boxes are dealt out once and meet no others.  What is found is counted for either box of a pair.
+    """
+    text, share = _is_text(), L.box_area() / (width * height)
+    known = boxes.filter("page_id is not null and seq is not null").withColumn("_sound", F.coalesce(solid() & ~L.degenerate(), F.lit(False)))
+    doubted = F.col("_sound") & text & ((L.strip_shape(width, height) != "none") | (share >= 0.22))
+    placed = line_places(known, width, height).withColumn("doubted", doubted).withColumn("family", F.coalesce("source_family", F.lit("")))
+    own = F.struct(*boxes.columns)
+    doubt = F.when(F.col("doubted"), F.struct(own.alias("box"), "family", "norm_label"))
+    aim = F.struct(*[F.col(c).alias(f"a_{c}") for c in XY], (F.col("at") == 1).alias("first"), F.col("line_ord").isNotNull().alias("line"), doubt.alias("doubt"))
+    aims = F.collect_list(F.when((F.col("at") == 1) | F.col("line_ord").isNotNull() | F.col("doubted"), aim)).over(Window.partitionBy("page_id"))
+    pairs = placed.withColumn("aims", aims).select("page_id", own.alias("box"), "family", "norm_label", "_sound", text.alias("text"), *[F.col(c).alias(f"b_{c}") for c in XY], F.inline("aims"))
+    near_enough = F.col("first") | F.col("_sound") & overlapping("a_", "b_")
+    hit = F.col("_sound") & overlapping("a_", "b_") & F.col("text") & F.col("line") & (L.ioa("a_", "b_") >= 0.5)
+    backs = F.col("_sound") & overlapping("a_", "b_") & (F.col("doubt.norm_label") == F.col("norm_label")) & (F.col("doubt.family") != F.col("family")) & near(L.intersection("a_", "b_"), L.box_area("a_"), L.box_area("b_"))
+    found = pairs.filter(near_enough).withColumns({n: F.coalesce(c, F.lit(False)) for n, c in (("hit", hit), ("backs", backs))})
+    mine = F.struct("box", F.col("hit").cast("int").alias("hit"), F.lit(None).cast("string").alias("family"))
+    theirs = F.struct(F.col("doubt.box").alias("box"), F.lit(0).alias("hit"), "family")
+    sides = F.when(~F.col("backs"), F.array(mine)).when(F.col("first") | F.col("hit"), F.array(mine, theirs)).otherwise(F.array(theirs))
+    each = found.filter("first or hit or backs").select("page_id", F.inline(sides))
+    n = each.groupBy("page_id", "box").agg(F.sum("hit").alias("hits"), F.count_distinct("family").alias("n"))
+    return n.select("page_id", *[F.col("box")[c].alias(c) for c in boxes.columns if c != "page_id"], (1 + F.least(F.lit(2), "n")).cast("int").alias("support"), "hits")
+
+
+def fit_for_base(width: int, height: int) -> Column:
+    """Whether a rated box is fit to measure recall against: non-text ones; text ones that are no unsupported strip or weak giant and cover two lines."""
     bad = ((L.strip_shape(width, height) != "none") & (F.col("support") < 2)) | L.weak_giant(width, height, F.col("support")) | (F.col("hits") < 2)
-    return rated.filter(~text | ~bad)
+    return ~L.degenerate() & (~_is_text() | ~bad)
+
+
+def base_candidates(boxes: DataFrame, width: int, height: int) -> DataFrame:
+    """Boxes fit to measure recall against, with their support and hits as `rated` has them."""
+    return rated(boxes, width, height).filter(fit_for_base(width, height)).select(*boxes.columns, "support", "hits")
 
 
 def rastered(boxes: DataFrame, width: int, height: int, *keep: str | Column) -> DataFrame:

@@ -95,7 +95,7 @@ def line_hits(s: SparkSession, d: str) -> DataFrame:
     return S.line_hits(boxes(s, d), S.pseudo_lines(boxes(s, d), W, H), grids=GRID)
 
 
-query("base_candidates", f"with {BOXES}, {SUPPORT}, {LINES}, {HITS}, {BASE} select page_id, seq from bs")(lambda s, d: S.base_candidates(boxes(s, d), W, H).select("page_id", "seq"))
+query("base_candidates", f"with {BOXES}, {SUPPORT}, {LINES}, {HITS}, {BASE} select page_id, seq from bs")(lambda s, d: S.base_candidates(boxes(s, d).select("page_id", "seq", "norm_label", "source_family", "score", *S.XY), W, H).select("page_id", "seq"))
 
 
 @query("union_area_ratio", f"with {BOXES}, t as (select * from bx where norm_label in ('text', 'title')), {cells('t', 'page_id', 'c')} select page_id, cells, round(cells / 120000.0, 6) as ratio from c")

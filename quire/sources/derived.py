@@ -23,12 +23,16 @@ def pick(at, values) -> F.Column:
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One detection per line item, 64 true blocks a page, six models in three families; with giants, strips and degenerate boxes."""
+    """One detection per line item, 64 true blocks a page, six models in three families; with giants, strips and degenerate boxes.
+
+    Only the table's own columns go through the shuffle; what follows from them is made after.
+    """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long").alias("q"))
-    h = (F.col("l_partkey") * 7919 + F.col("l_suppkey") * 104729 + F.col("l_linenumber") * 1299709).alias("h")
     page = F.floor(F.col("l_orderkey") / 64).cast("long")
     order = Window.partitionBy("page_id").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    g = li.select(page.alias("page_id"), (F.col("l_orderkey") % 64).alias("k"), h, "q", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").withColumn("seq", F.row_number().over(order))
+    g = li.select(page.alias("page_id"), "*").withColumn("seq", F.row_number().over(order))
+    h = F.col("l_partkey") * 7919 + F.col("l_suppkey") * 104729 + F.col("l_linenumber") * 1299709
+    g = g.select("page_id", "seq", "q", (F.col("l_orderkey") % 64).alias("k"), h.alias("h"))
     k, h, q = F.col("k"), F.col("h"), F.col("q")
     col, row = (k % 4) * 600, F.floor(k / 4) * 198
     by_quantity = lambda first, *pairs: [first := first.when(F.col("q") == v, e) for v, e in pairs][-1]
