@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from quire.functions import layout as L
 from quire.operators.grid import XY, fixed, overlapping, overlaps, prefixed, solid  # noqa: F401
-from quire.operators.sweep import on_raster, raster_size, tasks_for, union_areas
+from quire.operators.sweep import on_raster, raster_size, raster_words, tasks_for, union_areas
 
 CELL = 8.0
 #: A grid of cells of one size, or None for cells after each page's boxes, which takes another pass over them.
@@ -135,11 +135,19 @@ def shared_part(mine: Column, of: Column, both: Column) -> Column:
     return F.when(of > 0, (mine + of - both) / of).otherwise(0.0)
 
 
-def base_recall(boxes: DataFrame, base: DataFrame, width: int, height: int) -> DataFrame:
-    """page_id, recall: cells that boxes and base share over the base's, 0 for a base without cells; pages of either."""
-    mine, theirs = (rastered(b, width, height, "page_id", F.lit(kind).alias("of_base")) for b, kind in ((boxes, False), (base, True)))
-    cells = union_areas(mine.union(theirs), ["page_id"], {"mine": ~F.col("of_base"), "of": F.col("of_base"), "both": F.lit(True)})
-    return cells.select("page_id", F.round(shared_part(F.col("mine"), F.col("of"), F.col("both")), 6).alias("recall"))
+def base_recall(boxes: DataFrame, mine: Column, base: Column, width: int, height: int) -> DataFrame:
+    """page_id, recall: cells that the boxes meeting `mine` share with those meeting `base` over the latter's, 0 for a base without cells; pages of either.
+
+    A raster row's cells are bits of words, and what boxes touch together is their union by `or`: a row for each of a box's raster rows, none of them sorted.
+    """
+    flagged = boxes.select("*", *[F.coalesce(c, F.lit(False)).alias(n) for c, n in ((mine, "mine"), (base, "base"))]).filter("mine or base")
+    words = raster_words(rastered(flagged, width, height, "page_id", "mine", "base"), width, CELL, "page_id", "mine", "base")
+    masks = [c for c in words.columns if c.startswith("word")]
+    rows = words.groupBy("page_id", "row").agg(*[F.coalesce(F.bit_or(F.when(F.col(p), F.col(c))), F.lit(0).cast("long")).alias(f"{p}_{c}") for c in masks for p in ("mine", "base")])
+    bits = lambda parts: sum((F.bit_count(c) for c in parts), F.lit(0))
+    both, of = bits(F.col(f"mine_{c}").bitwiseAND(F.col(f"base_{c}")) for c in masks), bits(F.col(f"base_{c}") for c in masks)
+    cells = rows.groupBy("page_id").agg(F.sum(both).cast("double").alias("both"), F.sum(of).cast("double").alias("of"))
+    return cells.select("page_id", F.round(F.when(F.col("of") > 0, F.col("both") / F.col("of")).otherwise(0.0), 6).alias("recall"))
 
 
 def greedy_keep(boxes: DataFrame, least_cover: float, least_iou: float, largest_first: bool = True) -> DataFrame:

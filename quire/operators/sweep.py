@@ -59,5 +59,19 @@ def on_raster(x1: Column, y1: Column, x2: Column, y2: Column, width: int, height
     return [cut(F.floor(x1 / cell), wide).alias("x1"), cut(F.floor(y1 / cell), high).alias("y1"), cut(F.ceil(x2 / cell), wide).alias("x2"), cut(F.ceil(y2 / cell), high).alias("y2")]
 
 
+def raster_words(boxes: DataFrame, width: int, cell: float, *keep: str) -> DataFrame:
+    """The kept columns, row, word0, word1, ...: for each row of the raster that a box (corners as `on_raster` has them) touches, its cells there as bits of 64.
+
+    Boxes that touch no cell are one row without any.
+    """
+    ends, words = boxes.select(*keep, *[F.col(c).cast("int").alias(c) for c in ("x1", "y1", "x2", "y2")]), []
+    for i in range(-(-max(1, -(-width // int(cell))) // 64)):
+        low, high = F.greatest(F.lit(0), F.col("x1") - 64 * i), F.least(F.lit(64), F.col("x2") - 64 * i)
+        ones = F.lit(-1).cast("long")
+        words.append(F.when((low < high) & (F.col("y1") < F.col("y2")), F.call_function("shiftleft", ones, low).bitwiseAND(F.call_function("shiftrightunsigned", ones, 64 - high))).otherwise(F.lit(0).cast("long")).alias(f"word{i}"))
+    rows = F.when((F.col("x1") < F.col("x2")) & (F.col("y1") < F.col("y2")), F.sequence("y1", F.col("y2") - 1))
+    return ends.select(*keep, *words, F.explode_outer(rows).alias("row"))
+
+
 def raster_size(width: int, height: int, cell: float) -> int:
     return max(1, -(-width // int(cell))) * max(1, -(-height // int(cell)))

@@ -113,7 +113,8 @@ from (select distinct page_id from j) left join ct using (page_id) left join cg
 def base_recall(s: SparkSession, d: str) -> DataFrame:
     """What the Dell boxes' texts and titles cover of those fit to measure against."""
     text = F.col("norm_label").isin(*TEXT)
-    return S.base_recall(boxes(s, d).filter(text & (F.col("source_family") == "dell")), S.base_candidates(boxes(s, d), W, H).filter(text), W, H)
+    b = boxes(s, d).select("page_id", "seq", "norm_label", "source_family", "score", *S.XY)
+    return S.base_recall(S.rated(b, W, H), text & (F.col("source_family") == "dell"), text & S.fit_for_base(W, H), W, H)
 
 
 @query(

@@ -27,7 +27,7 @@ def boxes(spark):
     df.unpersist()
 
 
-@pytest.mark.parametrize("name", ["base_candidates"])
+@pytest.mark.parametrize("name", ["base_candidates", "base_recall"])
 def test_the_table_is_read_and_dealt_out_once(spark, name):
     df = registry.queries()[name](spark, SF)
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
@@ -53,6 +53,25 @@ def test_support_and_hits_of_rated_boxes(boxes):
     assert sorted(r["seq"] for r in spatial.base_candidates(boxes, W, H).collect()) == sorted(r["seq"] for r in want.collect())
 
 
+@pytest.mark.parametrize("size", [(2400, 3200), (505, 40), (9, 3200)])
+def test_recall_on_the_raster_is_that_of_cells(spark, size):
+    rng = random.Random(5)
+    rows = [(i % 3, i % 2 == 0, rng.random() < 0.5, x := rng.uniform(-50, 600), y := rng.uniform(-50, 100), x + rng.choice([0.0, 30.0, 500.0, 3000.0]), y + rng.choice([0.0, 9.0, 70.0])) for i in range(60)]
+    rows += [(7, True, False, 1.0, 1.0, 30.0, 30.0), (8, True, True, -9.0, -9.0, -1.0, -1.0), (9, False, False, 1.0, 1.0, 9.0, 9.0)]
+    df = spark.createDataFrame(rows, "page_id long, m boolean, b boolean, x1 double, y1 double, x2 double, y2 double")
+    got = {r["page_id"]: r["recall"] for r in spatial.base_recall(df, F.col("m"), F.col("b"), *size).collect()}
+    wide, high = (-(-n // 8) for n in size)
+
+    def cells(own):
+        span = lambda a, b, top: range(int(max(0, min(top, a // 8))), int(max(0, min(top, -(-b // 8)))))
+        return {(x, y) for r in own for x in span(r[3], r[5], wide) for y in span(r[4], r[6], high)}
+
+    assert set(got) == {0, 1, 2, 7, 8}
+    for k, v in got.items():
+        mine, base = cells([r for r in rows if r[0] == k and r[1]]), cells([r for r in rows if r[0] == k and r[2]])
+        assert v == (round(len(mine & base) / len(base), 6) if base else 0.0)
+
+
 def test_labels_in_any_case(spark):
     labels = ["Text", " \tPHOTO ", "ARTİCLE", "TıTLE", "maſthead", "Table of Content", "ta ble", "", None, "x\nFIGURE", "Headline"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(labels)], "i int, raw string")
