@@ -62,6 +62,21 @@ def line_places(boxes: DataFrame, width: int, height: int, most: int = 120) -> D
     return ranked.withColumn("line_ord", F.when(F.col("first") & (F.col("at") <= most), F.col("at"))).select(*boxes.columns, "at", "line_ord")
 
 
+def line_coverage_by(boxes: DataFrame, by: Column, width: int, height: int) -> DataFrame:
+    """`line_coverage` of the boxes' own lines by those boxes that meet a condition, from one pass over the boxes.
+
+    A page has few lines, so that each covering box carries them all.
+    """
+    rows = line_places(boxes.withColumn("by", F.coalesce(by & solid(), F.lit(False))), width, height).filter("by or line_ord is not null")
+    line = F.struct("line_ord", *[F.col(c).alias(f"a_{c}") for c in XY], F.lit(False).alias("own"))
+    lines = F.collect_list(F.when(F.col("line_ord").isNotNull(), line)).over(Window.partitionBy("page_id"))
+    own = F.array(line.withField("own", F.lit(True)))
+    tried = F.concat(F.when(F.col("by") & F.col("page_id").isNotNull(), F.col("lines")).otherwise(F.slice("lines", 1, 0)), F.when(F.col("line_ord") != 0, own).otherwise(F.slice("lines", 1, 0)))
+    pairs = rows.withColumn("lines", lines).select("page_id", *[F.col(c).alias(f"b_{c}") for c in XY], F.inline(tried)).filter(F.col("own") | overlapping("a_", "b_"))
+    best = pairs.withColumn("cover", F.when(~F.col("own"), L.ioa("a_", "b_"))).groupBy("page_id", "line_ord").agg(F.max("cover").alias("best"), F.count_if(F.col("cover") >= 0.5).alias("covering"))
+    return best.select("page_id", "line_ord", F.round(F.coalesce("best", F.lit(0.0)), 6).alias("best_coverage"), "covering")
+
+
 def line_coverage(lines: DataFrame, boxes: DataFrame, grids: Grid = None) -> DataFrame:
     """Each line's best coverage by a box of its page, 0 without any, and the number of boxes that cover half of it."""
     pairs = overlaps(lines.select("page_id", "line_ord", *XY), boxes.select("page_id", *XY), ["page_id"], grids=grids).withColumn("cover", L.ioa("a_", "b_"))

@@ -87,7 +87,7 @@ select l.page_id, l.line_ord, round(coalesce(max({inter('l', 'b')} / l.area), 0)
 from ln l left join bx b on l.page_id = b.page_id and not b.flat and b.source_family = 'dell' group by 1, 2""",
 )
 def line_best_coverage(s: SparkSession, d: str) -> DataFrame:
-    return S.line_coverage(S.pseudo_lines(boxes(s, d), W, H), sound(s, d).filter("source_family = 'dell'"), GRID)
+    return S.line_coverage_by(boxes(s, d), (F.col("source_family") == "dell") & ~L.degenerate(), W, H)
 
 
 @query("line_hits", f"with {BOXES}, {LINES}, {HITS} select page_id, seq, coalesce(hits, 0) as hits from bx left join ht using (page_id, seq)")

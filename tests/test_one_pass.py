@@ -27,7 +27,7 @@ def boxes(spark):
     df.unpersist()
 
 
-@pytest.mark.parametrize("name", ["base_candidates", "base_recall"])
+@pytest.mark.parametrize("name", ["base_candidates", "base_recall", "line_best_coverage"])
 def test_the_table_is_read_and_dealt_out_once(spark, name):
     df = registry.queries()[name](spark, SF)
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
@@ -72,6 +72,14 @@ def test_recall_on_the_raster_is_that_of_cells(spark, size):
         assert v == (round(len(mine & base) / len(base), 6) if base else 0.0)
 
 
+def test_coverage_of_lines_by_boxes_among_them(boxes):
+    by = (F.col("source_family") == "a") & ~L.degenerate()
+    want = spatial.line_coverage(spatial.pseudo_lines(boxes, W, H), boxes.filter(by)).collect()
+    got = spatial.line_coverage_by(boxes, by, W, H).collect()
+    key = lambda r: (r["page_id"] is None, r["page_id"], r["line_ord"], r["best_coverage"], r["covering"])
+    assert sorted(map(key, got)) == sorted(map(key, want)) and {r["best_coverage"] for r in got} > {0.0, 1.0}
+
+
 def test_labels_in_any_case(spark):
     labels = ["Text", " \tPHOTO ", "ARTİCLE", "TıTLE", "maſthead", "Table of Content", "ta ble", "", None, "x\nFIGURE", "Headline"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(labels)], "i int, raw string")
