@@ -165,31 +165,36 @@ def base_recall(boxes: DataFrame, mine: Column, base: Column, width: int, height
     return cells.select("page_id", F.round(F.when(F.col("of") > 0, F.col("both") / F.col("of")).otherwise(0.0), 6).alias("recall"))
 
 
-def greedy_keep(boxes: DataFrame, least_cover: float, least_iou: float, largest_first: bool = True) -> DataFrame:
-    """Greedy selection page by page, by size, then score, then reading order: a box goes if a kept one covers least_cover of it or has least_iou with it.
+def _last() -> Column:
+    """The reading order, boxes without one (0 or null) last."""
+    return F.coalesce(F.nullif(F.col("reading_order").cast("long"), F.lit(0)), F.lit(10**9))
 
-    A fold over each page's boxes inside the JVM; pages hold hundreds of boxes.  boxes (page_id, seq, reading_order, score, corners);
-    reading order 0 or null counts as last.  Returns page_id, kept (seqs in order).
+
+def _fold(least_cover: float, least_iou: float) -> str:
+    """SQL of a fold over items, best first: an item goes if a kept one covers least_cover of it or has least_iou with it.
+
+    Items that only lie apart are told by comparing their ends.
     """
-    rank = -L.box_area() if largest_first else L.box_area()
-    last = F.coalesce(F.nullif(F.col("reading_order").cast("long"), F.lit(0)), F.lit(10**9))
-    corners = [F.col(c).cast("double").alias(c) for c in XY]
-    item = F.struct(rank.alias("rank"), (-F.coalesce("score", F.lit(0.0))).alias("ns"), last.alias("ro"), F.col("seq").cast("int").alias("seq"), *corners, L.box_area().alias("area"))
-    pages = boxes.filter(L.box_area() > 0).groupBy("page_id").agg(F.sort_array(F.collect_list(item)).alias("items"))
-    kept = "cast(array() as array<struct<rank:double,ns:double,ro:bigint,seq:int,x1:double,y1:double,x2:double,y2:double,area:double>>)"
     inter = "greatest(0d, least(k.x2, b.x2) - greatest(k.x1, b.x1)) * greatest(0d, least(k.y2, b.y2) - greatest(k.y1, b.y1))"
-    clash = f"exists(acc, k -> {inter} >= {least_cover}D * b.area or {inter} >= {least_iou}D * (k.area + b.area - {inter}))"
-    return pages.select("page_id", F.expr(f"transform(aggregate(items, {kept}, (acc, b) -> if({clash}, acc, concat(acc, array(b)))), k -> k.seq)").alias("kept"))
+    clash = f"exists(acc, k -> k.y1 < b.y2 and b.y1 < k.y2 and k.x1 < b.x2 and b.x1 < k.x2 and ({inter} >= {least_cover}D * b.area or {inter} >= {least_iou}D * (k.area + b.area - {inter})))"
+    return f"aggregate(items, slice(items, 1, 0), (acc, b) -> if({clash}, acc, concat(acc, array(b))))"
 
 
 def ocr_boxes(boxes: DataFrame) -> DataFrame:
-    """The boxes to read: titles, small ones first, and texts, large ones first, without those that repeat kept ones; box_index numbers a page's boxes."""
-    title = greedy_keep(boxes.filter(F.col("norm_label") == "title"), 0.92, 0.85, largest_first=False)
-    text = greedy_keep(boxes.filter(F.col("norm_label") == "text"), 0.85, 0.75)
-    kept = title.union(text).select("page_id", F.explode("kept").alias("seq"))
-    last = F.coalesce(F.nullif(F.col("reading_order").cast("long"), F.lit(0)), F.lit(10**9))
-    number = F.row_number().over(Window.partitionBy("page_id").orderBy(last, "y1", "x1", F.col("norm_label").desc(), "seq"))
-    return boxes.join(kept, ["page_id", "seq"]).withColumn("box_index", number)
+    """The boxes to read: titles, small ones first, and texts, large ones first, without those that repeat kept ones; box_index numbers a page's boxes.
+
+    Greedy selections page by page, by size, then score, then reading order: folds over each page's boxes inside the JVM; pages hold hundreds of boxes.
+    boxes (page_id and seq, not null, norm_label, reading_order, score, corners); other columns ride along, so that no box has to be found again.
+    """
+    area, title = L.box_area(), F.col("norm_label") == "title"
+    fit = boxes.filter("page_id is not null and seq is not null").filter(F.col("norm_label").isin("title", "text") & (area > 0))
+    corners = [F.col(c).cast("double").alias(c) for c in XY]
+    item = F.struct(F.when(title, area).otherwise(-area).alias("rank"), (-F.coalesce("score", F.lit(0.0))).alias("ns"), _last().alias("ro"), "seq", *corners, area.alias("area"), F.struct(*boxes.columns).alias("box"))
+    pages = fit.groupBy("page_id", "norm_label").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    kept = F.when(title, F.expr(_fold(0.92, 0.85))).otherwise(F.expr(_fold(0.85, 0.75)))
+    rows = pages.select("page_id", F.explode(kept).alias("kept")).select("page_id", *[F.col("kept.box")[c].alias(c) for c in boxes.columns if c != "page_id"]).select(*boxes.columns)
+    number = F.row_number().over(Window.partitionBy("page_id").orderBy(_last(), "y1", "x1", F.col("norm_label").desc(), "seq"))
+    return rows.withColumn("box_index", number)
 
 
 def dedupe_quantized(rows: DataFrame, step: float, *keys: str) -> DataFrame:

@@ -186,7 +186,8 @@ def ordered(s: SparkSession, d: str) -> DataFrame:
 select page_id, seq, cast(row_number() over (partition by page_id order by {LAST}, y1, x1, norm_label desc, seq) as int) as box_index from kp join ro using (page_id, seq)""",
 )
 def ocr_box_selection(s: SparkSession, d: str) -> DataFrame:
-    return S.ocr_boxes(ordered(s, d)).select("page_id", "seq", "box_index")
+    own = ordered(s, d).select("page_id", "seq", "norm_label", "reading_order", "score", *S.XY)
+    return S.ocr_boxes(own).select("page_id", "seq", "box_index")
 
 
 def variants(spark: SparkSession, d: str) -> DataFrame:

@@ -27,7 +27,7 @@ def boxes(spark):
     df.unpersist()
 
 
-@pytest.mark.parametrize("name", ["base_candidates", "base_recall", "line_best_coverage"])
+@pytest.mark.parametrize("name", ["base_candidates", "base_recall", "line_best_coverage", "ocr_box_selection"])
 def test_the_table_is_read_and_dealt_out_once(spark, name):
     df = registry.queries()[name](spark, SF)
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
@@ -80,6 +80,24 @@ def test_coverage_of_lines_by_boxes_among_them(boxes):
     assert sorted(map(key, got)) == sorted(map(key, want)) and {r["best_coverage"] for r in got} > {0.0, 1.0}
 
 
+def test_boxes_to_read_are_those_of_a_plain_loop(boxes):
+    sound = boxes.filter(~L.degenerate() & F.col("y2").isNotNull())
+    got = spatial.ocr_boxes(sound.withColumn("more", F.col("seq") * 2)).collect()
+    assert all(r["more"] == 2 * r["seq"] for r in got)
+    area, both = lambda r: (r["x2"] - r["x1"]) * (r["y2"] - r["y1"]), lambda a, b: max(0.0, min(a["x2"], b["x2"]) - max(a["x1"], b["x1"])) * max(0.0, min(a["y2"], b["y2"]) - max(a["y1"], b["y1"]))
+    last, rows = lambda r: r["reading_order"] or 10**9, [r for r in sound.collect() if r["page_id"] is not None]
+    for page in {r["page_id"] for r in rows}:
+        kept = []
+        for label, sign, cover, iou in (("title", 1, 0.92, 0.85), ("text", -1, 0.85, 0.75)):
+            own = []
+            for b in sorted((r for r in rows if (r["page_id"], r["norm_label"]) == (page, label)), key=lambda r: (sign * area(r), -(r["score"] or 0.0), last(r), r["seq"])):
+                if not any(both(k, b) >= cover * area(b) or both(k, b) >= iou * (area(k) + area(b) - both(k, b)) for k in own):
+                    own.append(b)
+            kept += own
+        want = sorted(kept, key=lambda r: (last(r), r["y1"], r["x1"], r["norm_label"] != "title", r["seq"]))
+        assert [r["seq"] for r in sorted((g for g in got if g["page_id"] == page), key=lambda r: r["box_index"])] == [r["seq"] for r in want]
+
+
 def test_labels_in_any_case(spark):
     labels = ["Text", " \tPHOTO ", "ARTİCLE", "TıTLE", "maſthead", "Table of Content", "ta ble", "", None, "x\nFIGURE", "Headline"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(labels)], "i int, raw string")
