@@ -25,12 +25,12 @@ def query(name: str, sql: str | None = None) -> Callable:
     return add
 
 
-def boxes(spark: SparkSession, d: str) -> DataFrame:
-    return T.boxes(spark, d).withColumn("norm_label", L.normalize_label(F.col("source_label")))
+def boxes(spark: SparkSession, d: str, counted: bool = False) -> DataFrame:
+    return T.boxes(spark, d, counted).withColumn("norm_label", L.normalize_label(F.col("source_label")))
 
 
-def sound(spark: SparkSession, d: str) -> DataFrame:
-    return boxes(spark, d).filter(~L.degenerate())
+def sound(spark: SparkSession, d: str, counted: bool = False) -> DataFrame:
+    return boxes(spark, d, counted).filter(~L.degenerate())
 
 
 BOXES = """

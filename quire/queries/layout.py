@@ -87,7 +87,7 @@ select l.page_id, l.line_ord, round(coalesce(max({inter('l', 'b')} / l.area), 0)
 from ln l left join bx b on l.page_id = b.page_id and not b.flat and b.source_family = 'dell' group by 1, 2""",
 )
 def line_best_coverage(s: SparkSession, d: str) -> DataFrame:
-    return S.line_coverage_by(boxes(s, d), (F.col("source_family") == "dell") & ~L.degenerate(), W, H)
+    return S.line_coverage_by(boxes(s, d, True), (F.col("source_family") == "dell") & ~L.degenerate(), W, H)
 
 
 @query("line_hits", f"with {BOXES}, {LINES}, {HITS} select page_id, seq, coalesce(hits, 0) as hits from bx left join ht using (page_id, seq)")
@@ -95,7 +95,7 @@ def line_hits(s: SparkSession, d: str) -> DataFrame:
     return S.line_hits(boxes(s, d), S.pseudo_lines(boxes(s, d), W, H), grids=GRID)
 
 
-query("base_candidates", f"with {BOXES}, {SUPPORT}, {LINES}, {HITS}, {BASE} select page_id, seq from bs")(lambda s, d: S.base_candidates(boxes(s, d).select("page_id", "seq", "norm_label", "source_family", "score", *S.XY), W, H).select("page_id", "seq"))
+query("base_candidates", f"with {BOXES}, {SUPPORT}, {LINES}, {HITS}, {BASE} select page_id, seq from bs")(lambda s, d: S.base_candidates(boxes(s, d, True).select("page_id", "seq", "norm_label", "source_family", "score", *S.XY), W, H).select("page_id", "seq"))
 
 
 @query("union_area_ratio", f"with {BOXES}, t as (select * from bx where norm_label in ('text', 'title')), {cells('t', 'page_id', 'c')} select page_id, cells, round(cells / 120000.0, 6) as ratio from c")
@@ -113,7 +113,7 @@ from (select distinct page_id from j) left join ct using (page_id) left join cg
 def base_recall(s: SparkSession, d: str) -> DataFrame:
     """What the Dell boxes' texts and titles cover of those fit to measure against."""
     text = F.col("norm_label").isin(*TEXT)
-    b = boxes(s, d).select("page_id", "seq", "norm_label", "source_family", "score", *S.XY)
+    b = boxes(s, d, True).select("page_id", "seq", "norm_label", "source_family", "score", *S.XY)
     return S.base_recall(S.rated(b, W, H), text & (F.col("source_family") == "dell"), text & S.fit_for_base(W, H), W, H)
 
 
@@ -176,7 +176,7 @@ LAST = "coalesce(nullif(reading_order, 0), 1000000000)"
 
 def ordered(s: SparkSession, d: str) -> DataFrame:
     """Boxes in reading order, every tenth without a place, some without a score."""
-    b = S.reading_order(sound(s, d))
+    b = S.reading_order(sound(s, d, True))
     return b.withColumn("reading_order", F.when(F.col("seq") % 10 == 0, 0).otherwise(F.col("reading_order"))).withColumn("score", F.when(F.col("seq") % 13 != 0, F.col("score")))
 
 

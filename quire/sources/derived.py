@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quire.operators.sweep import tasks_for
+
 WIDTH, HEIGHT = 2400, 3200
 MODELS = ("baseline_geometry_v1", "column_detector_v1", "legal_notice_probe_v1")
 FAMILIES = ("profile", "layout", "text_probe")
@@ -22,15 +24,18 @@ def pick(at, values) -> F.Column:
     return F.element_at(F.array(*map(F.lit, values)), (at + 1).cast("int"))
 
 
-def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def boxes(spark: SparkSession, sf_dir: str, counted: bool = False) -> DataFrame:
     """One detection per line item, 64 true blocks a page, six models in three families; with giants, strips and degenerate boxes.
 
-    Only the table's own columns go through the shuffle; what follows from them is made after.
+    Only the table's own columns go through the shuffle; what follows from them is made after.  counted: line items are counted first and
+    pages dealt out to tasks that grow in number and not in size, for queries that do all their work where the pages lie.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long").alias("q"))
     page = F.floor(F.col("l_orderkey") / 64).cast("long")
     order = Window.partitionBy("page_id").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    g = li.select(page.alias("page_id"), "*").withColumn("seq", F.row_number().over(order))
+    g = li.select(page.alias("page_id"), "*")
+    g = g.repartition(tasks_for(li), "page_id") if counted else g
+    g = g.withColumn("seq", F.row_number().over(order))
     h = F.col("l_partkey") * 7919 + F.col("l_suppkey") * 104729 + F.col("l_linenumber") * 1299709
     g = g.select("page_id", "seq", "q", (F.col("l_orderkey") % 64).alias("k"), h.alias("h"))
     k, h, q = F.col("k"), F.col("h"), F.col("q")

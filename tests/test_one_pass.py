@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.functions import layout as L
-from quire.operators import ocr, spatial
+from quire.operators import ocr, spatial, sweep
 from quire.queries import registry
 
 SF = "/root/testdata/sf0.001"
@@ -34,6 +34,14 @@ def test_the_table_is_read_and_dealt_out_once(spark, name):
     assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
 
 
+@pytest.mark.parametrize("name", ["base_candidates", "base_recall", "line_best_coverage", "transcription_report", "ocr_box_selection"])
+def test_tasks_grow_in_number(spark, monkeypatch, name):
+    monkeypatch.setattr(sweep, "TASK_ROWS", 500)
+    tasks = spark.read.parquet(f"{SF}/lineitem.parquet").count() // 500 + 1
+    text = registry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert f", {tasks})" in text and text.count("Exchange hashpartitioning(page_id") == 1
+
+
 def test_support_and_hits_of_rated_boxes(boxes):
     got = {r["seq"]: r for r in spatial.rated(boxes, W, H).collect()}
     assert set(got) == {r["seq"] for r in boxes.filter("page_id is not null").collect()}
