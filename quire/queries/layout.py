@@ -200,14 +200,12 @@ def variants(spark: SparkSession, d: str) -> DataFrame:
 @query("greedy_fusion", fusion_sql.GREEDY)
 def fused(spark: SparkSession, d: str) -> DataFrame:
     """Fused boxes of all variants; S1 is the page's best Paddle model."""
-    b = boxes(spark, d)
-    best = Z.best_singles(b, S.variant_members()["P1"], W, H)
-    return Z.as_variants(Z.fuse(b, S.pseudo_lines(b, W, H), W, H), best).drop("seq")
+    return Z.fuse_variants(boxes(spark, d, True), W, H).drop("seq")
 
 
 @query("fused_measures", fusion_sql.MEASURES + " select * from ms")
 def fused_measures(spark: SparkSession, d: str) -> DataFrame:
-    return Z.measure(boxes(spark, d), S.pseudo_lines(boxes(spark, d), W, H), W, H)
+    return Z.measure(boxes(spark, d, True), None, W, H)
 
 
 # The rankings' formulas on measures that SQL can make: plain counts of each variant's and source's boxes.
