@@ -204,7 +204,7 @@ def select_boxes(pages: DataFrame, sets: dict[str, tuple[str, ...]], width: floa
 def _fused(states: DataFrame, names: Column) -> DataFrame:
     """page_id, name, reading_order, seq, family, model, label, corners, score: a row for each box that the states of a page (items, states) hold."""
     entry = lambda v, at, n, of: f"named_struct('y1', {v}.y1, 'x1', {v}.x1, 'at', {at}, 'n', {n}, {', '.join(f'{chr(39)}{c}{chr(39)}, {e}' for c, e in of.items())}, 'x2', {v}.x2, 'y2', {v}.y2, 'score', {v}.score)"
-    own, made = {c: f"b.{c}" for c in ("seq", *RECOVERED)}, {"seq": "cast(null as int)"} | {c: f"'{v}'" for c, v in RECOVERED.items()}
+    own, made = {c: f"b.{c}" for c in ("seq", *RECOVERED)}, {"seq": "case when false then get(items, 0).seq end"} | {c: f"'{v}'" for c, v in RECOVERED.items()}
     ordered = F.expr(f"transform(states, s -> sort_array({_chosen('s', entry('b', 'b.turn', '-1', own), entry('k', 'k.at', 'n', made))}))")
     each = states.select("page_id", F.explode(F.arrays_zip(names.alias("name"), ordered.alias("kept"))).alias("of"))  # taken here, as rows of single boxes would each carry all items along
     out = each.select("page_id", "of.name", F.posexplode("of.kept").alias("place", "o"))
